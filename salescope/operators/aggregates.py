@@ -45,7 +45,8 @@ def group_sales(df: DataFrame, group_col: str, n: int | None = 10, id_col: str =
         group_col, "orders", "quantity",
         F.round("revenue", 2).alias("revenue"),
         F.round("avg_revenue", 2).alias("avg_revenue"),
-        F.round("median_revenue", 2).alias("median_revenue"))
+        # 3 decimals: a median of cents can end in a half cent
+        F.round("median_revenue", 3).alias("median_revenue"))
     out = out.orderBy(F.col("revenue").desc(), F.col(group_col))
     return out.limit(n) if n else out
 
@@ -229,7 +230,8 @@ def correlation_long(df: DataFrame, cols: Sequence[str], decimals: int = 4) -> D
         if a != b:
             parts.append(f"'{b}', '{a}', `{a}|{b}`")
     long = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (row, col, corr)")
-    return long.withColumn("corr", F.round("corr", decimals))
+    # + 0.0 turns a rounded -0.0 into 0.0
+    return long.withColumn("corr", F.round("corr", decimals) + F.lit(0.0))
 
 
 # ---------------------------------------------------------------- residual tables

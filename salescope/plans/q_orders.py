@@ -346,7 +346,7 @@ def q_describe(spark, sf):
 
 
 @register("correlation_matrix", group="summary", sql=_sql(" UNION ALL ".join(
-    f"SELECT '{a}' AS \"row\", '{b}' AS col, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 4) AS corr FROM flat"
+    f"SELECT '{a}' AS \"row\", '{b}' AS col, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 4) + 0.0 AS corr FROM flat"
     for a in _NUM for b in _NUM)))
 def q_correlation(spark, sf):
     return A.correlation_long(flat(spark, sf), _NUM)
