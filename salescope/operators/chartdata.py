@@ -148,7 +148,8 @@ def qq_points(df: DataFrame, value: Column, points: int = 500) -> DataFrame:
     row = exact_percentiles(x, "v", probs, names=names)
     nd = NormalDist()
     theo = [nd.inv_cdf(p) for p in probs]
-    spark = df.sparkSession
-    stack = ", ".join(f"{i}, {theo[i]!r}, `{names[i]}`" for i in range(m))
-    return row.selectExpr(f"stack({m}, {stack}) as (i, theoretical, sample)") \
-              .select(F.col("i").cast("int"), "theoretical", "sample")
+    pairs = F.arrays_zip(F.lit(theo).alias("theoretical"),
+                         F.array(*[F.col(n) for n in names]).alias("sample"))
+    return row.select(F.posexplode(pairs).alias("i", "p")) \
+              .select(F.col("i").cast("int"), F.col("p.theoretical").alias("theoretical"),
+                      F.col("p.sample").alias("sample"))

@@ -62,15 +62,17 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
     delta = 4.0 / accuracy
     lo_ps = [max(0.0, p - delta) for p in probs]
     hi_ps = [min(1.0, p + delta) for p in probs]
-    stats = x.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", lo_ps + hi_ps, accuracy).alias("__a"),
-        F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    lo = F.array(*[F.col("__min") if lo_ps[i] == 0.0 else F.get(F.col("__a"), i)
-                   for i in range(n_p)])
-    hi = F.array(*[F.col("__max") if hi_ps[i] == 1.0 else F.get(F.col("__a"), n_p + i)
-                   for i in range(n_p)])
-    stats = stats.select(*by, "__n", lo.alias("__lo"), hi.alias("__hi"))
+
+    def sketch(rows: DataFrame) -> DataFrame:
+        st = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.percentile_approx("__v", lo_ps + hi_ps, accuracy).alias("__a"),
+            F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+        lo = F.array(*[F.col("__min") if lo_ps[i] == 0.0 else F.get(F.col("__a"), i)
+                       for i in range(n_p)])
+        hi = F.array(*[F.col("__max") if hi_ps[i] == 1.0 else F.get(F.col("__a"), n_p + i)
+                       for i in range(n_p)])
+        return st.select(*by, "__n", lo.alias("__lo"), hi.alias("__hi"))
 
     def wide(res: DataFrame) -> DataFrame:
         # __r is an array (exact path) or an int-keyed map (bracket path)
@@ -78,25 +80,28 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
         return res.select(*by, *[cols[nm].alias(nm) for nm in out_names])
 
     def exact(rows: DataFrame) -> DataFrame:
-        return wide(rows.groupBy(*by).agg(F.percentile("__v", F.array(*map(F.lit, probs)))
-                                          .alias("__r")))
+        return wide(rows.groupBy(*by).agg(F.percentile("__v", F.lit(probs)).alias("__r")))
 
     if not by:
-        row = stats.first()
-        if row is None or row["__n"] == 0:
-            return exact(x)
-        if row["__n"] < small_limit:
+        n = x.count()
+        if n < small_limit:
             return exact(x)
+        row = sketch(x).first()
         # one global group: the bracket ends are scalars
-        big = x.withColumns({"__lo": F.array(*[F.lit(float(a)) for a in row["__lo"]]),
-                             "__hi": F.array(*[F.lit(float(a)) for a in row["__hi"]]),
+        big = x.withColumns({"__lo": F.lit([float(a) for a in row["__lo"]]),
+                             "__hi": F.lit([float(a) for a in row["__hi"]]),
                              "__n": F.lit(int(row["__n"]))})
         return wide(_bracket_select(big, by, probs))
 
-    small_keys = stats.where(F.col("__n") < small_limit).select(*by)
-    big_stats = stats.where(F.col("__n") >= small_limit)
+    # group sizes first (cheap, combined map-side); sketches only for big groups
+    sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    small_keys = sizes.where(F.col("__n") < small_limit).select(*by)
+    big_keys = sizes.where(F.col("__n") >= small_limit).select(*by)
     res_small = exact(x.join(sized_broadcast(small_keys), on=by, how="left_semi"))
-    big = x.join(sized_broadcast(big_stats), on=by, how="inner")
+    if big_keys.limit(1).count() == 0:
+        return res_small
+    big_rows = x.join(sized_broadcast(big_keys), on=by, how="left_semi")
+    big = big_rows.join(sized_broadcast(sketch(big_rows)), on=by, how="inner")
     res_big = wide(_bracket_select(big, by, probs))
     return res_small.unionByName(res_big)
 
@@ -132,7 +137,7 @@ def _bracket_select(rows: DataFrame, by: list[str], probs: list[float]) -> DataF
     cands = cands.withColumn("__before", F.coalesce(
         F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     cands = cands.join(cum, on=gkeys + ["__i"], how="inner")
-    p = F.get(F.array(*[F.lit(q) for q in probs]), F.col("__i"))
+    p = F.get(F.lit(probs), F.col("__i"))
     pos = p * (F.col("__n") - 1)
     k0 = F.floor(pos)
     k1 = F.least(k0 + 1, F.col("__n") - 1)

@@ -146,8 +146,10 @@ def prepare_model_data(df: DataFrame, test_start: str = TEST_START) -> Prepared:
     d = fit_defaults(train, lookups).first()
     defaults = {"count": d["product_order_count_default"], "quantity": d["quantity_default"],
                 "revenue": d["revenue_default"]}
-    return Prepared(apply_lookups(train, lookups, defaults), apply_lookups(test, lookups, defaults),
-                    lookups, defaults)
+    # persisted: preprocessing fits and every model read these repeatedly;
+    # a lost block is recomputed from the (short) lineage
+    return Prepared(apply_lookups(train, lookups, defaults).persist(),
+                    apply_lookups(test, lookups, defaults).persist(), lookups, defaults)
 
 
 def feature_output(df: DataFrame, keys: Sequence[str]) -> DataFrame:
