@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salescope.operators.joins import sized_broadcast
 
 DEFAULT_ACCURACY = 100_000
 
@@ -82,68 +81,89 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
     def exact(rows: DataFrame) -> DataFrame:
         return wide(rows.groupBy(*by).agg(F.percentile("__v", F.lit(probs)).alias("__r")))
 
-    if not by:
-        n = x.count()
-        if n < small_limit:
-            return exact(x)
-        row = sketch(x).first()
-        # one global group: the bracket ends are scalars
-        big = x.withColumns({"__lo": F.lit([float(a) for a in row["__lo"]]),
-                             "__hi": F.lit([float(a) for a in row["__hi"]]),
-                             "__n": F.lit(int(row["__n"]))})
-        return wide(_bracket_select(big, by, probs))
-
-    # group sizes first (cheap, combined map-side); sketches only for big groups
-    sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    small_keys = sizes.where(F.col("__n") < small_limit).select(*by)
-    big_keys = sizes.where(F.col("__n") >= small_limit).select(*by)
-    res_small = exact(x.join(sized_broadcast(small_keys), on=by, how="left_semi"))
-    if big_keys.limit(1).count() == 0:
-        return res_small
-    big_rows = x.join(sized_broadcast(big_keys), on=by, how="left_semi")
-    big = big_rows.join(sized_broadcast(sketch(big_rows)), on=by, how="inner")
-    res_big = wide(_bracket_select(big, by, probs))
-    return res_small.unionByName(res_big)
-
-
-def _bracket_select(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
-    """rows: by + __v + __n + __lo/__hi arrays -> by + __r (array of results)."""
+    # Multi-pass, so eager (like approxQuantile): the narrow input (keys + one
+    # double) is persisted for the passes and released before returning; the
+    # returned table has one row per group.  Group sizes are joined back (one
+    # row per group; AQE broadcasts that table when it is small) and split
+    # the rows between the exact path (small groups) and the sketch + bracket
+    # path (large groups).
+    const_key = not by
+    if const_key:
+        by = ["__g"]
+        x = x.withColumn("__g", F.lit(0))
+    x = x.persist()
+    held = [x]
+    try:
+        sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+        sized = x.join(sizes, on=by, how="inner")
+        res_small = exact(sized.where(F.col("__n") < small_limit).drop("__n"))
+        big_rows = sized.where(F.col("__n") >= small_limit).drop("__n")
+        # the sketch merge order is not deterministic: pin one result so both
+        # bracket passes see the same bracket ends
+        st = sketch(big_rows).persist()
+        held.append(st)
+        st.count()
+        big = big_rows.join(st, on=by, how="inner")
+        res = res_small.unionByName(wide(_bracket_select(big, by, probs, held)))
+        res = res.persist()
+        res.count()
+    finally:
+        for h in held:
+            h.unpersist()
+    return res.drop("__g") if const_key else res
+
+
+def _bracket_select(rows: DataFrame, by: list[str], probs: list[float], held: list) -> DataFrame:
+    """rows: by + __v + __n + __lo/__hi arrays -> by + __r (index -> result).
+
+    Two passes over ``rows``: (1) per group, how many rows have exactly c
+    bracket lower ends at or below them (combined map-side; c = 0..P), (2)
+    the rows inside some bracket, exploded per bracket and counted per
+    distinct value.  Both results are small and persisted (``held``)."""
+    from functools import reduce
     n_p = len(probs)
     v = F.col("__v")
-    n_below_lo = F.size(F.filter(F.col("__lo"), lambda l: l <= v))
-    inside = F.filter(F.sequence(F.lit(0), F.lit(n_p - 1)),
-                      lambda i: (F.get(F.col("__lo"), i) <= v) & (v <= F.get(F.col("__hi"), i)))
-    recs = F.concat(
-        F.array(F.struct(n_below_lo.alias("i"), F.lit(None).cast("double").alias("v"))),
-        F.transform(inside, lambda i: F.struct(i.alias("i"), v.alias("v"))))
-    tagged = (rows.select(*by, "__n", F.explode(recs).alias("__r"))
-                  .select(*by, "__n", F.col("__r.i").alias("__i"), F.col("__r.v").alias("__val")))
-    # map-side combined: bracket counts + distinct in-bracket values
-    small = tagged.groupBy(*by, "__n", "__i", "__val").agg(F.count(F.lit(1)).alias("__c"))
-
-    counts = small.where(F.col("__val").isNull())
     gkeys = by + ["__n"]
-    spine = (small.select(*gkeys).distinct()
-                  .withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(n_p)))))
-    cum = (spine.join(counts.select(*gkeys, "__i", "__c"), on=gkeys + ["__i"], how="left")
+    lo = [F.get(F.col("__lo"), i) for i in range(n_p)]
+    hi = [F.get(F.col("__hi"), i) for i in range(n_p)]
+    if n_p <= 32:
+        # plain CASE arithmetic keeps the per-row work inside generated code
+        c = reduce(lambda a, b: a + b, [F.when(l <= v, 1).otherwise(0) for l in lo])
+        inside_any = reduce(lambda a, b: a | b, [(lo[i] <= v) & (v <= hi[i]) for i in range(n_p)])
+        idx = F.array(*[F.when((lo[i] <= v) & (v <= hi[i]), F.lit(i)) for i in range(n_p)])
+    else:
+        c = F.size(F.filter(F.col("__lo"), lambda l: l <= v))
+        seq = F.sequence(F.lit(0), F.lit(n_p - 1))
+        inside = lambda i: (F.get(F.col("__lo"), i) <= v) & (v <= F.get(F.col("__hi"), i))
+        inside_any = F.exists(seq, inside)
+        idx = F.filter(seq, inside)
+    counts = rows.groupBy(*gkeys, c.alias("__i")).agg(F.count(F.lit(1)).alias("__c")).persist()
+    cands = (rows.where(inside_any)
+                 .select(*gkeys, v.alias("__val"), F.explode(idx).alias("__i"))
+                 .where(F.col("__i").isNotNull())
+                 .groupBy(*gkeys, "__i", "__val").agg(F.count(F.lit(1)).alias("__c")).persist())
+    held += [counts, cands]
+
+    spine = (counts.select(*gkeys).distinct()
+                   .withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(n_p)))))
+    cum = (spine.join(counts, on=gkeys + ["__i"], how="left")
                 .withColumn("__c", F.coalesce("__c", F.lit(0)))
                 .withColumn("__below", F.sum("__c").over(
                     Window.partitionBy(*gkeys).orderBy("__i")
                           .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
                 .select(*gkeys, "__i", "__below"))
 
-    cands = small.where(F.col("__val").isNotNull())
     w = Window.partitionBy(*gkeys, "__i").orderBy("__val")
-    cands = cands.withColumn("__before", F.coalesce(
+    ranked = cands.withColumn("__before", F.coalesce(
         F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    cands = cands.join(cum, on=gkeys + ["__i"], how="inner")
+    ranked = ranked.join(cum, on=gkeys + ["__i"], how="inner")
     p = F.get(F.lit(probs), F.col("__i"))
     pos = p * (F.col("__n") - 1)
     k0 = F.floor(pos)
     k1 = F.least(k0 + 1, F.col("__n") - 1)
     start = F.col("__below") + F.col("__before")
     end = start + F.col("__c")
-    picked = cands.groupBy(*gkeys, "__i").agg(
+    picked = ranked.groupBy(*gkeys, "__i").agg(
         F.max(F.when((start <= k0) & (k0 < end), F.col("__val"))).alias("__v0"),
         F.max(F.when((start <= k1) & (k1 < end), F.col("__val"))).alias("__v1"),
         F.first(pos - k0).alias("__frac"))

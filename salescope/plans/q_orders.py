@@ -15,13 +15,25 @@ from salescope.operators import quality as Q
 from salescope.operators import windows as WN
 from salescope.plans import order_model as OM
 from salescope.plans.catalog import FLAT_CTE, register, with_ctes
+from salescope.session import materialize
 from salescope.sources.tables import order_view
 
 KEY = ["Order_ID", "l_linenumber", "l_partkey", "l_suppkey"]
+ORDER_COLS = ["Order_ID", "Order_Date", "Customer_Name", "City", "State", "Region", "Country",
+              "Category", "Sub_Category", "Product_Name", "Quantity", "Unit_Price", "Revenue", "Profit"]
+
+
+_FLAT: dict = {}
 
 
 def flat(spark: SparkSession, sf: str) -> DataFrame:
-    return order_view(spark, sf, with_keys=True)
+    """The flat order table, derived once per session and input folder and
+    kept as parquet in the shared checkpoint folder (the star join runs
+    once; every query then scans only its columns)."""
+    key = (id(spark), sf)
+    if key not in _FLAT:
+        _FLAT[key] = materialize(order_view(spark, sf, with_keys=True), "orders_flat")
+    return _FLAT[key]
 
 
 def _sql(body: str, *extra: str) -> str:
@@ -81,7 +93,7 @@ SELECT count(*) AS rows, 14 AS columns, 0 AS stripped_columns,
          AS duplicate_rows
 FROM flat"""))
 def q_dataset_checks(spark, sf):
-    df = order_view(spark, sf)
+    df = flat(spark, sf).select(*ORDER_COLS)
     return Q.dataset_checks(df).withColumn("missing_total", F.col("missing_total").cast("long"))
 
 
@@ -92,7 +104,7 @@ SELECT CAST(sum((Order_ID IS NULL)::INT + (Order_Date IS NULL)::INT + (Customer_
   + (Quantity IS NULL)::INT + (Unit_Price IS NULL)::INT + (Revenue IS NULL)::INT
   + (Profit IS NULL)::INT) AS BIGINT) AS missing_total FROM flat"""))
 def q_missing_total(spark, sf):
-    return Q.missing_total(order_view(spark, sf))
+    return Q.missing_total(flat(spark, sf).select(*ORDER_COLS))
 
 
 @register("duplicate_rows_orders", group="quality", sql=_sql("""
@@ -100,7 +112,7 @@ SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows FROM (
   SELECT count(*) AS c FROM flat GROUP BY Order_ID, Order_Date, Customer_Name, City, State,
     Region, Country, Category, Sub_Category, Product_Name, Quantity, Unit_Price, Revenue, Profit)"""))
 def q_duplicate_rows(spark, sf):
-    return Q.duplicate_rows(order_view(spark, sf))
+    return Q.duplicate_rows(flat(spark, sf).select(*ORDER_COLS))
 
 
 @register("duplicate_rows_order_keys", group="quality", sql="""
@@ -143,7 +155,7 @@ def q_date_parse_failures(spark, sf):
     text = (F.when(F.col("Quantity") % 7 == 0, F.date_format(d, "MM/dd/yyyy"))
              .when(F.col("Quantity") % 11 == 0, F.concat(F.date_format(d, "MM-dd-yy"), F.lit("x")))
              .otherwise(F.date_format(d, "MM-dd-yy")))
-    return Q.date_parse_failures(order_view(spark, sf).select(text.alias("t")), "t")
+    return Q.date_parse_failures(flat(spark, sf).select(text.alias("t")), "t")
 
 
 @register("formula_check", group="quality", sql=_sql("""
@@ -152,7 +164,7 @@ SELECT count(*) FILTER (WHERE abs(round(Revenue, 2) - round(Quantity * Unit_Pric
        round(max(abs(round(Revenue, 2) - round(Quantity * Unit_Price, 2))), 4)
          AS revenue_formula_max_abs_diff FROM flat"""))
 def q_formula_check(spark, sf):
-    return Q.formula_check(order_view(spark, sf))
+    return Q.formula_check(flat(spark, sf))
 
 
 @register("formula_check_extendedprice", group="quality", sql=_sql("""
@@ -182,7 +194,7 @@ SELECT column_name AS "column", distinct_values FROM (
   SELECT 'Profit', count(DISTINCT Profit) FROM flat)
 ORDER BY distinct_values DESC, "column" """))
 def q_cardinality(spark, sf):
-    return A.cardinality(order_view(spark, sf))
+    return A.cardinality(flat(spark, sf).select(*ORDER_COLS))
 
 
 # ---------------------------------------------------------------- projections
@@ -630,7 +642,7 @@ FROM (SELECT Order_Date, {_PARSE_SQL} AS parsed
 def q_text_roundtrip(spark, sf):
     """Dates written as text the way order files carry them parse back to the
     same day (covers the 19xx / 20xx two-digit-year rule)."""
-    both = order_view(spark, sf).select("Order_Date").withColumn(
+    both = flat(spark, sf).select("Order_Date").withColumn(
         "t", F.date_format("Order_Date", "MM-dd-yy"))
     return both.agg(F.count(F.lit(1)).alias("rows"),
                     F.count_if(D.parse_mdy("t") == F.col("Order_Date")).alias("same_date"))

@@ -62,6 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: a reliable cut of the lineage whose later reads are column-pruned
+    parquet scans (executors write, nothing passes through the driver)."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
