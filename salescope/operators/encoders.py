@@ -85,9 +85,14 @@ class FeaturePrep:
     onehot_model: object = None
     output: str = "features"
 
-    def fit(self, train: DataFrame) -> "FeaturePrep":
-        self.medians = fit_medians(train, self.numeric)
-        self.modes = fit_modes(train, self.categorical)
+    def fit(self, train: DataFrame, like: "FeaturePrep | None" = None) -> "FeaturePrep":
+        """Fit on train rows; ``like`` shares the imputation state of another
+        preprocessor fitted on the same rows and columns."""
+        if like is not None and like.numeric == self.numeric and like.categorical == self.categorical:
+            self.medians, self.modes = dict(like.medians), dict(like.modes)
+        else:
+            self.medians = fit_medians(train, self.numeric)
+            self.modes = fit_modes(train, self.categorical)
         if self.kind == "onehot":
             if self.scale:
                 self.scaling = fit_scaling(train, self.numeric, self.medians)
@@ -100,7 +105,7 @@ class FeaturePrep:
             from pyspark.ml import Pipeline
             stages.append(OneHotEncoder(inputCols=idx_cols,
                                         outputCols=[f"{c}__oh" for c in self.categorical],
-                                        dropLast=True, handleInvalid="keep"))
+                                        dropLast=True))  # drops the indexer's unknown slot
             self.onehot_model = Pipeline(stages=stages).fit(self._as_strings(filled))
         else:
             self.codes = fit_code_tables(self._fill(train), self.categorical)

@@ -45,7 +45,8 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
                       accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row per group: ``by`` columns + one double column per probability.
 
-    NULL values are ignored; a group with no non-NULL value is absent.
+    NULL values are ignored; a group with no non-NULL value is absent, and
+    rows with a NULL group key drop out (pandas groupby semantics).
     """
     by = _keys(by)
     n_p = len(probs)

@@ -56,23 +56,26 @@ def _fit_order_model(name: str, onehot_train: DataFrame, ordinal_train: DataFram
     raise ValueError(name)
 
 
-def prepared_vectors(train: DataFrame, test: DataFrame, numeric, categorical, label: str):
-    """Fit both preprocessors on train; cached vectors for train and test."""
+def prepared_vectors(train: DataFrame, test: DataFrame, numeric, categorical, label: str,
+                     ordinal: bool = True):
+    """Fit the preprocessors on train (imputation state shared); cached
+    vectors for train and test.  ``ordinal=False`` skips the ordinal one."""
     oh = FeaturePrep(list(numeric), list(categorical), "onehot").fit(train)
-    od = FeaturePrep(list(numeric), list(categorical), "ordinal").fit(train)
     keep = [label]
     tr_oh = oh.transform(train).select(*keep, "features").persist()
+    te_oh = oh.transform(test).persist()
+    if not ordinal:
+        return oh, None, tr_oh, None, te_oh, None
+    od = FeaturePrep(list(numeric), list(categorical), "ordinal").fit(train, like=oh)
     tr_od = od.transform(train).select(*keep, "features").persist()
-    te = test.withColumn("__row", F.monotonically_increasing_id())
-    te_oh = oh.transform(te).persist()
-    te_od = od.transform(te).persist()
+    te_od = od.transform(test).persist()
     return oh, od, tr_oh, tr_od, te_oh, te_od
 
 
-def order_variant_metrics(flat: DataFrame, models=ORDER_MODELS) -> DataFrame:
+def order_variant_metrics(flat: DataFrame, models=ORDER_MODELS, prep=None) -> DataFrame:
     """Metric rows (variant, model, include_quantity, feature_count, MAE, MSE,
     RMSE, R2) for every model of both variants."""
-    prep = OM.prepare_model_data(flat)
+    prep = prep or OM.prepare_model_data(flat)
     rows = []
     for variant, include_q in VARIANTS.items():
         numeric, categorical, feats = OM.feature_sets(include_q)
@@ -103,10 +106,10 @@ def compare_variants(metrics: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ quantity
 
-def quantity_model_metrics(flat: DataFrame, models=QUANTITY_MODELS) -> DataFrame:
+def quantity_model_metrics(flat: DataFrame, models=QUANTITY_MODELS, prep=None):
     """Quantity target, no-quantity features; six metrics per model.  The
     rounding clip bounds come from the whole table (train + test)."""
-    prep = OM.prepare_model_data(flat)
+    prep = prep or OM.prepare_model_data(flat)
     bounds = flat.agg(F.min("Quantity").alias("lo"), F.max("Quantity").alias("hi")).first()
     lo, hi = float(bounds["lo"]), float(bounds["hi"])
     numeric, categorical, _ = OM.feature_sets(False)
@@ -164,7 +167,7 @@ def store_model_metrics(frame: DataFrame, with_blend: bool = True) -> DataFrame:
     oh = FeaturePrep(num, cat, "onehot").fit(fit_df)
     tr_oh = oh.transform(fit_df).select(label, "sales", "features").persist()
     va_oh = oh.transform(valid).persist()
-    od = FeaturePrep(num, cat, "ordinal").fit(fit_df)
+    od = FeaturePrep(num, cat, "ordinal").fit(fit_df, like=oh)
     edges = quantile_bin_edges(od._fill(fit_df), num)
 
     def binned(df, prep, cols):
@@ -215,12 +218,13 @@ def feature_importance(frame: DataFrame, top: int = 20) -> DataFrame:
     return df.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 
-def feature_weights(flat: DataFrame, top: int = 15) -> DataFrame:
+def feature_weights(flat: DataFrame, top: int = 15, prep=None) -> DataFrame:
     """Ridge weights of the no-quantity variant named from the one-hot layout,
     largest absolute values first."""
-    prep = OM.prepare_model_data(flat)
+    prep = prep or OM.prepare_model_data(flat)
     numeric, categorical, _ = OM.feature_sets(False)
-    oh, _, tr_oh, _, _, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET)
+    oh, _, tr_oh, _, _, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET,
+                                             ordinal=False)
     fit = MD.ridge_fit(tr_oh, 1.0, label=OM.TARGET)
     coef = fit.model.coefficients.toArray().tolist()
     names = oh.feature_names()
@@ -230,12 +234,13 @@ def feature_weights(flat: DataFrame, top: int = 15) -> DataFrame:
              .orderBy(F.col("abs_weight").desc(), "feature").limit(top)
 
 
-def compare_models(flat: DataFrame) -> DataFrame:
+def compare_models(flat: DataFrame, prep=None) -> DataFrame:
     """Gram-matrix ridge against Spark ML's normal-equation ridge on the same
     vectors: two metric rows and their difference."""
-    prep = OM.prepare_model_data(flat)
+    prep = prep or OM.prepare_model_data(flat)
     numeric, categorical, _ = OM.feature_sets(False)
-    _, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET)
+    _, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET,
+                                                ordinal=False)
     a = MD.gram_fit(tr_oh, "features", OM.TARGET, alpha=1.0).predict(te_oh, out="p_gram")
     b = MD.ridge_fit(tr_oh, 1.0, label=OM.TARGET).predict(a, out="p_ml")
     ma = regression_metrics(b, OM.TARGET, "p_gram", decimals=None)
@@ -246,12 +251,13 @@ def compare_models(flat: DataFrame) -> DataFrame:
     return rows.withColumn("__k", F.lit(1)).join(diff.withColumn("__k", F.lit(1)), "__k").drop("__k")
 
 
-def svr_check(flat: DataFrame) -> DataFrame:
+def svr_check(flat: DataFrame, prep=None) -> DataFrame:
     """Linear SVR on standardised features and standardised target (B
     variant) against the mean baseline, metrics in revenue units."""
-    prep = OM.prepare_model_data(flat)
+    prep = prep or OM.prepare_model_data(flat)
     numeric, categorical, _ = OM.feature_sets(False)
-    _, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET)
+    _, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET,
+                                                ordinal=False)
     s = tr_oh.agg(F.avg(OM.TARGET).alias("m"), F.stddev_pop(OM.TARGET).alias("s")).first()
     tr = tr_oh.withColumn("__z", (F.col(OM.TARGET) - F.lit(s["m"])) / F.lit(s["s"]))
     svr = MD.linear_svr_fit(tr, "features", "__z", epsilon=0.1, learning_rate=0.01, epochs=300, l2=0.001)

@@ -172,14 +172,14 @@ def split_metadata(df: DataFrame, test_start: str = TEST_START) -> DataFrame:
     return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k")
 
 
-def naive_predictions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def naive_predictions(df: DataFrame, keys: Sequence[str], prep: Prepared | None = None) -> DataFrame:
     """Test rows with actual, predicted (= expected_revenue_product) and residual."""
-    prep = prepare_model_data(df)
+    prep = prep or prepare_model_data(df)
     return prep.test.select(*keys, DATE_COLUMN, "Category",
                             F.col(TARGET).alias("actual"),
                             F.col("expected_revenue_product").alias("predicted"),
                             (F.col(TARGET) - F.col("expected_revenue_product")).alias("residual"))
 
 
-def naive_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return regression_metrics(naive_predictions(df, keys), "actual", "predicted")
+def naive_metrics(df: DataFrame, keys: Sequence[str], prep: Prepared | None = None) -> DataFrame:
+    return regression_metrics(naive_predictions(df, keys, prep), "actual", "predicted")

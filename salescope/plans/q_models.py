@@ -14,7 +14,7 @@ from salescope.operators import windows as WN
 from salescope.plans import modeling as ML
 from salescope.plans import order_model as OM
 from salescope.plans.catalog import register
-from salescope.plans.q_orders import KEY, flat
+from salescope.plans.q_orders import KEY, flat, prepared
 from salescope.plans.q_panel import feature_frame, tables
 from salescope.plans.scoring import parse_json_orders, score_orders
 from salescope.session import checkpoint_dir
@@ -36,11 +36,11 @@ def _memo(spark, sf, key, fn):
 
 
 def _variant_metrics(spark, sf):
-    return _memo(spark, sf, "variants", lambda: ML.order_variant_metrics(flat(spark, sf)))
+    return _memo(spark, sf, "variants", lambda: ML.order_variant_metrics(flat(spark, sf), prep=prepared(spark, sf)))
 
 
 def _quantity(spark, sf):
-    return _memo(spark, sf, "quantity", lambda: ML.quantity_model_metrics(flat(spark, sf)))
+    return _memo(spark, sf, "quantity", lambda: ML.quantity_model_metrics(flat(spark, sf), prep=prepared(spark, sf)))
 
 
 @register("order_variant_metrics", group="models")
@@ -80,17 +80,17 @@ def q_importance(spark, sf):
 
 @register("order_feature_weights", group="models")
 def q_weights(spark, sf):
-    return ML.feature_weights(flat(spark, sf), 15)
+    return ML.feature_weights(flat(spark, sf), 15, prep=prepared(spark, sf))
 
 
 @register("compare_models_ridge", group="models")
 def q_compare_models(spark, sf):
-    return ML.compare_models(flat(spark, sf))
+    return ML.compare_models(flat(spark, sf), prep=prepared(spark, sf))
 
 
 @register("linear_svr_check", group="models")
 def q_svr(spark, sf):
-    return ML.svr_check(flat(spark, sf))
+    return ML.svr_check(flat(spark, sf), prep=prepared(spark, sf))
 
 
 @register("final_forecast_submission", group="models")
@@ -105,7 +105,7 @@ def q_score_orders(spark, sf):
     """Fit the selected no-quantity model (Lasso), save the bundle to the
     shared checkpoint folder, load it back and score the test orders given
     as JSON text; both predictions are returned side by side."""
-    prep = OM.prepare_model_data(flat(spark, sf))
+    prep = prepared(spark, sf)
     numeric, categorical, feats = OM.feature_sets(False)
     oh = ML.FeaturePrep(numeric, categorical, "onehot").fit(prep.train)
     model = MD.lasso_fit(oh.transform(prep.train), 0.2, label=OM.TARGET)

@@ -36,6 +36,17 @@ def flat(spark: SparkSession, sf: str) -> DataFrame:
     return _FLAT[key]
 
 
+_PREP: dict = {}
+
+
+def prepared(spark: SparkSession, sf: str) -> OM.Prepared:
+    """Split + train-only lookups on the flat table, once per session and input."""
+    key = (id(spark), sf)
+    if key not in _PREP:
+        _PREP[key] = OM.prepare_model_data(flat(spark, sf))
+    return _PREP[key]
+
+
 def _sql(body: str, *extra: str) -> str:
     return with_ctes(FLAT_CTE, *extra, body=body)
 
@@ -519,14 +530,12 @@ def _features_sql(split: str) -> str:
 
 @register("aggregate_features_test", group="features", sql=_features_sql("test"))
 def q_features_test(spark, sf):
-    prep = OM.prepare_model_data(flat(spark, sf))
-    return OM.feature_output(prep.test, KEY)
+    return OM.feature_output(prepared(spark, sf).test, KEY)
 
 
 @register("aggregate_features_train", group="features", sql=_features_sql("train"))
 def q_features_train(spark, sf):
-    prep = OM.prepare_model_data(flat(spark, sf))
-    return OM.feature_output(prep.train, KEY)
+    return OM.feature_output(prepared(spark, sf).train, KEY)
 
 
 @register("global_split_metadata", group="features", sql=with_ctes(FLAT_CTE, _LOOKUP_SQL, f"""test AS (
@@ -569,7 +578,7 @@ SELECT round(avg(abs(residual)), 4) AS MAE, round(avg(residual * residual), 4) A
              WHEN sum(residual * residual) = 0 THEN 1.0 ELSE 0.0 END, 4) AS R2
 FROM pred"""))
 def q_naive_metrics(spark, sf):
-    return OM.naive_metrics(flat(spark, sf), KEY)
+    return OM.naive_metrics(flat(spark, sf), KEY, prepared(spark, sf))
 
 
 @register("residual_by_category", group="metrics", sql=_diag_sql("""
@@ -577,7 +586,7 @@ SELECT Category, round(avg(residual), 4) AS mean_residual, round(stddev_samp(res
        count(residual) AS count, round(median(residual), 4) AS median_residual
 FROM pred WHERE Category IS NOT NULL GROUP BY Category"""))
 def q_resid_category(spark, sf):
-    pred = OM.naive_predictions(flat(spark, sf), KEY)
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
     return A.residual_summary(pred, "Category", "residual")
 
 
@@ -587,7 +596,7 @@ SELECT strftime(Order_Date, '%Y-%m') AS month, round(avg(residual), 4) AS mean_r
        round(median(residual), 4) AS median_residual
 FROM pred WHERE Order_Date IS NOT NULL GROUP BY 1"""))
 def q_resid_month(spark, sf):
-    pred = OM.naive_predictions(flat(spark, sf), KEY)
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
     return A.residual_summary(pred, D.month_period("Order_Date"), "residual", name="month")
 
 
@@ -597,7 +606,7 @@ SELECT Order_ID, l_linenumber, l_partkey, l_suppkey, round(actual, 4) AS actual,
        round(max(greatest(actual, predicted)) OVER (), 4) AS axis_max
 FROM pred"""))
 def q_pred_vs_actual(spark, sf):
-    pred = OM.naive_predictions(flat(spark, sf), KEY)
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
     return CH.pred_vs_actual(pred, "actual", "predicted", KEY)
 
 
@@ -607,7 +616,7 @@ SELECT round(m.mae, 4) AS epsilon,
        round(min(actual), 4) AS band_start, round(max(actual), 4) AS band_end
 FROM pred CROSS JOIN (SELECT avg(abs(residual)) AS mae FROM pred) m GROUP BY m.mae"""))
 def q_epsilon_tube(spark, sf):
-    pred = OM.naive_predictions(flat(spark, sf), KEY)
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
     return CH.epsilon_tube(pred, "actual", "predicted")
 
 
@@ -619,7 +628,7 @@ FROM pred CROSS JOIN (SELECT least(min(actual), min(predicted)) AS lo,
                              greatest(max(actual), max(predicted)) AS hi FROM pred) b
 GROUP BY 1, 2"""))
 def q_bin2d(spark, sf):
-    pred = OM.naive_predictions(flat(spark, sf), KEY)
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
     return CH.bin2d(pred, "actual", "predicted", 40)
 
 
@@ -629,7 +638,7 @@ SELECT Order_ID, l_linenumber, l_partkey, l_suppkey, Order_Date, round(actual, 4
 FROM (SELECT *, row_number() OVER (ORDER BY Order_Date, Order_ID, l_linenumber, l_partkey, l_suppkey) AS n
       FROM pred) WHERE n <= 500"""))
 def q_prediction_line(spark, sf):
-    pred = OM.naive_predictions(flat(spark, sf), KEY)
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
     out = WN.ordered_head(pred, ["Order_Date"] + KEY, 500, "n")
     return out.select(*KEY, "Order_Date", F.round("actual", 4).alias("actual"),
                       F.round("predicted", 4).alias("predicted"), "n")

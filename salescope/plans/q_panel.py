@@ -339,9 +339,9 @@ def ff_sql(body: str, base: str = "base AS (SELECT * FROM panel)", extra: str =
 FF_COLS = ("date, store_nbr, family, sales, onpromotion, city, state, type, cluster, "
            "round(dcoilwtico, 4) AS dcoilwtico, is_holiday, holiday_count, dayofweek, month, year, "
            "dayofmonth, is_weekend, lag_16, lag_28, lag_364, "
-           "round(rolling_mean_7_shift16, 4) AS rolling_mean_7_shift16, "
-           "round(rolling_mean_28_shift16, 4) AS rolling_mean_28_shift16, "
-           "round(rolling_mean_56_shift16, 4) AS rolling_mean_56_shift16")
+           "round(rolling_mean_7_shift16, 6) AS rolling_mean_7_shift16, "
+           "round(rolling_mean_28_shift16, 6) AS rolling_mean_28_shift16, "
+           "round(rolling_mean_56_shift16, 6) AS rolling_mean_56_shift16")
 
 
 def feature_frame(spark, sf) -> DataFrame:
@@ -358,7 +358,9 @@ def _ff_out(df: DataFrame, *extra: str) -> DataFrame:
                      "cluster", F.round("dcoilwtico", 4).alias("dcoilwtico"), "is_holiday",
                      "holiday_count", "dayofweek", "month", "year", "dayofmonth", "is_weekend",
                      "lag_16", "lag_28", "lag_364",
-                     *[F.round(c, 4).alias(c) for c in ("rolling_mean_7_shift16",
+                     # a mean of at most 56 integer sales terminates within 5
+                     # decimals, so 6 decimals never meet a rounding tie
+                     *[F.round(c, 6).alias(c) for c in ("rolling_mean_7_shift16",
                                                          "rolling_mean_28_shift16",
                                                          "rolling_mean_56_shift16")])
 
