@@ -93,7 +93,7 @@ STORES_CTE = """stores AS (
   FROM region)"""
 
 OIL_CTE = """oil AS (
-  SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) / 10000.0 AS dcoilwtico
+  SELECT CAST(o_orderdate AS DATE) AS date, min(o_totalprice) / 10000.0 AS dcoilwtico
   FROM orders WHERE isodow(CAST(o_orderdate AS DATE)) <= 5
   GROUP BY 1)"""
 

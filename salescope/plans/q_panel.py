@@ -337,7 +337,7 @@ def ff_sql(body: str, base: str = "base AS (SELECT * FROM panel)", extra: str =
 
 
 FF_COLS = ("date, store_nbr, family, sales, onpromotion, city, state, type, cluster, "
-           "round(dcoilwtico, 4) AS dcoilwtico, is_holiday, holiday_count, dayofweek, month, year, "
+           "round(dcoilwtico, 6) AS dcoilwtico, is_holiday, holiday_count, dayofweek, month, year, "
            "dayofmonth, is_weekend, lag_16, lag_28, lag_364, "
            "round(rolling_mean_7_shift16, 6) AS rolling_mean_7_shift16, "
            "round(rolling_mean_28_shift16, 6) AS rolling_mean_28_shift16, "
@@ -355,7 +355,7 @@ def feature_frame(spark, sf) -> DataFrame:
 
 def _ff_out(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*extra, "date", "store_nbr", "family", "sales", "onpromotion", "city", "state", "type",
-                     "cluster", F.round("dcoilwtico", 4).alias("dcoilwtico"), "is_holiday",
+                     "cluster", F.round("dcoilwtico", 6).alias("dcoilwtico"), "is_holiday",
                      "holiday_count", "dayofweek", "month", "year", "dayofmonth", "is_weekend",
                      "lag_16", "lag_28", "lag_364",
                      # a mean of at most 56 integer sales terminates within 5
@@ -375,11 +375,11 @@ def q_feature_frame(spark, sf):
 
 @register("oil_filled_on_sales_dates", group="window", sql=with_ctes(
     PANEL_CTE, "base AS (SELECT * FROM panel)", *OIL_FILLED_CTES,
-    body="SELECT date, round(dcoilwtico, 4) AS dcoilwtico FROM oil_sd"))
+    body="SELECT date, round(dcoilwtico, 6) AS dcoilwtico FROM oil_sd"))
 def q_oil_filled(spark, sf):
     t = tables(spark, sf)
     out = S.oil_on_dates(t["train"], t["oil"])
-    return out.select("date", F.round("dcoilwtico", 4).alias("dcoilwtico"))
+    return out.select("date", F.round("dcoilwtico", 6).alias("dcoilwtico"))
 
 
 _SPLIT_CTES = ("""vb AS (SELECT max(date) - INTERVAL 15 DAY AS vs,

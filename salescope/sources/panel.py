@@ -127,7 +127,8 @@ def oil_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
     return (orders.where(F.weekday(d) < 5)
                   .groupBy(d.alias("date"))
-                  .agg((F.avg("o_totalprice") / 10000.0).alias("dcoilwtico")))
+                  # min: exact and independent of summation order (6 decimals)
+                  .agg((F.min("o_totalprice") / 10000.0).alias("dcoilwtico")))
 
 
 def holidays_table(spark: SparkSession, sf_dir: str) -> DataFrame:

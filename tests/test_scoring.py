@@ -44,4 +44,7 @@ def test_lookups_are_train_only(spark):
     b = OM.prepare_model_data(changed)
     la = OM.lookups_long(a.lookups)
     lb = OM.lookups_long(b.lookups)
-    assert la.exceptAll(lb).count() == 0 and a.defaults == b.defaults
+    assert la.exceptAll(lb).count() == 0
+    # same train rows; float sums may differ in the last bits between runs
+    assert all(abs(a.defaults[k] - b.defaults[k]) <= 1e-9 * max(1.0, abs(a.defaults[k]))
+               for k in a.defaults)
