@@ -3,22 +3,20 @@ task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a hot group (a third of the table) would land in one
-task.  Here exactness is reached in two passes whose per-task state is
-bounded:
-
-1. one aggregate per group: row count and ``percentile_approx`` at
-   ``p -/+ delta`` (a bounded-memory sketch whose rank error is at most
-   ``n / accuracy``).  The two approximate values bracket the exact order
-   statistics needed for ``p``.
-2. one pass that tags every row with (a) how many bracket lower ends lie at
-   or below it and (b) the brackets it falls into, followed by a group-by
-   with map-side combine.  That leaves a small table: bracket counts plus the
-   distinct values inside each bracket (about ``2 * delta * n`` rows).
-
-Ranks are then prefix sums over that small table; the order statistics at
-``floor(p (n-1))`` and the next rank are interpolated like pandas / DuckDB
-``quantile_cont``.  Groups with fewer than ``2 * accuracy`` rows use the
-built-in exact ``percentile`` instead (their buffer is bounded by that size).
+task.  Here every step has bounded per-task state:
+
+1. value histogram per group (group-by with map-side combine);
+2. groups with at most ``2 * accuracy`` distinct values: order statistics
+   from prefix sums over the histogram (a window over the distinct values);
+3. groups with more distinct values: a ``percentile_approx`` sketch (rank
+   error at most n / accuracy) gives brackets ``p -/+ 4 / accuracy`` around
+   each wanted order statistic; one pass counts the rows below every bracket
+   (combined map-side), another keeps only the values inside a bracket
+   (about ``8 / accuracy`` of the group).  Ranks are prefix sums over those
+   small tables.
+
+Interpolation is the pandas / DuckDB ``quantile_cont`` rule between the
+order statistics at ``floor(p (n-1))`` and the next one.
 """
 
 from __future__ import annotations
@@ -79,15 +77,15 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
         cols = {names[i]: F.col("__r").getItem(i) for i in range(n_p)}
         return res.select(*by, *[cols[nm].alias(nm) for nm in out_names])
 
-    def exact(rows: DataFrame) -> DataFrame:
-        return wide(rows.groupBy(*by).agg(F.percentile("__v", F.lit(probs)).alias("__r")))
-
     # Multi-pass, so eager (like approxQuantile): the narrow input (keys + one
     # double) is persisted for the passes and released before returning; the
-    # returned table has one row per group.  Group sizes are joined back (one
-    # row per group; AQE broadcasts that table when it is small) and split
-    # the rows between the exact path (small groups) and the sketch + bracket
-    # path (large groups).
+    # returned table has one row per group.
+    # 1. value histogram per group (combined map-side; a hot group with few
+    #    distinct values shrinks to those values);
+    # 2. groups with at most ``small_limit`` distinct values: exact order
+    #    statistics from prefix sums over their histogram (window bounded by
+    #    the distinct count);
+    # 3. the other groups: sketch brackets + two passes (``_bracket_select``).
     const_key = not by
     if const_key:
         by = ["__g"]
@@ -95,17 +93,21 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
     x = x.persist()
     held = [x]
     try:
-        sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-        sized = x.join(sizes, on=by, how="inner")
-        res_small = exact(sized.where(F.col("__n") < small_limit).drop("__n"))
-        big_rows = sized.where(F.col("__n") >= small_limit).drop("__n")
-        # the sketch merge order is not deterministic: pin one result so both
-        # bracket passes see the same bracket ends
-        st = sketch(big_rows).persist()
-        held.append(st)
-        st.count()
-        big = big_rows.join(st, on=by, how="inner")
-        res = res_small.unionByName(wide(_bracket_select(big, by, probs, held)))
+        hist = x.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")).persist()
+        held.append(hist)
+        gstat = hist.groupBy(*by).agg(F.count(F.lit(1)).alias("__nd"), F.sum("__c").alias("__n"))
+        few = gstat.where(F.col("__nd") <= small_limit).select(*by, "__n")
+        many = gstat.where(F.col("__nd") > small_limit).select(*by)
+        res = wide(_from_histogram(hist.join(few, on=by, how="inner"), by, probs))
+        if many.limit(1).count() > 0:
+            big_rows = x.join(many, on=by, how="left_semi")
+            # the sketch merge order is not deterministic: pin one result so
+            # both bracket passes see the same bracket ends
+            st = sketch(big_rows).persist()
+            held.append(st)
+            st.count()
+            big = big_rows.join(st, on=by, how="inner")
+            res = res.unionByName(wide(_bracket_select(big, by, probs, held)))
         res = res.persist()
         res.count()
     finally:
@@ -114,6 +116,28 @@ def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float]
     return res.drop("__g") if const_key else res
 
 
+def _from_histogram(h: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """h: by + __v (distinct per group) + __c (its count) + __n (group size)
+    -> by + __r (array of quantiles, linear interpolation)."""
+    w = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding,
+                                                          Window.currentRow)
+    h = h.withColumn("__ce", F.sum("__c").over(w))
+    cb, ce, v, n = F.col("__ce") - F.col("__c"), F.col("__ce"), F.col("__v"), F.col("__n")
+    aggs = []
+    for i, p in enumerate(probs):
+        k0 = F.floor(F.lit(p) * (n - 1))
+        k1 = F.least(k0 + 1, n - 1)
+        aggs.append(F.max(F.when((cb <= k0) & (k0 < ce), v)).alias(f"__a{i}"))
+        aggs.append(F.max(F.when((cb <= k1) & (k1 < ce), v)).alias(f"__b{i}"))
+    agg = h.groupBy(*by, "__n").agg(*aggs)
+    vals = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("__n") - 1)
+        a, b = F.col(f"__a{i}"), F.col(f"__b{i}")
+        vals.append(a + (b - a) * (pos - F.floor(pos)))
+    return agg.select(*by, F.array(*vals).alias("__r"))
+
+
 def _bracket_select(rows: DataFrame, by: list[str], probs: list[float], held: list) -> DataFrame:
     """rows: by + __v + __n + __lo/__hi arrays -> by + __r (index -> result).
 
