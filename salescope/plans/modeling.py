@@ -9,7 +9,6 @@ unioned into one DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

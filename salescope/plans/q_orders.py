@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from salescope.functions import dates as D
 from salescope.operators import aggregates as A
@@ -655,3 +654,30 @@ def q_text_roundtrip(spark, sf):
         "t", F.date_format("Order_Date", "MM-dd-yy"))
     return both.agg(F.count(F.lit(1)).alias("rows"),
                     F.count_if(D.parse_mdy("t") == F.col("Order_Date")).alias("same_date"))
+
+
+@register("load_clean_validate_csv", group="sources", sql=_sql("""
+SELECT count(*) AS rows, 14 AS columns, 3 AS stripped_columns,
+       CAST(0 AS BIGINT) AS missing_total,
+       count(*) FILTER (WHERE Order_Date IS NULL) AS date_parse_failures,
+       CAST(min(Order_Date) AS VARCHAR) AS date_min, CAST(max(Order_Date) AS VARCHAR) AS date_max,
+       count(*) FILTER (WHERE abs(round(Revenue, 2) - round(Quantity * Unit_Price, 2)) > 0.01)
+         AS revenue_formula_mismatch_rows,
+       round(max(abs(round(Revenue, 2) - round(Quantity * Unit_Price, 2))), 4)
+         AS revenue_formula_max_abs_diff,
+       (SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT Order_ID, Order_Date,
+               Customer_Name, City, State, Region, Country, Category, Sub_Category, Product_Name,
+               Quantity, Unit_Price, Revenue, Profit FROM flat)) AS BIGINT) FROM flat)
+         AS duplicate_rows
+FROM flat"""))
+def q_load_clean_validate(spark, sf):
+    """The order table written as the source CSV (text dates, blank-padded
+    money headers) into the shared folder, then loaded, cleaned and checked."""
+    import uuid
+
+    from salescope.session import checkpoint_dir
+    from salescope.sources.orders import load_clean_validate, write_order_csv
+    path = f"{checkpoint_dir(spark)}/orders-csv-{uuid.uuid4().hex}"
+    write_order_csv(flat(spark, sf).select(*ORDER_COLS), path)
+    _, checks = load_clean_validate(spark, path)
+    return checks.withColumn("missing_total", F.col("missing_total").cast("long"))
