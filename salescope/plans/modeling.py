@@ -195,6 +195,23 @@ def store_model_metrics(frame: DataFrame, with_blend: bool = True) -> DataFrame:
     raw = MD.boost_fit(tr_b, "bfeatures", "sales", iters=160, step=0.04, max_depth=5)
     add("HistGradientBoosting_Raw_Target",
         raw.predict(va_b, "bfeatures").withColumn("prediction", F.greatest("prediction", F.lit(0.0))))
+    # interaction variant: two product features added to the boosted model
+    inter = {"promo_x_lag28": F.col("onpromotion") * F.col("lag_28"),
+             "weekend_x_lag28": F.col("is_weekend") * F.col("lag_28")}
+    num_i = num + list(inter)
+    fit_i, valid_i = fit_df.withColumns(inter), valid.withColumns(inter)
+    od_i = FeaturePrep(num_i, cat, "ordinal").fit(fit_i)
+    edges_i = quantile_bin_edges(od_i._fill(fit_i), num_i)
+
+    def assemble_i(df):
+        x = bin_columns(od_i.transform(df), {c: edges_i[c] for c in num_i if c in edges_i})
+        ins = [f"{c}__b" if c in edges_i else c for c in num_i] + [f"{c}__code" for c in cat]
+        return VectorAssembler(inputCols=ins, outputCol="bfeatures", handleInvalid="keep").transform(x)
+
+    tr_i = assemble_i(fit_i).select(label, "bfeatures").persist()
+    hgb_i = MD.boost_fit(tr_i, "bfeatures", label, iters=160, step=0.04, max_depth=5)
+    add("HistGradientBoosting_Interactions",
+        hgb_i.predict(assemble_i(valid_i), "bfeatures").withColumn("prediction", expm1_clip("prediction")))
     if with_blend:
         blend = hgb_scored.withColumn("blend", 0.6 * F.col("prediction") + 0.4 * F.col("lag_28"))
         add("Blend_0.6HGB_0.4Lag28", blend, "blend")
@@ -242,11 +259,15 @@ def compare_models(flat: DataFrame, prep=None) -> DataFrame:
                                                 ordinal=False)
     a = MD.gram_fit(tr_oh, "features", OM.TARGET, alpha=1.0).predict(te_oh, out="p_gram")
     b = MD.ridge_fit(tr_oh, 1.0, label=OM.TARGET).predict(a, out="p_ml")
+    # ordinary least squares (pseudo-inverse of the Gram matrix) as a third row
+    b = MD.gram_fit(tr_oh, "features", OM.TARGET, alpha=0.0).predict(b, out="p_ols")
     ma = regression_metrics(b, OM.TARGET, "p_gram", decimals=None)
     mb = regression_metrics(b, OM.TARGET, "p_ml", decimals=None)
+    mo = regression_metrics(b, OM.TARGET, "p_ols", decimals=None)
     diff = b.agg(F.max(F.abs(F.col("p_gram") - F.col("p_ml"))).alias("max_abs_pred_diff"))
     rows = union_all([ma.select(F.lit("Ridge_Gram").alias("model"), *ma.columns),
-                      mb.select(F.lit("Ridge_SparkML").alias("model"), *mb.columns)])
+                      mb.select(F.lit("Ridge_SparkML").alias("model"), *mb.columns),
+                      mo.select(F.lit("OLS_Gram").alias("model"), *mo.columns)])
     return rows.withColumn("__k", F.lit(1)).join(diff.withColumn("__k", F.lit(1)), "__k").drop("__k")
 
 

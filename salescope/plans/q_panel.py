@@ -516,3 +516,22 @@ def q_split_ids(spark, sf):
     b = te.agg(F.count(F.lit(1)).alias("test_rows"), F.min("id").alias("first_test_id"))
     return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k") \
             .select("train_rows", "test_rows", "first_test_id", "last_train_id")
+
+
+@register("box_stats_store_type", group="chart", sql=with_ctes(
+    PANEL_CTE, STORES_CTE,
+    """j AS (SELECT s.type, p.sales AS v FROM panel p JOIN stores s USING (store_nbr))""",
+    """q AS (SELECT type, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+                   quantile_cont(v, 0.75) AS q3 FROM j GROUP BY type)""",
+    body="""
+SELECT q.type, round(q1, 3) AS q1, round(median, 3) AS median, round(q3, 3) AS q3,
+       round(min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)), 3) AS whisker_low,
+       round(max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)), 3) AS whisker_high,
+       count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS outliers,
+       count(*) AS count
+FROM j JOIN q ON j.type = q.type GROUP BY q.type, q1, median, q3"""))
+def q_box_store_type(spark, sf):
+    from salescope.operators import chartdata as CH
+    t = tables(spark, sf)
+    j = J.join_small(t["train"], t["stores"], "store_nbr", how="inner")
+    return CH.box_stats(j, "sales", "type")
