@@ -123,6 +123,8 @@ def _from_histogram(h: DataFrame, by: list[str], probs: list[float]) -> DataFram
                                                           Window.currentRow)
     h = h.withColumn("__ce", F.sum("__c").over(w))
     cb, ce, v, n = F.col("__ce") - F.col("__c"), F.col("__ce"), F.col("__v"), F.col("__n")
+    if len(probs) > 32:
+        return _from_histogram_many(h, by, probs)
     aggs = []
     for i, p in enumerate(probs):
         k0 = F.floor(F.lit(p) * (n - 1))
@@ -138,6 +140,38 @@ def _from_histogram(h: DataFrame, by: list[str], probs: list[float]) -> DataFram
     return agg.select(*by, F.array(*vals).alias("__r"))
 
 
+def _from_histogram_many(h: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """Many probabilities: the 2P target ranks of every group are unioned
+    with its histogram rows (positioned at their first rank); ordered by
+    position, ``last(value, ignorenulls)`` hands each target the value of the
+    histogram row covering it.  One window bounded by distinct values + 2P."""
+    ps = F.lit(probs)
+    hist = h.select(*by, "__n", (F.col("__ce") - F.col("__c")).alias("__pos"),
+                    F.lit(0).alias("__ord"), F.col("__v"),
+                    F.lit(None).cast("int").alias("__i"), F.lit(None).cast("string").alias("__t"))
+    groups = h.select(*by, "__n").distinct()
+    idx = groups.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))))
+    k0 = F.floor(F.get(ps, F.col("__i")) * (F.col("__n") - 1))
+    targets = idx.select(*by, "__n", "__i", F.explode(F.array(
+        F.struct(k0.alias("k"), F.lit("a").alias("t")),
+        F.struct(F.least(k0 + 1, F.col("__n") - 1).alias("k"), F.lit("b").alias("t")))).alias("__x"))
+    targets = targets.select(*by, "__n", F.col("__x.k").cast("long").alias("__pos"),
+                             F.lit(1).alias("__ord"), F.lit(None).cast("double").alias("__v"),
+                             "__i", F.col("__x.t").alias("__t"))
+    w = Window.partitionBy(*by).orderBy("__pos", "__ord").rowsBetween(Window.unboundedPreceding,
+                                                                       Window.currentRow)
+    both = hist.unionByName(targets.withColumn("__pos", F.col("__pos").cast(hist.schema["__pos"].dataType)))
+    filled = both.withColumn("__val", F.last("__v", ignorenulls=True).over(w)).where(F.col("__ord") == 1)
+    picked = filled.groupBy(*by, "__n", "__i").agg(
+        F.max(F.when(F.col("__t") == "a", F.col("__val"))).alias("__a"),
+        F.max(F.when(F.col("__t") == "b", F.col("__val"))).alias("__b"))
+    pos = F.get(ps, F.col("__i")) * (F.col("__n") - 1)
+    val = F.col("__a") + (F.col("__b") - F.col("__a")) * (pos - F.floor(pos))
+    per = picked.select(*by, "__i", val.alias("__val"))
+    return per.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("__i", "__val"))).alias("__r"))
+
+
 def _bracket_select(rows: DataFrame, by: list[str], probs: list[float], held: list) -> DataFrame:
     """rows: by + __v + __n + __lo/__hi arrays -> by + __r (index -> result).
 

@@ -56,3 +56,16 @@ def test_hot_group_is_exact(spark):
     got = {r["k"]: r for r in exact_percentiles(df, "v", [0.1, 0.5, 0.9], by="k", accuracy=100).collect()}
     assert np.allclose([got["hot"][f"q{i}"] for i in range(3)], np.quantile(hot, [0.1, 0.5, 0.9]))
     assert np.allclose([got["cold"][f"q{i}"] for i in range(3)], np.quantile(cold, [0.1, 0.5, 0.9]))
+
+
+def test_many_probabilities_path(spark):
+    # more than 32 probabilities use the union + window path of the histogram
+    rng = np.random.default_rng(11)
+    vals = np.round(rng.gamma(2, 50, 3000), 1)
+    df = spark.createDataFrame([("a" if i % 2 else "b", float(v)) for i, v in enumerate(vals)],
+                               "k string, v double")
+    probs = [i / 99 for i in range(100)]
+    got = {r["k"]: r for r in exact_percentiles(df, "v", probs, by="k").collect()}
+    for k, sel in (("a", np.arange(3000) % 2 == 1), ("b", np.arange(3000) % 2 == 0)):
+        res = np.array([got[k][f"q{i}"] for i in range(100)])
+        assert np.allclose(res, np.quantile(vals[sel], probs), atol=1e-9)
