@@ -130,7 +130,10 @@ def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         d, h = keep(_double(longer, h), "line-islands"), h * 2
     runs = keep(reduce(DataFrame.union, found), "line-runs")
     key = ["kind", "h", "n", "k1", "k2"]
-    first = runs.groupBy(*key).agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    # kept, so that both sides of the join below are shuffles of their own and
+    # a run that stands in very many places can be split
+    first = keep(runs.groupBy(*key).agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
+                 .where("times > 1").drop("times"), "line-firsts")
     later = runs.join(first, key).where(
         ~((F.col("row") == F.col("first.row")) & (F.col("seq") == F.col("first.seq")))).select(
         "row", "seq", (F.col("seq") + F.col("n") - 1).alias("end"), "from_line", "to_line",
