@@ -182,8 +182,9 @@ def cap_links(nodes: DataFrame, code: ProductCode, threshold: float) -> tuple[Da
         decode, f"node long, label {label}, copies long, unit array<double>, filters array<long>"), "cap-decoded")
     met = decoded.select("node", "label", F.explode("filters").alias("filter"))
     # how many vectors a direction has, and so in how many parts it is worked off
-    sizes = met.groupBy("label", "filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn(
-        "parts", F.ceil(F.col("n") / PART).cast("int")).select("label", "filter", "parts")
+    # (kept: a join of two shuffles can be split at a direction with very many)
+    sizes = keep(met.groupBy("label", "filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn(
+        "parts", F.ceil(F.col("n") / PART).cast("int")).select("label", "filter", "parts"), "cap-sizes")
     members = decoded.select("*", F.explode("filters").alias("filter")).join(sizes, ["label", "filter"])
     mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     pairs = members.withColumn("part", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))

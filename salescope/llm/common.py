@@ -94,16 +94,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     state = None
     for _ in range(max_rounds):
         both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        nxt = keep(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            low.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "cc")
+        # the minima are kept: a join of two shuffles can be split where a node
+        # has very many links, one with an aggregate of the same rows cannot
+        low = keep(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
+        large = keep(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                     .where("a <> b").distinct(), "cc-large")
+        # a large star leaves a node with few smaller neighbours: one a centre
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        nxt = keep(large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+            least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "cc")
         row = nxt.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h"),
                       F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        release(cur)
+        for old in (cur, low, large):
+            release(old)
         cur, before, state = nxt, state, tuple(row)
         if state == before or row.n == 0:
             break

@@ -50,8 +50,10 @@ def plan_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
     facts = rows.select("page_id", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("size"))
-    first = (facts.where(F.col("size") >= revisit_bytes).groupBy("digest")
-             .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1 and first_id is not null"))
+    # kept: a join of two shuffles can be split at a payload of very many pages
+    first = keep(facts.where(F.col("size") >= revisit_bytes).groupBy("digest")
+                 .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+                 .where("n > 1 and first_id is not null"), "warc-firsts")
     return rows.withColumn("digest", F.sha2("payload", 256)).join(
         first.select("digest", "first_id"), "digest", "left").select(
         "page_id", "url", "payload", "digest",
@@ -220,9 +222,9 @@ def record_facts(table: DataFrame) -> DataFrame:
     ends = table.where("last").select("page_id", "record_type", "refers_to", "header_digest",
                                       "bytes_so_far", "digest_so_far")
     ends = keep(ends, "warc-records")
-    held = (ends.where("record_type = 'response' and page_id is not null")
-            .groupBy(F.col("page_id").alias("of"), F.col("digest_so_far").alias("digest"))
-            .agg(F.max("bytes_so_far").alias("size")))
+    held = keep(ends.where("record_type = 'response' and page_id is not null")
+                .groupBy(F.col("page_id").alias("of"), F.col("digest_so_far").alias("digest"))
+                .agg(F.max("bytes_so_far").alias("size")), "warc-responses")
     joined = ends.join(held, (F.col("refers_to") == F.col("of")) & (F.col("header_digest") == F.col("digest")), "left")
     plain = F.col("record_type") == "response"
     return joined.select(
