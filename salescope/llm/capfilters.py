@@ -10,8 +10,10 @@ vectors meet if they share a direction; what meets is verified by the cosine
 in double precision.
 
 ``alpha`` follows the number of vectors so that a direction holds about
-``PER_FILTER`` unrelated vectors of a label, and the number of directions the
-chance ``MISS`` that a pair just at the threshold shares none.  A direction
+``PER_FILTER`` unrelated vectors of a label.  Directions of one code are not
+independent, so several codes are drawn, each with its own turn of the space,
+until pairs just at the threshold (drawn at random, ``TRIALS`` of them) share
+no direction in at most ``MISS`` of all cases.  A direction
 with many vectors (a group of near copies) is worked off in pairs of parts of
 ``PART`` vectors, so that no task holds more than two parts; a pair counts only
 in the first direction that it shares.
@@ -31,7 +33,11 @@ from salescope.llm.common import connected_components, keep, release, ship
 
 THRESHOLD = 0.93
 PER_FILTER = 16
-MISS = 2e-4
+MISS = 0.002
+TRIALS = 2000
+#: Directions that a pair at the threshold is expected to share in one code.
+SHARED = 4.0
+MAX_CODES = 64
 PART = 512
 SEED = 20_240_501
 
@@ -83,14 +89,13 @@ class ProductCode:
 
 
 def product_code(dim: int, vectors: int, threshold: float = THRESHOLD, per_filter: int = PER_FILTER,
-                 miss: float = MISS, seed: int = SEED) -> ProductCode:
-    """The code for ``vectors`` vectors of a label (the largest number of any)."""
+                 shared: float = SHARED, seed: int = SEED) -> ProductCode:
+    """A code for ``vectors`` vectors of a label (the largest number of any)."""
     alphas = np.linspace(0.05, 0.8, 151)
     single, both = _cap_shares(max(dim, 4), threshold, alphas)
     wanted = np.clip(per_filter / max(vectors, per_filter), 1e-9, 0.25)
     k = int(np.argmin(np.abs(np.log(np.maximum(single, 1e-30)) - np.log(wanted))))
-    # directions are nearly independent: the number shared is about Poisson
-    directions = max(16, int(np.ceil(-np.log(miss) / max(both[k], 1e-12))))
+    directions = max(16, int(np.ceil(shared / max(both[k], 1e-12))))
     blocks = 1 if dim < 8 else 2 if directions <= 1 << 20 else 3 if directions <= 1 << 30 else 4
     words = int(np.ceil(directions ** (1 / blocks)))
     rng = np.random.default_rng(seed)
@@ -104,6 +109,43 @@ def product_code(dim: int, vectors: int, threshold: float = THRESHOLD, per_filte
     return ProductCode(float(alphas[k]), turn, cuts, books)
 
 
+@dataclass
+class CodeFamily:
+    """Independent codes; their directions are numbered one after another."""
+    codes: list[ProductCode]
+
+    def decode(self, x: np.ndarray) -> list[np.ndarray]:
+        """The directions whose cap holds each row of ``x``, ascending."""
+        found, first = [[] for _ in x], 0
+        for code in self.codes:
+            for mine, f in zip(found, code.decode(x)):
+                mine.append(f + first)
+            first += int(np.prod([len(b) for b in code.books]))
+        return [np.sort(np.concatenate(f)) for f in found]
+
+
+def code_family(dim: int, vectors: int, threshold: float = THRESHOLD, miss: float = MISS,
+                trials: int = TRIALS, seed: int = SEED) -> CodeFamily:
+    """Codes until at most ``miss`` of ``trials`` random pairs at the threshold
+    share no direction."""
+    rng = np.random.default_rng(seed - 1)
+    x, side = rng.standard_normal((2, trials, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    size = np.linalg.norm(side, axis=1, keepdims=True)
+    # vectors of one component have no other pair at the threshold than equal ones
+    y = threshold * x + np.sqrt(1 - threshold ** 2) * side / size if dim > 1 else x.copy()
+    family, apart = CodeFamily([]), np.ones(trials, bool)
+    while apart.sum() > miss * trials:
+        if len(family.codes) == MAX_CODES:
+            raise RuntimeError(f"{MAX_CODES} codes leave {apart.mean():.3f} of the pairs apart")
+        code = product_code(dim, vectors, threshold, seed=seed + len(family.codes))
+        family.codes.append(code)
+        at = np.flatnonzero(apart)
+        apart[at] = [not len(np.intersect1d(f, g)) for f, g in zip(code.decode(x[at]), code.decode(y[at]))]
+    return family
+
+
 def _unit(v) -> np.ndarray | None:
     """The vector scaled to length 1 in doubles, or None if it links with nothing."""
     if v is None or not len(v):
@@ -129,41 +171,50 @@ def usable_vectors(rows: DataFrame) -> DataFrame:
     return same.withColumn("dim", F.size("embedding")).withColumn("node", F.monotonically_increasing_id())
 
 
-def _links_in(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float) -> Iterator[tuple]:
-    """(node a, node b positions, ...) of one direction: per node the copies it
-    links with and the links' smallest node, pairs counted only in the first
-    direction they share."""
-    a = left
-    b = left if right is None else right
-    x, y = np.stack(a["unit"].to_list()), np.stack(b["unit"].to_list())
-    linked = x @ y.T >= threshold
-    if right is None:
+def _links_in(a: pd.DataFrame, b: pd.DataFrame, same: bool, threshold: float) -> pd.DataFrame:
+    """Links of one direction between the vectors ``a`` and ``b`` (``same``:
+    they are the same part): of each linked node the copies it links with and
+    the smallest node that it reaches here.  A pair counts only in the first
+    direction that its vectors share."""
+    nothing = pd.DataFrame({"node": [], "n": [], "to": []}).astype("int64")
+    linked = np.stack(a["unit"].to_list()) @ np.stack(b["unit"].to_list()).T >= threshold
+    if same:
         np.fill_diagonal(linked, False)
-    if not linked.any():
-        return
-    # directions before this one, of the nodes that link with any
+    # directions before this one, of the vectors that link with any
     rows, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    if not len(rows):
+        return nothing
     here = int(a["filter"].iloc[0])
-    mine = [f[f < here] for f in (np.asarray(a["filters"].iloc[i]) for i in rows)]
-    theirs = [f[f < here] for f in (np.asarray(b["filters"].iloc[j]) for j in cols)]
+    before = lambda part, at: [f[f < here] for f in (np.asarray(part["filters"].iloc[i]) for i in at)]
+    mine, theirs = before(a, rows), before(b, cols)
     known, where = np.unique(np.concatenate([*mine, *theirs]), return_inverse=True)
     if len(known):
-        split = int(sum(map(len, mine)))
-        has, have = np.zeros((len(rows), len(known)), np.float32), np.zeros((len(cols), len(known)), np.float32)
-        has[np.repeat(np.arange(len(rows)), [len(m) for m in mine]), where[:split]] = 1
-        have[np.repeat(np.arange(len(cols)), [len(m) for m in theirs]), where[split:]] = 1
-        linked[np.ix_(rows, cols)] &= has @ have.T == 0
-    for this, other, hit in ((a, b, linked), *([(b, a, linked.T)] if right is not None else [])):
-        weight = other["copies"].to_numpy(np.int64)
-        nodes = other["node"].to_numpy(np.int64)
-        top = np.iinfo(np.int64).max
-        n = hit.astype(np.int64) @ weight
-        low = np.where(hit, nodes[None, :], top).min(axis=1)
-        some = n > 0
-        yield this["node"].to_numpy(np.int64)[some], n[some], low[some], hit[some], nodes
-
-
-def cap_links(nodes: DataFrame, code: ProductCode, threshold: float) -> tuple[DataFrame, DataFrame]:
+        def incidence(lists: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(lists), len(known)), np.float32)
+            out[np.repeat(np.arange(len(lists)), [len(x) for x in lists]), at] = 1
+            return out
+
+        split = sum(map(len, mine))
+        linked[np.ix_(rows, cols)] &= incidence(mine, where[:split]) @ incidence(theirs, where[split:]).T == 0
+    if not linked.any():
+        return nothing
+    left, right = a["node"].to_numpy(np.int64), b["node"].to_numpy(np.int64)
+    low_l, low_r, top = left.copy(), right.copy(), np.iinfo(np.int64).max
+    while True:  # the smallest node spreads along the links
+        new_l = np.minimum(low_l, np.where(linked, low_r[None, :], top).min(axis=1))
+        new_r = new_l if same else np.minimum(low_r, np.where(linked, new_l[:, None], top).min(axis=0))
+        if (new_l == low_l).all() and (new_r == low_r).all():
+            break
+        low_l, low_r = new_l, new_r
+    out = [pd.DataFrame({"node": left, "n": linked.astype(np.int64) @ b["copies"].to_numpy(np.int64), "to": low_l})]
+    if not same:
+        out.append(pd.DataFrame({"node": right, "n": linked.T.astype(np.int64) @ a["copies"].to_numpy(np.int64),
+                                 "to": low_r}))
+    out = pd.concat(out)
+    return out[out["n"] > 0]
+
+
+def cap_links(nodes: DataFrame, code: CodeFamily, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Of kept ``usable_vectors`` of one dimension: ``(node, linked)``, copies
     linked with, and links ``(a, b)`` that join what is linked."""
     sent = nodes.sparkSession.sparkContext.broadcast(code)
@@ -175,7 +226,7 @@ def cap_links(nodes: DataFrame, code: ProductCode, threshold: float) -> tuple[Da
                 units = np.stack([_unit(v) for v in part["embedding"]])
                 yield pd.DataFrame({"node": part["node"].to_numpy(), "label": part["label"].to_numpy(),
                                     "copies": part["copies"].to_numpy(), "unit": list(units),
-                                    "filters": [np.sort(f) for f in sent.value.decode(units)]})
+                                    "filters": sent.value.decode(units)})
 
     label = nodes.schema["label"].dataType.simpleString()
     decoded = keep(nodes.select("node", "label", "copies", "embedding").mapInPandas(
@@ -193,38 +244,17 @@ def cap_links(nodes: DataFrame, code: ProductCode, threshold: float) -> tuple[Da
     def links(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         _, _, lo, hi = key
         if lo == hi:
-            found = _links_in(group, None, threshold)
-        else:
-            first = group["part"].to_numpy() == lo
-            found = _links_in(group[first], group[~first], threshold) if first.any() and not first.all() else ()
-        node, n, to = [], [], []
-        for own, count, low, hit, others in found:
-            node.append(own)
-            n.append(count)
-            to.append(_smallest_reached(own, hit, others) if lo == hi else low)
-        if not node:
+            return _links_in(group, group, True, threshold)
+        first = group["part"].to_numpy() == lo
+        if first.all() or not first.any():
             return pd.DataFrame({"node": [], "n": [], "to": []}).astype("int64")
-        return pd.DataFrame({"node": np.concatenate(node), "n": np.concatenate(n), "to": np.concatenate(to)})
+        return _links_in(group[first], group[~first], False, threshold)
 
     found = keep(pairs.groupBy("label", "filter", "lo", "hi").applyInPandas(links, "node long, n long, to long"),
                  "cap-links")
     release(decoded)
-    if_two_parts = found.select(F.col("node").alias("a"), F.col("to").alias("b")).where("a <> b").distinct()
-    return found.groupBy("node").agg(F.sum("n").alias("linked")), if_two_parts
-
-
-def _smallest_reached(own: np.ndarray, hit: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """The smallest node that each of ``own`` reaches within the direction."""
-    place = {x: i for i, x in enumerate(others.tolist())}
-    at = np.array([place[x] for x in own.tolist()])
-    label = others.copy()
-    while True:
-        low = np.where(hit, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        new = label.copy()
-        new[at] = np.minimum(label[at], low)
-        if (new == label).all():
-            return label[at]
-        label = new
+    edges = found.select(F.col("node").alias("a"), F.col("to").alias("b")).where("a <> b").distinct()
+    return found.groupBy("node").agg(F.sum("n").alias("linked")), edges
 
 
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -248,7 +278,7 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     for dim in sorted(dims):
         some = nodes.where(F.col("dim") == dim)
         largest = some.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        n, e = cap_links(some, product_code(dim, largest, threshold), threshold)
+        n, e = cap_links(some, code_family(dim, largest, threshold), threshold)
         linked, edges = (n, e) if linked is None else (linked.union(n), edges.union(e))
     if linked is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias(

@@ -35,7 +35,7 @@ def odd_documents(long_text: str):
     ]
 
 
-LONG = "\n".join(" ".join(f"w{(i * 7 + j) % 997}" for j in range(12)) for i in range(2500))
+LONG = "\n".join(" ".join(f"w{(i * 7 + j) % 997}" for j in range(12)) + f" line{i}" for i in range(2500))
 
 
 def duck(sf_dir):
