@@ -13,7 +13,7 @@ from salescope.llm.common import ship
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPACE = 32
 #: Characters handled at a time; longer texts are folded piece by piece.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def char_table(digits: bool) -> np.ndarray:

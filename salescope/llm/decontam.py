@@ -32,7 +32,7 @@ EDIT_RATE = 0.05
 #: Bound of what is sent to a task at once: characters of benchmark items.
 BLOCK_CHARS = 4_000_000
 #: Characters of text searched at once.
-BATCH = 1 << 20
+BATCH = 1 << 18
 SIEVE_BITS = 22
 GAP = np.uint32(0)  # between texts; no item holds it
 

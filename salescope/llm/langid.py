@@ -84,8 +84,8 @@ class LanguageModels:
                 spaced = bool(history[-1] == SPACE) if len(codes) or goes_on else True
             hashes = gram_hashes(line, pad + 1)
             sums = np.zeros((len(codes) + 1, len(self.languages)))
-            for a in range(0, len(at), 1 << 18):
-                sums[a + 1:a + 1 + (1 << 18)] = self.gram_logs(hashes, at[a:a + (1 << 18)])
+            for a in range(0, len(at), 1 << 16):
+                sums[a + 1:a + 1 + (1 << 16)] = self.gram_logs(hashes, at[a:a + (1 << 16)])
             sums = np.cumsum(sums, axis=0, out=sums)
             ends = np.cumsum(lengths)
             bits[idx] -= (sums[ends] - sums[ends - lengths]) / np.log(2)

@@ -41,9 +41,9 @@ HOT_WORDS = 65_534
 RARE, EDGE = 0, 65_535  # other words; the start (as context) and end (as symbol) of a text
 ADD = 0.1
 #: Different entries that a task gathers before it hands them on.
-FLUSH = 400_000
+FLUSH = 200_000
 #: Tokens handled at a time.
-BATCH = 1 << 20
+BATCH = 1 << 18
 BITS = np.uint64(16)
 
 
