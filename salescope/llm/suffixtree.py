@@ -41,7 +41,7 @@ HOT_WORDS = 65_534
 RARE, EDGE = 0, 65_535  # other words; the start (as context) and end (as symbol) of a text
 ADD = 0.1
 #: Different entries that a task gathers before it hands them on.
-FLUSH = 200_000
+FLUSH, FLUSH_GRAMS = 200_000, 2_000_000
 #: Tokens handled at a time.
 BATCH = 1 << 18
 BITS = np.uint64(16)
@@ -148,6 +148,21 @@ def gram_counts(ids: DataFrame, depth: int, shorter: np.ndarray) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         low = np.uint64((1 << 16 * depth) - 1)
+        gathered: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys = np.concatenate([k for k, _ in gathered])
+            order = np.argsort(keys)
+            keys, n = keys[order], np.concatenate([n for _, n in gathered])[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            return keys[first], np.add.reduceat(n, first)
+
+        def hand_on() -> pd.DataFrame:
+            keys, n = merged()
+            gathered.clear()
+            return pd.DataFrame({"gram": keys.view(np.int64), "n": n})
+
         for b in batches:
             for texts in _batches(list(b["ids"])):
                 line, at, _ = symbol_line(texts)
@@ -156,9 +171,18 @@ def gram_counts(ids: DataFrame, depth: int, shorter: np.ndarray) -> DataFrame:
                     keys |= line[at - d].astype(np.uint64) << BITS * np.uint64(d)
                 keys = keys[find(sent.value, keys >> BITS)[1]]
                 keys = keys[find(sent.value, keys & low)[1]]
-                keys, n = np.unique(keys, return_counts=True)
-                if len(keys):
-                    yield pd.DataFrame({"gram": keys.view(np.int64), "n": n})
+                if not len(keys):
+                    continue
+                gathered.append(np.unique(keys, return_counts=True))
+                size += len(gathered[-1][0])
+                if size >= FLUSH_GRAMS:
+                    gathered[:] = [merged()]
+                    size = len(gathered[0][0])
+                    if size >= FLUSH_GRAMS // 2:
+                        yield hand_on()
+                        size = 0
+        if gathered:
+            yield hand_on()
 
     return (ids.select("ids").mapInPandas(count, "gram long, n long")
             .groupBy("gram").agg(F.sum("n").alias("n")))
