@@ -22,11 +22,6 @@ def promo_bucket(c: str | Column) -> Column:
              .when(x <= 20, PROMO_LABELS[2]).otherwise(PROMO_LABELS[3]))
 
 
-def promo_bucket_order(c: str | Column) -> Column:
-    x = _c(c)
-    return F.when(x <= 0, 0).when(x <= 5, 1).when(x <= 20, 2).otherwise(3)
-
-
 def log1p_target(c: str | Column) -> Column:
     return F.log1p(_c(c))
 
@@ -63,16 +58,19 @@ def interaction(a: str | Column, b: str | Column) -> Column:
     return _c(a) * _c(b)
 
 
-# Text of the two order-revenue variants.
+# Names of the two order-revenue variants and what sets them apart.
+VARIANT_WITH_QUANTITY = "Model_A_With_Quantity"
+VARIANT_NO_QUANTITY = "Model_B_No_Quantity"
 VARIANT_NOTES = {
-    "A_with_quantity": "Uses Quantity; leaks the target formula, upper bound only",
-    "B_without_quantity": "No Quantity; realistic forecast before the order is known",
+    VARIANT_WITH_QUANTITY: "Uses Quantity; leaks the target formula, upper bound only",
+    VARIANT_NO_QUANTITY: "No Quantity; realistic forecast before the order is known",
 }
 
 
 def variant_note(c: str | Column) -> Column:
+    """The note of a variant; an unknown variant is an error, NULL stays NULL."""
     x = _c(c)
-    expr = None
+    expr = F.when(x.isNull(), F.lit(None).cast("string"))
     for k, v in VARIANT_NOTES.items():
-        expr = F.when(x == k, v) if expr is None else expr.when(x == k, v)
-    return expr
+        expr = expr.when(x == k, v)
+    return expr.otherwise(F.raise_error(F.concat(F.lit("unknown model variant: "), x)).cast("string"))

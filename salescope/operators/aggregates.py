@@ -13,8 +13,12 @@ Conventions
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +28,10 @@ from salescope.operators.joins import sized_broadcast
 from salescope.operators.quantiles import exact_percentiles
 
 
+# workers need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -64,18 +72,24 @@ def top_sum(df: DataFrame, group_col: str, value: str, n: int = 15, name: str |
 
 def value_counts(df: DataFrame, col: str, name: str = "count", share: str = "share") -> DataFrame:
     """Counts per value with the share of all non-NULL rows (percent)."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(name))
-    total = F.sum(name).over(Window.partitionBy())  # over the small counted table
-    return counts.withColumn(share, F.round(F.col(name) * 100.0 / total, 4))
+    rows = df.where(F.col(col).isNotNull())
+    counts = rows.groupBy(col).agg(F.count(F.lit(1)).alias(name))
+    total = rows.agg(F.count(F.lit(1)).alias("__total"))  # one row
+    return (counts.crossJoin(F.broadcast(total))
+            .withColumn(share, F.round(F.col(name) * 100.0 / F.col("__total"), 4)).drop("__total"))
 
 
 def cardinality(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct non-NULL values per column, sorted descending (long form)."""
-    cols = list(cols or df.columns)
-    wide = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {stack}) as (column, distinct_values)") \
-               .orderBy(F.col("distinct_values").desc(), "column")
+    # a narrow scan and a two-step group-by per column: nothing is expanded,
+    # and a hot value is one partial row a task
+    out = None
+    for c in cols or df.columns:
+        one = (df.select(c).where(F.col(c).isNotNull()).distinct()
+               .agg(F.count(F.lit(1)).alias("distinct_values"))
+               .select(F.lit(c).alias("column"), "distinct_values"))
+        out = one if out is None else out.union(one)
+    return out.orderBy(F.col("distinct_values").desc(), "column")
 
 
 # ---------------------------------------------------------------- calendar bins
@@ -217,19 +231,33 @@ def describe_numeric(df: DataFrame, cols: Sequence[str],
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], decimals: int = 4) -> DataFrame:
-    """Pearson correlation for every ordered pair, long form (row, col, corr):
-    one pass of ``corr`` aggregates over the whole table (NULL pairs skipped
-    per pair)."""
+    """Pearson correlation for every ordered pair, long form (row, col, corr);
+    NULL pairs are skipped per pair.  Two passes: the means, then the sums of
+    centred products of all pairs, one set of small matrices a task."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                    for a, b in pairs])
-    parts = []
-    for a, b in pairs:
-        parts.append(f"'{a}', '{b}', `{a}|{b}`")
-        if a != b:
-            parts.append(f"'{b}', '{a}', `{a}|{b}`")
-    long = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (row, col, corr)")
+    k = len(cols)
+    x = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    centre = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(k)]).first()
+    centre = np.array([0.0 if v is None else v for v in centre])
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((4, k, k))
+        for b in batches:
+            v = b.to_numpy(np.float64) - centre
+            there = ~np.isnan(v)
+            v, m = np.where(there, v, 0.0), there.astype(np.float64)
+            # per pair: rows with both, sum of the first, its square, the product
+            total += np.stack([m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v])
+        yield pd.DataFrame({"g": [total.ravel()]})
+
+    parts = x.mapInPandas(sums, "g array<double>").rdd.map(lambda r: np.asarray(r[0]))
+    n, s, q, p = parts.treeReduce(lambda a, b: a + b).reshape(4, k, k)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = q - s * s / n
+        corr = (p - s * s.T / n) / np.sqrt(spread * spread.T)
+    rows = [(a, b, float(corr[i, j]) if np.isfinite(corr[i, j]) else None)
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    long = df.sparkSession.createDataFrame(rows, "row string, col string, corr double")
     # + 0.0 turns a rounded -0.0 into 0.0
     return long.withColumn("corr", F.round("corr", decimals) + F.lit(0.0))
 
@@ -276,11 +304,3 @@ def promo_summary(df: DataFrame, bucket: Column, value: str = "sales") -> DataFr
     med = exact_percentiles(keyed, value, [0.5], by="promo_bucket", names=["median_sales"])
     return agg.join(med.select("promo_bucket", F.round("median_sales", 4).alias("median_sales")),
                     "promo_bucket", "left")
-
-
-def join_on_constant(a: DataFrame, b: DataFrame) -> DataFrame:
-    return _one_row_join(a, b)
-
-
-def broadcast_scalar_row(row_df: DataFrame) -> DataFrame:
-    return sized_broadcast(row_df, 1)

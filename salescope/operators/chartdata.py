@@ -108,31 +108,31 @@ def bin2d(df: DataFrame, x: str, y: str, bins: int = 40) -> DataFrame:
         F.count(F.lit(1)).alias("count"))
 
 
-def kde(df: DataFrame, value: Column, points: int = 300, fine_bins: int = 4096,
-        lo_q: float = 0.005, hi_q: float = 0.995) -> DataFrame:
+def kde(df: DataFrame, value: Column, points: int = 300, lo_q: float = 0.005, hi_q: float = 0.995) -> DataFrame:
     """Gaussian KDE on ``points`` grid points between two quantiles.
 
-    Bandwidth by Scott's rule (n^-1/5 x sample std).  The data are first
-    reduced to ``fine_bins`` weighted bin centres (one aggregate), so the
-    grid evaluation costs bins x points whatever the row count.
-    """
+    Bandwidth by Scott's rule (n^-1/5 x sample std).  Rows are first counted by
+    value (combined map-side); the kernel is summed over the different values,
+    weighted by their counts, so the densities are those of all rows."""
     x = df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
-    s = _scalars(x, lo=F.min("v"), hi=F.max("v"), n=F.count(F.lit(1)), sd=F.stddev_samp("v"))
+    s = _scalars(x, n=F.count(F.lit(1)), sd=F.stddev_samp("v"))
     q = exact_percentiles(x, "v", [lo_q, hi_q], names=["a", "b"]).first()
-    lo, hi, n, sd = s["lo"], s["hi"], s["n"], s["sd"]
-    h = sd * n ** (-0.2)
-    width = (hi - lo) / fine_bins if hi > lo else 1.0
-    b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(fine_bins - 1))
-    centres = x.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("w")) \
-               .withColumn("c", F.lit(lo) + (F.col("b") + 0.5) * F.lit(width))
+    h = s["sd"] * s["n"] ** (-0.2)
     step = (q["b"] - q["a"]) / (points - 1)
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-    contrib = centres.select("w", "c", F.posexplode(grid).alias("i", "__g")) \
-        .withColumn("x", F.lit(q["a"]) + F.col("i") * F.lit(step))
-    z = (F.col("x") - F.col("c")) / F.lit(h)
-    norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    return contrib.groupBy("i", "x").agg((F.sum(F.col("w") * F.exp(-0.5 * z * z)) * F.lit(norm))
-                                         .alias("density")).orderBy("i")
+    values = x.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+    # each task sums its values' kernels on the whole grid; grids are then added
+    contrib = values.select("w", "v", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    at = F.lit(q["a"]) + F.col("i") * F.lit(step)
+    z = (at - F.col("v")) / F.lit(h)
+    norm = 1.0 / (s["n"] * h * math.sqrt(2 * math.pi))
+    out = contrib.groupBy("i").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("k"))
+    return out.select("i", at.alias("x"), (F.col("k") * F.lit(norm)).alias("density")).orderBy("i")
+
+
+def plotting_positions(points: int) -> list[float]:
+    """Filliben's plotting positions."""
+    m = points
+    return [1 - 0.5 ** (1 / m)] + [(i - 0.3175) / (m + 0.365) for i in range(2, m)] + [0.5 ** (1 / m)]
 
 
 def qq_points(df: DataFrame, value: Column, points: int = 500) -> DataFrame:
@@ -141,9 +141,8 @@ def qq_points(df: DataFrame, value: Column, points: int = 500) -> DataFrame:
     Probabilities follow Filliben's plotting positions on ``points`` levels;
     the normal quantiles for those levels are computed on the driver (they
     depend on ``points`` only)."""
-    m = points
-    probs = [1 - 0.5 ** (1 / m)] + [(i - 0.3175) / (m + 0.365) for i in range(2, m)] + [0.5 ** (1 / m)]
-    names = [f"q{i}" for i in range(m)]
+    probs = plotting_positions(points)
+    names = [f"q{i}" for i in range(points)]
     x = df.select(value.cast("double").alias("v"))
     row = exact_percentiles(x, "v", probs, names=names)
     nd = NormalDist()

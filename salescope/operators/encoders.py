@@ -14,13 +14,14 @@ JVM-side.
 
 from __future__ import annotations
 
+import datetime
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from salescope.operators.joins import sized_broadcast
 from salescope.operators.quantiles import exact_percentiles
@@ -39,35 +40,63 @@ def fit_medians(train: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     return {c: got.get(c) for c in cols}
 
 
+def null_columns(cols: Sequence[str], frames: Sequence[DataFrame]) -> list[str]:
+    """Columns that hold a NULL in one of the frames (one aggregate each)."""
+    found = set()
+    for df in frames:
+        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+        found |= {c for c in cols if row[c]}
+    return [c for c in cols if c in found]
+
+
 def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict[str, object]:
-    """Most frequent non-NULL value per column; ties -> smallest value."""
-    out = {}
+    """Most frequent non-NULL value per column; ties -> smallest value.  One
+    job: a two-step group-by per column, one row of each."""
+    if not cols:
+        return {}
+    out = None
     for c in cols:
-        row = (train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-                    .orderBy(F.col("n").desc(), F.col(c).asc()).first())
-        out[c] = row[c] if row is not None else None
-    return out
+        counts = train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        # the smallest (-n, value) is the most frequent, then the smallest
+        best = counts.agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(c).alias("v"))).alias("b"))
+        row = best.select(F.lit(c).alias("column"), F.to_json(F.struct(F.col("b.v").alias("v"))).alias("v"))
+        out = row if out is None else out.union(row)
+    types = dict(train.dtypes)
+    got = {r["column"]: json.loads(r["v"] or "{}").get("v") for r in out.collect()}
+    return {c: datetime.date.fromisoformat(v) if types[c] == "date" and v else v for c, v in got.items()}
 
 
 def fit_scaling(train: DataFrame, cols: Sequence[str], medians: dict[str, float]):
     """mean and population std of each (median-imputed) column."""
     aggs = []
     for c in cols:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c)))
+        x = F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c)).cast("double"))
         aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_pop(x).alias(f"s_{c}")]
     row = train.agg(*aggs).first()
     return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in cols}
 
 
+def code_table(values: DataFrame, col: str) -> DataFrame:
+    """``col`` and ``{col}__code``: 0..k-1 in the column's own order, of
+    distinct values.  Ranges of values are sorted side by side; a value's code
+    is its place in its range plus the sizes of the ranges before (one number
+    a range reaches the driver)."""
+    code = f"{col}__code"
+    placed = (values.repartitionByRange(col).sortWithinPartitions(col)
+              .withColumn("__at", F.monotonically_increasing_id()).persist())
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted((r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, first = 0, F.lit(0).cast("long")
+    for p, n in sizes:
+        first = F.when(part == p, F.lit(before).cast("long")).otherwise(first)
+        before += n
+    return placed.select(col, (first + place).cast("int").alias(code))
+
+
 def fit_code_tables(train: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
     """Per column: distinct train values -> code 0..k-1 in the column's own
     sort order (numbers sort as numbers)."""
-    tables = {}
-    for c in cols:
-        distinct = train.where(F.col(c).isNotNull()).select(c).distinct()
-        # window over the distinct-value table only (bounded by cardinality)
-        tables[c] = distinct.withColumn(f"{c}__code", F.dense_rank().over(Window.orderBy(c)) - 1)
-    return tables
+    return {c: code_table(train.where(F.col(c).isNotNull()).select(c).distinct(), c) for c in cols}
 
 
 @dataclass
@@ -85,13 +114,17 @@ class FeaturePrep:
     onehot_model: object = None
     output: str = "features"
 
-    def fit(self, train: DataFrame, like: "FeaturePrep | None" = None) -> "FeaturePrep":
+    def fit(self, train: DataFrame, like: "FeaturePrep | None" = None,
+            others: Sequence[DataFrame] | None = None) -> "FeaturePrep":
         """Fit on train rows; ``like`` shares the imputation state of another
-        preprocessor fitted on the same rows and columns."""
+        preprocessor fitted on the same rows and columns.  ``others``: all
+        other tables that will be transformed; medians are then only taken of
+        columns in which one of the tables has a NULL."""
         if like is not None and like.numeric == self.numeric and like.categorical == self.categorical:
             self.medians, self.modes = dict(like.medians), dict(like.modes)
         else:
-            self.medians = fit_medians(train, self.numeric)
+            needed = self.numeric if others is None else null_columns(self.numeric, [train, *others])
+            self.medians = fit_medians(train, needed)
             self.modes = fit_modes(train, self.categorical)
         if self.kind == "onehot":
             if self.scale:
@@ -113,7 +146,7 @@ class FeaturePrep:
 
     # -- transform helpers
     def _fill(self, df: DataFrame) -> DataFrame:
-        cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c)))
+        cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c)).cast("double"))
                 for c in self.numeric}
         for c in self.categorical:
             if self.modes.get(c) is not None:

@@ -12,22 +12,31 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) that is broadcast on our decision.  Lookup tables keyed
-# by category-like columns or by calendar day stay far below it.
+# Largest side that is broadcast on our decision: rows, and bytes of its rows.
+# Lookup tables keyed by category-like columns or by calendar day stay far
+# below both.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` is within both bounds, else ``df``.
 
-    The count is one cheap job over a small table; it is the size proof the
-    broadcast needs.
+    The planner's estimate of the bytes proves it without a job where it knows
+    them (a kept table); otherwise the rows and the bytes of their values are
+    counted, up to the bound on rows.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    known = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if known <= max_bytes // 8:
+        return F.broadcast(df)
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    width = sum(texts, F.lit(16 * (len(df.columns) + 1)))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return F.broadcast(df) if row["n"] <= max_rows and (row["b"] or 0) <= max_bytes else df
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
@@ -69,11 +78,3 @@ def restrict_to_top(df: DataFrame, top: DataFrame, keys: str | Iterable[str]) ->
     """Keep rows whose key is in a top-k table (left semi join)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.join(sized_broadcast(top.select(*keys)), on=keys, how="left_semi")
-
-
-def key_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k] == right[k]
-        cond = c if cond is None else cond & c
-    return cond

@@ -2,18 +2,19 @@
 
 Built-in Spark ML where it exists (linear with L2 / L1, Poisson GLM, tree,
 forest, gradient-boosted trees).  Three estimators Spark lacks are written
-on Spark primitives:
+on Spark primitives, over feature rows kept as numpy blocks (a binary cell of
+at most ``BLOCK_ROWS`` rows, so a task holds one block at a time):
 
-* ``gram_fit``: normal equations.  Each partition reduces its rows to the
-  (p+2) x (p+2) Gram block of [1, x, y] (numpy on Arrow batches inside
-  ``mapInPandas``); blocks are summed with a tree reduction and the small
-  p x p system is solved on the driver (pseudo-inverse).
+* ``gram_system``: normal equations.  Each task reduces its blocks to the
+  Gram matrix of [1, x, y]; matrices are summed with a tree reduction, and the
+  small system is solved on the driver for any penalty.  The width is checked
+  against ``MAX_GRAM_WIDTH`` first.
 * ``linear_svr_fit``: full-batch sub-gradient descent on the
-  epsilon-insensitive loss; one distributed aggregation per epoch, weights
-  shipped with the task closure (p floats).
-* ``mlp_fit``: one ReLU hidden layer; each epoch every partition runs
-  mini-batch SGD from the current weights and the results are averaged
-  (parameter averaging).
+  epsilon-insensitive loss; one distributed sum per epoch, weights shipped
+  with the task closure (p floats).
+* ``mlp_fit``: one ReLU hidden layer; rows are dealt to mini-batches by a hash
+  of their content, and each step sums the gradient of one mini-batch over all
+  tasks, so the model does not depend on how the rows are partitioned.
 
 Predictions are always a column of the scored DataFrame (no positional zip,
 nothing collected).
@@ -21,9 +22,13 @@ nothing collected).
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor,
                                    GeneralizedLinearRegression, LinearRegression,
@@ -33,6 +38,13 @@ from pyspark.sql import functions as F
 
 from salescope.operators.quantiles import exact_percentiles
 
+# workers need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BLOCK_ROWS = 4096
+#: Widest Gram matrix that is summed and solved (8 bytes a cell, a copy a task).
+MAX_GRAM_WIDTH = 4096
+
 
 # ------------------------------------------------------------------ helpers
 
@@ -44,21 +56,45 @@ def dot(features: str, coef, intercept: float) -> Column:
                        lambda acc, x: acc + x) + F.lit(float(intercept))
 
 
-def _batches_to_matrix(pdf, features: str, label: str | None):
-    x = np.stack(pdf[features].to_numpy()) if len(pdf) else np.zeros((0, 0))
-    y = pdf[label].to_numpy(dtype=np.float64) if label else None
-    return x.astype(np.float64), y
-
-
 def _tree_sum(df: DataFrame, col: str) -> np.ndarray:
-    """Sum of equally shaped float arrays (one per partition) by tree reduction."""
+    """Sum of equally shaped float arrays (one per task) by tree reduction."""
     rdd = df.select(col).rdd.map(lambda r: np.asarray(r[0], dtype=np.float64))
     return rdd.treeReduce(lambda a, b: a + b, depth=2)
 
 
-def _arrays(df: DataFrame, features: str, label: str) -> DataFrame:
-    return df.select(vector_to_array(F.col(features)).alias("__x"),
-                     F.col(label).cast("double").alias("__y"))
+def vector_width(df: DataFrame, features: str) -> int:
+    return int(df.select(F.size(vector_to_array(F.col(features))).alias("p")).first()["p"])
+
+
+def blocks(df: DataFrame, features: str, label: str, batches: int = 1) -> DataFrame:
+    """Rows as numpy blocks: ``batch, x, y`` (float64 bytes).  The batch of a
+    row is a hash of its content."""
+    data = df.select(vector_to_array(F.col(features)).alias("x"), F.col(label).cast("double").alias("y"))
+    data = data.withColumn("batch", F.pmod(F.xxhash64("x", "y"), F.lit(batches)).cast("int"))
+
+    def pack(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for batch, part in pdf.groupby("batch"):
+                for at in range(0, len(part), BLOCK_ROWS):
+                    some = part.iloc[at:at + BLOCK_ROWS]
+                    yield pd.DataFrame({"batch": [batch], "x": [np.stack(some["x"]).astype("<f8").tobytes()],
+                                        "y": [some["y"].to_numpy("<f8").tobytes()]})
+
+    return data.mapInPandas(pack, "batch int, x binary, y binary")
+
+
+def _sum_over(data: DataFrame, of_block, size: int) -> np.ndarray:
+    """Sum of ``of_block(x, y)`` (a flat array of ``size``) over all blocks."""
+
+    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size)
+        for pdf in it:
+            for xb, yb in zip(pdf["x"], pdf["y"]):
+                y = np.frombuffer(yb, "<f8")
+                total += of_block(np.frombuffer(xb, "<f8").reshape(len(y), -1), y)
+        yield pd.DataFrame({"g": [total]})
+
+    return _tree_sum(data.select("x", "y").mapInPandas(partial, "g array<double>"), "g")
 
 
 # ------------------------------------------------------------------ Gram solver
@@ -72,36 +108,38 @@ class LinearFit:
         return df.withColumn(out, dot(features, self.coef, self.intercept))
 
 
+@dataclass
+class GramSystem:
+    """Sums over all rows of the products of [1, x, y]."""
+    gram: np.ndarray
+
+    def solve(self, alpha: float = 0.0, fit_intercept: bool = True) -> LinearFit:
+        """argmin |y - Xw - b|^2 + alpha |w|^2 (intercept not penalised)."""
+        first = 0 if fit_intercept else 1
+        xtx, xty = self.gram[first:-1, first:-1], self.gram[first:-1, -1]
+        penalty = alpha * np.eye(len(xtx))
+        if fit_intercept:
+            penalty[0, 0] = 0.0
+        w = np.linalg.pinv(xtx + penalty) @ xty
+        return LinearFit(w[1:], float(w[0])) if fit_intercept else LinearFit(w, 0.0)
+
+
+def gram_system(df: DataFrame, features: str = "features", label: str = "label") -> GramSystem:
+    """One pass; ``solve`` then serves every penalty."""
+    k = vector_width(df, features) + 2
+    if k > MAX_GRAM_WIDTH:
+        raise ValueError(f"{k} columns: the Gram matrix is only built up to {MAX_GRAM_WIDTH}")
+
+    def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        z = np.column_stack([np.ones(len(x)), x, y])
+        return (z.T @ z).ravel()
+
+    return GramSystem(_sum_over(blocks(df, features, label), products, k * k).reshape(k, k))
+
+
 def gram_fit(df: DataFrame, features: str = "features", label: str = "label",
              alpha: float = 0.0, fit_intercept: bool = True) -> LinearFit:
-    """argmin |y - Xw - b|^2 + alpha |w|^2 (intercept not penalised)."""
-    data = _arrays(df, features, label)
-
-    def partial(it):
-        import pandas as pd
-        acc = None
-        for pdf in it:
-            if not len(pdf):
-                continue
-            x, y = _batches_to_matrix(pdf, "__x", "__y")
-            z = np.column_stack([np.ones(len(x)), x, y])
-            g = z.T @ z
-            acc = g if acc is None else acc + g
-        if acc is not None:
-            yield pd.DataFrame({"g": [acc.ravel()]})
-
-    parts = data.mapInPandas(partial, "g array<double>")
-    g = _tree_sum(parts, "g")
-    k = int(round(np.sqrt(g.size)))
-    g = g.reshape(k, k)
-    xtx, xty = g[:-1, :-1], g[:-1, -1]
-    if not fit_intercept:
-        xtx, xty = xtx[1:, 1:], xty[1:]
-    penalty = alpha * np.eye(xtx.shape[0])
-    if fit_intercept:
-        penalty[0, 0] = 0.0
-    w = np.linalg.pinv(xtx + penalty) @ xty
-    return LinearFit(w[1:], float(w[0])) if fit_intercept else LinearFit(w, 0.0)
+    return gram_system(df, features, label).solve(alpha, fit_intercept)
 
 
 # ------------------------------------------------------------------ linear SVR
@@ -112,47 +150,26 @@ class SVRFit(LinearFit):
 
 
 def linear_svr_fit(df: DataFrame, features: str = "features", label: str = "label",
-                   epsilon: float = 0.1, learning_rate: float = 0.01, epochs: int = 300,
+                   epsilon: float = 0.1, learning_rate: float = 0.03, epochs: int = 500,
                    l2: float = 0.001, seed: int = 42) -> SVRFit:
     """Full-batch sub-gradient descent: grad_w = l2 w + X_out' sign / n,
     grad_b = mean sign over rows outside the tube."""
-    data = _arrays(df, features, label).persist()
-    n = data.count()
-    p = len(data.first()["__x"])
-    w = np.random.default_rng(seed).normal(0, 0.01, size=p)
-    b = 0.0
-    history = []
+    p = vector_width(df, features)
+    data = blocks(df, features, label).persist()
+    n = _sum_over(data, lambda x, y: np.array([len(y)]), 1)[0]
+    w, b, history = np.random.default_rng(seed).normal(0, 0.01, size=p), 0.0, []
     for _ in range(epochs):
-        w_now, b_now = w.copy(), b
-
-        def partial(it, w_now=w_now, b_now=b_now):
-            import pandas as pd
-            gw = np.zeros(p)
-            s = 0.0
-            m = 0.0
-            loss = 0.0
-            for pdf in it:
-                if not len(pdf):
-                    continue
-                x, y = _batches_to_matrix(pdf, "__x", "__y")
-                err = x @ w_now + b_now - y
-                out = np.abs(err) > epsilon
-                sg = np.sign(err[out])
-                gw += x[out].T @ sg
-                s += sg.sum()
-                m += out.sum()
-                loss += np.maximum(0.0, np.abs(err) - epsilon).sum()
-            yield pd.DataFrame({"g": [np.concatenate([gw, [s, m, loss]])]})
-
-        tot = _tree_sum(data.mapInPandas(partial, "g array<double>"), "g")
-        gw_sum, s, m, loss = tot[:p], tot[p], tot[p + 1], tot[p + 2]
-        grad_w = l2 * w
-        grad_b = 0.0
-        if m > 0:
-            grad_w = grad_w + gw_sum / n
-            grad_b = s / m
-        w = w - learning_rate * grad_w
-        b = b - learning_rate * grad_b
+
+        def outside(x: np.ndarray, y: np.ndarray, w=w, b=b) -> np.ndarray:
+            err = x @ w + b - y
+            beyond = np.maximum(np.abs(err) - epsilon, 0.0)
+            sign = np.sign(err) * (beyond > 0)
+            return np.concatenate([x.T @ sign, [sign.sum(), np.count_nonzero(sign), beyond.sum()]])
+
+        total = _sum_over(data, outside, p + 3)
+        signs, rows, loss = total[p:]
+        w = w - learning_rate * (l2 * w + total[:p] / n)
+        b = b - learning_rate * (signs / rows if rows else 0.0)
         history.append(float(loss / n + 0.5 * l2 * float(w @ w)))
     data.unpersist()
     return SVRFit(w, float(b), history)
@@ -162,87 +179,68 @@ def linear_svr_fit(df: DataFrame, features: str = "features", label: str = "labe
 
 @dataclass
 class MLPFit:
-    w1: np.ndarray
-    b1: np.ndarray
-    w2: np.ndarray
-    b2: np.ndarray
+    """One hidden layer: ``theta`` holds the (p + 1) x hidden weights of the
+    layer (last row: offsets) and the hidden + 1 weights of the output."""
+    theta: np.ndarray
+    p: int
+    hidden: int
     loss_history: list
 
     def predict(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
-        w1, b1, w2, b2 = self.w1, self.b1, self.w2, self.b2
+        theta, p, hidden = self.theta, self.p, self.hidden
+
+        def score(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype="float64")
+            return pd.Series(_network(theta, p, hidden, np.stack(x.to_numpy()))[1])
+
+        score.__annotations__ = {"x": pd.Series, "return": pd.Series}
+        return df.withColumn(out, F.pandas_udf(score, "double")(vector_to_array(F.col(features))))
 
-        @F.pandas_udf("double")
-        def score(x):
-            import pandas as pd
-            m = np.stack(x.to_numpy()).astype(np.float32) if len(x) else np.zeros((0, w1.shape[0]))
-            a = np.maximum(0.0, m @ w1 + b1)
-            return pd.Series((a @ w2 + b2).ravel().astype(np.float64))
 
-        return df.withColumn(out, score(vector_to_array(F.col(features))))
+def _network(theta: np.ndarray, p: int, hidden: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden activations and outputs for rows ``x``."""
+    layer, top = theta[:(p + 1) * hidden].reshape(p + 1, hidden), theta[(p + 1) * hidden:]
+    active = np.clip(x @ layer[:-1] + layer[-1], 0.0, None)
+    return active, active @ top[:-1] + top[-1]
+
+
+def _loss_gradient(theta: np.ndarray, p: int, hidden: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Summed over rows: the gradient of half the squared error, the squared
+    error, the number of rows."""
+    active, guess = _network(theta, p, hidden, x)
+    miss = guess - y
+    top = theta[(p + 1) * hidden:-1]
+    back = np.outer(miss, top) * (active > 0)
+    return np.concatenate([(x.T @ back).ravel(), back.sum(axis=0), active.T @ miss,
+                           [miss.sum(), miss @ miss, len(y)]])
 
 
 def mlp_fit(df: DataFrame, features: str = "features", label: str = "label", hidden: int = 16,
             lr: float = 0.01, epochs: int = 20, batch_size: int = 1024, seed: int = 42) -> MLPFit:
-    data = _arrays(df, features, label).persist()
-    p = len(data.first()["__x"])
+    """Mini-batch gradient descent on the squared error.  Mini-batches hold
+    about ``batch_size`` rows, one distributed sum each; for large tables the
+    caller sets a size that keeps the number of steps in hand."""
+    p = vector_width(df, features)
+    n = df.count()
+    steps = max(1, -(-n // batch_size))
+    data = blocks(df, features, label, steps).persist()
     rng = np.random.default_rng(seed)
-    w1 = rng.normal(0, np.sqrt(2.0 / p), size=(p, hidden)).astype(np.float32)
-    b1 = np.zeros((1, hidden), dtype=np.float32)
-    w2 = rng.normal(0, np.sqrt(2.0 / hidden), size=(hidden, 1)).astype(np.float32)
-    b2 = np.zeros((1, 1), dtype=np.float32)
+    theta = np.concatenate([
+        np.vstack([rng.standard_normal((p, hidden)) * np.sqrt(2.0 / p), np.zeros((1, hidden))]).ravel(),
+        rng.standard_normal(hidden) * np.sqrt(2.0 / hidden), [0.0]])
     history = []
-    for epoch in range(epochs):
-        state = (w1, b1, w2, b2)
-
-        def local_sgd(it, state=state, epoch=epoch):
-            import pandas as pd
-            from pyspark import TaskContext
-            W1, B1, W2, B2 = (a.copy() for a in state)
-            pid = TaskContext.get().partitionId() if TaskContext.get() else 0
-            r = np.random.default_rng([seed, epoch, pid])
-            xs, ys = [], []
-            for pdf in it:
-                if len(pdf):
-                    x, y = _batches_to_matrix(pdf, "__x", "__y")
-                    xs.append(x.astype(np.float32))
-                    ys.append(y.astype(np.float32).reshape(-1, 1))
-            if not xs:
-                return
-            X, Y = np.vstack(xs), np.vstack(ys)
-            idx = r.permutation(len(X))
-            X, Y = X[idx], Y[idx]
-            loss = 0.0
-            for s in range(0, len(X), batch_size):
-                xb, yb = X[s:s + batch_size], Y[s:s + batch_size]
-                z1 = xb @ W1 + B1
-                a1 = np.maximum(0.0, z1)
-                pred = a1 @ W2 + B2
-                d2 = pred - yb
-                loss += float((d2 ** 2).sum())
-                gW2 = a1.T @ d2 / len(xb)
-                gB2 = d2.mean(axis=0, keepdims=True)
-                d1 = (d2 @ W2.T) * (z1 > 0)
-                gW1 = xb.T @ d1 / len(xb)
-                gB1 = d1.mean(axis=0, keepdims=True)
-                W1 -= lr * gW1
-                B1 -= lr * gB1
-                W2 -= lr * gW2
-                B2 -= lr * gB2
-            flat = np.concatenate([W1.ravel(), B1.ravel(), W2.ravel(), B2.ravel()]).astype(np.float64)
-            n = float(len(X))
-            yield pd.DataFrame({"g": [np.concatenate([flat * n, [n, loss]])]})
-
-        tot = _tree_sum(data.mapInPandas(local_sgd, "g array<double>"), "g")
-        n, loss = tot[-2], tot[-1]
-        avg = (tot[:-2] / n).astype(np.float32)
-        k = p * hidden
-        w1 = avg[:k].reshape(p, hidden)
-        b1 = avg[k:k + hidden].reshape(1, hidden)
-        w2 = avg[k + hidden:k + 2 * hidden].reshape(hidden, 1)
-        b2 = avg[-1:].reshape(1, 1)
-        history.append(loss / n)
+    for _ in range(epochs):
+        squared = rows = 0.0
+        for batch in rng.permutation(steps):
+            total = _sum_over(data.where(F.col("batch") == int(batch)),
+                              lambda x, y, now=theta: _loss_gradient(now, p, hidden, x, y), len(theta) + 2)
+            if total[-1]:
+                theta = theta - lr * total[:-2] / total[-1]
+            squared, rows = squared + total[-2], rows + total[-1]
+        history.append(float(squared / max(rows, 1)))
     data.unpersist()
-    return MLPFit(w1, b1, w2, b2, history)
+    return MLPFit(theta, p, hidden, history)
 
 
 # ------------------------------------------------------------------ Spark ML
@@ -283,19 +281,31 @@ def ridge_fit(df: DataFrame, alpha: float, features: str = "features", label: st
     return SparkFit(lr.fit(df))
 
 
-def lasso_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label") -> SparkFit:
-    """1/(2n) |y - Xw - b|^2 + alpha |w|_1."""
+def _converged(iterations: int, max_iter: int, what: str) -> None:
+    if iterations >= max_iter:
+        raise RuntimeError(f"{what} did not converge in {max_iter} iterations")
+
+
+def lasso_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label",
+              max_iter: int = 20_000, tol: float = 1e-8) -> SparkFit:
+    """1/(2n) |y - Xw - b|^2 + alpha |w|_1, run until it converges (Spark's
+    scaling by the label's deviation cancels out for this penalty)."""
     lr = LinearRegression(featuresCol=features, labelCol=label, regParam=alpha, elasticNetParam=1.0,
-                          standardization=False, maxIter=200, tol=1e-8)
-    return SparkFit(lr.fit(df))
+                          standardization=False, maxIter=max_iter, tol=tol)
+    model = lr.fit(df)
+    _converged(model.summary.totalIterations, max_iter, "lasso")
+    return SparkFit(model)
 
 
-def poisson_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label") -> SparkFit:
-    """mean half Poisson deviance + alpha/2 |w|^2, log link."""
+def poisson_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label",
+                max_iter: int = 1000, tol: float = 1e-6) -> SparkFit:
+    """mean half Poisson deviance + alpha/2 |w|^2, log link, run until it converges."""
     mean_y = df.agg(F.avg(label)).first()[0]
     glm = GeneralizedLinearRegression(featuresCol=features, labelCol=label, family="poisson",
-                                      link="log", regParam=alpha / mean_y, maxIter=50)
-    return SparkFit(glm.fit(df))
+                                      link="log", regParam=alpha / mean_y, maxIter=max_iter, tol=tol)
+    model = glm.fit(df)
+    _converged(model.summary.numIterations, max_iter, "Poisson regression")
+    return SparkFit(model)
 
 
 def tree_fit(df: DataFrame, features="features", label="label", max_depth=16, min_leaf=40,
@@ -324,11 +334,20 @@ class BoostFit:
         return m.transform(df).withColumn(out, F.col("__gbt") + F.lit(self.init)).drop("__gbt")
 
 
+#: Rows of a partition below which boosting rounds cost more in jobs than in work.
+ROWS_PER_PARTITION = 50_000
+
+
 def boost_fit(df: DataFrame, features="features", label="label", iters=100, step=0.08,
               max_depth=5, max_bins=256, seed=42) -> BoostFit:
     """Gradient-boosted trees started at mean(y) (fits y - mean)."""
-    init = df.agg(F.avg(label)).first()[0]
+    row = df.agg(F.avg(label).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    init = row["m"]
     gbt = GBTRegressor(featuresCol=features, labelCol="__resid", maxIter=iters, stepSize=step,
                        maxDepth=max_depth, maxBins=max_bins, seed=seed)
-    model = gbt.fit(df.withColumn("__resid", F.col(label) - F.lit(init)))
+    # every round is several jobs over all partitions: no more of them than the rows need
+    parts = max(1, min(df.rdd.getNumPartitions(), -(-row["n"] // ROWS_PER_PARTITION)))
+    data = df.select(F.col(features), (F.col(label) - F.lit(init)).alias("__resid")).coalesce(parts).persist()
+    model = gbt.fit(data)
+    data.unpersist()
     return BoostFit(model, init)

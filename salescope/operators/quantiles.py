@@ -3,17 +3,23 @@ task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a hot group (a third of the table) would land in one
-task.  Here every step has bounded per-task state:
-
-1. value histogram per group (group-by with map-side combine);
-2. groups with at most ``2 * accuracy`` distinct values: order statistics
-   from prefix sums over the histogram (a window over the distinct values);
-3. groups with more distinct values: a ``percentile_approx`` sketch (rank
-   error at most n / accuracy) gives brackets ``p -/+ 4 / accuracy`` around
-   each wanted order statistic; one pass counts the rows below every bracket
-   (combined map-side), another keeps only the values inside a bracket
-   (about ``8 / accuracy`` of the group).  Ranks are prefix sums over those
-   small tables.
+task.  Here every size takes the same path with bounded per-task state:
+
+1. one pass: a ``percentile_approx`` sketch per group (rank error at most
+   n / accuracy) gives a bracket ``p -/+ delta`` around each wanted order
+   statistic, with its ends as values; ``delta`` is the smallest of a ladder
+   (each eight times the one before) that covers both that error and a
+   neighbouring rank of the group;
+2. one pass: rows are counted by (group, number of lower ends at or below the
+   value, the value itself if it lies inside a bracket), combined map-side, so
+   that only the values inside a bracket (about ``2 delta`` of a group each)
+   leave a task one by one;
+3. over that small table: the rank of a bracket's first value is the number of
+   rows below it, the ranks inside follow from prefix sums.
+
+A rank that falls outside its bracket (which the sketch's error bound rules
+out, but nothing relies on that) is found again with the next wider bracket, up
+to the whole group.
 
 Interpolation is the pandas / DuckDB ``quantile_cont`` rule between the
 order statistics at ``floor(p (n-1))`` and the next one.
@@ -27,8 +33,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-DEFAULT_ACCURACY = 100_000
+DEFAULT_ACCURACY = 10_000
+#: Half width of the first bracket, in rank errors of the sketch.
+MARGIN = 4.0
+#: Lower ends looked through at once when a value's place among them is sought.
+STRIDE = 16
 
 
 def _keys(by) -> list[str]:
@@ -40,197 +49,124 @@ def _keys(by) -> list[str]:
 def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float],
                       by: str | Sequence[str] | None = None,
                       names: Sequence[str] | None = None,
-                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                      accuracy: int = DEFAULT_ACCURACY, margin: float = MARGIN) -> DataFrame:
     """One row per group: ``by`` columns + one double column per probability.
 
     NULL values are ignored; a group with no non-NULL value is absent, and
-    rows with a NULL group key drop out (pandas groupby semantics).
+    rows with a NULL group key drop out (pandas groupby semantics).  Several
+    passes, so eager (like ``approxQuantile``): keys and one double are
+    persisted meanwhile; the returned table has one row per group.
     """
     by = _keys(by)
-    n_p = len(probs)
-    out_names = list(names) if names is not None else [f"q{i}" for i in range(n_p)]
-    # bracket lower ends must ascend: work on the sorted probabilities
-    order = sorted(range(n_p), key=lambda i: float(probs[i]))
-    probs = [float(probs[i]) for i in order]
-    names = [out_names[i] for i in order]
+    out_names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
+    # bracket ends must ascend: work on the sorted probabilities
+    order = sorted(range(len(probs)), key=lambda i: float(probs[i]))
+    levels = [float(probs[i]) for i in order]
+    place = {out_names[i]: k for k, i in enumerate(order)}
     v = F.col(value) if isinstance(value, str) else value
+    keys = by or ["__g"]
     x = df.select(*by, v.cast("double").alias("__v")).where(F.col("__v").isNotNull())
-
-    small_limit = 2 * accuracy
-    delta = 4.0 / accuracy
-    lo_ps = [max(0.0, p - delta) for p in probs]
-    hi_ps = [min(1.0, p + delta) for p in probs]
-
-    def sketch(rows: DataFrame) -> DataFrame:
-        st = rows.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.percentile_approx("__v", lo_ps + hi_ps, accuracy).alias("__a"),
-            F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-        lo = F.array(*[F.col("__min") if lo_ps[i] == 0.0 else F.get(F.col("__a"), i)
-                       for i in range(n_p)])
-        hi = F.array(*[F.col("__max") if hi_ps[i] == 1.0 else F.get(F.col("__a"), n_p + i)
-                       for i in range(n_p)])
-        return st.select(*by, "__n", lo.alias("__lo"), hi.alias("__hi"))
-
-    def wide(res: DataFrame) -> DataFrame:
-        # __r is an array (exact path) or an int-keyed map (bracket path)
-        cols = {names[i]: F.col("__r").getItem(i) for i in range(n_p)}
-        return res.select(*by, *[cols[nm].alias(nm) for nm in out_names])
-
-    # Multi-pass, so eager (like approxQuantile): the narrow input (keys + one
-    # double) is persisted for the passes and released before returning; the
-    # returned table has one row per group.
-    # 1. value histogram per group (combined map-side; a hot group with few
-    #    distinct values shrinks to those values);
-    # 2. groups with at most ``small_limit`` distinct values: exact order
-    #    statistics from prefix sums over their histogram (window bounded by
-    #    the distinct count);
-    # 3. the other groups: sketch brackets + two passes (``_bracket_select``).
-    const_key = not by
-    if const_key:
-        by = ["__g"]
-        x = x.withColumn("__g", F.lit(0))
-    x = x.persist()
-    held = [x]
+    x = (x if by else x.withColumn("__g", F.lit(0))).dropna(subset=keys).persist()
+    held, parts, wider = [x], [], 0
+    rows = x
     try:
-        hist = x.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")).persist()
-        held.append(hist)
-        gstat = hist.groupBy(*by).agg(F.count(F.lit(1)).alias("__nd"), F.sum("__c").alias("__n"))
-        few = gstat.where(F.col("__nd") <= small_limit).select(*by, "__n")
-        many = gstat.where(F.col("__nd") > small_limit).select(*by)
-        res = wide(_from_histogram(hist.join(few, on=by, how="inner"), by, probs))
-        if many.limit(1).count() > 0:
-            big_rows = x.join(many, on=by, how="left_semi")
-            # the sketch merge order is not deterministic: pin one result so
-            # both bracket passes see the same bracket ends
-            st = sketch(big_rows).persist()
-            held.append(st)
-            st.count()
-            big = big_rows.join(st, on=by, how="inner")
-            res = res.unionByName(wide(_bracket_select(big, by, probs, held)))
-        res = res.persist()
+        while True:
+            # the sketch's merge order is not deterministic: one result is pinned
+            ends = _bracket_ends(rows, keys, levels, margin / accuracy, accuracy, wider).persist()
+            held.append(ends)
+            found = _select(rows, ends, keys, levels, held).persist()
+            held.append(found)
+            parts.append(found.where("__ok"))
+            missed = found.where("not __ok").select(*keys)
+            if missed.isEmpty():
+                break
+            wider += 1
+            rows = x.join(missed, keys, "left_semi")
+        res = parts[0]
+        for p in parts[1:]:
+            res = res.unionByName(p)
+        res = res.select(*by, *[F.get("__r", F.lit(place[n])).alias(n) for n in out_names]).persist()
         res.count()
     finally:
         for h in held:
             h.unpersist()
-    return res.drop("__g") if const_key else res
-
-
-def _from_histogram(h: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
-    """h: by + __v (distinct per group) + __c (its count) + __n (group size)
-    -> by + __r (array of quantiles, linear interpolation)."""
-    w = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow)
-    h = h.withColumn("__ce", F.sum("__c").over(w))
-    cb, ce, v, n = F.col("__ce") - F.col("__c"), F.col("__ce"), F.col("__v"), F.col("__n")
-    if len(probs) > 32:
-        return _from_histogram_many(h, by, probs)
-    aggs = []
-    for i, p in enumerate(probs):
-        k0 = F.floor(F.lit(p) * (n - 1))
-        k1 = F.least(k0 + 1, n - 1)
-        aggs.append(F.max(F.when((cb <= k0) & (k0 < ce), v)).alias(f"__a{i}"))
-        aggs.append(F.max(F.when((cb <= k1) & (k1 < ce), v)).alias(f"__b{i}"))
-    agg = h.groupBy(*by, "__n").agg(*aggs)
-    vals = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("__n") - 1)
-        a, b = F.col(f"__a{i}"), F.col(f"__b{i}")
-        vals.append(a + (b - a) * (pos - F.floor(pos)))
-    return agg.select(*by, F.array(*vals).alias("__r"))
-
-
-def _from_histogram_many(h: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
-    """Many probabilities: the 2P target ranks of every group are unioned
-    with its histogram rows (positioned at their first rank); ordered by
-    position, ``last(value, ignorenulls)`` hands each target the value of the
-    histogram row covering it.  One window bounded by distinct values + 2P."""
-    ps = F.lit(probs)
-    hist = h.select(*by, "__n", (F.col("__ce") - F.col("__c")).alias("__pos"),
-                    F.lit(0).alias("__ord"), F.col("__v"),
-                    F.lit(None).cast("int").alias("__i"), F.lit(None).cast("string").alias("__t"))
-    groups = h.select(*by, "__n").distinct()
-    idx = groups.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))))
-    k0 = F.floor(F.get(ps, F.col("__i")) * (F.col("__n") - 1))
-    targets = idx.select(*by, "__n", "__i", F.explode(F.array(
-        F.struct(k0.alias("k"), F.lit("a").alias("t")),
-        F.struct(F.least(k0 + 1, F.col("__n") - 1).alias("k"), F.lit("b").alias("t")))).alias("__x"))
-    targets = targets.select(*by, "__n", F.col("__x.k").cast("long").alias("__pos"),
-                             F.lit(1).alias("__ord"), F.lit(None).cast("double").alias("__v"),
-                             "__i", F.col("__x.t").alias("__t"))
-    w = Window.partitionBy(*by).orderBy("__pos", "__ord").rowsBetween(Window.unboundedPreceding,
-                                                                       Window.currentRow)
-    both = hist.unionByName(targets.withColumn("__pos", F.col("__pos").cast(hist.schema["__pos"].dataType)))
-    filled = both.withColumn("__val", F.last("__v", ignorenulls=True).over(w)).where(F.col("__ord") == 1)
-    picked = filled.groupBy(*by, "__n", "__i").agg(
-        F.max(F.when(F.col("__t") == "a", F.col("__val"))).alias("__a"),
-        F.max(F.when(F.col("__t") == "b", F.col("__val"))).alias("__b"))
-    pos = F.get(ps, F.col("__i")) * (F.col("__n") - 1)
-    val = F.col("__a") + (F.col("__b") - F.col("__a")) * (pos - F.floor(pos))
-    per = picked.select(*by, "__i", val.alias("__val"))
-    return per.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("__i", "__val"))).alias("__r"))
-
-
-def _bracket_select(rows: DataFrame, by: list[str], probs: list[float], held: list) -> DataFrame:
-    """rows: by + __v + __n + __lo/__hi arrays -> by + __r (index -> result).
-
-    Two passes over ``rows``: (1) per group, how many rows have exactly c
-    bracket lower ends at or below them (combined map-side; c = 0..P), (2)
-    the rows inside some bracket, exploded per bracket and counted per
-    distinct value.  Both results are small and persisted (``held``)."""
-    from functools import reduce
-    n_p = len(probs)
-    v = F.col("__v")
-    gkeys = by + ["__n"]
-    lo = [F.get(F.col("__lo"), i) for i in range(n_p)]
-    hi = [F.get(F.col("__hi"), i) for i in range(n_p)]
-    if n_p <= 32:
-        # plain CASE arithmetic keeps the per-row work inside generated code
-        c = reduce(lambda a, b: a + b, [F.when(l <= v, 1).otherwise(0) for l in lo])
-        inside_any = reduce(lambda a, b: a | b, [(lo[i] <= v) & (v <= hi[i]) for i in range(n_p)])
-        idx = F.array(*[F.when((lo[i] <= v) & (v <= hi[i]), F.lit(i)) for i in range(n_p)])
-    else:
-        c = F.size(F.filter(F.col("__lo"), lambda l: l <= v))
-        seq = F.sequence(F.lit(0), F.lit(n_p - 1))
-        inside = lambda i: (F.get(F.col("__lo"), i) <= v) & (v <= F.get(F.col("__hi"), i))
-        inside_any = F.exists(seq, inside)
-        idx = F.filter(seq, inside)
-    counts = rows.groupBy(*gkeys, c.alias("__i")).agg(F.count(F.lit(1)).alias("__c")).persist()
-    cands = (rows.where(inside_any)
-                 .select(*gkeys, v.alias("__val"), F.explode(idx).alias("__i"))
-                 .where(F.col("__i").isNotNull())
-                 .groupBy(*gkeys, "__i", "__val").agg(F.count(F.lit(1)).alias("__c")).persist())
-    held += [counts, cands]
-
-    spine = (counts.select(*gkeys).distinct()
-                   .withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(n_p)))))
-    cum = (spine.join(counts, on=gkeys + ["__i"], how="left")
-                .withColumn("__c", F.coalesce("__c", F.lit(0)))
-                .withColumn("__below", F.sum("__c").over(
-                    Window.partitionBy(*gkeys).orderBy("__i")
-                          .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                .select(*gkeys, "__i", "__below"))
-
-    w = Window.partitionBy(*gkeys, "__i").orderBy("__val")
-    ranked = cands.withColumn("__before", F.coalesce(
-        F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = ranked.join(cum, on=gkeys + ["__i"], how="inner")
-    p = F.get(F.lit(probs), F.col("__i"))
-    pos = p * (F.col("__n") - 1)
+    return res
+
+
+def _bracket_ends(rows: DataFrame, by: list[str], levels: list[float], delta: float, accuracy: int,
+                  wider: int) -> DataFrame:
+    """by + __n + ascending arrays __lo, __hi: the ends of each level's bracket,
+    ``wider`` steps wider than planned."""
+    n = len(levels)
+    ladder = [delta]
+    while ladder[-1] < 1.0:
+        ladder.append(ladder[-1] * 8)
+    wanted = [min(1.0, max(0.0, p + side * d)) for d in ladder for side in (-1, 1) for p in levels]
+    different = sorted(set(wanted))
+    sketch = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+        F.percentile_approx("__v", different, accuracy).alias("__a"))
+    index = {p: i for i, p in enumerate(different)}
+    # the sketch may miss the group's ends, its minimum and maximum do not
+    value = lambda p: F.col("__min") if p == 0.0 else F.col("__max") if p == 1.0 else F.get(
+        "__a", F.lit(index[p]))
+    step = F.least(sum((F.when(F.lit(d) < 2 / F.col("__n"), 1).otherwise(0) for d in ladder), F.lit(wider)),
+                   F.lit(len(ladder) - 1))
+
+    def ends(side: int):
+        at = lambda j: F.array(*[value(p) for p in wanted[(2 * j + side) * n:(2 * j + side + 1) * n]])
+        out = at(len(ladder) - 1)
+        for j in range(len(ladder) - 2, -1, -1):
+            out = F.when(step == j, at(j)).otherwise(out)
+        return F.array_sort(out)
+
+    return sketch.select(*by, "__n", ends(0).alias("__lo"), ends(1).alias("__hi"))
+
+
+def _place_among(ends: Column, v: Column, n: int) -> Column:
+    """Number of the ``n`` ascending ``ends`` that are at or below ``v``: first
+    by every ``STRIDE``-th end, then among the ``STRIDE`` that follow."""
+    coarse = F.filter(F.array(*[F.get(ends, F.lit(i)) for i in range(0, n, STRIDE)]), lambda e: e <= v)
+    first = F.greatest(F.size(coarse) - 1, F.lit(0)) * STRIDE
+    return first + F.size(F.filter(F.slice(ends, first + 1, F.lit(STRIDE)), lambda e: e <= v))
+
+
+def _select(rows: DataFrame, ends: DataFrame, by: list[str], levels: list[float], held: list) -> DataFrame:
+    """by + __r (a quantile per level, interpolated) + __ok (all ranks were inside)."""
+    n_p = len(levels)
+    c = F.col("__c")
+    placed = rows.join(ends, by).withColumn("__c", _place_among(F.col("__lo"), F.col("__v"), n_p))
+    inside = (c > 0) & (F.col("__v") <= F.get("__hi", F.greatest(c - 1, F.lit(0))))
+    table = (placed.groupBy(*by, "__c", F.when(inside, F.col("__v")).alias("__v"))
+             .agg(F.count(F.lit(1)).alias("__k")).persist())
+    held.append(table)
+    below = table.groupBy(*by, "__c").agg(F.sum("__k").alias("__k"))
+    # rows below bracket i: those with at most i lower ends at or below them
+    counts = below.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__c", "__k"))).alias("__m"))
+    at = F.sequence(F.lit(0), F.lit(n_p - 1))
+    in_order = F.transform(at, lambda i: F.coalesce(F.element_at("__m", i), F.lit(0)))
+    running = F.aggregate(in_order, F.array().cast("array<bigint>"), lambda acc, k: F.concat(acc, F.array(
+        F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + k)))
+    start = counts.select(*by, running.alias("__below"))
+    hits = (table.where("__v is not null").join(ends, by).withColumn("__i", F.explode(F.filter(
+        F.sequence(F.lit(0), c - 1), lambda i: F.get("__hi", i) >= F.col("__v")))))
+    order = Window.partitionBy(*by, "__i").orderBy("__v")
+    ranked = hits.withColumn("__upto", F.sum("__k").over(order)).join(start, by)
+    pos = F.get(F.lit(levels), F.col("__i")) * (F.col("__n") - 1)
     k0 = F.floor(pos)
     k1 = F.least(k0 + 1, F.col("__n") - 1)
-    start = F.col("__below") + F.col("__before")
-    end = start + F.col("__c")
-    picked = ranked.groupBy(*gkeys, "__i").agg(
-        F.max(F.when((start <= k0) & (k0 < end), F.col("__val"))).alias("__v0"),
-        F.max(F.when((start <= k1) & (k1 < end), F.col("__val"))).alias("__v1"),
+    last = F.get("__below", F.col("__i")) + F.col("__upto")
+    first = last - F.col("__k")
+    picked = ranked.groupBy(*by, "__i").agg(
+        F.max(F.when((first <= k0) & (k0 < last), F.col("__v"))).alias("__v0"),
+        F.max(F.when((first <= k1) & (k1 < last), F.col("__v"))).alias("__v1"),
         F.first(pos - k0).alias("__frac"))
-    val = F.col("__v0") + (F.col("__v1") - F.col("__v0")) * F.col("__frac")
-    per = picked.select(*by, "__i", val.alias("__val"))
-    # at most len(probs) entries per group
-    return per.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("__i", "__val"))).alias("__r"))
+    value = F.col("__v0") + (F.col("__v1") - F.col("__v0")) * F.col("__frac")
+    cells = picked.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__i", value.alias("q")))).alias("__m"))
+    # a group whose ranks all missed has no cell: it stays, as missed
+    out = ends.select(*by).join(cells, by, "left").select(
+        *by, F.transform(at, lambda i: F.element_at("__m", i)).alias("__r"))
+    return out.withColumn("__ok", F.coalesce(F.forall("__r", lambda q: q.isNotNull()), F.lit(False)))
 
 
 def exact_median(df: DataFrame, value: str | Column, by=None, name: str = "median",

@@ -80,7 +80,7 @@ def ordered_head(df: DataFrame, order: Sequence[str], n: int, rank_col: str = "n
 
 
 def hash_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """n rows chosen by a seeded hash of a unique key: reproducible across runs
-    and engines, computed as a distributed top-n."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    """n rows chosen by a seeded hash (MD5 of the key's text) of a unique key:
+    reproducible across runs and engines, computed as a distributed top-n."""
+    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
     return df.withColumn("__h", h).orderBy("__h", *key).limit(n).drop("__h")

@@ -37,7 +37,7 @@ def register(name: str, sql: str | None = None, group: str = "misc"):
 def load_all() -> dict[str, Query]:
     # importing registers the queries
     import importlib
-    for mod in ("q_orders", "q_panel", "q_models"):
+    for mod in ("q_orders", "q_panel", "q_models", "q_checks"):
         try:
             importlib.import_module(f"salescope.plans.{mod}")
         except ModuleNotFoundError as e:

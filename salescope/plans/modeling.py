@@ -10,20 +10,23 @@ unioned into one DataFrame.
 from __future__ import annotations
 
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from salescope.functions.columns import expm1_clip, variant_note
+from salescope.functions.columns import (VARIANT_NO_QUANTITY, VARIANT_WITH_QUANTITY, expm1_clip,
+                                         rounded_quantity, variant_note)
 from salescope.operators import models as MD
 from salescope.operators.encoders import FeaturePrep, bin_columns, quantile_bin_edges
-from salescope.operators.metrics import (quantity_metrics, regression_metrics, sales_metrics)
+from salescope.operators.metrics import (metrics_row, quantity_metrics, regression_metrics,
+                                         sales_metrics)
 from salescope.operators.quality import assert_no_leakage
+from salescope.operators.windows import best_by
 from salescope.plans import order_model as OM
 from salescope.plans import store_sales as S
 
-# Variant names and model settings of the order problem.
-VARIANTS = {"Model_A_With_Quantity": True, "Model_B_No_Quantity": False}
+# Model settings of the order problem.
+VARIANTS = {VARIANT_WITH_QUANTITY: True, VARIANT_NO_QUANTITY: False}
 ORDER_MODELS = ("Baseline_Mean", "Ridge", "Lasso", "DecisionTree", "RandomForest",
                 "HistGradientBoosting")
 QUANTITY_MODELS = ("Baseline_Mean", "Baseline_Median", "Ridge", "Lasso", "PoissonRegressor",
@@ -58,8 +61,10 @@ def _fit_order_model(name: str, onehot_train: DataFrame, ordinal_train: DataFram
 def prepared_vectors(train: DataFrame, test: DataFrame, numeric, categorical, label: str,
                      ordinal: bool = True):
     """Fit the preprocessors on train (imputation state shared); cached
-    vectors for train and test.  ``ordinal=False`` skips the ordinal one."""
-    oh = FeaturePrep(list(numeric), list(categorical), "onehot").fit(train)
+    vectors for train and test.  ``ordinal=False`` skips the ordinal one.
+    Medians are only taken of columns in which either table has a NULL.
+    ``release_vectors`` drops the caches."""
+    oh = FeaturePrep(list(numeric), list(categorical), "onehot").fit(train, others=[test])
     keep = [label]
     tr_oh = oh.transform(train).select(*keep, "features").persist()
     te_oh = oh.transform(test).persist()
@@ -71,31 +76,57 @@ def prepared_vectors(train: DataFrame, test: DataFrame, numeric, categorical, la
     return oh, od, tr_oh, tr_od, te_oh, te_od
 
 
-def order_variant_metrics(flat: DataFrame, models=ORDER_MODELS, prep=None) -> DataFrame:
+def release_vectors(*frames) -> None:
+    for f in frames:
+        if f is not None:
+            f.unpersist()
+
+
+def order_variants(flat: DataFrame, models=ORDER_MODELS, prep=None):
     """Metric rows (variant, model, include_quantity, feature_count, MAE, MSE,
-    RMSE, R2) for every model of both variants."""
+    RMSE, R2) of every model of both variants, kept as a small table, and the
+    scored test rows by (variant, model)."""
     prep = prep or OM.prepare_model_data(flat)
-    rows = []
+    rows, scored_by = [], {}
     for variant, include_q in VARIANTS.items():
         numeric, categorical, feats = OM.feature_sets(include_q)
         assert_no_leakage(feats, include_q)
         _, _, tr_oh, tr_od, te_oh, te_od = prepared_vectors(
             prep.train, prep.test, numeric, categorical, OM.TARGET)
+        mine = []
         for order_i, name in enumerate(models):
             fit, kind = _fit_order_model(name, tr_oh, tr_od, OM.TARGET)
             scored = fit.predict(te_oh if kind == "onehot" else te_od)
+            scored_by[variant, name] = scored
             m = regression_metrics(scored, OM.TARGET, "prediction")
-            rows.append(m.select(F.lit(variant).alias("variant"), F.lit(name).alias("model"),
+            mine.append(m.select(F.lit(variant).alias("variant"), F.lit(name).alias("model"),
                                  F.lit(include_q).alias("include_quantity"),
                                  F.lit(len(feats)).alias("feature_count"),
                                  F.lit(order_i).alias("listing_order"), *m.columns))
-    return union_all(rows)
+        part = union_all(mine).persist()
+        part.count()
+        rows.append(part)
+        release_vectors(tr_oh, tr_od, te_oh, te_od)
+    return union_all(rows), scored_by
+
+
+def order_variant_metrics(flat: DataFrame, models=ORDER_MODELS, prep=None) -> DataFrame:
+    return order_variants(flat, models, prep)[0]
 
 
 def best_by_variant(metrics: DataFrame, metric: str = "RMSE") -> DataFrame:
     """Row with the smallest metric per variant; the first listed wins ties."""
-    w = Window.partitionBy("variant").orderBy(F.col(metric).asc(), F.col("listing_order").asc())
-    return metrics.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return best_by(metrics, "variant", metric, "listing_order")
+
+
+def select_model(metrics: DataFrame, metric: str, exclude_prefix: str = "Baseline") -> str:
+    """Name of the model with the smallest metric, baselines left out; the
+    first listed wins ties.  One row reaches the driver."""
+    row = (metrics.where(~F.col("model").startswith(exclude_prefix))
+           .orderBy(F.col(metric).asc(), F.col("listing_order").asc()).select("model").first())
+    if row is None:
+        raise ValueError("no model to select from")
+    return row["model"]
 
 
 def compare_variants(metrics: DataFrame) -> DataFrame:
@@ -111,127 +142,157 @@ def quantity_model_metrics(flat: DataFrame, models=QUANTITY_MODELS, prep=None):
     prep = prep or OM.prepare_model_data(flat)
     bounds = flat.agg(F.min("Quantity").alias("lo"), F.max("Quantity").alias("hi")).first()
     lo, hi = float(bounds["lo"]), float(bounds["hi"])
-    numeric, categorical, _ = OM.feature_sets(False)
-    numeric = [c for c in numeric if c in ["Unit_Price"] + OM.TIME_FEATURES or "quantity" in c]
+    numeric, categorical, _ = OM.quantity_feature_set()
     label = "Quantity"
     train = prep.train.withColumn(label, F.col(label).cast("double"))
     test = prep.test.withColumn(label, F.col(label).cast("double"))
     _, _, tr_oh, tr_od, te_oh, te_od = prepared_vectors(train, test, numeric, categorical, label)
-    rows = []
-    best = None
+    rows, scored_by = [], {}
     for order_i, name in enumerate(models):
         if name == "Ridge":
             fit, kind = MD.ridge_fit(tr_oh, 2.0, label=label), "onehot"
         elif name == "Lasso":
-            fit, kind = MD.lasso_fit(tr_oh, 0.001, label=label), "onehot"
+            fit, kind = MD.lasso_fit(tr_oh, 0.001, label=label, max_iter=10_000), "onehot"
         elif name == "PoissonRegressor":
             fit, kind = MD.poisson_fit(tr_oh, 0.01, label=label), "onehot"
         elif name == "HistGradientBoosting":
             fit, kind = MD.boost_fit(tr_od, label=label, iters=120, step=0.05), "ordinal"
         elif name == "RandomForest":
-            fit, kind = MD.forest_fit(tr_oh, label=label, trees=30, max_depth=12, min_leaf=80), "onehot"
+            fit, kind = MD.forest_fit(tr_od, label=label, trees=30, max_depth=12, min_leaf=80), "ordinal"
         else:
             fit, kind = _fit_order_model(name, tr_oh, tr_od, label)
         scored = fit.predict(te_oh if kind == "onehot" else te_od)
         m = quantity_metrics(scored, label, "prediction", lo, hi)
         m = m.select(F.lit(name).alias("model"), F.lit(order_i).alias("listing_order"), *m.columns)
         rows.append(m)
-        if not name.startswith("Baseline"):
-            rmse = m.first()["RMSE"]  # one metric row
-            if best is None or rmse < best[0]:
-                best = (rmse, scored)
-    metrics = union_all(rows)
-    best_scored = best[1]
+        scored_by[name] = scored
+    metrics = union_all(rows).persist()
+    metrics.count()
+    release_vectors(tr_oh, tr_od, te_oh, te_od)
+    best_scored = scored_by[select_model(metrics, "RMSE")]
     # downstream revenue from the selected (lowest RMSE) quantity model
-    q_hat = F.col("prediction")
-    q_round = F.rint(F.greatest(F.least(q_hat, F.lit(hi)), F.lit(lo)))
+    return metrics, downstream_revenue(best_scored, "prediction", lo, hi)
+
+
+def downstream_revenue(scored: DataFrame, pred: str, lo: float, hi: float) -> DataFrame:
+    """Revenue errors of price times predicted quantity, raw and rounded."""
+    q_hat = F.col(pred)
+    q_round = rounded_quantity(pred, lo, hi)
+    best_scored = scored
     rev = [regression_metrics(best_scored.withColumn("__r", F.col("Unit_Price") * q_hat), "Revenue", "__r")
            .select(F.lit("Unit_Price * Quantity_hat").alias("method"), "MAE", "MSE", "RMSE", "R2"),
            regression_metrics(best_scored.withColumn("__r", F.col("Unit_Price") * q_round), "Revenue", "__r")
            .select(F.lit("Unit_Price * rounded_Quantity_hat").alias("method"), "MAE", "MSE", "RMSE", "R2")]
-    return metrics, union_all(rev)
+    return union_all(rev)
 
 
 # ------------------------------------------------------------------ store sales
 
-def store_model_metrics(frame: DataFrame, with_blend: bool = True) -> DataFrame:
-    """Ridge (alpha 10, one-hot), one-hidden-layer MLP and boosted trees (160
-    rounds, 0.04) on log1p(sales), plus raw-target boosting, the interaction
-    variant and the 0.6 / 0.4 blend with lag_28.  Metrics on the last 16 days."""
-    sp = S.recent_window_split(frame)
-    label = "__y"
-    fit_df = sp.fit.withColumn(label, F.log1p("sales"))
-    valid = sp.valid.withColumn("__row", F.monotonically_increasing_id())
-    num, cat = S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES
-    oh = FeaturePrep(num, cat, "onehot").fit(fit_df)
-    tr_oh = oh.transform(fit_df).select(label, "sales", "features").persist()
-    va_oh = oh.transform(valid).persist()
-    od = FeaturePrep(num, cat, "ordinal").fit(fit_df, like=oh)
-    edges = quantile_bin_edges(od._fill(fit_df), num)
-
-    def binned(df, prep, cols):
-        return bin_columns(prep.transform(df), {c: edges[c] for c in cols if c in edges})
-
-    from pyspark.ml.feature import VectorAssembler
-    def assemble(df, cols):
-        ins = [f"{c}__b" if c in edges else c for c in cols] + [f"{c}__code" for c in cat]
-        return VectorAssembler(inputCols=ins, outputCol="bfeatures", handleInvalid="keep").transform(df)
-
-    tr_b = assemble(binned(fit_df, od, num), num).select(label, "sales", "bfeatures").persist()
-    va_b = assemble(binned(valid, od, num), num).persist()
-
-    rows = []
-    def add(name, scored, pred_col="prediction"):
-        m = sales_metrics(scored, "sales", pred_col)
-        rows.append(m.select(F.lit(name).alias("model"), *m.columns))
-
-    ridge = MD.gram_fit(tr_oh, "features", label, alpha=10.0)
-    add("Ridge_Scratch", ridge.predict(va_oh).withColumn("prediction", expm1_clip("prediction")))
-    mlp = MD.mlp_fit(tr_oh, "features", label, hidden=16, lr=0.01, epochs=20, batch_size=1024)
-    add("MLP_Scratch", mlp.predict(va_oh).withColumn("prediction", expm1_clip("prediction")))
-    hgb = MD.boost_fit(tr_b, "bfeatures", label, iters=160, step=0.04, max_depth=5)
-    hgb_scored = hgb.predict(va_b, "bfeatures").withColumn("prediction", expm1_clip("prediction"))
-    add("HistGradientBoosting_Scratch_160", hgb_scored)
-    raw = MD.boost_fit(tr_b, "bfeatures", "sales", iters=160, step=0.04, max_depth=5)
-    add("HistGradientBoosting_Raw_Target",
-        raw.predict(va_b, "bfeatures").withColumn("prediction", F.greatest("prediction", F.lit(0.0))))
-    # interaction variant: two product features added to the boosted model
-    inter = {"promo_x_lag28": F.col("onpromotion") * F.col("lag_28"),
-             "weekend_x_lag28": F.col("is_weekend") * F.col("lag_28")}
-    num_i = num + list(inter)
-    fit_i, valid_i = fit_df.withColumns(inter), valid.withColumns(inter)
-    od_i = FeaturePrep(num_i, cat, "ordinal").fit(fit_i)
-    edges_i = quantile_bin_edges(od_i._fill(fit_i), num_i)
-
-    def assemble_i(df):
-        x = bin_columns(od_i.transform(df), {c: edges_i[c] for c in num_i if c in edges_i})
-        ins = [f"{c}__b" if c in edges_i else c for c in num_i] + [f"{c}__code" for c in cat]
-        return VectorAssembler(inputCols=ins, outputCol="bfeatures", handleInvalid="keep").transform(x)
-
-    tr_i = assemble_i(fit_i).select(label, "bfeatures").persist()
-    hgb_i = MD.boost_fit(tr_i, "bfeatures", label, iters=160, step=0.04, max_depth=5)
-    add("HistGradientBoosting_Interactions",
-        hgb_i.predict(assemble_i(valid_i), "bfeatures").withColumn("prediction", expm1_clip("prediction")))
-    if with_blend:
-        blend = hgb_scored.withColumn("blend", 0.6 * F.col("prediction") + 0.4 * F.col("lag_28"))
-        add("Blend_0.6HGB_0.4Lag28", blend, "blend")
-    out = union_all(rows)
-    return out.orderBy("RMSLE")
-
-
-def feature_importance(frame: DataFrame, top: int = 20) -> DataFrame:
-    """Boosted-tree importances named from the vector layout, top n."""
-    sp = S.recent_window_split(frame)
-    num, cat = S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES
-    fit_df = sp.fit.withColumn("__y", F.log1p("sales"))
-    od = FeaturePrep(num, cat, "ordinal").fit(fit_df)
-    tr = od.transform(fit_df).select("__y", "features").persist()
-    hgb = MD.boost_fit(tr, "features", "__y", iters=160, step=0.04, max_depth=5)
-    imp = hgb.model.featureImportances.toArray().tolist()
-    names = od.feature_names()
-    spark = frame.sparkSession
-    df = spark.createDataFrame(list(zip(names, [float(v) for v in imp])), "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), "feature").limit(top)
+# Store models in listing order, with the blend's weights.
+STORE_MODELS = ("Ridge_Scratch", "MLP_Scratch", "HistGradientBoosting_Scratch_160",
+                "HistGradientBoosting_Raw_Target", "HistGradientBoosting_Interactions",
+                "Blend_0.6HGB_0.4Lag28")
+BOOSTED = "HistGradientBoosting_Scratch_160"
+BLEND_WEIGHTS = (0.6, 0.4)
+INTERACTIONS = {"promo_x_lag28": ("onpromotion", "lag_28"), "weekend_x_lag28": ("is_weekend", "lag_28")}
+
+
+class StoreModels:
+    """The store-sales models on one window of rows.  Preprocessing and fits
+    are made when first asked for and shared: ridge (alpha 10) and a
+    one-hidden-layer network on one-hot vectors, boosted trees (160 rounds,
+    0.04) on percentile bins, all on log1p(sales); boosting on the raw target;
+    boosting with two product features; the blend with lag_28."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows.withColumn("__y", F.log1p("sales"))
+        self._made: dict = {}
+
+    def _once(self, key, make):
+        if key not in self._made:
+            self._made[key] = make()
+        return self._made[key]
+
+    def _onehot(self):
+        def make():
+            prep = FeaturePrep(S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES, "onehot").fit(self.rows)
+            return prep, prep.transform(self.rows).select("__y", "sales", "features").persist()
+        return self._once("onehot", make)
+
+    def _binned(self, interactions: bool):
+        def make():
+            extra = {k: F.col(a) * F.col(b) for k, (a, b) in INTERACTIONS.items()} if interactions else {}
+            numeric = S.NUMERIC_FEATURES + list(extra)
+            rows = self.rows.withColumns(extra) if extra else self.rows
+            prep = FeaturePrep(numeric, S.CATEGORICAL_FEATURES, "ordinal").fit(rows)
+            edges = quantile_bin_edges(prep._fill(rows), numeric)
+            inputs = [f"{c}__b" if c in edges else c for c in numeric] + [
+                f"{c}__code" for c in S.CATEGORICAL_FEATURES]
+            assembler = VectorAssembler(inputCols=inputs, outputCol="bfeatures", handleInvalid="keep")
+
+            def vectors(df: DataFrame) -> DataFrame:
+                df = df.withColumns(extra) if extra else df
+                return assembler.transform(bin_columns(prep.transform(df), edges))
+
+            return prep, vectors, vectors(self.rows).select("__y", "sales", "bfeatures").persist()
+        return self._once(("binned", interactions), make)
+
+    def _boosted(self, label: str, interactions: bool):
+        def make():
+            _, vectors, train = self._binned(interactions)
+            return vectors, MD.boost_fit(train, "bfeatures", label, iters=160, step=0.04, max_depth=5)
+        return self._once(("boosted", label, interactions), make)
+
+    def predict(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``prediction`` in units of sales, never below 0."""
+        if name in ("Ridge_Scratch", "MLP_Scratch"):
+            prep, train = self._onehot()
+            fit = self._once(name, lambda: MD.gram_fit(train, "features", "__y", alpha=10.0)
+                             if name == "Ridge_Scratch" else
+                             MD.mlp_fit(train, "features", "__y", hidden=16, lr=0.01, epochs=20, batch_size=1024))
+            return fit.predict(prep.transform(rows)).withColumn("prediction", expm1_clip("prediction"))
+        if name == "Blend_0.6HGB_0.4Lag28":
+            a, b = BLEND_WEIGHTS
+            return self.predict(BOOSTED, rows).withColumn("prediction", a * F.col("prediction") + b * F.col("lag_28"))
+        raw = name == "HistGradientBoosting_Raw_Target"
+        vectors, fit = self._boosted("sales" if raw else "__y", name == "HistGradientBoosting_Interactions")
+        out = fit.predict(vectors(rows), "bfeatures")
+        return out.withColumn("prediction", F.greatest("prediction", F.lit(0.0)) if raw else expm1_clip("prediction"))
+
+    def metrics(self, name: str, valid: DataFrame) -> DataFrame:
+        m = sales_metrics(self.predict(name, valid), "sales", "prediction")
+        return m.select(F.lit(name).alias("model"), F.lit(STORE_MODELS.index(name)).alias("listing_order"), *m.columns)
+
+    def importances(self, top: int = 20) -> DataFrame:
+        """Importances of the boosted trees, named from the vector layout."""
+        prep, _, _ = self._binned(False)
+        _, fit = self._boosted("__y", False)
+        pairs = zip(prep.feature_names(), map(float, fit.model.featureImportances.toArray()))
+        df = self.rows.sparkSession.createDataFrame(list(pairs), "feature string, importance double")
+        return df.orderBy(F.col("importance").desc(), "feature").limit(top)
+
+    def release(self) -> None:
+        for made in self._made.values():
+            if isinstance(made, tuple):
+                release_vectors(*[x for x in made if isinstance(x, DataFrame)])
+
+
+def baseline_metrics(valid: DataFrame) -> DataFrame:
+    """Metric rows of the four lag and rolling-mean baselines."""
+    return union_all([metrics_row(valid, "sales", col, {"model": f"Baseline_{name}", "listing_order": -4 + i}, "sales")
+                      for i, (name, col) in enumerate(S.BASELINES.items())])
+
+
+def final_forecast(train: DataFrame, test: DataFrame, stores, oil, holidays, model: str = BOOSTED) -> DataFrame:
+    """Features on train + test, ``model`` refit on the last 366 days of train
+    with the preprocessing it was measured with, predictions for the test rows
+    -> (id, sales)."""
+    both = S.union_train_test(train, test)
+    ff = S.build_feature_frame(both, stores, oil, holidays)
+    end = train.agg(F.max("date")).first()[0]
+    models = StoreModels(S.final_fit_window(ff.where(F.col("sales").isNotNull()), end).persist())
+    test_rows = ff.join(test.select("id"), "id", "left_semi")
+    return models.predict(model, test_rows).select("id", F.col("prediction").alias("sales"))
 
 
 def feature_weights(flat: DataFrame, top: int = 15, prep=None) -> DataFrame:
@@ -251,24 +312,37 @@ def feature_weights(flat: DataFrame, top: int = 15, prep=None) -> DataFrame:
 
 
 def compare_models(flat: DataFrame, prep=None) -> DataFrame:
-    """Gram-matrix ridge against Spark ML's normal-equation ridge on the same
-    vectors: two metric rows and their difference."""
+    """The solvers written here against Spark ML's on the same vectors: for
+    ordinary least squares and ridge a row of each and one of their difference
+    in every metric, with the largest difference of a prediction.  One Gram
+    pass serves both penalties."""
     prep = prep or OM.prepare_model_data(flat)
     numeric, categorical, _ = OM.feature_sets(False)
     _, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET,
                                                 ordinal=False)
-    a = MD.gram_fit(tr_oh, "features", OM.TARGET, alpha=1.0).predict(te_oh, out="p_gram")
-    b = MD.ridge_fit(tr_oh, 1.0, label=OM.TARGET).predict(a, out="p_ml")
-    # ordinary least squares (pseudo-inverse of the Gram matrix) as a third row
-    b = MD.gram_fit(tr_oh, "features", OM.TARGET, alpha=0.0).predict(b, out="p_ols")
-    ma = regression_metrics(b, OM.TARGET, "p_gram", decimals=None)
-    mb = regression_metrics(b, OM.TARGET, "p_ml", decimals=None)
-    mo = regression_metrics(b, OM.TARGET, "p_ols", decimals=None)
-    diff = b.agg(F.max(F.abs(F.col("p_gram") - F.col("p_ml"))).alias("max_abs_pred_diff"))
-    rows = union_all([ma.select(F.lit("Ridge_Gram").alias("model"), *ma.columns),
-                      mb.select(F.lit("Ridge_SparkML").alias("model"), *mb.columns),
-                      mo.select(F.lit("OLS_Gram").alias("model"), *mo.columns)])
-    return rows.withColumn("__k", F.lit(1)).join(diff.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    system = MD.gram_system(tr_oh, "features", OM.TARGET)
+    scored = te_oh.select(OM.TARGET, "features")
+    for kind, alpha in (("OLS", 0.0), ("Ridge", 1.0)):
+        scored = system.solve(alpha).predict(scored, out=f"{kind}_Scratch")
+        scored = MD.ridge_fit(tr_oh, alpha, label=OM.TARGET).predict(scored, out=f"{kind}_SparkML")
+    names = [f"{kind}_{by}" for kind in ("OLS", "Ridge") for by in ("Scratch", "SparkML")]
+    # one pass over the scored rows: a row of (model, prediction) each
+    long = scored.select(OM.TARGET, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("model"), F.col(n).alias("p")) for n in names])).alias("x")).select(
+        OM.TARGET, "x.*")
+    rows = regression_metrics(long, OM.TARGET, "p", by=["model"], decimals=None)
+    gap = scored.agg(*[F.max(F.abs(F.col(f"{k}_Scratch") - F.col(f"{k}_SparkML"))).alias(k) for k in ("OLS", "Ridge")])
+    gap = gap.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("max_abs_pred_diff"))
+                                         for k in ("OLS", "Ridge")])).alias("x")).select("x.*")
+    metrics = ["MAE", "MSE", "RMSE", "R2"]
+    pairs = rows.withColumn("kind", F.split("model", "_")[0]).withColumn(
+        "sign", F.when(F.col("model").endswith("Scratch"), 1.0).otherwise(-1.0))
+    diff = pairs.groupBy("kind").agg(*[F.sum(F.col(m) * F.col("sign")).alias(m) for m in metrics]).join(
+        gap, "kind").select(F.concat("kind", F.lit("_Difference")).alias("model"), *metrics, "max_abs_pred_diff")
+    out = rows.withColumn("max_abs_pred_diff", F.lit(None).cast("double")).unionByName(diff).persist()
+    out.count()
+    release_vectors(tr_oh, te_oh)
+    return out.orderBy("model")
 
 
 def svr_check(flat: DataFrame, prep=None) -> DataFrame:
@@ -280,7 +354,7 @@ def svr_check(flat: DataFrame, prep=None) -> DataFrame:
                                                 ordinal=False)
     s = tr_oh.agg(F.avg(OM.TARGET).alias("m"), F.stddev_pop(OM.TARGET).alias("s")).first()
     tr = tr_oh.withColumn("__z", (F.col(OM.TARGET) - F.lit(s["m"])) / F.lit(s["s"]))
-    svr = MD.linear_svr_fit(tr, "features", "__z", epsilon=0.1, learning_rate=0.01, epochs=300, l2=0.001)
+    svr = MD.linear_svr_fit(tr, "features", "__z", epsilon=0.1, learning_rate=0.03, epochs=500, l2=0.001)
     scored = svr.predict(te_oh).withColumn("prediction", F.col("prediction") * F.lit(s["s"]) + F.lit(s["m"]))
     m = regression_metrics(scored, OM.TARGET, "prediction")
     base = regression_metrics(te_oh.withColumn("__b", F.lit(s["m"])), OM.TARGET, "__b")
@@ -288,19 +362,3 @@ def svr_check(flat: DataFrame, prep=None) -> DataFrame:
                                F.lit(svr.loss_history[0]).alias("first_loss"),
                                F.lit(svr.loss_history[-1]).alias("last_loss")),
                       base.select(F.lit("Baseline_Mean").alias("model"), *base.columns)])
-
-
-def final_forecast(train: DataFrame, test: DataFrame, stores, oil, holidays) -> DataFrame:
-    """Features on train + test, boosted trees refit on the last 366 days of
-    train on log1p(sales), predictions for the test rows -> (id, sales)."""
-    both = S.union_train_test(train, test)
-    ff = S.build_feature_frame(both, stores, oil, holidays)
-    end = train.agg(F.max("date")).first()[0]
-    fit_rows = S.final_fit_window(ff.where(F.col("sales").isNotNull()), end) \
-                .withColumn("__y", F.log1p("sales"))
-    test_rows = ff.join(test.select("id"), "id", "left_semi")
-    od = FeaturePrep(S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES, "ordinal").fit(fit_rows)
-    tr = od.transform(fit_rows).select("__y", "features").persist()
-    hgb = MD.boost_fit(tr, "features", "__y", iters=160, step=0.04, max_depth=5)
-    scored = hgb.predict(od.transform(test_rows))
-    return scored.select("id", expm1_clip("prediction").alias("sales"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.dates import add_time_features
-from salescope.operators.joins import BROADCAST_MAX_ROWS
+from salescope.operators.joins import sized_broadcast
 from salescope.operators.metrics import regression_metrics
 from salescope.operators.quantiles import exact_percentiles
 
@@ -33,6 +33,10 @@ AGG_FEATURES = [
     "expected_revenue_product", "expected_revenue_category", "expected_revenue_sub_category",
     "expected_revenue_state", "expected_revenue_region",
 ]
+QUANTITY_AGG_FEATURES = [
+    "product_order_count", "product_avg_quantity", "category_avg_quantity",
+    "sub_category_avg_quantity", "state_avg_quantity", "region_avg_quantity",
+]
 # key column -> {feature: (aggregate, source column)}
 LOOKUP_SPECS = {
     "Product_Name": {"product_order_count": ("count", None),
@@ -69,6 +73,14 @@ def feature_sets(include_quantity: bool):
     return numeric, categorical, numeric + categorical
 
 
+def quantity_feature_set():
+    """Features of the quantity models: price, calendar and the six averages
+    and counts that say something about quantities."""
+    numeric = ["Unit_Price"] + TIME_FEATURES + QUANTITY_AGG_FEATURES
+    categorical = list(CATEGORICAL_FEATURES)
+    return numeric, categorical, numeric + categorical
+
+
 def _default_kind(agg: str, src: str | None) -> str:
     return "count" if agg == "count" else ("quantity" if src == "Quantity" else "revenue")
 
@@ -126,12 +138,10 @@ def fit_defaults(train: DataFrame, lookups: DataFrame) -> DataFrame:
 def apply_lookups(df: DataFrame, lookups: DataFrame, defaults: dict[str, float]) -> DataFrame:
     """Attach the 10 lookup features (default for unseen / NULL keys) and the
     5 expected-revenue products."""
-    n = lookups.count()  # size proof for the broadcasts below (cached table)
     out = df
     for key, feats in LOOKUP_SPECS.items():
         lk = lookup_for(lookups, key).withColumnRenamed(key, f"__lk_{key}")
-        lk = F.broadcast(lk) if n <= BROADCAST_MAX_ROWS else lk
-        out = out.join(lk, out[key] == F.col(f"__lk_{key}"), "left").drop(f"__lk_{key}")
+        out = out.join(sized_broadcast(lk), out[key] == F.col(f"__lk_{key}"), "left").drop(f"__lk_{key}")
         out = out.withColumns({
             name: F.coalesce(F.col(name), F.lit(float(defaults[_default_kind(agg, src)])))
             for name, (agg, src) in feats.items()})
@@ -160,13 +170,14 @@ def feature_output(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def split_metadata(df: DataFrame, test_start: str = TEST_START) -> DataFrame:
     train, test = time_split(df, test_start)
+    names = {"Product_Name": "products", "Category": "categories", "Sub_Category": "sub_categories",
+             "State": "states", "Region": "regions"}
     a = train.agg(F.count(F.lit(1)).alias("train_rows"),
-                  F.min(DATE_COLUMN).alias("train_start"), F.max(DATE_COLUMN).alias("train_end"),
-                  F.count_distinct("Product_Name").alias("products"),
-                  F.count_distinct("Category").alias("categories"),
-                  F.count_distinct("Sub_Category").alias("sub_categories"),
-                  F.count_distinct("State").alias("states"),
-                  F.count_distinct("Region").alias("regions"))
+                  F.min(DATE_COLUMN).alias("train_start"), F.max(DATE_COLUMN).alias("train_end"))
+    for c, name in names.items():
+        # a narrow scan and a two-step group-by each: nothing is expanded
+        one = train.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias(name))
+        a = a.crossJoin(one)  # one row each
     b = test.agg(F.count(F.lit(1)).alias("test_rows"),
                  F.min(DATE_COLUMN).alias("test_start"), F.max(DATE_COLUMN).alias("test_end"))
     return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k")

@@ -8,11 +8,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from salescope.functions import columns as C
+from salescope.functions import dates as D
+from salescope.functions.columns import VARIANT_NO_QUANTITY
+from salescope.operators import aggregates as A
 from salescope.operators import chartdata as CH
 from salescope.operators import models as MD
-from salescope.operators import windows as WN
 from salescope.plans import modeling as ML
 from salescope.plans import order_model as OM
+from salescope.plans import store_sales as S
 from salescope.plans.catalog import register
 from salescope.plans.q_orders import KEY, flat, prepared
 from salescope.plans.q_panel import feature_frame, tables
@@ -24,38 +28,54 @@ from salescope.sources.sinks import Bundle, load_bundle, save_bundle, submission
 _MEMO: dict = {}
 
 
-def _memo(spark, sf, key, fn):
-    """Model runs shared by several registered tables are trained once per
-    session and input; their (tiny) metric tables are persisted."""
-    k = (id(spark), sf, key)
+def _once(spark, sf, key, fn):
+    """Model runs shared by several registered tables are made once per
+    session and input."""
+    k = (spark.sparkContext.applicationId, sf, key)
     if k not in _MEMO:
-        out = fn()
-        out = tuple(o.persist() for o in out) if isinstance(out, tuple) else out.persist()
-        _MEMO[k] = out
+        _MEMO[k] = fn()
     return _MEMO[k]
 
 
-def _variant_metrics(spark, sf):
-    return _memo(spark, sf, "variants", lambda: ML.order_variant_metrics(flat(spark, sf), prep=prepared(spark, sf)))
+def _variants(spark, sf):
+    """(metric rows, scored test rows by variant and model)."""
+    return _once(spark, sf, "variants", lambda: ML.order_variants(flat(spark, sf), prep=prepared(spark, sf)))
 
 
 def _quantity(spark, sf):
-    return _memo(spark, sf, "quantity", lambda: ML.quantity_model_metrics(flat(spark, sf), prep=prepared(spark, sf)))
+    return _once(spark, sf, "quantity", lambda: ML.quantity_model_metrics(flat(spark, sf), prep=prepared(spark, sf)))
 
 
 @register("order_variant_metrics", group="models")
 def q_order_variants(spark, sf):
-    return _variant_metrics(spark, sf)
+    return _variants(spark, sf)[0]
 
 
 @register("order_best_by_variant", group="models")
 def q_order_best(spark, sf):
-    return ML.best_by_variant(_variant_metrics(spark, sf), "RMSE")
+    return ML.best_by_variant(_variants(spark, sf)[0], "RMSE")
 
 
 @register("order_compare_variants", group="models")
 def q_order_compare(spark, sf):
-    return ML.compare_variants(_variant_metrics(spark, sf))
+    return ML.compare_variants(_variants(spark, sf)[0])
+
+
+def _selected_orders(spark, sf):
+    """Test rows scored by the best model that does not see the quantity."""
+    metrics, scored = _variants(spark, sf)
+    name = ML.select_model(metrics.where(F.col("variant") == VARIANT_NO_QUANTITY), "RMSE")
+    return scored[VARIANT_NO_QUANTITY, name].withColumn("residual", C.residual("Revenue", "prediction"))
+
+
+@register("selected_residual_by_category", group="models")
+def q_selected_category(spark, sf):
+    return A.residual_summary(_selected_orders(spark, sf), "Category")
+
+
+@register("selected_residual_by_month", group="models")
+def q_selected_month(spark, sf):
+    return A.residual_summary(_selected_orders(spark, sf), D.month_period("Order_Date"), name="month")
 
 
 @register("quantity_model_metrics", group="models")
@@ -68,14 +88,104 @@ def q_downstream(spark, sf):
     return _quantity(spark, sf)[1]
 
 
+# ---------------------------------------------------------------- store models
+
+def _store(spark, sf):
+    """(models on the recent window, its validation rows); fits are shared by
+    the queries below."""
+    def make():
+        sp = S.recent_window_split(feature_frame(spark, sf))
+        return ML.StoreModels(sp.fit.persist()), sp.valid.persist()
+    return _once(spark, sf, "store", make)
+
+
+def _store_metrics(spark, sf, name):
+    def make():
+        models, valid = _store(spark, sf)
+        row = models.metrics(name, valid).persist()
+        row.count()
+        return row
+    return _once(spark, sf, ("store", name), make)
+
+
+STORE_QUERIES = {
+    "store_model_ridge": "Ridge_Scratch",
+    "store_model_mlp": "MLP_Scratch",
+    "store_model_boosting": "HistGradientBoosting_Scratch_160",
+    "store_model_raw_target": "HistGradientBoosting_Raw_Target",
+    "store_model_interactions": "HistGradientBoosting_Interactions",
+    "store_model_blend": "Blend_0.6HGB_0.4Lag28",
+}
+
+
+def _store_query(model: str):
+    def build(spark, sf):
+        return _store_metrics(spark, sf, model)
+    return build
+
+
+for _name, _model in STORE_QUERIES.items():
+    register(_name, group="models")(_store_query(_model))
+
+
 @register("store_model_metrics", group="models")
 def q_store_models(spark, sf):
-    return ML.store_model_metrics(feature_frame(spark, sf))
+    return ML.union_all([_store_metrics(spark, sf, m) for m in ML.STORE_MODELS]).drop("listing_order").orderBy("RMSLE")
+
+
+def _leaderboard(spark, sf):
+    _, valid = _store(spark, sf)
+    return ML.union_all([ML.baseline_metrics(valid), *[_store_metrics(spark, sf, m) for m in ML.STORE_MODELS]])
+
+
+@register("store_leaderboard", group="models")
+def q_leaderboard(spark, sf):
+    return _leaderboard(spark, sf).orderBy("RMSLE", "listing_order")
+
+
+def _store_winner(spark, sf) -> str:
+    return _once(spark, sf, "winner", lambda: ML.select_model(_leaderboard(spark, sf), "RMSLE"))
+
+
+@register("store_selected_model", group="models")
+def q_store_selected(spark, sf):
+    return _leaderboard(spark, sf).where(F.col("model") == _store_winner(spark, sf))
+
+
+def _store_selected(spark, sf):
+    """Validation rows scored by the selected store model."""
+    models, valid = _store(spark, sf)
+    return models.predict(_store_winner(spark, sf), valid).withColumn("residual", C.residual("sales", "prediction"))
+
+
+@register("selected_residual_by_day", group="models")
+def q_selected_day(spark, sf):
+    return A.residual_summary(_store_selected(spark, sf), "date")
+
+
+@register("selected_family_error_top15", group="models")
+def q_selected_family(spark, sf):
+    return A.error_by_group_top(_store_selected(spark, sf), "family", "sales", "prediction", 15)
+
+
+@register("selected_residual_box_by_type", group="models")
+def q_selected_box(spark, sf):
+    return CH.box_stats(_store_selected(spark, sf), "residual", "type")
+
+
+@register("selected_residual_histogram", group="models")
+def q_selected_histogram(spark, sf):
+    return CH.histogram(_store_selected(spark, sf), C.clip_range("residual", -1000.0, 1000.0), 80)
+
+
+@register("selected_bin2d_actual_predicted", group="models")
+def q_selected_grid(spark, sf):
+    return CH.bin2d(_store_selected(spark, sf), "sales", "prediction", 40)
 
 
 @register("store_feature_importance", group="models")
 def q_importance(spark, sf):
-    return ML.feature_importance(feature_frame(spark, sf), 20)
+    return _store(spark, sf)[0].importances(20)
 
 
 @register("order_feature_weights", group="models")
@@ -95,8 +205,10 @@ def q_svr(spark, sf):
 
 @register("final_forecast_submission", group="models")
 def q_final(spark, sf):
+    """The forecast of the selected model, refit on the last year."""
     t = tables(spark, sf)
-    pred = ML.final_forecast(t["train"], t["test"], t["stores"], t["oil"], t["holidays_events"])
+    pred = ML.final_forecast(t["train"], t["test"], t["stores"], t["oil"], t["holidays_events"],
+                             _store_winner(spark, sf))
     return submission(pred)
 
 
@@ -121,26 +233,3 @@ def q_score_orders(spark, sf):
     a, _ = score_orders(orders, bundle, keep=KEY)
     b, _ = score_orders(orders, loaded, keep=KEY)
     return a.join(b.select(*KEY, F.col("predicted_revenue").alias("predicted_revenue_loaded")), KEY)
-
-
-# ---------------------------------------------------------------- chart rows (sampled / smoothed)
-
-@register("kde_revenue", group="chart")
-def q_kde(spark, sf):
-    return CH.kde(flat(spark, sf), F.col("Revenue"), 300)
-
-
-@register("qq_points_revenue", group="chart")
-def q_qq(spark, sf):
-    return CH.qq_points(flat(spark, sf), F.col("Revenue"), 500)
-
-
-@register("scatter_sample", group="chart")
-def q_scatter(spark, sf):
-    cols = ["Unit_Price", "Quantity", "Revenue", "Profit"]
-    return WN.hash_sample(flat(spark, sf), 15000, KEY, seed=42).select(*KEY, *cols)
-
-
-@register("sample_n_panel", group="topk")
-def q_sample_panel(spark, sf):
-    return WN.hash_sample(tables(spark, sf)["train"], 1000, ["id"], seed=42)

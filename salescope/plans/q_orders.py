@@ -29,7 +29,7 @@ def flat(spark: SparkSession, sf: str) -> DataFrame:
     """The flat order table, derived once per session and input folder and
     kept as parquet in the shared checkpoint folder (the star join runs
     once; every query then scans only its columns)."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _FLAT:
         _FLAT[key] = materialize(order_view(spark, sf, with_keys=True), "orders_flat")
     return _FLAT[key]
@@ -40,7 +40,7 @@ _PREP: dict = {}
 
 def prepared(spark: SparkSession, sf: str) -> OM.Prepared:
     """Split + train-only lookups on the flat table, once per session and input."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _PREP:
         _PREP[key] = OM.prepare_model_data(flat(spark, sf))
     return _PREP[key]

@@ -26,12 +26,16 @@ _CACHE: dict = {}
 def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The six panel tables, derived once per session and input folder; the
     panel itself (train / test) is kept as parquet in the shared checkpoint
-    folder, the side tables (one row per day / store) stay lazy."""
-    key = (id(spark), sf)
+    folder, and so are the side tables (one row per day / store)."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         t = dict(panel_tables(spark, sf))
         t["train"] = materialize(t["train"], "panel_train")
         t["test"] = materialize(t["test"], "panel_test")
+        # day- and store-sized side tables: kept, so that the planner knows
+        # their bytes and no later plan derives them again
+        for name in ("stores", "oil", "holidays_events", "transactions"):
+            t[name] = materialize(t[name], f"panel_{name}")
         _CACHE[key] = t
     return _CACHE[key]
 
@@ -115,27 +119,30 @@ def q_family_top(spark, sf):
     return A.top_sum(train(spark, sf), "family", "sales", 15, "sales")
 
 
+# The years of the driver data, a column each.
+YEARS = [str(y) for y in range(1995, 2002)]
+_YEAR_COLUMNS = ", ".join(f'round(sum(sales) FILTER (WHERE year(date) = {y}), 2) AS "{y}"' for y in YEARS)
+
+
 @register("family_year_pivot", group="summary", sql=with_ctes(
     PANEL_CTE,
     """top AS (SELECT family FROM panel GROUP BY family ORDER BY sum(sales) DESC, family LIMIT 15)""",
     body="""
-PIVOT (SELECT family, CAST(year(date) AS VARCHAR) AS yr, sales FROM panel
-       WHERE family IN (SELECT family FROM top))
-ON yr USING round(sum(sales), 2) GROUP BY family"""))
+SELECT family, """ + _YEAR_COLUMNS + """ FROM panel
+WHERE family IN (SELECT family FROM top) GROUP BY family"""))
 def q_family_year_pivot(spark, sf):
     t = train(spark, sf)
     top = A.top_sum(t, "family", "sales", 15, "sales")
     rows = J.restrict_to_top(t, top, "family").withColumn("yr", F.year("date").cast("string"))
-    return A.pivot_sum(rows, "family", "yr", "sales")
+    return A.pivot_sum(rows, "family", "yr", "sales", YEARS)
 
 
 @register("month_year_pivot", group="summary", sql=with_ctes(PANEL_CTE, body="""
-PIVOT (SELECT CAST(month(date) AS INTEGER) AS month, CAST(year(date) AS VARCHAR) AS yr, sales FROM panel)
-ON yr USING round(sum(sales), 2) GROUP BY month"""))
+SELECT CAST(month(date) AS INTEGER) AS month, """ + _YEAR_COLUMNS + """ FROM panel GROUP BY 1"""))
 def q_month_year_pivot(spark, sf):
     t = train(spark, sf).select(F.month("date").alias("month"),
                                 F.year("date").cast("string").alias("yr"), "sales")
-    return A.pivot_sum(t, "month", "yr", "sales")
+    return A.pivot_sum(t, "month", "yr", "sales", YEARS)
 
 
 _PROMO_SQL = """CASE WHEN onpromotion IS NULL THEN NULL WHEN onpromotion <= 0 THEN '0'
@@ -349,7 +356,7 @@ def feature_frame(spark, sf) -> DataFrame:
     if key not in _CACHE:
         t = tables(spark, sf)
         ff = S.build_feature_frame(t["train"].drop("id"), t["stores"], t["oil"], t["holidays_events"])
-        _CACHE[key] = materialize(ff, "feature_frame")
+        _CACHE[key] = materialize(ff, "feature_frame", by_month_of="date")
     return _CACHE[key]
 
 

@@ -21,6 +21,7 @@ from salescope.functions.dates import add_calendar_features
 from salescope.operators.aggregates import holiday_daily
 from salescope.operators.joins import sized_broadcast
 from salescope.operators.windows import add_lag_features, ffill_bfill, lag_feature_columns
+from salescope.session import since
 
 DATE = "date"
 TARGET = "sales"
@@ -78,16 +79,15 @@ def recent_window_split(frame: DataFrame, end=None) -> Split:
     import datetime as _dt
     validation_start = end - _dt.timedelta(days=VALIDATION_DAYS - 1)
     fit_start = validation_start - _dt.timedelta(days=RECENT_TRAIN_DAYS)
-    d = F.col(DATE)
-    fit = frame.where((d < F.lit(validation_start)) & (d >= F.lit(fit_start)))
-    valid = frame.where(d >= F.lit(validation_start))
+    fit = since(frame, DATE, fit_start).where(F.col(DATE) < F.lit(validation_start))
+    valid = since(frame, DATE, validation_start)
     return Split(fit, valid, validation_start, fit_start)
 
 
 def final_fit_window(frame: DataFrame, end) -> DataFrame:
     """Rows with date >= end - 365 days (366 days including both ends)."""
     import datetime as _dt
-    return frame.where(F.col(DATE) >= F.lit(end - _dt.timedelta(days=RECENT_TRAIN_DAYS)))
+    return since(frame, DATE, end - _dt.timedelta(days=RECENT_TRAIN_DAYS))
 
 
 def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -33,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("SALESCOPE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SALESCOPE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,17 +63,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Folder column of tables that are kept by month: the month's first day.
+MONTH = "month_start"
+
+
+def materialize(df: DataFrame, name: str, by_month_of: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: a reliable cut of the lineage whose later reads are column-pruned
-    parquet scans (executors write, nothing passes through the driver)."""
+    parquet scans (executors write, nothing passes through the driver).
+    ``by_month_of``: a date column by whose months the folders are laid out;
+    the table gets the column ``MONTH``, which ``since`` filters on."""
     import uuid
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if by_month_of:
+        df = df.withColumn(MONTH, F.trunc(by_month_of, "month")).repartition(MONTH)
+        df.write.partitionBy(MONTH).mode("overwrite").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def since(df: DataFrame, date_col: str, first) -> DataFrame:
+    """Rows from the day ``first`` on; of a table kept by month only the
+    folders from its month on are read."""
+    out = df.where(F.col(date_col) >= F.lit(first))
+    return out.where(F.col(MONTH) >= F.lit(first.replace(day=1))) if MONTH in df.columns else out

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.functions.dates import parse_mdy
-from salescope.operators.quality import dataset_checks, validate_required_columns
+from salescope.operators.quality import assert_checks, dataset_checks, validate_required_columns
 
 # Declared types of the order file (text columns omitted).
 ORDER_TYPES = {"Order_ID": "long", "Quantity": "int", "Unit_Price": "double",
@@ -39,12 +39,18 @@ def type_orders(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
-def load_clean_validate(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """read -> strip names -> types and dates -> (orders, one-row check table)."""
+def load_clean_validate(spark: SparkSession, path: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """read -> strip names -> types and dates -> (orders, one-row check table).
+    ``strict`` stops on a table that is not clean (the error names the failed
+    checks); otherwise the check table tells."""
     raw, stripped = strip_column_names(read_orders(spark, path))
     validate_required_columns(raw)
     orders = type_orders(raw)
-    return orders, dataset_checks(orders, stripped)
+    checks = dataset_checks(orders, stripped)
+    if strict:
+        checks = checks.persist()
+        assert_checks(checks.first())
+    return orders, checks
 
 
 def write_order_csv(df: DataFrame, path: str, padded=("Unit_Price", "Revenue", "Profit")) -> None:

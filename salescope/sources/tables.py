@@ -86,12 +86,6 @@ def order_view(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> Dat
     return lines.select(*cols)
 
 
-def order_text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order table as it arrives in files: the date is text ``MM-dd-yy``."""
-    return order_view(spark, sf_dir).withColumn(
-        "Order_Date", F.date_format("Order_Date", "MM-dd-yy"))
-
-
 def panel_sales(spark: SparkSession, sf_dir: str, store_key: str = "n_regionkey") -> DataFrame:
     """Daily sales per (store_nbr, family) as observed (no zero rows).
 

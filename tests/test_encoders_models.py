@@ -87,3 +87,122 @@ def test_mlp_beats_mean_baseline(spark):
     mse = np.mean((pred.y - pred.prediction) ** 2)
     assert mse < np.var(y) * 0.5
     assert fit.loss_history[-1] < fit.loss_history[0]
+
+
+def test_mlp_does_not_depend_on_partitions(spark):
+    _, _, df = _xy(spark, n=600, p=3, seed=4)
+    runs = [MD.mlp_fit(df.repartition(n), "features", "y", hidden=8, epochs=3, batch_size=200) for n in (1, 4, 16)]
+    for r in runs[1:]:
+        assert np.allclose(r.loss_history, runs[0].loss_history, rtol=1e-9)
+        assert np.allclose(r.theta, runs[0].theta, rtol=1e-7, atol=1e-9)
+
+
+def test_mlp_gradient_against_differences():
+    rng = np.random.default_rng(0)
+    p, hidden = 3, 4
+    theta = rng.normal(size=(p + 1) * hidden + hidden + 1)
+    x, y = rng.normal(size=(20, p)), rng.normal(size=20)
+    got = MD._loss_gradient(theta, p, hidden, x, y)[:-2]
+    half = lambda t: 0.5 * MD._loss_gradient(t, p, hidden, x, y)[-2]
+    for i in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[i] = 1e-6
+        assert abs((half(theta + step) - half(theta - step)) / 2e-6 - got[i]) < 1e-4
+
+
+def test_gram_width_is_checked(spark, monkeypatch):
+    _, _, df = _xy(spark, n=20, p=5)
+    monkeypatch.setattr(MD, "MAX_GRAM_WIDTH", 6)
+    try:
+        MD.gram_fit(df, "features", "y")
+        raise AssertionError("no error")
+    except ValueError as e:
+        assert "7 columns" in str(e)
+
+
+def test_gram_fit_from_another_folder(tmp_path):
+    """Workers need no installed package: started outside the repository."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from salescope.session import local_session
+spark = local_session(1)
+from pyspark.ml.feature import VectorAssembler
+from salescope.operators import models as MD
+df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+    spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], "x double, y double"))
+fit = MD.gram_fit(df, "features", "y")
+print("FIT", round(fit.coef[0], 6), round(fit.intercept, 6))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SALESCOPE_DRIVER_MEMORY": "1g"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert "FIT 2.0 1.0" in out.stdout, out.stderr[-2000:]
+
+
+def test_lasso_matches_coordinate_descent(spark):
+    x, y, df = _xy(spark, n=300, p=4, seed=5)
+    alpha = 0.3
+    w = np.zeros(4)
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    for _ in range(500):
+        for j in range(4):
+            r = yc - xc @ w + xc[:, j] * w[j]
+            rho = xc[:, j] @ r / len(y)
+            w[j] = np.sign(rho) * max(abs(rho) - alpha, 0) / (xc[:, j] @ xc[:, j] / len(y))
+    fit = MD.lasso_fit(df, alpha, label="y")
+    assert np.allclose(fit.model.coefficients.toArray(), w, atol=1e-3)
+
+
+def test_poisson_matches_newton(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 2))
+    y = rng.poisson(np.exp(0.4 * x[:, 0] - 0.2 * x[:, 1] + 1.0)).astype(float)
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(
+        [(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, y double"))
+    alpha = 0.01
+    z, w = np.column_stack([np.ones(400), x]), np.zeros(3)
+    pen = alpha * np.diag([0.0, 1.0, 1.0])
+    for _ in range(50):  # mean half deviance + alpha / 2 |w|^2
+        mu = np.exp(z @ w)
+        w = w - np.linalg.solve(z.T @ (z * mu[:, None]) / 400 + pen, z.T @ (mu - y) / 400 + pen @ w)
+    fit = MD.poisson_fit(df, alpha, label="y")
+    assert np.allclose([fit.model.intercept, *fit.model.coefficients.toArray()], w, atol=5e-3)
+
+
+def test_iteration_limits_are_errors(spark):
+    _, _, df = _xy(spark, n=100, p=4, seed=7)
+    for fit in (lambda: MD.lasso_fit(df, 0.01, label="y", max_iter=1),
+                lambda: MD.poisson_fit(df.withColumn("y", F.abs("y")), 0.01, label="y", max_iter=1)):
+        try:
+            fit()
+            raise AssertionError("no error")
+        except RuntimeError as e:
+            assert "converge" in str(e)
+
+
+def test_boosted_trees_and_forests_beat_the_mean(spark):
+    x, y, df = _xy(spark, n=800, p=3, seed=8)
+    for fit in (MD.boost_fit(df, label="y", iters=20), MD.tree_fit(df, label="y", max_depth=6, min_leaf=5),
+                MD.forest_fit(df, label="y", trees=5, max_depth=6, min_leaf=5)):
+        pred = fit.predict(df).select("y", "prediction").toPandas()
+        assert np.mean((pred.y - pred.prediction) ** 2) < 0.5 * np.var(y)
+
+
+def test_code_table_over_many_ranges(spark):
+    from salescope.operators.encoders import code_table
+    values = [f"v{i:04d}" for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values[::-1]], "c string").repartition(7)
+    got = {r["c"]: r["c__code"] for r in code_table(df, "c").collect()}
+    assert got == {v: i for i, v in enumerate(values)}
+
+
+def test_medians_only_where_a_table_has_nulls(spark):
+    train = spark.createDataFrame([(1.0, 5.0, "a"), (3.0, 7.0, "b")], "x double, z double, c string")
+    test = spark.createDataFrame([(None, 6.0, "a")], "x double, z double, c string")
+    prep = FeaturePrep(["x", "z"], ["c"], "ordinal").fit(train, others=[test])
+    assert prep.medians == {"x": 2.0}
+    assert prep.transform(test).select(vector_to_array("features").alias("f")).first()["f"] == [2.0, 6.0, 0.0]

@@ -18,8 +18,7 @@ def _frame(spark, rng, n_groups=3, n=3000):
 
 @pytest.mark.parametrize("accuracy", [50, 200, 100000])
 def test_grouped_exact_against_numpy(spark, accuracy):
-    # accuracy 50 / 200 send every group through the sketch + bracket path,
-    # 100000 through the built-in exact path
+    # a coarse sketch makes wide brackets, a fine one narrow ones
     df, rows = _frame(spark, np.random.default_rng(1))
     got = {r["k"]: r for r in exact_percentiles(df, "v", PROBS, by="k", accuracy=accuracy).collect()}
     for g in ("g0", "g1", "g2"):
@@ -69,3 +68,23 @@ def test_many_probabilities_path(spark):
     for k, sel in (("a", np.arange(3000) % 2 == 1), ("b", np.arange(3000) % 2 == 0)):
         res = np.array([got[k][f"q{i}"] for i in range(100)])
         assert np.allclose(res, np.quantile(vals[sel], probs), atol=1e-9)
+
+
+def test_missed_brackets_are_found_again(spark):
+    """Brackets without a margin miss ranks; wider ones give the exact answer."""
+    rng = np.random.default_rng(11)
+    vals = rng.normal(size=4000)
+    rows = [("a", float(v)) for v in vals] + [("b", float(v)) for v in vals[:7]]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in exact_percentiles(df, "v", PROBS, by="k", accuracy=20, margin=0.2).collect()}
+    assert np.allclose([got["a"][f"q{i}"] for i in range(len(PROBS))], np.quantile(vals, PROBS), atol=1e-12)
+    assert np.allclose([got["b"][f"q{i}"] for i in range(len(PROBS))], np.quantile(vals[:7], PROBS), atol=1e-12)
+
+
+def test_many_levels_take_the_same_path(spark):
+    rng = np.random.default_rng(12)
+    vals = np.round(rng.normal(size=3000), 1)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    probs = [i / 255 for i in range(256)]
+    r = exact_percentiles(df, "v", probs, accuracy=200).first()
+    assert np.allclose([r[f"q{i}"] for i in range(256)], np.quantile(vals, probs), atol=1e-12)

@@ -48,3 +48,51 @@ def test_lookups_are_train_only(spark):
     # same train rows; float sums may differ in the last bits between runs
     assert all(abs(a.defaults[k] - b.defaults[k]) <= 1e-9 * max(1.0, abs(a.defaults[k]))
                for k in a.defaults)
+
+
+def test_bundles_of_every_model_kind(spark):
+    """Saved and loaded models give equal predictions, in units of the target."""
+    prep = OM.prepare_model_data(order_view(spark, SF))
+    numeric, categorical, feats = OM.feature_sets(False)
+    train, test = prep.train.limit(2000).persist(), prep.test.limit(200).persist()
+    oh = FeaturePrep(numeric, categorical, "onehot").fit(train)
+    od = FeaturePrep(numeric, categorical, "ordinal").fit(train, like=oh)
+    v_oh = oh.transform(train).withColumn("y", F.log1p(OM.TARGET)).persist()
+    v_od = od.transform(train).persist()
+    kinds = [
+        (MD.ridge_fit(v_oh, 1.0, label=OM.TARGET), oh, False),
+        (MD.lasso_fit(v_oh, 0.2, label=OM.TARGET), oh, False),
+        (MD.boost_fit(v_od, label=OM.TARGET, iters=5), od, False),
+        (MD.gram_fit(v_oh, "features", "y", alpha=1.0), oh, True),
+        (MD.linear_svr_fit(v_oh, "features", "y", epochs=3), oh, True),
+        (MD.mlp_fit(v_oh, "features", "y", hidden=4, epochs=1), oh, True),
+        (MD.mean_fit(train, OM.TARGET), oh, False),
+    ]
+    for model, p, log in kinds:
+        bundle = Bundle(model, p, prep.lookups, prep.defaults, feats, log)
+        path = f"{checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+        save_bundle(bundle, path)
+        loaded = load_bundle(spark, path)
+        assert type(loaded.model) is type(model) and loaded.log_target is log
+        a = [r["prediction"] for r in bundle.predict(test).orderBy("Order_ID", "Revenue").select("prediction").collect()]
+        b = [r["prediction"] for r in loaded.predict(test).orderBy("Order_ID", "Revenue").select("prediction").collect()]
+        assert a == b or max(abs(x - y) for x, y in zip(a, b)) < 1e-9 * max(map(abs, a))
+
+
+def test_feature_lists_of_the_models():
+    assert OM.quantity_feature_set()[0] == [
+        "Unit_Price", "year", "month", "quarter", "day_of_week", "is_weekend",
+        "product_order_count", "product_avg_quantity", "category_avg_quantity",
+        "sub_category_avg_quantity", "state_avg_quantity", "region_avg_quantity"]
+    assert len(OM.feature_sets(True)[2]) == 28 and len(OM.feature_sets(False)[2]) == 27
+
+
+def test_unknown_variant_is_an_error(spark):
+    from salescope.functions.columns import VARIANT_NOTES, variant_note
+    ok = spark.createDataFrame([(v,) for v in VARIANT_NOTES], "v string").select(variant_note("v").alias("n"))
+    assert {r["n"] for r in ok.collect()} == set(VARIANT_NOTES.values())
+    try:
+        spark.createDataFrame([("other",)], "v string").select(variant_note("v")).collect()
+        raise AssertionError("no error")
+    except Exception as e:
+        assert "unknown model variant" in str(e)

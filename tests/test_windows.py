@@ -65,3 +65,16 @@ def test_best_by_tie_goes_to_first_listed(spark):
     df = spark.createDataFrame([("v", "m1", 1.0, 0), ("v", "m2", 1.0, 1), ("v", "m3", 2.0, 2)],
                                "variant string, model string, RMSE double, listing_order int")
     assert WN.best_by(df, "variant", "RMSE", "listing_order").first()["model"] == "m1"
+
+
+def test_recent_windows_read_only_their_months(spark):
+    import datetime
+
+    from salescope.plans import store_sales as S
+    from salescope.session import materialize
+    rows = [(datetime.date(2020, 1, 1) + datetime.timedelta(days=i), float(i)) for i in range(900)]
+    kept = materialize(spark.createDataFrame(rows, "date date, sales double"), "by-month", by_month_of="date")
+    sp = S.recent_window_split(kept)
+    plan = sp.valid._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_start" in plan and "month_start" in plan
+    assert sp.valid.count() == 16 and sp.fit.count() == 365
