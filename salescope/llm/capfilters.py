@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 from salescope.llm.common import connected_components, keep, release, ship
 
 THRESHOLD = 0.93
-PER_FILTER = 16
+PER_FILTER = 64
 MISS = 0.002
 TRIALS = 2000
 #: Directions that a pair at the threshold is expected to share in one code.
-SHARED = 4.0
+SHARED = 1.0
 MAX_CODES = 64
 PART = 512
 SEED = 20_240_501
@@ -171,22 +171,30 @@ def usable_vectors(rows: DataFrame) -> DataFrame:
     return same.withColumn("dim", F.size("embedding")).withColumn("node", F.monotonically_increasing_id())
 
 
-def _links_in(a: pd.DataFrame, b: pd.DataFrame, same: bool, threshold: float) -> pd.DataFrame:
-    """Links of one direction between the vectors ``a`` and ``b`` (``same``:
-    they are the same part): of each linked node the copies it links with and
-    the smallest node that it reaches here.  A pair counts only in the first
-    direction that its vectors share."""
-    nothing = pd.DataFrame({"node": [], "n": [], "to": []}).astype("int64")
-    linked = np.stack(a["unit"].to_list()) @ np.stack(b["unit"].to_list()).T >= threshold
+@dataclass
+class _Part:
+    """Vectors of one part of a direction."""
+    unit: np.ndarray
+    node: np.ndarray
+    copies: np.ndarray
+    filters: list
+
+
+def _links_in(here: int, a: _Part, b: _Part, same: bool, threshold: float) -> list[tuple]:
+    """Links of the direction ``here`` between the vectors ``a`` and ``b``
+    (``same``: they are the same part): of each linked node the copies it links
+    with and the smallest node that it reaches here, as (nodes, copies,
+    reached) arrays.  A pair counts only in the first direction that its
+    vectors share."""
+    linked = a.unit @ b.unit.T >= threshold
     if same:
         np.fill_diagonal(linked, False)
-    # directions before this one, of the vectors that link with any
     rows, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
     if not len(rows):
-        return nothing
-    here = int(a["filter"].iloc[0])
-    before = lambda part, at: [f[f < here] for f in (np.asarray(part["filters"].iloc[i]) for i in at)]
-    mine, theirs = before(a, rows), before(b, cols)
+        return []
+    # directions before this one, of the vectors that link with any
+    mine = [a.filters[i][a.filters[i] < here] for i in rows]
+    theirs = [b.filters[j][b.filters[j] < here] for j in cols]
     known, where = np.unique(np.concatenate([*mine, *theirs]), return_inverse=True)
     if len(known):
         def incidence(lists: list[np.ndarray], at: np.ndarray) -> np.ndarray:
@@ -197,21 +205,37 @@ def _links_in(a: pd.DataFrame, b: pd.DataFrame, same: bool, threshold: float) ->
         split = sum(map(len, mine))
         linked[np.ix_(rows, cols)] &= incidence(mine, where[:split]) @ incidence(theirs, where[split:]).T == 0
     if not linked.any():
-        return nothing
-    left, right = a["node"].to_numpy(np.int64), b["node"].to_numpy(np.int64)
-    low_l, low_r, top = left.copy(), right.copy(), np.iinfo(np.int64).max
+        return []
+    low_l, low_r, top = a.node.copy(), b.node.copy(), np.iinfo(np.int64).max
     while True:  # the smallest node spreads along the links
         new_l = np.minimum(low_l, np.where(linked, low_r[None, :], top).min(axis=1))
         new_r = new_l if same else np.minimum(low_r, np.where(linked, new_l[:, None], top).min(axis=0))
         if (new_l == low_l).all() and (new_r == low_r).all():
             break
         low_l, low_r = new_l, new_r
-    out = [pd.DataFrame({"node": left, "n": linked.astype(np.int64) @ b["copies"].to_numpy(np.int64), "to": low_l})]
-    if not same:
-        out.append(pd.DataFrame({"node": right, "n": linked.T.astype(np.int64) @ a["copies"].to_numpy(np.int64),
-                                 "to": low_r}))
-    out = pd.concat(out)
-    return out[out["n"] > 0]
+    out = []
+    for part, hit, copies, low in ((a, linked, b.copies, low_l), *([] if same else [(b, linked.T, a.copies, low_r)])):
+        n = hit.astype(np.int64) @ copies
+        out.append((part.node[n > 0], n[n > 0], low[n > 0]))
+    return out
+
+
+_KEY = ["label", "filter", "lo", "hi"]
+
+
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Consecutive rows of one key, from batches of rows sorted by it."""
+    rest = None
+    for b in batches:
+        b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+        change = np.flatnonzero((b[_KEY].to_numpy()[1:] != b[_KEY].to_numpy()[:-1]).any(axis=1)) + 1
+        first = 0
+        for at in change:
+            yield b.iloc[first:at]
+            first = at
+        rest = b.iloc[first:]
+    if rest is not None and len(rest):
+        yield rest
 
 
 def cap_links(nodes: DataFrame, code: CodeFamily, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -232,31 +256,52 @@ def cap_links(nodes: DataFrame, code: CodeFamily, threshold: float) -> tuple[Dat
     decoded = keep(nodes.select("node", "label", "copies", "embedding").mapInPandas(
         decode, f"node long, label {label}, copies long, unit array<double>, filters array<long>"), "cap-decoded")
     met = decoded.select("node", "label", F.explode("filters").alias("filter"))
-    # how many vectors a direction has, and so in how many parts it is worked off
-    # (kept: a join of two shuffles can be split at a direction with very many)
-    sizes = keep(met.groupBy("label", "filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn(
-        "parts", F.ceil(F.col("n") / PART).cast("int")).select("label", "filter", "parts"), "cap-sizes")
-    members = decoded.select("*", F.explode("filters").alias("filter")).join(sizes, ["label", "filter"])
-    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    pairs = members.withColumn("part", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # directions with many vectors are worked off in parts (a short table)
+    split = keep(met.groupBy(F.col("label").alias("l"), F.col("filter").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > PART).select("l", "f", F.ceil(F.col("n") / PART).cast("int").alias("p")),
+                 "cap-parts")
+    members = decoded.withColumn("filter", F.explode("filters")).join(
+        split, (F.col("label") == F.col("l")) & (F.col("filter") == F.col("f")), "left")
+    parts = F.coalesce("p", F.lit(1))
+    pairs = members.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), parts - 1)))
     pairs = pairs.withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other"))
 
-    def links(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, _, lo, hi = key
-        if lo == hi:
-            return _links_in(group, group, True, threshold)
-        first = group["part"].to_numpy() == lo
-        if first.all() or not first.any():
-            return pd.DataFrame({"node": [], "n": [], "to": []}).astype("int64")
-        return _links_in(group[first], group[~first], False, threshold)
-
-    found = keep(pairs.groupBy("label", "filter", "lo", "hi").applyInPandas(links, "node long, n long, to long"),
-                 "cap-links")
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple] = []
+        for g in _groups(batches):
+            if len(g) < 2:
+                continue
+            here, lo, hi = int(g["filter"].iloc[0]), g["lo"].iloc[0], g["hi"].iloc[0]
+            every = _Part(np.stack(g["unit"].to_list()), g["node"].to_numpy(np.int64),
+                          g["copies"].to_numpy(np.int64), [np.asarray(f) for f in g["filters"]])
+            if lo == hi:
+                found += _links_in(here, every, every, True, threshold)
+            else:
+                first = np.flatnonzero(g["part"].to_numpy() == lo)
+                rest = np.flatnonzero(g["part"].to_numpy() != lo)
+                if len(first) and len(rest):
+                    a, b = [_Part(every.unit[i], every.node[i], every.copies[i], [every.filters[j] for j in i])
+                            for i in (first, rest)]
+                    found += _links_in(here, a, b, False, threshold)
+            if sum(len(x[0]) for x in found) > 50_000:
+                yield _link_rows(found)
+                found = []
+        if found:
+            yield _link_rows(found)
+
+    columns = [*_KEY, "part", "node", "copies", "unit", "filters"]
+    dealt = pairs.select(*columns).repartition(*_KEY).sortWithinPartitions(*_KEY)
+    found = keep(dealt.mapInPandas(links, "node long, n long, to long"), "cap-links")
     release(decoded)
     edges = found.select(F.col("node").alias("a"), F.col("to").alias("b")).where("a <> b").distinct()
     return found.groupBy("node").agg(F.sum("n").alias("linked")), edges
 
 
+def _link_rows(found: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({name: np.concatenate([x[i] for x in found]) for i, name in enumerate(("node", "n", "to"))})
+
+
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row for each row of
     ``rows`` (``vec_id, embedding, label``).
