@@ -16,17 +16,19 @@ from salescope.operators import encoders as EN
 from salescope.operators import joins as J
 from salescope.operators import metrics as M
 from salescope.operators import models as MD
+from salescope.operators import quality as Q
 from salescope.operators import windows as WN
 from salescope.plans import modeling as ML
 from salescope.plans import order_model as OM
 from salescope.plans import store_sales as S
 from salescope.plans.catalog import (FLAT_CTE, HOLIDAYS_CTE, OIL_CTE, PANEL_CTE, STORES_CTE,
                                      TRANSACTIONS_CTE, register, with_ctes)
-from salescope.plans.q_orders import KEY, _diag_sql, flat, prepared
+from salescope.plans.q_orders import KEY, ORDER_COLS, _diag_sql, flat, prepared
 from salescope.plans.q_panel import (_SPLIT_CTES, _TEST_CTES, feature_frame, ff_sql, tables, train)
 from salescope.plans.scoring import parse_json_orders
 from salescope.session import checkpoint_dir
 from salescope.sources.panel import PANEL_SCHEMAS, read_panel
+from salescope.sources.sinks import write_metrics, write_sections
 
 _TRAIN_CTE = f"train AS (SELECT * FROM flat WHERE Order_Date < DATE '{OM.TEST_START}')"
 _TEST_CTE = f"test AS (SELECT * FROM flat WHERE Order_Date >= DATE '{OM.TEST_START}')"
@@ -405,3 +407,42 @@ SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 2) AS mean, round
        round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 2) AS p75 FROM panel""" for c in ("sales", "onpromotion"))))
 def q_describe_panel(spark, sf):
     return A.describe_numeric(train(spark, sf), ("sales", "onpromotion"))
+
+
+# ------------------------------------------------------------ written reports
+
+def eda_sections(orders) -> dict:
+    """The sections of the exploratory summary, each a small table."""
+    numeric = ("Quantity", "Unit_Price", "Revenue", "Profit")
+    return {
+        "checks": Q.dataset_checks(orders, []), "missing": Q.missing_by_column(orders, "orders"),
+        "target": A.target_summary(orders), "describe": A.describe_numeric(orders, numeric),
+        "cardinality": A.cardinality(orders), "correlation": A.correlation_long(orders, numeric),
+        "categories": A.value_counts(orders, "Category"), "regions": A.group_sales(orders, "Region"),
+    }
+
+
+@register("eda_summary_written", group="sinks", sql=_orders_sql("""
+SELECT 'checks' AS section, 1 AS rows UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'target', 1
+UNION ALL SELECT 'describe', 4 UNION ALL SELECT 'cardinality', 14 UNION ALL SELECT 'correlation', 16
+UNION ALL SELECT 'categories', count(DISTINCT Category) FROM flat
+UNION ALL SELECT 'regions', least(count(DISTINCT Region), 10) FROM flat"""))
+def q_eda_written(spark, sf):
+    """The exploratory summary written as JSON sections, read back and counted."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/eda-{uuid.uuid4().hex}"
+    sections = eda_sections(flat(spark, sf).select(*ORDER_COLS))
+    write_sections(sections, path)
+    return ML.union_all([spark.read.schema(df.schema).json(f"{path}/{name}").agg(
+        F.lit(name).alias("section"), F.count(F.lit(1)).alias("rows")) for name, df in sections.items()])
+
+
+@register("metrics_written", group="sinks", sql=_orders_sql(" UNION ALL ".join(
+    f"SELECT 'Baseline_{n}' AS model, {_metric_sql('Revenue - c', 'Revenue')}, 28 AS feature_count "
+    f"FROM test, (SELECT {f}(CAST(Revenue AS DOUBLE)) AS c FROM train)"
+    for n, f in (("Mean", "avg"), ("Median", "median"))), _TRAIN_CTE, _TEST_CTE))
+def q_metrics_written(spark, sf):
+    """Metric rows with their feature list written as JSON lines and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/metrics-{uuid.uuid4().hex}"
+    rows = q_constants(spark, sf).withColumn("features", F.array(*[F.lit(c) for c in OM.feature_sets(True)[2]]))
+    write_metrics(rows, path)
+    return spark.read.schema("model string, MAE double, MSE double, RMSE double, R2 double, feature_count int").json(path)
