@@ -110,9 +110,7 @@ class SuffixTree:
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Summed natural-log ratios of each text of word numbers, its end included."""
         line, at, sizes = symbol_line(texts)
-        sums = np.concatenate([[0.0], np.cumsum(self.log_ratios(line, at))])
-        ends = np.cumsum(sizes)
-        return sums[ends] - sums[ends - sizes]
+        return np.add.reduceat(self.log_ratios(line, at), np.cumsum(sizes) - sizes)
 
 
 def symbol_line(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -258,6 +256,23 @@ def fit_tree(ids: DataFrame, hot: np.ndarray, n_texts: int, total: int, root: np
     return grow_tree(levels, total, root, sizes)
 
 
+def most_frequent(words: DataFrame, most: int) -> pd.DataFrame:
+    """At most ``most`` of the words with the highest counts, in order.  Counts
+    are first binned on a fine log scale (a short histogram); only words from
+    the lowest bin on with which they are no more than ``most`` leave the
+    tasks.  (Sorting with a limit would send so many rows of every task.)"""
+    place = F.floor(F.log2("n") * 16)
+    bins = words.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("k")).collect()
+    lowest, total = None, 0
+    for r in sorted(bins, reverse=True):
+        total += r.k
+        if total > most:
+            break
+        lowest = r.bin
+    found = words.limit(0) if lowest is None else words.where(place >= lowest)
+    return found.select("word", "n").toPandas().sort_values(["n", "word"], ascending=[False, True])
+
+
 def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> DataFrame:
     """One row for each row of ``docs``: its columns but ``text``, and
     ``n_tokens, n_known, train_tokens, base_score, score`` in place of columns
@@ -279,7 +294,7 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
     total = (facts.words or 0) + texts
     different = facts.different + (1 if texts else 0)
     scale = float(np.log10(total + ADD * (different + 1)))
-    top = words.orderBy(F.desc("n"), "word").limit(min(hot_words, HOT_WORDS)).toPandas()
+    top = most_frequent(words, min(hot_words, HOT_WORDS))
     hot_counts = top["n"].to_numpy(np.float64)
     root = np.full(EDGE + 1, np.log10(ADD) - scale)
     root[1:len(hot_counts) + 1] = np.log10(hot_counts + ADD) - scale
