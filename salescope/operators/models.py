@@ -287,7 +287,7 @@ def _converged(iterations: int, max_iter: int, what: str) -> None:
 
 
 def lasso_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label",
-              max_iter: int = 20_000, tol: float = 1e-8) -> SparkFit:
+              max_iter: int = 20_000, tol: float = 1e-7) -> SparkFit:
     """1/(2n) |y - Xw - b|^2 + alpha |w|_1, run until it converges (Spark's
     scaling by the label's deviation cancels out for this penalty)."""
     lr = LinearRegression(featuresCol=features, labelCol=label, regParam=alpha, elasticNetParam=1.0,
