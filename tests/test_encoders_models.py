@@ -82,7 +82,7 @@ def test_linear_svr_matches_numpy_full_batch(spark):
 
 def test_mlp_beats_mean_baseline(spark):
     x, y, df = _xy(spark, n=2000, p=4, seed=3)
-    fit = MD.mlp_fit(df, "features", "y", hidden=16, lr=0.01, epochs=20, batch_size=128)
+    fit = MD.mlp_fit(df, "features", "y", hidden=16, lr=0.03, epochs=20, batch_size=400)
     pred = fit.predict(df).select("y", "prediction").toPandas()
     mse = np.mean((pred.y - pred.prediction) ** 2)
     assert mse < np.var(y) * 0.5
