@@ -1,10 +1,11 @@
 """LM scoring with a probabilistic suffix tree.
 
 Symbols are tokens: the words of a text and one end.  A context is up to
-``DEPTH`` tokens before a symbol (the start of the text counts as a token).  A
-context is considered if it makes up ``MIN_SHARE`` of all training tokens, and
-it is kept if its own next-symbol distribution tells more than that of its
-suffix: the gain in log likelihood, ``N(s)`` times the divergence of the two
+``DEPTH`` tokens before a symbol (the start of the text counts as a token).
+Grams (a context and its next symbol) that occur ``MIN_COUNT`` times are
+listed, whatever the size of the corpus, and a context with listed symbols is
+kept if its own next-symbol distribution tells more than that of its suffix:
+the gain in log likelihood, ``N(s)`` times the divergence of the two
 distributions over the training tokens, must pay for its parameters at half the
 log of the number of training tokens each (minimum description length).
 Suffixes of kept contexts are kept.  Distributions are smoothed: what a
@@ -12,30 +13,40 @@ context's listed next symbols leave goes to the distribution of its suffix,
 and the root is the add-0.1 unigram distribution over all words.  A symbol is
 scored in the state of the longest kept suffix of what stands before it.
 
-All counts are over all training texts.  Next symbols are listed, and words
-and contexts looked at, from ``MIN_SHARE`` of the training tokens on; so there
-are at most ``1 / MIN_SHARE`` of them at each depth, whatever the corpus, which
-bounds the tree that is sent to tasks.  Grams of a length are only counted where
-their two shorter parts have that share.  The root has no such bound: the
-``HOT_WORDS`` most frequent words are sent to tasks, the others are joined.
+All counts are over all training texts and all words, so the tree grows with
+the corpus; it is a distributed table.  The ``HOT_ENTRIES`` most frequent
+contexts and grams are sent to tasks, the others are joined by a 64-bit key.
+Bit maps of fixed size (one bit a key) say which keys cannot be there: a key
+without its bit needs no count and no join; a full map only saves less.  The
+tree of a small corpus of numbered words is grown on the driver, with the same
+result.
 """
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.llm.codes import find
-from salescope.llm.common import keep, ship
+from salescope.llm.common import keep, release, ship
 
 DEPTH = 3
-MIN_SHARE = 2e-5
+#: Occurrences from which a gram is listed.
+MIN_COUNT = 2
+#: Training tokens up to which the tree is grown on the driver.
+LOCAL_TOKENS = 1_000_000
+#: Contexts and grams of the tree that are sent to tasks.
+HOT_ENTRIES = 1_000_000
+#: Bits of a bit map, as a power of two.
+MAP_BITS = 26
 #: Words with a number of their own (two bytes, two numbers are taken).
 HOT_WORDS = 65_534
 RARE, EDGE = 0, 65_535  # other words; the start (as context) and end (as symbol) of a text
@@ -45,6 +56,8 @@ FLUSH, FLUSH_GRAMS = 200_000, 2_000_000
 #: Tokens handled at a time.
 BATCH = 1 << 18
 BITS = np.uint64(16)
+#: Key of the empty context.
+NO_CONTEXT = 0x9E3779B97F4A7C15
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -113,16 +126,16 @@ class SuffixTree:
         return np.add.reduceat(self.log_ratios(line, at), np.cumsum(sizes) - sizes)
 
 
-def symbol_line(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def symbol_line(texts: list[np.ndarray], kind: type = np.uint16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one line, each after ``DEPTH`` starts and before its end:
     (line, places of the symbols to predict, symbols of each text)."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    line = np.full(int(sizes.sum()) + DEPTH * len(texts), EDGE, np.uint16)
+    line = np.full(int(sizes.sum()) + DEPTH * len(texts), EDGE, kind)
     at = np.arange(int(sizes.sum())) + np.repeat(DEPTH * (1 + np.arange(len(texts))), sizes)
     last = np.cumsum(sizes) - 1
     words = np.ones(len(at), bool)
     words[last] = False
-    line[at[words]] = np.concatenate(texts) if texts else np.zeros(0, np.uint16)
+    line[at[words]] = np.concatenate(texts) if texts else np.zeros(0, kind)
     return line, at, sizes
 
 
@@ -228,10 +241,9 @@ def grow_tree(levels: list[tuple[np.ndarray, np.ndarray]], total: int, root: np.
 
 
 def fit_tree(ids: DataFrame, hot: np.ndarray, n_texts: int, total: int, root: np.ndarray,
-             min_share: float = MIN_SHARE) -> SuffixTree:
-    """The tree over training rows ``ids``; ``hot``: counts of the numbered
-    words (by number, from 1)."""
-    least = max(min_share * total, 2)
+             least: int = MIN_COUNT) -> SuffixTree:
+    """The tree over training rows ``ids`` on the driver; ``hot``: counts of
+    the numbered words (by number, from 1)."""
     count = {i: float(c) for i, c in enumerate(hot, 1) if c >= least}
     if n_texts >= least:
         count[EDGE] = float(n_texts)
@@ -256,23 +268,301 @@ def fit_tree(ids: DataFrame, hot: np.ndarray, n_texts: int, total: int, root: np
     return grow_tree(levels, total, root, sizes)
 
 
-def most_frequent(words: DataFrame, most: int) -> pd.DataFrame:
-    """At most ``most`` of the words with the highest counts, in order.  Counts
-    are first binned on a fine log scale (a short histogram); only words from
-    the lowest bin on with which they are no more than ``most`` leave the
-    tasks.  (Sorting with a limit would send so many rows of every task.)"""
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def context_keys(line: np.ndarray, at: np.ndarray, depth: int) -> Iterator[np.ndarray]:
+    """Keys of the contexts of 1 to ``depth`` tokens before ``at``."""
+    key = np.full(len(at), NO_CONTEXT, np.uint64)
+    for d in range(1, depth + 1):
+        key = _mix(key + _mix(line[at - d]))
+        yield key
+
+
+def gram_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    return _mix((context ^ np.uint64(0xD1B54A32D192ED03)) + _mix(symbol))
+
+
+def _key_column(df: DataFrame, depth: int, symbol: bool) -> DataFrame:
+    """``df`` with the ``key`` of its context ``t1 .. t<depth>`` (with a symbol: and ``t0``)."""
+    names = [f"t{j}" for j in range(0 if symbol else 1, depth + 1)]
+
+    def keys(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for cols in batches:
+            cols = cols if isinstance(cols, tuple) else (cols,)  # of one column it comes bare
+            codes = [c.to_numpy(np.int64).view(np.uint64) for c in cols]
+            key = np.full(len(cols[0]), NO_CONTEXT, np.uint64)
+            for c in codes[symbol:]:
+                key = _mix(key + _mix(c))
+            yield pd.Series((gram_keys(key, codes[0]) if symbol else key).view(np.int64))
+
+    keys.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
+    return df.withColumn("key", F.pandas_udf(keys, "long")(*names))
+
+
+def bit_map(keys: DataFrame) -> np.ndarray:
+    """The bits of all keys (``key``) as words of 64, packed before they are collected."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            packed = []
+            for at, bits in zip(b["at"], b["bits"]):
+                out = np.zeros(1 << 10, np.int64)
+                out[np.asarray(at, np.int64)] = np.asarray(bits, np.int64)
+                packed.append(out.tobytes())
+            yield pd.DataFrame({"part": b["part"], "bits": packed})
+
+    place = F.shiftrightunsigned("key", 64 - MAP_BITS)
+    words = keys.select(place.alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr(
+        "shiftleft(1L, cast(p % 64 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    parts = words.groupBy(F.shiftright("w", 10).alias("part")).agg(F.collect_list(
+        F.struct((F.col("w") % 1024).alias("at"), "b")).alias("x")).select(
+        "part", F.col("x.at").alias("at"), F.col("x.b").alias("bits"))
+    out = np.zeros(1 << MAP_BITS - 6, np.uint64)
+    for r in parts.mapInPandas(pack, "part long, bits binary").collect():
+        out[r.part << 10:r.part + 1 << 10] = np.frombuffer(r.bits, np.uint64)
+    return out
+
+
+def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(64 - MAP_BITS)
+    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _lines(b: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of word numbers ``ids`` with the codes ``cold`` of words without one,
+    in batches: (first row, line of codes, places of the symbols, symbols of each text)."""
+    first, cold = 0, list(b["cold"])
+    for texts in _batches(list(b["ids"])):
+        codes = []
+        for i, t in enumerate(texts, first):
+            t = t.astype(np.uint64)
+            if len(cold[i]):
+                t[t == RARE] = np.asarray(cold[i], np.int64).view(np.uint64)
+            codes.append(t)
+        yield first, *symbol_line(codes, np.uint64)
+        first += len(texts)
+
+
+def code_counts(coded: DataFrame, depth: int, sent: Broadcast) -> DataFrame:
+    """``(t0 .. t<depth>, n)``: counts of the grams of ``depth`` context tokens
+    and a symbol as codes, symbol first, over rows of ``coded`` (``ids, cold``).
+    Left out are grams whose first or last ``depth`` tokens are not in the map ``sent``."""
+    names = [f"t{j}" for j in range(depth + 1)]
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gathered: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, ...]:
+            keys, n, *cols = (np.concatenate(x) for x in zip(*gathered))
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            return keys[first], np.add.reduceat(n[order], first), *(c[order[first]] for c in cols)
+
+        def hand_on() -> pd.DataFrame:
+            _, n, *cols = merged()
+            gathered.clear()
+            return pd.DataFrame({**{k: c.view(np.int64) for k, c in zip(names, cols)}, "n": n})
+
+        for b in batches:
+            for _, line, at, _ in _lines(b):
+                for d in range(2):  # the last tokens, then the first
+                    *_, shorter = [np.full(len(at), NO_CONTEXT, np.uint64),
+                                   *context_keys(line, at - d, depth - 1)]
+                    known = may_have(sent.value, gram_keys(shorter, line[at - d]))
+                    at = at[known | (line[at - 1] == EDGE) if d else known]
+                if not len(at):
+                    continue
+                *_, context = context_keys(line, at, depth)
+                keys, first, n = np.unique(gram_keys(context, line[at]), return_index=True, return_counts=True)
+                gathered.append((keys, n, *(line[at[first] - j] for j in range(depth + 1))))
+                size += len(keys)
+                if size >= FLUSH_GRAMS:
+                    gathered[:] = [merged()]
+                    size = len(gathered[0][0])
+                    if size >= FLUSH_GRAMS // 2:
+                        yield hand_on()
+                        size = 0
+        if gathered:
+            yield hand_on()
+
+    return (coded.select("ids", "cold").mapInPandas(count, ", ".join(f"{k} long" for k in [*names, "n"]))
+            .groupBy(*names).agg(F.sum("n").alias("n")))
+
+
+def _sweep(spark: SparkSession) -> None:
+    """Shuffle files of plans that are done go when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def grow_table(coded: DataFrame, symbols: DataFrame, n_texts: int, total: int, scale: float) -> DataFrame:
+    """The tree as a kept table ``(key, value, n)``: for contexts the log of the
+    weight they give to their suffix, for listed grams the log of the symbol's
+    probability over its probability at the root.  ``coded``: training rows
+    (``ids, cold``); ``symbols``: ``(t0, n)`` of all words and the end;
+    ``scale``: log of what counts at the root are divided by."""
+    spark = coded.sparkSession
+    price = 0.5 * float(np.log(max(total, 2)))
+    listed = symbols.where(F.col("n") >= MIN_COUNT)
+    below = keep(listed.withColumn("lp", F.log(F.col("n") + ADD) - scale).withColumn("root", F.col("lp")), "tree-0")
+    grams, contexts = [], []
+    for d in range(1, DEPTH + 1):
+        ctx, low = [f"t{j}" for j in range(1, d + 1)], [f"t{j}" for j in range(d)]
+        bits = spark.sparkContext.broadcast(bit_map(_key_column(below, d - 1, True)))
+        found = keep(code_counts(coded, d, bits).where(F.col("n") >= MIN_COUNT), f"tree-count-{d}")
+        bits.destroy()
+        # what ends a text is followed by nothing; the start stands before every text
+        sizes = below.where(F.col("t0") != EDGE).select(
+            *[F.col(f"t{j - 1}").alias(f"t{j}") for j in range(1, d + 1)], F.col("n").alias("size")).union(
+            spark.createDataFrame([(*[EDGE] * d, n_texts)], ", ".join(f"{c} long" for c in [*ctx, "size"])))
+        sums = found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("listed"), F.sum("n").alias("mass"))
+        room = F.col("size") + F.col("listed") + 1
+        sums = keep(sums.join(sizes, ctx).select(*ctx, "size", "listed", "mass", F.greatest(
+            1 - F.col("mass") / room, F.lit(1e-12)).alias("weight")), f"tree-sums-{d}")
+        _sweep(spark)
+        level = keep(found.join(sums.select(*ctx, "weight", room.alias("room")), ctx)
+                     .select(*low, f"t{d}", "n", (F.col("n") / F.col("room")).alias("own"), "weight")
+                     .join(below.select(*low, F.col("lp").alias("under"), "root"), low)
+                     .select(*low, f"t{d}", "n", "under", F.log(
+                         F.col("own") + F.col("weight") * F.exp("under")).alias("lp"), "root"), f"tree-{d}")
+        _sweep(spark)
+        gain = F.col("gain") + (F.col("size") - F.col("mass")) * F.log("weight")
+        contexts.append(keep(sums.join(level.groupBy(*ctx).agg(
+            F.sum(F.col("n") * (F.col("lp") - F.col("under"))).alias("gain")), ctx).select(
+            *ctx, F.col("size").alias("n"), F.log("weight").alias("value"),
+            (gain >= price * (F.col("listed") + 1)).alias("worth")), f"tree-contexts-{d}"))
+        grams.append(level)
+        release(found)
+        release(sums)
+        if d == 1:
+            release(below)
+        below = level
+        _sweep(spark)
+    parts, longer = [], None
+    for d in range(DEPTH, 0, -1):
+        ctx = [f"t{j}" for j in range(1, d + 1)]
+        stays = contexts[d - 1].where("worth")
+        if longer is not None:
+            suffixes = longer.select(*ctx).distinct()
+            stays = stays.union(contexts[d - 1].where("not worth").join(suffixes, ctx, "left_semi"))
+        longer = stays = keep(stays, f"tree-kept-{d}")
+        parts.append(_key_column(stays, d, False).select("key", "value", "n"))
+        parts.append(_key_column(grams[d - 1].join(stays.select(*ctx), ctx, "left_semi"), d, True).select(
+            "key", (F.col("lp") - F.col("root")).alias("value"), "n"))
+    tree = parts[0]
+    for x in parts[1:]:
+        tree = tree.union(x)
+    tree = keep(tree, "tree")
+    for x in [*grams, *contexts]:
+        release(x)
+    _sweep(spark)
+    return tree
+
+
+def table_ratios(coded: DataFrame, tree: DataFrame) -> DataFrame:
+    """``(__of, __ratio)``: summed natural-log ratios of each row of ``coded``
+    (``__n, ids, cold``) by the ``tree`` of ``grow_table``."""
+    hot = frequent(tree, HOT_ENTRIES)
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"keys": [b["key"].to_numpy(np.int64).tobytes()],
+                                "values": [b["value"].to_numpy(np.float64).tobytes()]})
+
+    most = tree.where(hot).select("key", "value").mapInPandas(pack, "keys binary, values binary").collect()
+    keys = np.frombuffer(b"".join(r["keys"] for r in most), np.uint64)
+    values = np.frombuffer(b"".join(r["values"] for r in most), np.float64)
+    order = np.argsort(keys)
+    rest = tree.where(~hot)
+    sent = tree.sparkSession.sparkContext.broadcast(
+        (keys[order], values[order], bit_map(rest)))
+
+    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, values, bits = sent.value
+
+        def looked(wanted: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Values (nan: not among the hot ones) and what must be joined."""
+            value, open_ = np.full(len(wanted), np.nan), np.zeros(len(wanted), bool)
+            place, hit = find(keys, wanted[alive])
+            value[alive[hit]] = values[place[hit]]
+            missed = alive[~hit]
+            open_[missed] = may_have(bits, wanted[missed])
+            return value, open_
+
+        for b in batches:
+            names = b["__n"].to_numpy(np.int64)
+            for first, line, at, sizes in _lines(b):
+                slots, total = [], np.zeros(len(at))
+                alive = np.arange(len(at))
+                undone = np.zeros(len(at), bool)
+                for d, key in enumerate(context_keys(line, at, DEPTH), 1):
+                    weight, open_ = looked(key, alive)
+                    alive = alive[~np.isnan(weight[alive]) | open_[alive]]
+                    gram = gram_keys(key, line[at])
+                    gain, open_gram = looked(gram, alive)
+                    total = np.where(np.isnan(gain), total + np.where(np.isnan(weight), 0, weight), gain)
+                    undone |= open_ | open_gram
+                    slots += [(2 * d, key, weight, open_), (2 * d + 1, gram, gain, open_gram)]
+                total[undone] = 0
+                of = names[first:first + len(sizes)]
+                yield pd.DataFrame({"__of": of, "at": -1, "slot": 0, "key": 0, "value": np.add.reduceat(
+                    total, np.cumsum(sizes) - sizes)})
+                of_symbol = np.repeat(of, sizes)
+                for slot, key, value, open_ in slots:
+                    for there, joins in ((np.flatnonzero(open_), True),
+                                         (np.flatnonzero(undone & ~np.isnan(value)), False)):
+                        if len(there):
+                            yield pd.DataFrame({"__of": of_symbol[there], "at": at[there], "slot": slot + 8 * joins,
+                                                "key": key[there].view(np.int64), "value": value[there]})
+
+    found = keep(coded.select("__n", "ids", "cold").mapInPandas(
+        look_up, "__of long, at long, slot int, key long, value double"), "tree-looked-up")
+    known = found.where("slot between 1 and 7").select("__of", "at", "slot", "value")
+    joined = found.where("slot >= 8").select("__of", "at", (F.col("slot") - 8).alias("slot"), "key").join(
+        rest.select("key", "value"), "key").select("__of", "at", "slot", "value")
+    each = known.union(joined).groupBy("__of", "at").agg(*[
+        F.max(F.when(F.col("slot") == k, F.col("value"))).alias(f"v{k}") for k in range(2, 2 * DEPTH + 2)])
+    total = F.lit(0.0)
+    for d in range(1, DEPTH + 1):
+        total = F.coalesce(f"v{2 * d + 1}", F.coalesce(f"v{2 * d}", F.lit(0.0)) + total)
+    return found.where("slot = 0").select("__of", "value").union(each.select("__of", total.alias("value"))).groupBy(
+        "__of").agg(F.sum("value").alias("__ratio"))
+
+
+def frequent(counted: DataFrame, most: int) -> Column:
+    """Condition that holds for at most ``most`` of the rows with the highest
+    ``n``.  Counts are binned on a fine log scale (a short histogram); rows from
+    the lowest bin on with which they are no more than ``most`` are taken."""
     place = F.floor(F.log2("n") * 16)
-    bins = words.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("k")).collect()
+    bins = counted.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("k")).collect()
     lowest, total = None, 0
     for r in sorted(bins, reverse=True):
         total += r.k
         if total > most:
             break
         lowest = r.bin
-    found = words.limit(0) if lowest is None else words.where(place >= lowest)
+    return F.lit(False) if lowest is None else place >= lowest
+
+
+def most_frequent(words: DataFrame, most: int) -> pd.DataFrame:
+    """At most ``most`` of the words with the highest counts, in order; only
+    these leave the tasks.  (Sorting with a limit would send so many rows of
+    every task.)"""
+    found = words.where(frequent(words, most))
     return found.select("word", "n").toPandas().sort_values(["n", "word"], ascending=[False, True])
 
 
+def _cold_code(word: Column) -> Column:
+    """Code of a word without a number: a hash with the sign set."""
+    return F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63)))
+
+
 def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> DataFrame:
     """One row for each row of ``docs``: its columns but ``text``, and
     ``n_tokens, n_known, train_tokens, base_score, score`` in place of columns
@@ -321,14 +611,25 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
     coded = keep(docs.select(*[F.col(f"`{c}`") for c in own], F.col(learns).alias("__learns"),
                              F.pandas_udf(encode, kind)("text").alias("__s"),
                              F.monotonically_increasing_id().alias("__n")), "tree-coded")
-    tree = fit_tree(coded.where("__learns").select("__s.ids"), hot_counts, texts, total, root * np.log(10))
-    sent = spark.sparkContext.broadcast(tree)
-
-    def ratio(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series(np.concatenate([sent.value.score(x) for x in _batches(list(s))] or [np.zeros(0)]))
-
-    ratio.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    lines = coded.select("__n", "__learns", "__s.ids", F.transform("__s.cold", _cold_code).alias("cold"))
+    if total <= LOCAL_TOKENS and facts.different <= len(top):
+        tree = fit_tree(coded.where("__learns").select("__s.ids"), hot_counts, texts, total, root * np.log(10))
+        sent = spark.sparkContext.broadcast(tree)
+
+        def ratio(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                sums = [sent.value.score(x) for x in _batches(list(b["ids"]))]
+                yield pd.DataFrame({"__of": b["__n"], "__ratio": np.concatenate([*sums, np.zeros(0)])})
+
+        ratios = lines.select("__n", "ids").mapInPandas(ratio, "__of long, __ratio double")
+    else:
+        numbered = spark.createDataFrame(pd.DataFrame({"word": [bytes(w) for w in top["word"]],
+                                                       "t0": np.arange(1, len(top) + 1)}), "word binary, t0 long")
+        symbols = words.join(F.broadcast(numbered), "word", "left").select(
+            F.coalesce("t0", _cold_code(F.col("word"))).alias("t0"), "n").union(
+            spark.createDataFrame([(EDGE, texts)], "t0 long, n long"))
+        ratios = table_ratios(lines, grow_table(lines.where("__learns"), symbols, texts, total,
+                                                   scale * float(np.log(10))))
     cold = coded.select("__n", F.explode("__s.cold").alias("word")).groupBy("word", "__n").agg(
         F.count(F.lit(1)).alias("times"))
     log = F.log10(F.coalesce("c", F.lit(0)) + ADD) - scale
@@ -336,10 +637,11 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
         F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("__known"),
         F.sum(F.col("times") * log).alias("__base"))
     scored = coded.select(*[F.col(f"`{c}`") for c in own], "__n", F.col("__s.tokens").alias("__tokens"),
-                          F.col("__s.known").alias("__hot"), F.col("__s.base").alias("__hot_base"),
-                          (F.pandas_udf(ratio, "double")("__s.ids") / float(np.log(10))).alias("__ratio"))
+                          F.col("__s.known").alias("__hot"), F.col("__s.base").alias("__hot_base"))
     base = F.col("__hot_base") + F.coalesce("__base", F.lit(0.0)) + F.lit(float(root[EDGE]))
-    return scored.join(joined, F.col("__n") == F.col("__of"), "left").select(
+    ratios = ratios.select(F.col("__of").alias("__text"), (F.col("__ratio") / float(np.log(10))).alias("__ratio"))
+    return scored.join(joined, F.col("__n") == F.col("__of"), "left").join(
+        ratios, F.col("__n") == F.col("__text")).select(
         *[F.col(f"`{c}`") for c in own], F.col("__tokens").alias("n_tokens"),
         (F.col("__hot") + F.coalesce("__known", F.lit(0)) + F.lit(1 if texts else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),

@@ -96,3 +96,22 @@ def test_odd_rows(spark):
     none = suffixtree.score_texts(docs.withColumn("learns", F.lit(False)), "learns").collect()
     assert {(r.n_known, r.train_tokens) for r in none} == {(0, 0)} and all(r.score == 0 for r in none)
     assert suffixtree.score_texts(docs.limit(0), "learns").count() == 0
+
+
+def test_tree_table_same_as_on_the_driver(spark, monkeypatch):
+    docs = table(spark, SF, "documents").select("doc_id", "text").withColumn("learns", F.col("doc_id") % 4 != 0)
+    want = {r.doc_id: r.score for r in suffixtree.score_texts(docs, "learns").collect()}
+    monkeypatch.setattr(suffixtree, "LOCAL_TOKENS", 0)
+    for words, entries in ((suffixtree.HOT_WORDS, suffixtree.HOT_ENTRIES), (300, 0), (300, 500)):
+        monkeypatch.setattr(suffixtree, "HOT_ENTRIES", entries)
+        got = {r.doc_id: r.score for r in suffixtree.score_texts(docs, "learns", words).collect()}
+        assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_listing_does_not_depend_on_the_size(spark):
+    # 150,000 tokens: a share of 2e-5 would ask for 3 occurrences
+    filler = " ".join(f"f{i % 7}" for i in range(1000))
+    rows = [(i, filler, "en", "a") for i in range(150)] + [(i, "rare pair " * 2, "en", "a") for i in (200,)]
+    out = suffixtree.score_texts(docs_of(spark, rows).withColumn("learns", F.lit(True)), "learns").collect()
+    (r,) = [r for r in out if r.doc_id == 200]
+    assert r.score > r.base_score + 5
