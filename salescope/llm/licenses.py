@@ -1,8 +1,10 @@
 """License scan by an exact set-similarity join.
 
-Blocks are the lines of a text, templates are license statements; a line
-matches a template if it contains ``threshold`` of the template's different
-words.  Words are ordered by their frequency over all lines of the corpus,
+Blocks are the lines of a text and, for statements that wrap, its paragraphs
+(no blank line inside) of several lines; of a longer paragraph, overlapping
+windows of words that hold every run of words as long as the longest template.
+Templates are license statements; a block, called a line below, matches a
+template if it contains ``threshold`` of the template's different words.  Words are ordered by their frequency over all lines of the corpus,
 rarest first.  A line and a template of ``t`` words with ``o`` words in common
 at least must share a word within the first ``t - o + 1`` of the template and
 ``l - o + 1`` of the line (prefix filter), the line must have ``o`` words
@@ -67,7 +69,7 @@ def template_sets(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[dic
         words = sorted(set(re.findall(WORDS, "".join(
             c.lower() if c.isascii() else c for c in text))))
         out.append({"k": k, "label": label, "words": words,
-                    "need": math.ceil(threshold * len(words) - 1e-9)})
+                    "need": math.ceil(threshold * len(words) - 1e-9), "run": len(re.findall(WORDS, text))})
     if sum(len(t["words"]) for t in out) > MAX_TEMPLATE_WORDS:
         raise ValueError("more template words than can be sent to every task; scan in parts")
     return out
@@ -100,9 +102,20 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def text_facts(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+def _windows(words: Column, vocab: Column, run: int) -> Column:
+    """Words in ``vocab`` of windows of ``2 * run`` words, so far apart that
+    each run of ``run`` words lies in one."""
+    size, step = 2 * run, run + 1
+    last = F.greatest(F.lit(0), F.ceil((F.size(words) - size) / step)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.array_intersect(
+        F.slice(words, i * step + 1, F.lit(size)), vocab))
+
+
+def text_facts(rows: DataFrame, vocabulary: list[str], run: int = 0) -> DataFrame:
     """From ``__row, doc_id, text``: number of words, phrase places, and each
-    line's words that are in ``vocabulary``: ``lines`` (array of line, words)."""
+    line's words that are in ``vocabulary``: ``lines`` (array of line, words),
+    and ``blocks``, the same of the windows of paragraphs of several lines
+    (none if ``run`` is 0)."""
     breaks = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
     clean = rows.select("__row", "doc_id", F.regexp_replace(
         lower_ascii(F.coalesce("text", F.lit(""))), breaks, " ").alias("__clean"))
@@ -114,20 +127,27 @@ def text_facts(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
     lines = F.filter(F.transform(F.split("__clean", "\n"), lambda l, i: F.struct(
         i.alias("line"), F.array_intersect(F.split(l, " "), vocab).alias("words"))),
         lambda x: F.size(x["words"]) > 0)
+    none = F.array().cast("array<struct<line:int,words:array<string>>>")
+    paragraphs = F.filter(F.split("__clean", "\n *\n"), lambda x: x.rlike("[^ \n] *\n+ *[^ \n]"))
+    # two steps: a paragraph is split once, not again for each window
+    split = F.transform(paragraphs, lambda x: F.split(F.trim(F.regexp_replace(x, "[ \n]+", " ")), " "))
+    windows = F.flatten(F.transform(split, lambda x: _windows(x, vocab, run)))
+    blocks = F.filter(F.transform(windows, lambda x, i: F.struct(i.alias("line"), x.alias("words"))),
+                      lambda x: F.size(x["words"]) > 0) if run else none
     return clean.withColumn("__flat", flat).select(
         "__row", "doc_id",
         F.when(F.col("__flat") == "", 0).otherwise(
             F.length("__flat") - F.length(F.translate("__flat", " ", "")) + 1).cast("long").alias("n_words"),
         F.coalesce(places, F.array().cast("array<struct<start:bigint,label:string>>")).alias("places"),
-        lines.alias("lines"))
+        lines.alias("lines"), blocks.alias("blocks"))
 
 
-def template_matches(facts: DataFrame, sets: list[dict]) -> DataFrame:
+def template_matches(facts: DataFrame, sets: list[dict], of: str = "lines") -> DataFrame:
     """The join: ``(__row, line, template, label, containment)`` of every line
-    of ``text_facts`` that meets the threshold of a template."""
+    (or block, ``of``) of ``text_facts`` that meets the threshold of a template."""
     spark = facts.sparkSession
     vocabulary = sorted({w for t in sets for w in t["words"]})
-    lines = facts.select("__row", F.explode("lines").alias("x")).select(
+    lines = facts.select("__row", F.explode(of).alias("x")).select(
         "__row", F.col("x.line").alias("line"), F.col("x.words").alias("words"))
     # frequencies over all lines, one row for each template word
     count = {r.word: r.n for r in lines.select(F.explode("words").alias("word"))
@@ -166,7 +186,8 @@ def template_matches(facts: DataFrame, sets: list[dict]) -> DataFrame:
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_words, places`` (phrase
     places as (start, label)), ``matches`` (array of line, template, label,
-    containment).
+    containment), ``block_matches`` (the same of paragraphs of several lines
+    or their windows, numbered in order).
 
     Null and empty texts have no word and no match.  Repeated rows each give
     a row; null ids stay null.  Only ``doc_id`` and ``text`` are read.  An
@@ -175,9 +196,13 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     """
     sets = template_sets(templates, threshold)
     vocabulary = sorted({w for t in sets for w in t["words"]})
-    facts = keep(text_facts(with_row_id(docs).select("__row", "doc_id", "text"), vocabulary), "license-facts")
-    by_row = template_matches(facts, sets).groupBy(F.col("__row").alias("__of")).agg(F.array_sort(F.collect_list(
-        F.struct("line", "template", "label", "containment"))).alias("matches"))
+    facts = keep(text_facts(with_row_id(docs).select("__row", "doc_id", "text"), vocabulary,
+                            max(t["run"] for t in sets)), "license-facts")
+    out = facts.drop("lines", "blocks")
     empty = F.array().cast("array<struct<line:int,template:int,label:string,containment:double>>")
-    return facts.drop("lines").join(by_row, F.col("__row") == F.col("__of"), "left").select(
-        "doc_id", "n_words", "places", F.coalesce("matches", empty).alias("matches"))
+    for of, name in (("lines", "matches"), ("blocks", "block_matches")):
+        by_row = template_matches(facts, sets, of).groupBy(F.col("__row").alias("__of")).agg(F.array_sort(
+            F.collect_list(F.struct("line", "template", "label", "containment"))).alias(name))
+        out = out.join(by_row, F.col("__row") == F.col("__of"), "left").drop("__of")
+    return out.select("doc_id", "n_words", "places", F.coalesce("matches", empty).alias("matches"),
+                      F.coalesce("block_matches", empty).alias("block_matches"))

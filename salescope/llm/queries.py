@@ -85,8 +85,8 @@ def op9_cap_filter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     base = F.array_sort(F.array_distinct("places.label"))
-    labels = F.array_sort(F.array_distinct(F.concat(base, "matches.label")))
-    best = F.array_max("matches.containment")
+    labels = F.array_sort(F.array_distinct(F.concat(base, "matches.label", "block_matches.label")))
+    best = F.array_max(F.concat("matches.containment", "block_matches.containment"))
     return found.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places.start").alias("first_word"), F.array_max("places.start").alias("last_word"),

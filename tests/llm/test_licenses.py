@@ -64,3 +64,23 @@ def test_phrases_across_lines_and_odd_rows(spark):
     assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
     with pytest.raises(ValueError):
         licenses.template_sets([("x", " ".join(f"w{i}" for i in range(30_000)))])
+
+
+WRAPPED = """Copyright (c) 2020 Someone
+
+# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction"""
+
+
+def test_statements_that_wrap_over_lines(spark):
+    prose = "\n".join(" ".join(f"p{i}x{j}" for j in range(9)) for i in range(40))
+    texts = [WRAPPED] + [prose[:n] + "\n" + WRAPPED.split("\n\n")[1] + "\n" + prose for n in range(100, 700, 37)] + [
+        "Permission is hereby granted, free of charge, to any person\n\nobtaining a copy of this software "
+        "and associated documentation files"]
+    out = {r.doc_id: r for r in licenses.scan_licenses(
+        docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    assert all(not r.matches for r in out.values())
+    last = len(texts) - 1
+    assert all({m.label for m in out[i].block_matches} == {"mit-license"} for i in range(last))
+    assert out[last].block_matches == []
