@@ -60,8 +60,8 @@ def op6_credential_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[of(k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
         F.sha2(listed("base"), 256).alias("base_sha256"),
-        listed(F.array_sort(F.concat("base", "linked"))).alias("spans"),
-        F.size("linked").cast("long").alias("n_linked"))
+        listed(F.array_sort(F.concat("base", "linked", "paired"))).alias("spans"),
+        (F.size("linked") + F.size("paired")).cast("long").alias("n_linked"))
 
 
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

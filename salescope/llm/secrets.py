@@ -6,9 +6,12 @@ secret key, service endpoints), which mean nothing alone.  A scope is a
 paragraph (no blank line inside).  Weak candidates are interval-joined with
 the access ids and assignments of their scope: each part covers the bins of
 ``window`` characters around it, parts meet on (row, scope, bin), and a weak
-candidate is reported only if a complementary part lies within ``window``
-characters.  A bin holds few spans as spans of a kind do not overlap, so the
-join's size follows the text.
+candidate is linked if such a part lies within ``window`` characters.  A bin
+holds few spans as spans of a kind do not overlap, so the join's size follows
+the text.  A weak candidate that is not linked is paired if a complementary
+part stands anywhere in its scope: for a key an access id, an assignment or an
+endpoint, for an endpoint an access id, an assignment or a key.  That asks
+only which kinds a scope has, so no pairs are made.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 # Weak candidates.
-KEY = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=])")
+KEY = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=])")
 ENDPOINT = re.compile(r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis|amqp)://[^\s\"'<>]+"
                       r"|(?<![\w.-])(?:[a-z0-9-]+\.)*(?:amazonaws|azure|googleapis)\.com(?![\w-])")
 KEY_BITS = 3.5
@@ -64,13 +67,12 @@ def find_parts(text: str | None) -> list[tuple[int, int, str, int, int]]:
         found += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text)
                   if m.end() - m.start() >= ACCESS_LENGTH]
     found += [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
-    breaks: list[int] = []
-    if any(kind != "hex" for _, kind, _ in found):  # else a weak candidate has no complement here
-        found += [(m.start(), "key", m.end()) for m in KEY.finditer(text)
-                  if len(set(map(str.isdigit, m.group()))) == 2 and not HEX.fullmatch(m.group())
-                  and entropy(m.group()) >= KEY_BITS]
+    found += [(m.start(), "key", m.end()) for m in KEY.finditer(text)
+              if len(set(map(str.isdigit, m.group()))) == 2 and not HEX.fullmatch(m.group())
+              and entropy(m.group()) >= KEY_BITS]
+    if "://" in text or ".com" in text:
         found += [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
-        breaks = [m.start() for m in SCOPE_BREAK.finditer(text)]
+    breaks = [m.start() for m in SCOPE_BREAK.finditer(text)] if found else []
     out, scope = [], 0
     for start, kind, end in sorted(found, key=lambda x: (x[0], RANK[x[1]])):
         while scope < len(breaks) and breaks[scope] < start:
@@ -79,24 +81,51 @@ def find_parts(text: str | None) -> list[tuple[int, int, str, int, int]]:
     return out
 
 
+def complemented(parts: list[tuple[int, int, str, int, int]]) -> list[tuple[int, int, str, int, int]]:
+    """The weak candidates of ``find_parts`` that have a complementary part in
+    their scope and are not inside an access id or assignment.  A key inside an
+    endpoint (a path) is no complement of an endpoint."""
+    kinds: dict[int, set[str]] = {}
+    weak = []
+    plain_end = url_end = -1
+    for p in parts:
+        start, rank, kind, end, scope = p
+        if rank < 2:
+            plain_end = max(plain_end, end)
+            kinds.setdefault(scope, set()).add("plain")
+        elif rank >= len(BASE_KINDS) and end > plain_end:
+            free = kind == "endpoint" or end > url_end
+            if free:
+                kinds.setdefault(scope, set()).add(kind)
+            if kind == "endpoint":
+                url_end = max(url_end, end)
+            weak.append((p, free))
+    other = {"key": "endpoint", "endpoint": "key"}
+    return [p for p, free in weak if "plain" in kinds.get(p[4], ())
+            or free and other[p[2]] in kinds.get(p[4], ())]
+
+
 def scan_secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, base, linked``, arrays of
-    (start, rank, kind, end, scope) in order.
+    """One row for each row of ``docs``: ``doc_id, base, linked, paired``,
+    arrays of (start, rank, kind, end, scope) in order.
 
-    ``base``: the plain finds, ``linked``: the weak candidates near a
-    complementary part (an access id or assignment for a key, an access id,
-    assignment or linked-distance key for an endpoint) that are not inside a
-    plain find.  Null and empty texts give empty arrays; repeated rows each
+    ``base``: the plain finds, ``linked``: the weak candidates near an access
+    id or assignment, ``paired``: the others with a complementary part in
+    their scope; neither holds what is inside an access id or assignment.  Null and empty texts give empty arrays; repeated rows each
     give a row, null ids stay null.  Only ``doc_id`` and ``text`` are read.
     """
 
-    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = ("start", "rank", "kind", "end", "scope")
+        listed = lambda found: [dict(zip(names, p)) for p in found]
         for s in batches:
-            yield pd.Series([[dict(zip(names, p)) for p in find_parts(t)] for t in s], dtype=object)
+            found = [find_parts(t) for t in s]
+            yield pd.DataFrame({"parts": pd.Series([listed(x) for x in found], dtype=object),
+                                "scoped": pd.Series([listed(complemented(x)) for x in found], dtype=object)})
 
-    parts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    rows = with_row_id(docs).select("__row", "doc_id", F.pandas_udf(parts, PART)("text").alias("parts"))
+    parts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    rows = with_row_id(docs).select("__row", "doc_id", F.pandas_udf(
+        parts, f"parts {PART}, scoped {PART}")("text").alias("found")).select("__row", "doc_id", "found.*")
     rows = keep(rows, "secret-parts")
     base_kind = lambda p: p["rank"] < len(BASE_KINDS)
     mixed = rows.where(F.exists("parts", lambda p: ~base_kind(p)))
@@ -116,7 +145,8 @@ def scan_secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.struct("start", "rank", "kind", "end", "scope"))).alias("linked"))
     return rows.join(linked, F.col("__row") == F.col("__of"), "left").select(
         "doc_id", F.filter("parts", base_kind).alias("base"),
-        F.coalesce("linked", F.array().cast(PART)).alias("linked"))
+        F.coalesce("linked", F.array().cast(PART)).alias("linked"),
+        F.array_except("scoped", F.coalesce("linked", F.array().cast(PART))).alias("paired"))
 
 
 ship(__name__)

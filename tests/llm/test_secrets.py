@@ -78,3 +78,13 @@ def test_odd_rows(spark):
     assert [(p.kind, p.start) for p in r.base] == [("access", 1), ("assign", rows[-1][1].index("ApiKey"))]
     assert all(not r.base and not r.linked for r in out if r.doc_id != 20)
     assert secrets.scan_secrets(docs_of(spark, [])).count() == 0
+
+
+def test_keys_and_endpoints_complement_each_other(spark):
+    url, long_key = "https://s3.amazonaws.com/bucket", "Ab3+" + KEY * 3
+    texts = [f"{KEY} {url}", f"postgres://host/db {'x ' * 400} {KEY}", f"{KEY}\n\n{url}", f"{ID} {'x ' * 400} {KEY}",
+             f"see https://example.com/{KEY} there", f"password={KEY}", f"{long_key} {url}", f"{KEY} alone"]
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    got = {r.doc_id: [texts[r.doc_id][p.start:p.end] for p in r.paired] for r in secrets.scan_secrets(docs).collect()}
+    assert got == {0: [KEY, url], 1: ["postgres://host/db", KEY], 2: [], 3: [KEY], 4: [], 5: [],
+                   6: [long_key, url], 7: []}
