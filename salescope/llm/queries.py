@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from salescope.llm import (
     capfilters,
+    centroids,
+    collocations,
     decontam,
+    graphsearch,
     langid,
     licenses,
     linededup,
@@ -94,6 +97,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return graphsearch.nearest_neighbours(rows, rows.where("vec_id % 20 = 0"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -103,7 +119,8 @@ def queries() -> dict:
     from salescope.llm import sql
     import corpus_pipeline
     built = [op1_language_id, op2_pareto_mix, op3_benchmark_matches, op4_suffix_tree_scores, op5_warc_records,
-             op6_credential_spans, op7_simhash_groups, op8_line_dedup, op9_cap_filter_links, op10_license_scan]
+             op6_credential_spans, op7_simhash_groups, op8_line_dedup, op9_cap_filter_links, op10_license_scan,
+             op11_collocations, op12_centroid_clusters, op13_nearest_neighbours]
     out = {f.__name__: (f, sql.ORACLE.get(f.__name__)) for f in built}
     out["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
     return out

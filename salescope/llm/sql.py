@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from salescope.llm.capfilters import THRESHOLD
+from salescope.llm.centroids import CLUSTERS, COMPONENTS, LARGEST, SCALE
+from salescope.llm.centroids import ROUNDS as MEAN_ROUNDS
+from salescope.llm.collocations import ABSORB, FIRST, MAX_WORDS, MIN_COUNT, SCORE_SCALE
 from salescope.llm.licenses import PHRASES, WORDS, template_sets
 from salescope.llm.linededup import MIN_WORDS
 from salescope.llm.mixing import CEILING, ROUNDS, SHARE, WEIGHTS
@@ -124,10 +127,64 @@ FROM b LEFT JOIN m ON b.doc_id = m.doc_id
 """
 
 
+COLLOCATIONS = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+q AS (SELECT lang, w, count(*) AS times FROM p WHERE len(w) > 0 GROUP BY lang, w),
+n AS (SELECT lang, CAST(sum(len(w) * times) AS BIGINT) AS n FROM q GROUP BY lang),
+i AS (SELECT lang, w, times, unnest(range(len(w))) AS i FROM q),
+g AS (SELECT lang, w, times, i, unnest(range(1, least({MAX_WORDS}, len(w) - i) + 1)) AS k FROM i),
+c AS (SELECT lang, list_slice(w, i + 1, i + k) AS x, CAST(sum(times) AS BIGINT) AS f FROM g GROUP BY ALL HAVING f >= {MIN_COUNT}),
+cut AS (SELECT lang, x, f AS a, unnest(range(1, len(x))) AS k FROM c WHERE len(x) > 1),
+s AS (SELECT cut.lang, cut.x, a, k, l.f AS l, r.f AS r,
+             CAST(floor_score AS BIGINT) AS score
+      FROM cut JOIN c l ON l.lang = cut.lang AND l.x = list_slice(cut.x, 1, k)
+               JOIN c r ON r.lang = cut.lang AND r.x = list_slice(cut.x, k + 1, len(cut.x)),
+           LATERAL (SELECT ({SCORE_SCALE}::HUGEINT * a) // (l.f::HUGEINT + r.f) AS floor_score)),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, k) = 1),
+u AS (SELECT lang, x, f, unnest(range(2, len(x))) AS k FROM c WHERE len(x) > 2),
+v AS (SELECT lang, x, f, k, unnest(range(0, len(x) - k + 1)) AS off FROM u),
+o AS (SELECT lang, list_slice(x, off + 1, off + k) AS x, max(f) AS most FROM v GROUP BY ALL),
+z AS (SELECT b.lang, array_to_string(b.x, ' ') AS phrase, a, l, r, score FROM b
+      LEFT JOIN o ON o.lang = b.lang AND o.x = b.x WHERE o.most IS NULL OR 100 * o.most::HUGEINT < {ABSORB} * a::HUGEINT),
+y AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT y.lang, rank, phrase, a, l, r, n.n, score FROM y JOIN n ON n.lang = y.lang WHERE rank <= {FIRST}
+"""
+
+
+def _means_round(i: int) -> str:
+    """Assignment to the centroids ``k<i>`` and, from it, the centroids ``k<i+1>``."""
+    return f"""
+a{i} AS MATERIALIZED (SELECT row, q, arg_min(struct_pack(d, c), struct_pack(d, c)) AS near FROM (
+    SELECT row, q, c, list_sum(list_transform(range(1, {COMPONENTS} + 1), lambda j: (q[j] - x[j]) * (q[j] - x[j])))::BIGINT AS d
+    FROM v, k{i}) GROUP BY row, q),
+k{i + 1} AS MATERIALIZED (SELECT k{i}.c, coalesce(m.x, k{i}.x) AS x FROM k{i} LEFT JOIN (
+    SELECT c, list(mean ORDER BY j) AS x FROM (
+        SELECT c, j, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS mean FROM (
+            SELECT near.c AS c, j, sum(q[j])::HUGEINT AS s, count(*)::HUGEINT AS n
+            FROM a{i}, range(1, {COMPONENTS} + 1) AS e(j) GROUP BY near.c, j)) GROUP BY c) m ON m.c = k{i}.c),"""
+
+
+MEANS = f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER () AS row FROM embeddings),
+v AS MATERIALIZED (SELECT row, vec_id, list_transform(x, lambda y: CAST(floor(greatest(least(y * {SCALE}, {LARGEST}::DOUBLE), -{LARGEST}::DOUBLE)) AS BIGINT)) AS q
+      FROM e WHERE len(x) = {COMPONENTS} AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+k0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q AS x FROM (
+      SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM v ORDER BY h, q LIMIT {CLUSTERS})),
+{"".join(_means_round(i) for i in range(MEAN_ROUNDS + 1))}
+s AS (SELECT near.c AS c, sum(near.d)::BIGINT AS cluster_inertia FROM a{MEAN_ROUNDS} GROUP BY near.c)
+SELECT vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance, cluster_inertia,
+       (SELECT sum(cluster_inertia)::BIGINT FROM s) AS inertia, sha256(array_to_string(k.x, ',')) AS centroid_sha256
+FROM a{MEAN_ROUNDS} a JOIN v ON v.row = a.row JOIN s ON s.c = near.c JOIN k{MEAN_ROUNDS} k ON k.c = near.c
+"""
+
+
 ORACLE = {
     "op2_pareto_mix": MIX,
     "op5_warc_records": WARC,
     "op8_line_dedup": LINES,
     "op9_cap_filter_links": VECTORS,
     "op10_license_scan": _licenses(),
+    "op11_collocations": COLLOCATIONS,
+    "op12_centroid_clusters": MEANS,
 }
