@@ -30,9 +30,8 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor,
-                                   GeneralizedLinearRegression, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import (DecisionTreeRegressor, GeneralizedLinearRegression,
+                                   LinearRegression, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -321,33 +320,3 @@ def forest_fit(df: DataFrame, features="features", label="label", trees=20, max_
                                maxDepth=max_depth, minInstancesPerNode=min_leaf, maxBins=max_bins,
                                featureSubsetStrategy="all", seed=seed)
     return SparkFit(rf.fit(df))
-
-
-@dataclass
-class BoostFit:
-    model: object
-    init: float
-
-    def predict(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
-        m = self.model.copy()
-        m.setFeaturesCol(features).setPredictionCol("__gbt")
-        return m.transform(df).withColumn(out, F.col("__gbt") + F.lit(self.init)).drop("__gbt")
-
-
-#: Rows of a partition below which boosting rounds cost more in jobs than in work.
-ROWS_PER_PARTITION = 50_000
-
-
-def boost_fit(df: DataFrame, features="features", label="label", iters=100, step=0.08,
-              max_depth=5, max_bins=256, seed=42) -> BoostFit:
-    """Gradient-boosted trees started at mean(y) (fits y - mean)."""
-    row = df.agg(F.avg(label).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    init = row["m"]
-    gbt = GBTRegressor(featuresCol=features, labelCol="__resid", maxIter=iters, stepSize=step,
-                       maxDepth=max_depth, maxBins=max_bins, seed=seed)
-    # every round is several jobs over all partitions: no more of them than the rows need
-    parts = max(1, min(df.rdd.getNumPartitions(), -(-row["n"] // ROWS_PER_PARTITION)))
-    data = df.select(F.col(features), (F.col(label) - F.lit(init)).alias("__resid")).coalesce(parts).persist()
-    model = gbt.fit(data)
-    data.unpersist()
-    return BoostFit(model, init)

@@ -1,25 +1,19 @@
-"""Exact, linearly interpolated quantiles that do not gather a group into one
-task.
+"""Exact, linearly interpolated quantiles by radix selection.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a hot group (a third of the table) would land in one
-task.  Here every size takes the same path with bounded per-task state:
-
-1. one pass: a ``percentile_approx`` sketch per group (rank error at most
-   n / accuracy) gives a bracket ``p -/+ delta`` around each wanted order
-   statistic, with its ends as values; ``delta`` is the smallest of a ladder
-   (each eight times the one before) that covers both that error and a
-   neighbouring rank of the group;
-2. one pass: rows are counted by (group, number of lower ends at or below the
-   value, the value itself if it lies inside a bracket), combined map-side, so
-   that only the values inside a bracket (about ``2 delta`` of a group each)
-   leave a task one by one;
-3. over that small table: the rank of a bracket's first value is the number of
-   rows below it, the ranks inside follow from prefix sums.
-
-A rank that falls outside its bracket (which the sketch's error bound rules
-out, but nothing relies on that) is found again with the next wider bracket, up
-to the whole group.
+task.  Here a double is turned into the 64-bit whole number with the same
+order (its bit pattern, negative numbers turned round), and the wanted ranks
+are found digit by digit, ``DIGITS`` bits at a time from the top:
+
+1. rows are counted by (group, leading bits), combined map-side.  In the first
+   round these are all rows, later only those whose leading bits hold a wanted
+   rank; a hot group is one partial count a task for each of its digits;
+2. over that small table the bucket of each rank is the first whose running
+   sum passes it; the rank goes on inside the bucket.
+
+After the last round a bucket is one value.  Nothing is estimated, so a stage
+that is computed again after a lost executor gives the same table.
 
 Interpolation is the pandas / DuckDB ``quantile_cont`` rule between the
 order statistics at ``floor(p (n-1))`` and the next one.
@@ -33,11 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DEFAULT_ACCURACY = 10_000
-#: Half width of the first bracket, in rank errors of the sketch.
-MARGIN = 4.0
-#: Lower ends looked through at once when a value's place among them is sought.
-STRIDE = 16
+#: Bits of each round: sign, exponent and 8 bits of the fraction first.
+DIGITS = (20, 22, 22)
 
 
 def _keys(by) -> list[str]:
@@ -46,129 +37,88 @@ def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def ordered_bits(value: Column) -> Column:
+    """A long in the order of the doubles (NaN last, as Spark sorts)."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"),
+                         F.when(value == 0, 0.0).otherwise(value)).cast("long")  # -0.0 is 0.0
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
+
+
 def exact_percentiles(df: DataFrame, value: str | Column, probs: Sequence[float],
                       by: str | Sequence[str] | None = None,
                       names: Sequence[str] | None = None,
-                      accuracy: int = DEFAULT_ACCURACY, margin: float = MARGIN) -> DataFrame:
+                      digits: Sequence[int] = DIGITS) -> DataFrame:
     """One row per group: ``by`` columns + one double column per probability.
 
     NULL values are ignored; a group with no non-NULL value is absent, and
-    rows with a NULL group key drop out (pandas groupby semantics).  Several
-    passes, so eager (like ``approxQuantile``): keys and one double are
-    persisted meanwhile; the returned table has one row per group.
+    rows with a NULL group key drop out (pandas groupby semantics).  Three
+    passes, so eager (like ``approxQuantile``): keys, one double and its bits
+    are persisted meanwhile; the returned table has one row per group.
+    ``digits`` add up to 64.
     """
     by = _keys(by)
     out_names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    # bracket ends must ascend: work on the sorted probabilities
-    order = sorted(range(len(probs)), key=lambda i: float(probs[i]))
-    levels = [float(probs[i]) for i in order]
-    place = {out_names[i]: k for k, i in enumerate(order)}
     v = F.col(value) if isinstance(value, str) else value
     keys = by or ["__g"]
     x = df.select(*by, v.cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    x = (x if by else x.withColumn("__g", F.lit(0))).dropna(subset=keys).persist()
-    held, parts, wider = [x], [], 0
-    rows = x
+    x = (x if by else x.withColumn("__g", F.lit(0))).dropna(subset=keys)
+    x = x.select(*keys, "__v", ordered_bits(F.col("__v")).alias("__bits")).persist()
+    res = _selected(x, keys, [float(p) for p in probs], digits)
+    res = res.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(out_names)]).persist()
     try:
-        while True:
-            # the sketch's merge order is not deterministic: one result is pinned
-            ends = _bracket_ends(rows, keys, levels, margin / accuracy, accuracy, wider).persist()
-            held.append(ends)
-            found = _select(rows, ends, keys, levels, held).persist()
-            held.append(found)
-            parts.append(found.where("__ok"))
-            missed = found.where("not __ok").select(*keys)
-            if missed.isEmpty():
-                break
-            wider += 1
-            rows = x.join(missed, keys, "left_semi")
-        res = parts[0]
-        for p in parts[1:]:
-            res = res.unionByName(p)
-        res = res.select(*by, *[F.get("__r", F.lit(place[n])).alias(n) for n in out_names]).persist()
         res.count()
     finally:
-        for h in held:
-            h.unpersist()
+        x.unpersist()
     return res
 
 
-def _bracket_ends(rows: DataFrame, by: list[str], levels: list[float], delta: float, accuracy: int,
-                  wider: int) -> DataFrame:
-    """by + __n + ascending arrays __lo, __hi: the ends of each level's bracket,
-    ``wider`` steps wider than planned."""
-    n = len(levels)
-    ladder = [delta]
-    while ladder[-1] < 1.0:
-        ladder.append(ladder[-1] * 8)
-    wanted = [min(1.0, max(0.0, p + side * d)) for d in ladder for side in (-1, 1) for p in levels]
-    different = sorted(set(wanted))
-    sketch = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-        F.percentile_approx("__v", different, accuracy).alias("__a"))
-    index = {p: i for i, p in enumerate(different)}
-    # the sketch may miss the group's ends, its minimum and maximum do not
-    value = lambda p: F.col("__min") if p == 0.0 else F.col("__max") if p == 1.0 else F.get(
-        "__a", F.lit(index[p]))
-    step = F.least(sum((F.when(F.lit(d) < 2 / F.col("__n"), 1).otherwise(0) for d in ladder), F.lit(wider)),
-                   F.lit(len(ladder) - 1))
-
-    def ends(side: int):
-        at = lambda j: F.array(*[value(p) for p in wanted[(2 * j + side) * n:(2 * j + side + 1) * n]])
-        out = at(len(ladder) - 1)
-        for j in range(len(ladder) - 2, -1, -1):
-            out = F.when(step == j, at(j)).otherwise(out)
-        return F.array_sort(out)
-
-    return sketch.select(*by, "__n", ends(0).alias("__lo"), ends(1).alias("__hi"))
-
-
-def _place_among(ends: Column, v: Column, n: int) -> Column:
-    """Number of the ``n`` ascending ``ends`` that are at or below ``v``: first
-    by every ``STRIDE``-th end, then among the ``STRIDE`` that follow."""
-    coarse = F.filter(F.array(*[F.get(ends, F.lit(i)) for i in range(0, n, STRIDE)]), lambda e: e <= v)
-    first = F.greatest(F.size(coarse) - 1, F.lit(0)) * STRIDE
-    return first + F.size(F.filter(F.slice(ends, first + 1, F.lit(STRIDE)), lambda e: e <= v))
-
-
-def _select(rows: DataFrame, ends: DataFrame, by: list[str], levels: list[float], held: list) -> DataFrame:
-    """by + __r (a quantile per level, interpolated) + __ok (all ranks were inside)."""
-    n_p = len(levels)
-    c = F.col("__c")
-    placed = rows.join(ends, by).withColumn("__c", _place_among(F.col("__lo"), F.col("__v"), n_p))
-    inside = (c > 0) & (F.col("__v") <= F.get("__hi", F.greatest(c - 1, F.lit(0))))
-    table = (placed.groupBy(*by, "__c", F.when(inside, F.col("__v")).alias("__v"))
-             .agg(F.count(F.lit(1)).alias("__k")).persist())
-    held.append(table)
-    below = table.groupBy(*by, "__c").agg(F.sum("__k").alias("__k"))
-    # rows below bracket i: those with at most i lower ends at or below them
-    counts = below.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__c", "__k"))).alias("__m"))
-    at = F.sequence(F.lit(0), F.lit(n_p - 1))
-    in_order = F.transform(at, lambda i: F.coalesce(F.element_at("__m", i), F.lit(0)))
-    running = F.aggregate(in_order, F.array().cast("array<bigint>"), lambda acc, k: F.concat(acc, F.array(
-        F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + k)))
-    start = counts.select(*by, running.alias("__below"))
-    hits = (table.where("__v is not null").join(ends, by).withColumn("__i", F.explode(F.filter(
-        F.sequence(F.lit(0), c - 1), lambda i: F.get("__hi", i) >= F.col("__v")))))
-    order = Window.partitionBy(*by, "__i").orderBy("__v")
-    ranked = hits.withColumn("__upto", F.sum("__k").over(order)).join(start, by)
-    pos = F.get(F.lit(levels), F.col("__i")) * (F.col("__n") - 1)
-    k0 = F.floor(pos)
-    k1 = F.least(k0 + 1, F.col("__n") - 1)
-    last = F.get("__below", F.col("__i")) + F.col("__upto")
-    first = last - F.col("__k")
-    picked = ranked.groupBy(*by, "__i").agg(
-        F.max(F.when((first <= k0) & (k0 < last), F.col("__v"))).alias("__v0"),
-        F.max(F.when((first <= k1) & (k1 < last), F.col("__v"))).alias("__v1"),
-        F.first(pos - k0).alias("__frac"))
-    value = F.col("__v0") + (F.col("__v1") - F.col("__v0")) * F.col("__frac")
-    cells = picked.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__i", value.alias("q")))).alias("__m"))
-    # a group whose ranks all missed has no cell: it stays, as missed
-    out = ends.select(*by).join(cells, by, "left").select(
-        *by, F.transform(at, lambda i: F.element_at("__m", i)).alias("__r"))
-    return out.withColumn("__ok", F.coalesce(F.forall("__r", lambda q: q.isNotNull()), F.lit(False)))
-
-
-def exact_median(df: DataFrame, value: str | Column, by=None, name: str = "median",
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    return exact_percentiles(df, value, [0.5], by, [name], accuracy)
+def _selected(x: DataFrame, keys: list[str], probs: list[float], digits: Sequence[int]) -> DataFrame:
+    """keys + __q, the interpolated quantiles in the order of ``probs``."""
+    sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    at = F.posexplode(F.lit(probs)).alias("__i", "__p")
+    wanted = sizes.select(*keys, "__n", at)
+    pos = F.col("__p") * (F.col("__n") - 1)
+    both = F.explode(F.array(F.floor(pos), F.least(F.floor(pos) + 1, F.col("__n") - 1)))
+    ranks = wanted.select(*keys, both.alias("__rank")).distinct().select(
+        *keys, F.lit(0).cast("long").alias("__bucket"), "__rank", F.col("__rank").alias("__left"))
+    rows, shift = x.withColumn("__bucket", F.lit(0).cast("long")), 64
+    for digit in digits:
+        shift -= digit
+        nxt = rows.withColumn("__next", F.shiftright("__bits", shift))
+        counts = nxt.groupBy(*keys, "__bucket", "__next").agg(F.count(F.lit(1)).alias("__k"), F.max("__v").alias("__v"))
+        ranks = _next_bucket(counts, ranks, keys)
+        if shift:
+            live = ranks.select(*keys, F.col("__next").alias("__bucket")).distinct()
+            rows = x.withColumn("__bucket", F.shiftright("__bits", shift)).join(live, [*keys, "__bucket"], "left_semi")
+            ranks = ranks.select(*keys, F.col("__next").alias("__bucket"), "__rank", "__left")
+    low, high = [ranks.select(*[F.col(k).alias(f"{k}__{s}") for k in keys], F.col("__rank").alias(f"__r{s}"),
+                              F.col("__v").alias(f"__v{s}")) for s in "01"]
+    same = lambda s: [F.col(k) == F.col(f"{k}__{s}") for k in keys]
+    first, last = F.floor(pos), F.least(F.floor(pos) + 1, F.col("__n") - 1)
+    got = wanted.join(low, [*same("0"), first == F.col("__r0")]).join(high, [*same("1"), last == F.col("__r1")])
+    part = pos - first
+    value = F.when(part == 0, F.col("__v0")).otherwise(F.col("__v0") + (F.col("__v1") - F.col("__v0")) * part)
+    listed = F.array_sort(F.collect_list(F.struct("__i", value.alias("q"))))  # one a probability
+    return got.groupBy(*keys).agg(listed["q"].alias("__q"))
+
+
+def _next_bucket(counts: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """Each rank (``__left`` counted from its bucket's first row) with the
+    ``__next`` bucket that holds it and the place ``__left`` in that."""
+    order = Window.partitionBy(*keys, "__bucket").orderBy("__next")
+    ends = counts.withColumn("__end", F.sum("__k").over(order))
+    # buckets and ranks on one line, from the top: the last bucket seen that
+    # ends above a rank is the one that holds it (at equal places it is not)
+    line = ends.select(*keys, "__bucket", F.col("__end").alias("__at"), F.lit(1).alias("__kind"),
+                       F.lit(None).cast("long").alias("__rank"),
+                       F.struct("__next", (F.col("__end") - F.col("__k")).alias("start"), "__v").alias("__of"))
+    line = line.unionByName(ranks.select(*keys, "__bucket", F.col("__left").alias("__at"), F.lit(0).alias("__kind"),
+                                         "__rank"), allowMissingColumns=True)
+    down = Window.partitionBy(*keys, "__bucket").orderBy(F.desc("__at"), "__kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return line.withColumn("__of", F.last("__of", ignorenulls=True).over(down)).where("__kind = 0").select(
+        *keys, "__bucket", "__rank", (F.col("__at") - F.col("__of.start")).alias("__left"), "__of.__next", "__of.__v")
+
+
+def exact_median(df: DataFrame, value: str | Column, by=None, name: str = "median") -> DataFrame:
+    return exact_percentiles(df, value, [0.5], by, [name])

@@ -10,14 +10,15 @@ unioned into one DataFrame.
 from __future__ import annotations
 
 
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.columns import (VARIANT_NO_QUANTITY, VARIANT_WITH_QUANTITY, expm1_clip,
                                          rounded_quantity, variant_note)
+from salescope.operators import boosting as BO
 from salescope.operators import models as MD
-from salescope.operators.encoders import FeaturePrep, bin_columns, quantile_bin_edges
+from salescope.operators.encoders import FeaturePrep
 from salescope.operators.metrics import (metrics_row, quantity_metrics, regression_metrics,
                                          sales_metrics)
 from salescope.operators.quality import assert_no_leakage
@@ -29,6 +30,7 @@ from salescope.plans import store_sales as S
 VARIANTS = {VARIANT_WITH_QUANTITY: True, VARIANT_NO_QUANTITY: False}
 ORDER_MODELS = ("Baseline_Mean", "Ridge", "Lasso", "DecisionTree", "RandomForest",
                 "HistGradientBoosting")
+ORDER_TREES = {"leaves": 31, "l2": 0.05, "min_leaf": 20}
 QUANTITY_MODELS = ("Baseline_Mean", "Baseline_Median", "Ridge", "Lasso", "PoissonRegressor",
                    "HistGradientBoosting", "RandomForest")
 
@@ -54,7 +56,7 @@ def _fit_order_model(name: str, onehot_train: DataFrame, ordinal_train: DataFram
     if name == "RandomForest":
         return MD.forest_fit(onehot_train, label=label, trees=20, max_depth=12, min_leaf=80), "onehot"
     if name == "HistGradientBoosting":
-        return MD.boost_fit(ordinal_train, label=label, iters=100, step=0.08), "ordinal"
+        return BO.boost_fit(ordinal_train, label=label, iters=100, step=0.08, **ORDER_TREES), "ordinal"
     raise ValueError(name)
 
 
@@ -156,7 +158,7 @@ def quantity_model_metrics(flat: DataFrame, models=QUANTITY_MODELS, prep=None):
         elif name == "PoissonRegressor":
             fit, kind = MD.poisson_fit(tr_oh, 0.01, label=label), "onehot"
         elif name == "HistGradientBoosting":
-            fit, kind = MD.boost_fit(tr_od, label=label, iters=120, step=0.05), "ordinal"
+            fit, kind = BO.boost_fit(tr_od, label=label, iters=120, step=0.05, **ORDER_TREES), "ordinal"
         elif name == "RandomForest":
             fit, kind = MD.forest_fit(tr_od, label=label, trees=30, max_depth=12, min_leaf=80), "ordinal"
         else:
@@ -194,14 +196,16 @@ STORE_MODELS = ("Ridge_Scratch", "MLP_Scratch", "HistGradientBoosting_Scratch_16
                 "Blend_0.6HGB_0.4Lag28")
 BOOSTED = "HistGradientBoosting_Scratch_160"
 BLEND_WEIGHTS = (0.6, 0.4)
+#: The price a leaf is a hundredth of 0.1; no edge at the greatest percentile.
+STORE_TREES = {"leaves": 31, "prune": 0.001, "drop_ends": True}
 INTERACTIONS = {"promo_x_lag28": ("onpromotion", "lag_28"), "weekend_x_lag28": ("is_weekend", "lag_28")}
 
 
 class StoreModels:
     """The store-sales models on one window of rows.  Preprocessing and fits
     are made when first asked for and shared: ridge (alpha 10) and a
-    one-hidden-layer network on one-hot vectors, boosted trees (160 rounds,
-    0.04) on percentile bins, all on log1p(sales); boosting on the raw target;
+    one-hidden-layer network on one-hot vectors, boosted best-first trees (160
+    rounds, 0.04) on percentile bins, all on log1p(sales); boosting on the raw target;
     boosting with two product features; the blend with lag_28."""
 
     def __init__(self, rows: DataFrame):
@@ -219,55 +223,61 @@ class StoreModels:
             return prep, prep.transform(self.rows).select("__y", "sales", "features").persist()
         return self._once("onehot", make)
 
-    def _binned(self, interactions: bool):
+    def _ordinal(self, interactions: bool):
         def make():
             extra = {k: F.col(a) * F.col(b) for k, (a, b) in INTERACTIONS.items()} if interactions else {}
-            numeric = S.NUMERIC_FEATURES + list(extra)
             rows = self.rows.withColumns(extra) if extra else self.rows
-            prep = FeaturePrep(numeric, S.CATEGORICAL_FEATURES, "ordinal").fit(rows)
-            edges = quantile_bin_edges(prep._fill(rows), numeric)
-            inputs = [f"{c}__b" if c in edges else c for c in numeric] + [
-                f"{c}__code" for c in S.CATEGORICAL_FEATURES]
-            assembler = VectorAssembler(inputCols=inputs, outputCol="bfeatures", handleInvalid="keep")
+            prep = FeaturePrep(S.NUMERIC_FEATURES + list(extra), S.CATEGORICAL_FEATURES, "ordinal").fit(rows)
 
             def vectors(df: DataFrame) -> DataFrame:
-                df = df.withColumns(extra) if extra else df
-                return assembler.transform(bin_columns(prep.transform(df), edges))
+                return prep.transform(df.withColumns(extra) if extra else df)
 
-            return prep, vectors, vectors(self.rows).select("__y", "sales", "bfeatures").persist()
-        return self._once(("binned", interactions), make)
+            return prep, vectors, vectors(self.rows).select("__y", "sales", "features").persist()
+        return self._once(("ordinal", interactions), make)
 
     def _boosted(self, label: str, interactions: bool):
         def make():
-            _, vectors, train = self._binned(interactions)
-            return vectors, MD.boost_fit(train, "bfeatures", label, iters=160, step=0.04, max_depth=5)
+            _, vectors, train = self._ordinal(interactions)
+            return vectors, BO.boost_fit(train, "features", label, iters=160, step=0.04, **STORE_TREES)
         return self._once(("boosted", label, interactions), make)
 
+    def _linear(self, name: str):
+        prep, train = self._onehot()
+        return prep, self._once(name, lambda: MD.gram_fit(train, "features", "__y", alpha=10.0)
+                                if name == "Ridge_Scratch" else
+                                MD.mlp_fit(train, "features", "__y", hidden=16, lr=0.01, epochs=20, batch_size=1024))
+
     def predict(self, name: str, rows: DataFrame) -> DataFrame:
         """``rows`` with ``prediction`` in units of sales, never below 0."""
         if name in ("Ridge_Scratch", "MLP_Scratch"):
-            prep, train = self._onehot()
-            fit = self._once(name, lambda: MD.gram_fit(train, "features", "__y", alpha=10.0)
-                             if name == "Ridge_Scratch" else
-                             MD.mlp_fit(train, "features", "__y", hidden=16, lr=0.01, epochs=20, batch_size=1024))
+            prep, fit = self._linear(name)
             return fit.predict(prep.transform(rows)).withColumn("prediction", expm1_clip("prediction"))
         if name == "Blend_0.6HGB_0.4Lag28":
             a, b = BLEND_WEIGHTS
             return self.predict(BOOSTED, rows).withColumn("prediction", a * F.col("prediction") + b * F.col("lag_28"))
         raw = name == "HistGradientBoosting_Raw_Target"
         vectors, fit = self._boosted("sales" if raw else "__y", name == "HistGradientBoosting_Interactions")
-        out = fit.predict(vectors(rows), "bfeatures")
+        out = fit.predict(vectors(rows))
         return out.withColumn("prediction", F.greatest("prediction", F.lit(0.0)) if raw else expm1_clip("prediction"))
 
     def metrics(self, name: str, valid: DataFrame) -> DataFrame:
         m = sales_metrics(self.predict(name, valid), "sales", "prediction")
         return m.select(F.lit(name).alias("model"), F.lit(STORE_MODELS.index(name)).alias("listing_order"), *m.columns)
 
-    def importances(self, top: int = 20) -> DataFrame:
-        """Importances of the boosted trees, named from the vector layout."""
-        prep, _, _ = self._binned(False)
-        _, fit = self._boosted("__y", False)
-        pairs = zip(prep.feature_names(), map(float, fit.model.featureImportances.toArray()))
+    def importances(self, top: int = 20, name: str = BOOSTED) -> DataFrame:
+        """What the features weigh in a model, named from the vector layout:
+        of boosted trees (also those in the blend) their share of all gain, of
+        a linear model the absolute coefficients; a network tells nothing."""
+        if name == "MLP_Scratch":
+            pairs = []
+        elif name == "Ridge_Scratch":
+            prep, fit = self._linear(name)
+            pairs = zip(prep.feature_names(), map(float, np.abs(fit.coef)))
+        else:
+            interactions = name == "HistGradientBoosting_Interactions"
+            prep, _, _ = self._ordinal(interactions)
+            _, fit = self._boosted("sales" if name == "HistGradientBoosting_Raw_Target" else "__y", interactions)
+            pairs = zip(prep.feature_names(), map(float, fit.importances()))
         df = self.rows.sparkSession.createDataFrame(list(pairs), "feature string, importance double")
         return df.orderBy(F.col("importance").desc(), "feature").limit(top)
 

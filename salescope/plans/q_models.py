@@ -188,6 +188,17 @@ def q_importance(spark, sf):
     return _store(spark, sf)[0].importances(20)
 
 
+@register("selected_feature_importance", group="models")
+def q_selected_importance(spark, sf):
+    """Of the model that the leaderboard selects."""
+    return _store(spark, sf)[0].importances(20, _store_winner(spark, sf))
+
+
+@register("linear_feature_importance", group="models")
+def q_linear_importance(spark, sf):
+    return _store(spark, sf)[0].importances(20, "Ridge_Scratch")
+
+
 @register("order_feature_weights", group="models")
 def q_weights(spark, sf):
     return ML.feature_weights(flat(spark, sf), 15, prep=prepared(spark, sf))

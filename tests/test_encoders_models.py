@@ -3,6 +3,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from salescope.operators import boosting as BO
 from salescope.operators import models as MD
 from salescope.operators.encoders import FeaturePrep, fit_medians, fit_modes
 
@@ -132,6 +133,7 @@ sys.path.insert(0, {root!r})
 from salescope.session import local_session
 spark = local_session(1)
 from pyspark.ml.feature import VectorAssembler
+from salescope.operators import boosting as BO
 from salescope.operators import models as MD
 df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
     spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], "x double, y double"))
@@ -186,7 +188,7 @@ def test_iteration_limits_are_errors(spark):
 
 def test_boosted_trees_and_forests_beat_the_mean(spark):
     x, y, df = _xy(spark, n=800, p=3, seed=8)
-    for fit in (MD.boost_fit(df, label="y", iters=20), MD.tree_fit(df, label="y", max_depth=6, min_leaf=5),
+    for fit in (BO.boost_fit(df, label="y", iters=20), MD.tree_fit(df, label="y", max_depth=6, min_leaf=5),
                 MD.forest_fit(df, label="y", trees=5, max_depth=6, min_leaf=5)):
         pred = fit.predict(df).select("y", "prediction").toPandas()
         assert np.mean((pred.y - pred.prediction) ** 2) < 0.5 * np.var(y)

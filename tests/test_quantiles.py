@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from salescope.operators.quantiles import exact_median, exact_percentiles
+from pyspark.sql import functions as F
+
+from salescope.operators.quantiles import DIGITS, _selected, exact_median, exact_percentiles, ordered_bits
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0, 0.3333]
 
@@ -16,11 +18,10 @@ def _frame(spark, rng, n_groups=3, n=3000):
     return spark.createDataFrame(rows, "k string, v double"), rows
 
 
-@pytest.mark.parametrize("accuracy", [50, 200, 100000])
-def test_grouped_exact_against_numpy(spark, accuracy):
-    # a coarse sketch makes wide brackets, a fine one narrow ones
+@pytest.mark.parametrize("digits", [DIGITS, (16, 16, 16, 16), (12, 52)])
+def test_grouped_exact_against_numpy(spark, digits):
     df, rows = _frame(spark, np.random.default_rng(1))
-    got = {r["k"]: r for r in exact_percentiles(df, "v", PROBS, by="k", accuracy=accuracy).collect()}
+    got = {r["k"]: r for r in exact_percentiles(df, "v", PROBS, by="k", digits=digits).collect()}
     for g in ("g0", "g1", "g2"):
         vals = np.array([v for k, v in rows if k == g and v is not None])
         exp = np.quantile(vals, PROBS)
@@ -29,12 +30,12 @@ def test_grouped_exact_against_numpy(spark, accuracy):
     assert None not in got  # NULL keys drop out, as in a pandas groupby
 
 
-@pytest.mark.parametrize("accuracy", [50, 100000])
-def test_global_exact_against_numpy(spark, accuracy):
+@pytest.mark.parametrize("digits", [DIGITS, (8,) * 8])
+def test_global_exact_against_numpy(spark, digits):
     rng = np.random.default_rng(7)
     vals = rng.normal(size=5001)
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    r = exact_percentiles(df, "v", PROBS, accuracy=accuracy).first()
+    r = exact_percentiles(df, "v", PROBS, digits=digits).first()
     assert np.allclose([r[f"q{i}"] for i in range(len(PROBS))], np.quantile(vals, PROBS), atol=1e-12)
 
 
@@ -46,19 +47,18 @@ def test_median_small_cases(spark):
 
 
 def test_hot_group_is_exact(spark):
-    # one key holds most rows: still exact, through the bracket path
+    # one key holds most rows: still exact, by the same path
     rng = np.random.default_rng(3)
     hot = rng.exponential(10, 20000)
     cold = rng.exponential(10, 50)
     rows = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in cold]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r["k"]: r for r in exact_percentiles(df, "v", [0.1, 0.5, 0.9], by="k", accuracy=100).collect()}
+    got = {r["k"]: r for r in exact_percentiles(df, "v", [0.1, 0.5, 0.9], by="k").collect()}
     assert np.allclose([got["hot"][f"q{i}"] for i in range(3)], np.quantile(hot, [0.1, 0.5, 0.9]))
     assert np.allclose([got["cold"][f"q{i}"] for i in range(3)], np.quantile(cold, [0.1, 0.5, 0.9]))
 
 
 def test_many_probabilities_path(spark):
-    # more than 32 probabilities use the union + window path of the histogram
     rng = np.random.default_rng(11)
     vals = np.round(rng.gamma(2, 50, 3000), 1)
     df = spark.createDataFrame([("a" if i % 2 else "b", float(v)) for i, v in enumerate(vals)],
@@ -70,15 +70,36 @@ def test_many_probabilities_path(spark):
         assert np.allclose(res, np.quantile(vals[sel], probs), atol=1e-9)
 
 
-def test_missed_brackets_are_found_again(spark):
-    """Brackets without a margin miss ranks; wider ones give the exact answer."""
-    rng = np.random.default_rng(11)
-    vals = rng.normal(size=4000)
-    rows = [("a", float(v)) for v in vals] + [("b", float(v)) for v in vals[:7]]
-    df = spark.createDataFrame(rows, "k string, v double")
-    got = {r["k"]: r for r in exact_percentiles(df, "v", PROBS, by="k", accuracy=20, margin=0.2).collect()}
-    assert np.allclose([got["a"][f"q{i}"] for i in range(len(PROBS))], np.quantile(vals, PROBS), atol=1e-12)
-    assert np.allclose([got["b"][f"q{i}"] for i in range(len(PROBS))], np.quantile(vals[:7], PROBS), atol=1e-12)
+def test_values_of_every_size_and_sign(spark):
+    """The order of the bits is the order of the doubles."""
+    vals = [-1e308, -3.5, -3.4999999999999996, -5e-324, -0.0, 0.0, 5e-324, 2.2250738585072014e-308, 1.0,
+            1.0000000000000002, 7.25, 1e308]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    n = len(vals)
+    r = exact_percentiles(df, "v", [i / (n - 1) for i in range(n)]).first()
+    assert [r[f"q{i}"] for i in range(n)] == vals
+    bits = [x.b for x in df.select(ordered_bits(df.v).alias("b"), "v").orderBy("v").collect()]
+    assert bits == sorted(bits) and len(set(bits)) == n - 1
+    odd = spark.createDataFrame([(1.0,), (float("inf"),), (float("-inf"),), (float("nan"),)], "v double")
+    r = exact_percentiles(odd, "v", [0.0, 1 / 3, 2 / 3, 1.0]).first()
+    assert (r.q0, r.q1, r.q2) == (float("-inf"), 1.0, float("inf")) and r.q3 != r.q3
+
+
+def test_empty_and_null_groups(spark):
+    df = spark.createDataFrame([("a", None), (None, 1.0)], "k string, v double")
+    assert exact_percentiles(df, "v", [0.5], by="k").count() == 0
+    assert exact_percentiles(df.limit(0), "v", [0.5]).count() == 0
+
+
+def test_rows_leave_a_task_as_counts(spark):
+    """No exchange of the plan carries the rows: all are below an aggregate,
+    a window over counts or the ranks."""
+    df = spark.range(20000).selectExpr("id % 3 as k", "cast(id % 7 as double) as v")
+    out = _selected(df.select("k", F.col("v").alias("__v"), ordered_bits(F.col("v")).alias("__bits")), ["k"], [0.5],
+                    DIGITS)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "lambda" not in plan.split("array_sort")[0]
 
 
 def test_many_levels_take_the_same_path(spark):
@@ -86,5 +107,5 @@ def test_many_levels_take_the_same_path(spark):
     vals = np.round(rng.normal(size=3000), 1)
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     probs = [i / 255 for i in range(256)]
-    r = exact_percentiles(df, "v", probs, accuracy=200).first()
+    r = exact_percentiles(df, "v", probs).first()
     assert np.allclose([r[f"q{i}"] for i in range(256)], np.quantile(vals, probs), atol=1e-12)

@@ -2,6 +2,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from salescope.operators import boosting as BO
 from salescope.operators import models as MD
 from salescope.operators.encoders import FeaturePrep
 from salescope.plans import order_model as OM
@@ -62,7 +63,7 @@ def test_bundles_of_every_model_kind(spark):
     kinds = [
         (MD.ridge_fit(v_oh, 1.0, label=OM.TARGET), oh, False),
         (MD.lasso_fit(v_oh, 0.2, label=OM.TARGET), oh, False),
-        (MD.boost_fit(v_od, label=OM.TARGET, iters=5), od, False),
+        (BO.boost_fit(v_od, label=OM.TARGET, iters=5), od, False),
         (MD.gram_fit(v_oh, "features", "y", alpha=1.0), oh, True),
         (MD.linear_svr_fit(v_oh, "features", "y", epochs=3), oh, True),
         (MD.mlp_fit(v_oh, "features", "y", hidden=4, epochs=1), oh, True),
