@@ -45,7 +45,7 @@ FILTER_BITS = 1 << 26
 #: Candidates of a language that one task puts in order.
 SORTED_BY_ONE = 100_000
 #: Different phrases that a task counts before it hands them on.
-FLUSH = 300_000
+FLUSH = 1_000_000
 
 BREAKS = b".,;:!?\n\v\f\r"
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
