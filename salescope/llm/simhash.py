@@ -1,14 +1,20 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A fingerprint of 64 bits is cut into ``SEGMENTS`` segments.  For a bound of
-two bits every probe enumerates the Hamming ball of radius one within each
-segment and keeps the other segments as they are; the probe codes are the keys
-of one table.  Two fingerprints at most two bits apart always meet there: if
-the two bits lie in one segment, at the middle code of that segment's balls;
-if they lie in two, one fingerprint flips its bit in the first segment and the
-other its bit in the second.  A key is met by at most 65 different
-fingerprints (itself and its 64 neighbours), so no bucket grows with a group
-of near copies, and what meets at a key is verified by the complete distance.
+A fingerprint of 64 bits is cut into ``SEGMENTS`` segments, and each segment
+has a table of the fingerprints by that segment's value.  Of two fingerprints
+at most ``d`` bits apart, some segment differs in at most ``d // SEGMENTS``
+bits (else all segments together would differ in more than ``d``).  So a probe
+enumerates, for each segment, the Hamming ball of that radius around its own
+value, fetches what the segment's table holds there, and verifies the complete
+distance.
+
+A segment value that more than ``BUCKET`` fingerprints share (a large group of
+near copies) is split by the other bits: among fingerprints with such a value
+in any segment, the ball of radius one over the whole code takes the table's
+place.  Its keys are met by at most 65 fingerprints each, and two of them at
+most two bits apart always meet: at the code between them, or at one of the
+two.  A pair of which only one side is in a split bucket is found by the
+probe that the other's table still answers.
 """
 
 from __future__ import annotations
@@ -24,7 +30,9 @@ from pyspark.sql import functions as F
 from salescope.llm.common import connected_components, keep, release, ship, with_row_id
 
 SEED = 42
-SEGMENTS = 4
+SEGMENTS = 2
+#: Fingerprints of one segment value from which on it is split.
+BUCKET = 64
 
 
 def simhash(text: str | None, shingle: int = 3) -> int:
@@ -65,32 +73,58 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", out: str
     return docs.withColumn(out, F.pandas_udf(column, "long")(F.col(text)))
 
 
-def probe_codes(fp: Column, max_bits: int) -> Column:
-    """The probe codes of a fingerprint: the code itself, and with two bits
-    allowed the radius-one ball of each segment."""
-    if max_bits == 0:
-        return F.array(fp)
-    width = 64 // SEGMENTS
-    balls = [fp.bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long"))
-             for segment in range(SEGMENTS) for b in range(segment * width, (segment + 1) * width)]
-    return F.array(fp, *balls)
+def segment_values(fp: Column, segments: int) -> list[Column]:
+    """The values of a fingerprint's segments, from the low bits up."""
+    edges = [64 * i // segments for i in range(segments + 1)]
+    return [F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1).cast("long"))
+            for lo, hi in zip(edges[:-1], edges[1:])]
 
 
-def fingerprint_links(codes: DataFrame, max_bits: int = 2) -> DataFrame:
+def segment_rows(codes: DataFrame, segments: int) -> DataFrame:
+    """The tables of all segments: ``fp, segment, value``."""
+    return codes.select("fp", F.posexplode(F.array(*segment_values(F.col("fp"), segments))).alias("segment", "value"))
+
+
+def ball(value: Column, bits: int, radius: int) -> Column:
+    """All values at most ``radius`` (0 or 1) bits from ``value``."""
+    flips = [value.bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")) for b in range(bits)]
+    return F.array(value, *(flips if radius else []))
+
+
+def fingerprint_links(codes: DataFrame, max_bits: int = 2, segments: int = SEGMENTS,
+                      bucket: int = BUCKET) -> DataFrame:
     """Links ``(a, b)`` that join every two of the distinct fingerprints
-    ``fp`` whose distance is at most ``max_bits`` (0, 1 or 2), as a star
-    around the smallest fingerprint that meets a key: for larger groups it
-    keeps the reachability of all pairs without writing them."""
-    if max_bits not in (0, 1, 2):
-        raise ValueError("the segment balls here cover distances of 0 to 2 bits")
-    met = codes.select("fp", F.explode(probe_codes(F.col("fp"), max_bits)).alias("code"))
+    ``fp`` whose distance is at most ``max_bits`` (0, 1 or 2): each pair that
+    meets in a segment table, and in split buckets a star around the smallest
+    fingerprint at a key, which keeps the reachability of all pairs without
+    writing them."""
+    if max_bits not in (0, 1, 2) or max_bits // segments > 1:
+        raise ValueError("the segment balls here cover distances of 0 to 2 bits and radius 0 or 1")
+    stored = segment_rows(codes, segments)
+    full = keep(stored.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket)
+                .select(F.col("segment").alias("s"), F.col("value").alias("v")), "simhash-full")
+    in_full = (F.col("segment") == F.col("s")) & (F.col("value") == F.col("v"))
+    table = stored.join(full, in_full, "left_anti").withColumnRenamed("fp", "other")
+    bits = 64 // segments + (64 % segments > 0)  # the widest segment; a flip beyond one finds nothing
+    probes = segment_rows(codes, segments).select(
+        "fp", "segment", F.explode(ball(F.col("value"), bits, max_bits // segments)).alias("value"))
+    met = probes.join(table, ["segment", "value"]).where("fp <> other")
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
+    pairs = met.where(near).select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b"))
+    split = stored.join(full, in_full, "left_semi").select("fp").distinct()
+    return pairs.union(_star_links(split, max_bits)).distinct()
+
+
+def _star_links(codes: DataFrame, max_bits: int) -> DataFrame:
+    """The links among fingerprints of split buckets, by balls of the whole code."""
+    met = codes.select("fp", F.explode(ball(F.col("fp"), 64, min(max_bits, 1))).alias("code"))
     # the members of one key are each one bit from it and two bits apart; with
     # one bit allowed, only a member equal to the key may be a star's centre
     centre = F.col("fp") if max_bits == 2 else F.when(F.col("fp") == F.col("code"), F.col("fp"))
     star = met.select("fp", F.min(centre).over(Window.partitionBy("code")).alias("centre"))
     return (star.where("centre is not null and centre <> fp")
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= max_bits)
-            .select(F.col("fp").alias("a"), F.col("centre").alias("b")).distinct())
+            .select(F.greatest("fp", "centre").alias("a"), F.least("fp", "centre").alias("b")))
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,

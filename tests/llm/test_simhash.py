@@ -45,9 +45,8 @@ def test_whole_table_against_brute_force(spark):
     assert len(set(want)) < len(want)
 
 
-@pytest.mark.parametrize("bits", [0, 1, 2])
-def test_links_reach_what_all_pairs_reach(spark, bits):
-    rng = random.Random(bits)
+def clustered_codes(seed):
+    rng = random.Random(seed)
     codes = set()
     for _ in range(25):
         centre = rng.getrandbits(64)
@@ -56,22 +55,53 @@ def test_links_reach_what_all_pairs_reach(spark, bits):
             for _ in range(rng.randint(0, 3)):
                 code ^= 1 << rng.randrange(64)
             codes.add(code)
-    codes = sorted(codes)
-    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
-    frame = spark.createDataFrame([(c,) for c in signed], "fp long")
-    links = simhash.fingerprint_links(frame, bits)
-    place = {c: i for i, c in enumerate(signed)}
-    pairs = [(place[r.a], place[r.b]) for r in links.collect()]
-    assert all((codes[a] ^ codes[b]).bit_count() <= bits for a, b in pairs)
-    assert components(len(codes), pairs) == components(
-        len(codes), [(a, b) for a in range(len(codes)) for b in range(a) if (codes[a] ^ codes[b]).bit_count() <= bits])
-    if bits == 2:
-        got = {r.node: r.component for r in common.connected_components(links).collect()}
-        by_root = components(len(codes), pairs)
-        groups = {}
-        for i, root in enumerate(by_root):
-            groups.setdefault(root, []).append(signed[i])
-        assert got == {c: min(g) for g in groups.values() if len(g) > 1 for c in g}
+    return sorted(c - (1 << 64) if c >> 63 else c for c in codes)
+
+
+def all_pairs(codes, bits):
+    u = [c % (1 << 64) for c in codes]
+    return {(codes[a], codes[b]) for a in range(len(u)) for b in range(len(u))
+            if codes[a] > codes[b] and (u[a] ^ u[b]).bit_count() <= bits}
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("segments", [2, 3, 5])
+def test_links_are_all_pairs_for_any_number_of_segments(spark, bits, segments):
+    codes = clustered_codes(bits)
+    frame = spark.createDataFrame([(c,) for c in codes], "fp long")
+    links = simhash.fingerprint_links(frame, bits, segments, bucket=1000)
+    assert {(r.a, r.b) for r in links.collect()} == all_pairs(codes, bits)
+    # other segments, other tables
+    rows = {(r.segment, r.value) for r in simhash.segment_rows(frame, segments).collect()}
+    assert len({s for s, _ in rows}) == segments and rows != {
+        (r.segment, r.value) for r in simhash.segment_rows(frame, segments + 1).collect()}
+
+
+def test_without_the_tables_no_pair_is_found(spark, monkeypatch):
+    codes = clustered_codes(9)
+    frame = spark.createDataFrame([(c,) for c in codes], "fp long")
+    monkeypatch.setattr(simhash, "segment_rows", lambda c, n: c.select("fp").selectExpr(
+        "fp", "0 as segment", "fp as value").where("false"))
+    assert simhash.fingerprint_links(frame, 2).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 2])
+@pytest.mark.parametrize("bucket", [1, 3, 8])
+def test_split_buckets_reach_what_all_pairs_reach(spark, bits, bucket):
+    codes = clustered_codes(bits)
+    frame = spark.createDataFrame([(c,) for c in codes], "fp long")
+    links = simhash.fingerprint_links(frame, bits, bucket=bucket)
+    pairs = {(r.a, r.b) for r in links.collect()}
+    want = all_pairs(codes, bits)
+    assert pairs <= want
+    place = {c: i for i, c in enumerate(codes)}
+    by = lambda links: components(len(codes), [(place[a], place[b]) for a, b in links])
+    assert by(pairs) == by(want)
+    got = {r.node: r.component for r in common.connected_components(links).collect()}
+    groups = {}
+    for i, root in enumerate(by(want)):
+        groups.setdefault(root, []).append(codes[i])
+    assert got == {c: min(g) for g in groups.values() if len(g) > 1 for c in g}
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
