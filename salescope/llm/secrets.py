@@ -3,15 +3,15 @@
 A text is searched for parts: plain finds (assignments, access ids, hex runs),
 which count by themselves, and weak candidates (long mixed runs that may be a
 secret key, service endpoints), which mean nothing alone.  A scope is a
-paragraph (no blank line inside).  Weak candidates are interval-joined with
-the access ids and assignments of their scope: each part covers the bins of
-``window`` characters around it, parts meet on (row, scope, bin), and a weak
-candidate is linked if such a part lies within ``window`` characters.  A bin
-holds few spans as spans of a kind do not overlap, so the join's size follows
-the text.  A weak candidate that is not linked is paired if a complementary
-part stands anywhere in its scope: for a key an access id, an assignment or an
-endpoint, for an endpoint an access id, an assignment or a key.  That asks
-only which kinds a scope has, so no pairs are made.
+paragraph (no blank line inside).  A weak candidate is reported only if a
+complementary part stands in its scope, at most ``REACH`` characters away: for
+a key an access id, an assignment or an endpoint, for an endpoint an access
+id, an assignment or a key.
+
+That is an interval join: a weak candidate covers the bins of ``REACH``
+characters that it touches, a complement those within ``REACH`` characters of
+it; they meet on (row, scope, bin), and the distance is verified.  Spans of a
+kind do not overlap, so a bin holds few and the join follows the text.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from salescope.llm.common import keep, ship, with_row_id
 
-WINDOW = 256
+#: Characters between a weak candidate and its complement, at most.
+REACH = 1000
 
 # The plain finds, their order and least lengths.
 BASE_KINDS = ("assign", "access", "hex")
@@ -81,72 +82,52 @@ def find_parts(text: str | None) -> list[tuple[int, int, str, int, int]]:
     return out
 
 
-def complemented(parts: list[tuple[int, int, str, int, int]]) -> list[tuple[int, int, str, int, int]]:
-    """The weak candidates of ``find_parts`` that have a complementary part in
-    their scope and are not inside an access id or assignment.  A key inside an
-    endpoint (a path) is no complement of an endpoint."""
-    kinds: dict[int, set[str]] = {}
-    weak = []
-    plain_end = url_end = -1
-    for p in parts:
-        start, rank, kind, end, scope = p
-        if rank < 2:
-            plain_end = max(plain_end, end)
-            kinds.setdefault(scope, set()).add("plain")
-        elif rank >= len(BASE_KINDS) and end > plain_end:
-            free = kind == "endpoint" or end > url_end
-            if free:
-                kinds.setdefault(scope, set()).add(kind)
-            if kind == "endpoint":
-                url_end = max(url_end, end)
-            weak.append((p, free))
-    other = {"key": "endpoint", "endpoint": "key"}
-    return [p for p, free in weak if "plain" in kinds.get(p[4], ())
-            or free and other[p[2]] in kinds.get(p[4], ())]
-
-
-def scan_secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, base, linked, paired``,
-    arrays of (start, rank, kind, end, scope) in order.
-
-    ``base``: the plain finds, ``linked``: the weak candidates near an access
-    id or assignment, ``paired``: the others with a complementary part in
-    their scope; neither holds what is inside an access id or assignment.  Null and empty texts give empty arrays; repeated rows each
-    give a row, null ids stay null.  Only ``doc_id`` and ``text`` are read.
+def linked_candidates(parts: DataFrame, reach: int = REACH) -> DataFrame:
+    """The weak candidates of ``parts`` (``__row, start, rank, kind, end,
+    scope``) that have a complement: not inside an access id or assignment,
+    and within ``reach`` of one, or of a part of the other weak kind that does
+    not hold it and is not inside it."""
+    bins = lambda lo, hi: F.explode(F.sequence(F.floor(lo / reach), F.floor(hi / reach)))
+    weak = parts.where(F.col("rank") >= len(BASE_KINDS)).withColumn("bin", bins(F.col("start"), F.col("end")))
+    other = parts.where("kind <> 'hex'").select(
+        "__row", "scope", F.col("start").alias("s"), F.col("end").alias("e"), F.col("kind").alias("by"),
+        bins(F.col("start") - reach, F.col("end") + reach).alias("bin"))
+    near = (F.col("start") - F.col("e") <= reach) & (F.col("s") - F.col("end") <= reach)
+    inside = (F.col("s") <= F.col("start")) & (F.col("end") <= F.col("e"))
+    holds = (F.col("start") <= F.col("s")) & (F.col("e") <= F.col("end"))
+    plain = F.col("by").isin("assign", "access")
+    met = weak.join(other, ["__row", "scope", "bin"]).where((F.col("by") != F.col("kind")) & near)
+    return (met.groupBy("__row", "start", "rank", "kind", "end", "scope")
+            .agg(F.max(plain & inside).alias("inner"), F.max(~inside & ~holds | plain & ~inside).alias("linked"))
+            .where("linked and not inner").drop("linked", "inner"))
+
+
+def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id, base, linked``, arrays of
+    (start, rank, kind, end, scope) in order.
+
+    ``base``: the plain finds, ``linked``: the weak candidates with a
+    complementary part in their scope.  Null and empty texts give empty arrays;
+    repeated rows each give a row, null ids stay null, an empty table gives an
+    empty one.  Only ``doc_id`` and ``text`` are read.
     """
 
-    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("start", "rank", "kind", "end", "scope")
-        listed = lambda found: [dict(zip(names, p)) for p in found]
         for s in batches:
-            found = [find_parts(t) for t in s]
-            yield pd.DataFrame({"parts": pd.Series([listed(x) for x in found], dtype=object),
-                                "scoped": pd.Series([listed(complemented(x)) for x in found], dtype=object)})
-
-    parts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    rows = with_row_id(docs).select("__row", "doc_id", F.pandas_udf(
-        parts, f"parts {PART}, scoped {PART}")("text").alias("found")).select("__row", "doc_id", "found.*")
-    rows = keep(rows, "secret-parts")
+            yield pd.Series([[dict(zip(names, p)) for p in find_parts(t)] for t in s], dtype=object)
+
+    parts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    rows = keep(with_row_id(docs).select("__row", "doc_id", F.pandas_udf(parts, PART)("text").alias("parts")),
+                "secret-parts")
     base_kind = lambda p: p["rank"] < len(BASE_KINDS)
     mixed = rows.where(F.exists("parts", lambda p: ~base_kind(p)))
     each = mixed.select("__row", F.explode("parts").alias("p")).select("__row", "p.*")
-    binned = lambda df, reach: df.withColumn("bin", F.explode(F.sequence(
-        F.floor((F.col("start") - reach) / window), F.floor((F.col("end") + reach) / window))))
-    weak = binned(each.where("rank >= 3"), 0)
-    strong = binned(each.where("rank < 2").select(
-        "__row", "scope", F.col("start").alias("s"), F.col("end").alias("e")).select(
-        "*", F.col("s").alias("start"), F.col("e").alias("end")), window).drop("start", "end")
-    near = (weak.join(strong, ["__row", "scope", "bin"])
-            .where((F.col("start") - F.col("e") <= window) & (F.col("s") - F.col("end") <= window))
-            .groupBy("__row", "start", "rank", "kind", "end", "scope")
-            .agg(F.max((F.col("start") >= F.col("s")) & (F.col("end") <= F.col("e"))).alias("inside"))
-            .where("not inside"))
-    linked = near.groupBy(F.col("__row").alias("__of")).agg(F.array_sort(F.collect_list(
+    linked = linked_candidates(each, reach).groupBy(F.col("__row").alias("__of")).agg(F.array_sort(F.collect_list(
         F.struct("start", "rank", "kind", "end", "scope"))).alias("linked"))
     return rows.join(linked, F.col("__row") == F.col("__of"), "left").select(
         "doc_id", F.filter("parts", base_kind).alias("base"),
-        F.coalesce("linked", F.array().cast(PART)).alias("linked"),
-        F.array_except("scoped", F.coalesce("linked", F.array().cast(PART))).alias("paired"))
+        F.coalesce("linked", F.array().cast(PART)).alias("linked"))
 
 
 ship(__name__)

@@ -44,30 +44,49 @@ def linked(spark, texts, **kw):
 
 
 def test_weak_candidates_need_a_complement_in_scope(spark):
-    got = linked(spark, [
-        f"key {KEY} alone", f"{ID} and {KEY}", f"{KEY} at https://s3.example.com/b for {ID}",
-        f"{ID}\n\n{KEY}", f"{ID} {'x ' * 400} {KEY}", f"{ID} {'x ' * 100} {KEY}",
-        "see https://example.com/page", f"password={KEY}", "token: abcdefgh for https://example.com/api"])
-    assert got == {0: [], 1: [KEY], 2: [KEY, "https://s3.example.com/b"], 3: [], 4: [], 5: [KEY], 6: [], 7: [],
-                   8: ["https://example.com/api"]}
+    texts = [f"key {KEY} alone", f"{ID} and {KEY}", f"{KEY} at https://s3.example.com/b for {ID}",
+             f"{ID}\n\n{KEY}", f"{ID} {'x ' * 400} {KEY}", f"{ID} {'x ' * 100} {KEY}",
+             "see https://example.com/page", f"password={KEY}", "token: abcdefgh for https://example.com/api"]
+    near = {0: [], 1: [KEY], 2: [KEY, "https://s3.example.com/b"], 3: [], 4: [], 5: [KEY], 6: [], 7: [],
+            8: ["https://example.com/api"]}
+    assert linked(spark, texts, reach=256) == near
+    assert linked(spark, texts) == near | {4: [KEY]}
+
+
+def all_pairs(text, reach):
+    """The linked spans by trying every two parts."""
+    parts = secrets.find_parts(text)
+    out = []
+    for a, rank, kind, b, scope in parts:
+        others = [p for p in parts if p[4] == scope and p[2] not in (kind, "hex") and a - p[3] <= reach
+                  and p[0] - b <= reach]
+        plain = [p for p in others if p[1] < 2]
+        if rank < 3 or any(p[0] <= a and b <= p[3] for p in plain):
+            continue
+        apart = [p for p in others if p[1] >= 3 and not (p[0] <= a and b <= p[3]) and not (a <= p[0] and p[3] <= b)]
+        if plain or apart:
+            out.append(text[a:b])
+    return out
 
 
 def test_join_against_all_pairs(spark):
     import random
     rng = random.Random(2)
     texts = []
-    for _ in range(40):
-        parts = [rng.choice([ID, KEY, "https://a.example.com/x", "word " * rng.randint(1, 60), "\n\n"])
-                 for _ in range(30)]
-        texts.append(" ".join(parts))
-    window = 100
-    got = linked(spark, texts, window=window)
-    for i, t in enumerate(texts):
-        parts = secrets.find_parts(t)
-        strong = [p for p in parts if p[1] < 2]
-        want = [t[a:b] for a, rank, _, b, scope in parts if rank >= 3 and any(
-            scope == s[4] and a - s[3] <= window and s[0] - b <= window for s in strong)]
-        assert got[i] == want
+    for _ in range(60):
+        parts = [rng.choice([ID, KEY, "https://a.example.com/x", f"https://b.example.com/{KEY}", f"token={KEY}",
+                             "https://c.example.com/?secret=abcdefgh", "word " * rng.randint(1, 60), "\n\n"])
+                 for _ in range(rng.randint(1, 30))]
+        texts.append(rng.choice([" ", ""]).join(parts))
+    for reach in (100, 1000):
+        got = linked(spark, texts, reach=reach)
+        assert got == {i: all_pairs(t, reach) for i, t in enumerate(texts)}
+        assert sum(map(len, got.values())) > 100
+
+
+def test_the_join_makes_the_spans(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "linked_candidates", lambda parts, reach: parts.where("false"))
+    assert linked(spark, [f"{ID} and {KEY}"]) == {0: []}
 
 
 def test_odd_rows(spark):
@@ -85,6 +104,6 @@ def test_keys_and_endpoints_complement_each_other(spark):
     texts = [f"{KEY} {url}", f"postgres://host/db {'x ' * 400} {KEY}", f"{KEY}\n\n{url}", f"{ID} {'x ' * 400} {KEY}",
              f"see https://example.com/{KEY} there", f"password={KEY}", f"{long_key} {url}", f"{KEY} alone"]
     docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
-    got = {r.doc_id: [texts[r.doc_id][p.start:p.end] for p in r.paired] for r in secrets.scan_secrets(docs).collect()}
+    got = {r.doc_id: [texts[r.doc_id][p.start:p.end] for p in r.linked] for r in secrets.scan_secrets(docs).collect()}
     assert got == {0: [KEY, url], 1: ["postgres://host/db", KEY], 2: [], 3: [KEY], 4: [], 5: [],
                    6: [long_key, url], 7: []}
