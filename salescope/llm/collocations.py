@@ -10,11 +10,12 @@ chunk in which it starts before the closing window (``own`` words of a chunk
 are starts), so each occurrence is counted in exactly one chunk, and counts
 are sums over distinct chunks weighted by their frequencies.
 
-Phrases are counted by length.  A phrase cannot be more frequent than its
-parts, so of the phrases of n words only those are written whose two parts of
-n - 1 words may be frequent.  This is asked from a bit table of fixed size
-(``FILTER_BITS``) over hashes of the frequent parts: a false answer costs
-rows, never counts, which are of the words themselves.
+Words are counted first, then phrases of two words, then the longer ones.  A
+phrase cannot be more frequent than its parts, so only those are written whose
+words (whose parts of two words, for the longer) may all be frequent.  This is
+asked from a bit table of fixed size (``FILTER_BITS``) over hashes of the
+frequent parts: a false answer costs rows, never counts, which are of the words
+themselves.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ FILTER_BITS = 1 << 26
 #: Candidates of a language that one task puts in order.
 SORTED_BY_ONE = 100_000
 #: Different phrases that a task counts before it hands them on.
-FLUSH = 1_000_000
+FLUSH = 300_000
 
 BREAKS = b".,;:!?\n\v\f\r"
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -260,9 +261,10 @@ def phrase_filter(frequent: DataFrame, n: int, bits: int = FILTER_BITS) -> np.nd
     return table.view(np.uint64)
 
 
-def count_phrases(dictionary: DataFrame, n: int, parts: np.ndarray) -> DataFrame:
-    """``(lang, phrase, f)`` of the phrases of ``n`` words whose two parts of
-    ``n - 1`` words pass the bit table ``parts``; not yet cut at a count."""
+def count_phrases(dictionary: DataFrame, lengths: tuple, k: int, parts: np.ndarray) -> DataFrame:
+    """``(lang, phrase, words, f)`` of the phrases of ``lengths`` words all of
+    whose parts of ``k`` words pass the bit table ``parts``; not yet cut at a
+    count."""
     sent = dictionary.sparkSession.sparkContext.broadcast(parts)
     shift = np.uint64(64 - (len(parts) * 64).bit_length() + 1)
 
@@ -272,21 +274,22 @@ def count_phrases(dictionary: DataFrame, n: int, parts: np.ndarray) -> DataFrame
             langs = b.column("lang").to_pylist()
             starts, ends, hashes, row = words_of(np.frombuffer(data, np.uint8), at[:-1])
             row = row - 1
-            begin = np.searchsorted(row, np.arange(b.num_rows))
-            short = phrase_hashes(_seeded(hashes, langs, row), n - 1) >> shift
-            if len(short) < 2:
-                continue
+            place = np.arange(len(row)) - np.searchsorted(row, np.arange(b.num_rows))[row]
+            mine = place < b.column("own").to_numpy()[row]
+            short = phrase_hashes(_seeded(hashes, langs, row), k) >> shift
             may = (table[short >> np.uint64(6)] >> (short & np.uint64(63)) & np.uint64(1)).astype(bool)
-            ok = may[:-1] & may[1:]
-            m = len(ok)
-            ok &= row[:m] == row[n - 1:n - 1 + m]
-            ok &= np.arange(m) - begin[row[:m]] < b.column("own").to_numpy()[row[:m]]
-            i = np.flatnonzero(ok)
-            freq = b.column("freq").to_numpy()[row[i]]
-            for a, e, r, f in zip(starts[i].tolist(), ends[i + n - 1].tolist(), row[i].tolist(), freq.tolist()):
-                of = seen.setdefault(langs[r], {})
-                p = data[a:e]
-                of[p] = of.get(p, 0) + f
+            freqs = b.column("freq").to_numpy()
+            for n in lengths:
+                m = max(0, len(row) - n + 1)
+                ok = mine[:m] & (row[:m] == row[n - 1:])
+                for j in range(n - k + 1):
+                    ok &= may[j:j + m]
+                i = np.flatnonzero(ok)
+                for a, e, r, f in zip(starts[i].tolist(), ends[i + n - 1].tolist(), row[i].tolist(),
+                                      freqs[row[i]].tolist()):
+                    of = seen.setdefault((langs[r], n), {})
+                    p = data[a:e]
+                    of[p] = of.get(p, 0) + f
             size = sum(map(len, seen.values()))
             if size > FLUSH:
                 yield from phrase_rows(seen)
@@ -295,14 +298,15 @@ def count_phrases(dictionary: DataFrame, n: int, parts: np.ndarray) -> DataFrame
             yield from phrase_rows(seen)
 
     def phrase_rows(seen: dict) -> Iterator[pa.RecordBatch]:
-        for name, of in seen.items():
+        for (name, n), of in seen.items():
             yield pa.record_batch({
                 "lang": pa.array([name] * len(of), pa.string()),
                 "phrase": pa.array(list(of), pa.binary()).cast(pa.string()),
+                "words": pa.array([n] * len(of), pa.int32()),
                 "f": pa.array(list(of.values()), pa.int64())})
 
-    return dictionary.mapInArrow(count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(
-        F.sum("f").alias("f"))
+    return dictionary.mapInArrow(count, "lang string, phrase string, words int, f long").groupBy(
+        "lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT) -> list[DataFrame]:
@@ -312,11 +316,14 @@ def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT) -> list[
     words = dictionary.select("lang", F.explode(own).alias("phrase"), "freq").groupBy("lang", "phrase").agg(
         F.sum("freq").alias("f"))
     out = [keep(words.where(F.col("f") >= min_count), "phrases-1")]
-    for n in range(2, MAX_WORDS + 1):
-        parts = phrase_filter(out[-1], n - 1)
+    # the longer ones in one pass: it costs a few rows more than a pass each
+    for lengths in ((2,), tuple(range(3, MAX_WORDS + 1))):
+        parts = phrase_filter(out[-1], len(out))
         if not parts.any():
             break
-        out.append(keep(count_phrases(dictionary, n, parts).where(F.col("f") >= min_count), f"phrases-{n}"))
+        found = keep(count_phrases(dictionary, lengths, len(out), parts).where(F.col("f") >= min_count),
+                     f"phrases-{lengths[0]}")
+        out += [found.where(F.col("words") == n).select("lang", "phrase", "f") for n in lengths]
     return out
 
 
