@@ -160,16 +160,26 @@ class FeaturePrep:
         return [f"{c}__z" for c in self.numeric] if self.kind == "onehot" and self.scale \
             else list(self.numeric)
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def columns(self, df: DataFrame) -> DataFrame:
+        """One-hot kind: the filled rows with scaled numeric columns and the
+        categories as text, without a vector."""
         out = self._fill(df)
+        if self.scale:
+            out = out.withColumns({
+                f"{c}__z": (F.col(c) - F.lit(m)) / F.lit(s if s else 1.0)
+                for c, (m, s) in self.scaling.items()})
+        return self._as_strings(out)
+
+    def category_labels(self) -> list[tuple[str, list[str]]]:
+        """One-hot kind: the values of each categorical column in vector order."""
+        return [(c, list(v)) for c, v in zip(self.categorical, self.onehot_model.stages[0].labelsArray)]
+
+    def transform(self, df: DataFrame) -> DataFrame:
         if self.kind == "onehot":
-            if self.scale:
-                out = out.withColumns({
-                    f"{c}__z": (F.col(c) - F.lit(m)) / F.lit(s if s else 1.0)
-                    for c, (m, s) in self.scaling.items()})
-            out = self.onehot_model.transform(self._as_strings(out))
+            out = self.onehot_model.transform(self.columns(df))
             inputs = self.numeric_columns() + [f"{c}__oh" for c in self.categorical]
         else:
+            out = self._fill(df)
             for c, table in self.codes.items():
                 out = out.join(sized_broadcast(table), c, "left") \
                          .withColumn(f"{c}__code", F.coalesce(F.col(f"{c}__code"), F.lit(-1)))
@@ -181,8 +191,7 @@ class FeaturePrep:
         """Names in vector order (one-hot names come from the fitted indexers)."""
         names = list(self.numeric)
         if self.kind == "onehot":
-            indexer = self.onehot_model.stages[0]
-            for c, labels in zip(self.categorical, indexer.labelsArray):
+            for c, labels in self.category_labels():
                 names += [f"{c}_{v}" for v in labels]  # dropLast removes the 'unknown' slot
         else:
             names += list(self.categorical)

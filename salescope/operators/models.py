@@ -5,17 +5,21 @@ forest, gradient-boosted trees).  Three estimators Spark lacks are written
 on Spark primitives, over feature rows kept as numpy blocks (a binary cell of
 at most ``BLOCK_ROWS`` rows, so a task holds one block at a time):
 
-* ``gram_system``: normal equations.  Each task reduces its blocks to the
-  Gram matrix of [1, x, y]; matrices are summed with a tree reduction, and the
-  small system is solved on the driver for any penalty.  The width is checked
-  against ``MAX_GRAM_WIDTH`` first.
+* ``gram_system``: normal equations of a vector column whose layout is not
+  known (``operators.gram`` builds them from columns, without vectors).  Each
+  task reduces its blocks to the Gram matrix of [1, x, y]; matrices are summed
+  with a tree reduction, and the small system is solved on the driver for any
+  penalty.  The width is checked against ``MAX_GRAM_WIDTH`` first.
 * ``linear_svr_fit``: full-batch sub-gradient descent on the
-  epsilon-insensitive loss; one distributed sum per epoch, weights shipped
-  with the task closure (p floats).
+  epsilon-insensitive loss.
 * ``mlp_fit``: one ReLU hidden layer; rows are dealt to mini-batches by a hash
-  of their content, and each step sums the gradient of one mini-batch over all
+  of their content, and a step sums the gradient of one mini-batch over all
   tasks, so the model does not depend on how the rows are partitioned.
 
+Both keep their blocks as numpy arrays in the tasks' cache and sum a few
+thousand floats a step; a step of the network runs tasks only on the partitions
+that hold its mini-batch.
+
 Predictions are always a column of the scored DataFrame (no positional zip,
 nothing collected).
 """
@@ -35,6 +39,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GeneralizedLinearRegre
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salescope.operators.gram import GramSystem, LassoFit, LinearFit
 from salescope.operators.quantiles import exact_percentiles
 
 # workers need not have the package installed
@@ -43,6 +48,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 4096
 #: Widest Gram matrix that is summed and solved (8 bytes a cell, a copy a task).
 MAX_GRAM_WIDTH = 4096
+#: Partitions over which mini-batches are dealt, at most.
+MAX_PARTITIONS = 4096
 
 
 # ------------------------------------------------------------------ helpers
@@ -82,6 +89,12 @@ def blocks(df: DataFrame, features: str, label: str, batches: int = 1) -> DataFr
     return data.mapInPandas(pack, "batch int, x binary, y binary")
 
 
+def _arrays(r) -> tuple[int, np.ndarray, np.ndarray]:
+    """A row of ``blocks`` as (batch, x, y)."""
+    y = np.frombuffer(r["y"], "<f8")
+    return r["batch"], np.frombuffer(r["x"], "<f8").reshape(len(y), -1), y
+
+
 def _sum_over(data: DataFrame, of_block, size: int) -> np.ndarray:
     """Sum of ``of_block(x, y)`` (a flat array of ``size``) over all blocks."""
 
@@ -98,31 +111,6 @@ def _sum_over(data: DataFrame, of_block, size: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ Gram solver
 
-@dataclass
-class LinearFit:
-    coef: np.ndarray
-    intercept: float
-
-    def predict(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
-        return df.withColumn(out, dot(features, self.coef, self.intercept))
-
-
-@dataclass
-class GramSystem:
-    """Sums over all rows of the products of [1, x, y]."""
-    gram: np.ndarray
-
-    def solve(self, alpha: float = 0.0, fit_intercept: bool = True) -> LinearFit:
-        """argmin |y - Xw - b|^2 + alpha |w|^2 (intercept not penalised)."""
-        first = 0 if fit_intercept else 1
-        xtx, xty = self.gram[first:-1, first:-1], self.gram[first:-1, -1]
-        penalty = alpha * np.eye(len(xtx))
-        if fit_intercept:
-            penalty[0, 0] = 0.0
-        w = np.linalg.pinv(xtx + penalty) @ xty
-        return LinearFit(w[1:], float(w[0])) if fit_intercept else LinearFit(w, 0.0)
-
-
 def gram_system(df: DataFrame, features: str = "features", label: str = "label") -> GramSystem:
     """One pass; ``solve`` then serves every penalty."""
     k = vector_width(df, features) + 2
@@ -152,20 +140,22 @@ def linear_svr_fit(df: DataFrame, features: str = "features", label: str = "labe
                    epsilon: float = 0.1, learning_rate: float = 0.03, epochs: int = 500,
                    l2: float = 0.001, seed: int = 42) -> SVRFit:
     """Full-batch sub-gradient descent: grad_w = l2 w + X_out' sign / n,
-    grad_b = mean sign over rows outside the tube."""
+    grad_b = mean sign over rows outside the tube.  An epoch is one small job
+    over cached arrays."""
     p = vector_width(df, features)
-    data = blocks(df, features, label).persist()
-    n = _sum_over(data, lambda x, y: np.array([len(y)]), 1)[0]
+    data = blocks(df, features, label).rdd.map(_arrays).persist()
+    n = data.map(lambda b: len(b[2])).sum()
     w, b, history = np.random.default_rng(seed).normal(0, 0.01, size=p), 0.0, []
     for _ in range(epochs):
 
-        def outside(x: np.ndarray, y: np.ndarray, w=w, b=b) -> np.ndarray:
+        def outside(block: tuple, w=w, b=b) -> np.ndarray:
+            _, x, y = block
             err = x @ w + b - y
             beyond = np.maximum(np.abs(err) - epsilon, 0.0)
             sign = np.sign(err) * (beyond > 0)
             return np.concatenate([x.T @ sign, [sign.sum(), np.count_nonzero(sign), beyond.sum()]])
 
-        total = _sum_over(data, outside, p + 3)
+        total = data.map(outside).treeReduce(np.add, depth=2)
         signs, rows, loss = total[p:]
         w = w - learning_rate * (l2 * w + total[:p] / n)
         b = b - learning_rate * (signs / rows if rows else 0.0)
@@ -215,15 +205,32 @@ def _loss_gradient(theta: np.ndarray, p: int, hidden: int, x: np.ndarray, y: np.
                            [miss.sum(), miss @ miss, len(y)]])
 
 
+def batch_partitions(batch: int, steps: int, spread: int) -> list[int]:
+    """The partitions that hold a mini-batch: ``spread`` each, or of very many
+    mini-batches several in one."""
+    if steps * spread <= MAX_PARTITIONS:
+        return list(range(batch * spread, (batch + 1) * spread))
+    return [batch % MAX_PARTITIONS]
+
+
 def mlp_fit(df: DataFrame, features: str = "features", label: str = "label", hidden: int = 16,
             lr: float = 0.01, epochs: int = 20, batch_size: int = 1024, seed: int = 42) -> MLPFit:
     """Mini-batch gradient descent on the squared error.  Mini-batches hold
-    about ``batch_size`` rows, one distributed sum each; for large tables the
-    caller sets a size that keeps the number of steps in hand."""
+    about ``batch_size`` rows and lie in partitions of their own, so that a
+    step runs tasks on these alone and an epoch reads every row once; for large
+    tables the caller sets a size that keeps the number of steps in hand."""
     p = vector_width(df, features)
     n = df.count()
     steps = max(1, -(-n // batch_size))
-    data = blocks(df, features, label, steps).persist()
+    spread = max(1, min(64, batch_size // BLOCK_ROWS))
+
+    def place(item: tuple) -> tuple:
+        (batch, x, y), i = item
+        of = batch_partitions(batch, steps, spread)
+        return of[i % len(of)], (batch, x, y)
+
+    dealt = blocks(df, features, label, steps).rdd.map(_arrays).zipWithIndex().map(place)
+    data = dealt.partitionBy(min(steps * spread, MAX_PARTITIONS), int).values().persist()
     rng = np.random.default_rng(seed)
     theta = np.concatenate([
         np.vstack([rng.standard_normal((p, hidden)) * np.sqrt(2.0 / p), np.zeros((1, hidden))]).ravel(),
@@ -231,9 +238,13 @@ def mlp_fit(df: DataFrame, features: str = "features", label: str = "label", hid
     history = []
     for _ in range(epochs):
         squared = rows = 0.0
-        for batch in rng.permutation(steps):
-            total = _sum_over(data.where(F.col("batch") == int(batch)),
-                              lambda x, y, now=theta: _loss_gradient(now, p, hidden, x, y), len(theta) + 2)
+        for batch in map(int, rng.permutation(steps)):
+
+            def gradient(it: Iterator, now=theta, batch=batch) -> list:
+                mine = [_loss_gradient(now, p, hidden, x, y) for at, x, y in it if at == batch]
+                return [sum(mine, np.zeros(len(now) + 2))]
+
+            total = sum(df.sparkSession.sparkContext.runJob(data, gradient, batch_partitions(batch, steps, spread)))
             if total[-1]:
                 theta = theta - lr * total[:-2] / total[-1]
             squared, rows = squared + total[-2], rows + total[-1]
@@ -246,10 +257,11 @@ def mlp_fit(df: DataFrame, features: str = "features", label: str = "label", hid
 
 @dataclass
 class ConstantFit:
-    value: float
+    """``value``: None (no training value) predicts NULL."""
+    value: float | None
 
     def predict(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
-        return df.withColumn(out, F.lit(float(self.value)))
+        return df.withColumn(out, F.lit(self.value).cast("double"))
 
 
 def mean_fit(df: DataFrame, label: str = "label") -> ConstantFit:
@@ -257,7 +269,8 @@ def mean_fit(df: DataFrame, label: str = "label") -> ConstantFit:
 
 
 def median_fit(df: DataFrame, label: str = "label") -> ConstantFit:
-    return ConstantFit(exact_percentiles(df, label, [0.5], names=["m"]).first()["m"])
+    row = exact_percentiles(df, label, [0.5], names=["m"]).first()
+    return ConstantFit(row["m"] if row else None)
 
 
 @dataclass
@@ -286,14 +299,11 @@ def _converged(iterations: int, max_iter: int, what: str) -> None:
 
 
 def lasso_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label",
-              max_iter: int = 20_000, tol: float = 1e-7) -> SparkFit:
-    """1/(2n) |y - Xw - b|^2 + alpha |w|_1, run until it converges (Spark's
-    scaling by the label's deviation cancels out for this penalty)."""
-    lr = LinearRegression(featuresCol=features, labelCol=label, regParam=alpha, elasticNetParam=1.0,
-                          standardization=False, maxIter=max_iter, tol=tol)
-    model = lr.fit(df)
-    _converged(model.summary.totalIterations, max_iter, "lasso")
-    return SparkFit(model)
+              tol: float = 1e-8, system: GramSystem | None = None) -> LassoFit:
+    """1/(2n) |y - Xw - b|^2 + alpha |w|_1 from one pass over the data, until
+    the duality gap is below ``tol`` (see ``GramSystem.lasso``).  ``system``:
+    the normal equations, if they are there already."""
+    return (system or gram_system(df, features, label)).lasso(alpha, tol)
 
 
 def poisson_fit(df: DataFrame, alpha: float, features: str = "features", label: str = "label",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from salescope.functions.columns import (VARIANT_NO_QUANTITY, VARIANT_WITH_QUANTITY, expm1_clip,
                                          rounded_quantity, variant_note)
 from salescope.operators import boosting as BO
+from salescope.operators import gram as GR
 from salescope.operators import models as MD
 from salescope.operators.encoders import FeaturePrep
 from salescope.operators.metrics import (metrics_row, quantity_metrics, regression_metrics,
@@ -42,7 +43,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _fit_order_model(name: str, onehot_train: DataFrame, ordinal_train: DataFrame, label: str):
+def _fit_order_model(name: str, onehot_train: DataFrame, ordinal_train: DataFrame, label: str,
+                     system: GR.GramSystem | None = None):
     if name == "Baseline_Mean":
         return MD.mean_fit(onehot_train, label), "onehot"
     if name == "Baseline_Median":
@@ -50,7 +52,7 @@ def _fit_order_model(name: str, onehot_train: DataFrame, ordinal_train: DataFram
     if name == "Ridge":
         return MD.ridge_fit(onehot_train, 1.0, label=label), "onehot"
     if name == "Lasso":
-        return MD.lasso_fit(onehot_train, 0.2, label=label), "onehot"
+        return MD.lasso_fit(onehot_train, 0.2, label=label, system=system), "onehot"
     if name == "DecisionTree":
         return MD.tree_fit(onehot_train, label=label, max_depth=16, min_leaf=40), "onehot"
     if name == "RandomForest":
@@ -93,11 +95,12 @@ def order_variants(flat: DataFrame, models=ORDER_MODELS, prep=None):
     for variant, include_q in VARIANTS.items():
         numeric, categorical, feats = OM.feature_sets(include_q)
         assert_no_leakage(feats, include_q)
-        _, _, tr_oh, tr_od, te_oh, te_od = prepared_vectors(
+        oh, _, tr_oh, tr_od, te_oh, te_od = prepared_vectors(
             prep.train, prep.test, numeric, categorical, OM.TARGET)
+        system = GR.prepared_system(oh, prep.train, OM.TARGET) if "Lasso" in models else None
         mine = []
         for order_i, name in enumerate(models):
-            fit, kind = _fit_order_model(name, tr_oh, tr_od, OM.TARGET)
+            fit, kind = _fit_order_model(name, tr_oh, tr_od, OM.TARGET, system)
             scored = fit.predict(te_oh if kind == "onehot" else te_od)
             scored_by[variant, name] = scored
             m = regression_metrics(scored, OM.TARGET, "prediction")
@@ -148,13 +151,13 @@ def quantity_model_metrics(flat: DataFrame, models=QUANTITY_MODELS, prep=None):
     label = "Quantity"
     train = prep.train.withColumn(label, F.col(label).cast("double"))
     test = prep.test.withColumn(label, F.col(label).cast("double"))
-    _, _, tr_oh, tr_od, te_oh, te_od = prepared_vectors(train, test, numeric, categorical, label)
+    oh, _, tr_oh, tr_od, te_oh, te_od = prepared_vectors(train, test, numeric, categorical, label)
     rows, scored_by = [], {}
     for order_i, name in enumerate(models):
         if name == "Ridge":
             fit, kind = MD.ridge_fit(tr_oh, 2.0, label=label), "onehot"
         elif name == "Lasso":
-            fit, kind = MD.lasso_fit(tr_oh, 0.001, label=label, max_iter=10_000), "onehot"
+            fit, kind = MD.lasso_fit(tr_oh, 0.001, label=label, system=GR.prepared_system(oh, train, label)), "onehot"
         elif name == "PoissonRegressor":
             fit, kind = MD.poisson_fit(tr_oh, 0.01, label=label), "onehot"
         elif name == "HistGradientBoosting":
@@ -243,7 +246,7 @@ class StoreModels:
 
     def _linear(self, name: str):
         prep, train = self._onehot()
-        return prep, self._once(name, lambda: MD.gram_fit(train, "features", "__y", alpha=10.0)
+        return prep, self._once(name, lambda: GR.prepared_system(prep, self.rows, "__y").solve(10.0)
                                 if name == "Ridge_Scratch" else
                                 MD.mlp_fit(train, "features", "__y", hidden=16, lr=0.01, epochs=20, batch_size=1024))
 
@@ -328,12 +331,13 @@ def compare_models(flat: DataFrame, prep=None) -> DataFrame:
     pass serves both penalties."""
     prep = prep or OM.prepare_model_data(flat)
     numeric, categorical, _ = OM.feature_sets(False)
-    _, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET,
-                                                ordinal=False)
-    system = MD.gram_system(tr_oh, "features", OM.TARGET)
-    scored = te_oh.select(OM.TARGET, "features")
+    oh, _, tr_oh, _, te_oh, _ = prepared_vectors(prep.train, prep.test, numeric, categorical, OM.TARGET,
+                                                 ordinal=False)
+    system = GR.prepared_system(oh, prep.train, OM.TARGET)
+    scored = te_oh.select(OM.TARGET, "features", *[
+        GR.prepared_prediction(oh, system.solve(alpha)).alias(f"{kind}_Scratch")
+        for kind, alpha in (("OLS", 0.0), ("Ridge", 1.0))])
     for kind, alpha in (("OLS", 0.0), ("Ridge", 1.0)):
-        scored = system.solve(alpha).predict(scored, out=f"{kind}_Scratch")
         scored = MD.ridge_fit(tr_oh, alpha, label=OM.TARGET).predict(scored, out=f"{kind}_SparkML")
     names = [f"{kind}_{by}" for kind in ("OLS", "Ridge") for by in ("Scratch", "SparkML")]
     # one pass over the scored rows: a row of (model, prediction) each

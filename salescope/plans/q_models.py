@@ -13,7 +13,7 @@ from salescope.functions import dates as D
 from salescope.functions.columns import VARIANT_NO_QUANTITY
 from salescope.operators import aggregates as A
 from salescope.operators import chartdata as CH
-from salescope.operators import models as MD
+from salescope.operators import gram as GR
 from salescope.plans import modeling as ML
 from salescope.plans import order_model as OM
 from salescope.plans import store_sales as S
@@ -231,7 +231,7 @@ def q_score_orders(spark, sf):
     prep = prepared(spark, sf)
     numeric, categorical, feats = OM.feature_sets(False)
     oh = ML.FeaturePrep(numeric, categorical, "onehot").fit(prep.train)
-    model = MD.lasso_fit(oh.transform(prep.train), 0.2, label=OM.TARGET)
+    model = GR.prepared_system(oh, prep.train, OM.TARGET).lasso(0.2)
     bundle = Bundle(model, oh, prep.lookups, prep.defaults, feats)
     path = f"{checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
     save_bundle(bundle, path)

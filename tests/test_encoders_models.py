@@ -98,6 +98,62 @@ def test_mlp_does_not_depend_on_partitions(spark):
         assert np.allclose(r.theta, runs[0].theta, rtol=1e-7, atol=1e-9)
 
 
+def test_a_step_runs_on_its_mini_batch_alone(spark):
+    """Tasks of a step: the partitions of one mini-batch; an epoch reads each once."""
+    steps, spread = 7, 3
+    parts = [p for b in range(steps) for p in MD.batch_partitions(b, steps, spread)]
+    assert sorted(parts) == list(range(steps * spread))
+    assert MD.batch_partitions(5000, 10_000, 1) == [5000 - MD.MAX_PARTITIONS]
+    _, _, df = _xy(spark, n=400, p=3, seed=4)
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    sc.setJobGroup("mlp", "mlp")
+    MD.mlp_fit(df, "features", "y", hidden=4, epochs=2, batch_size=50)
+    last = [tracker.getStageInfo(max(tracker.getJobInfo(j).stageIds)) for j in sorted(tracker.getJobIdsForGroup("mlp"))]
+    sc.setJobGroup("rest", "rest")
+    assert [s.numTasks for s in last[-16:]] == [1] * 16  # 2 epochs of 8 steps
+
+
+def test_constant_models_of_an_empty_table(spark):
+    _, _, df = _xy(spark, n=5)
+    for fit in (MD.mean_fit(df.limit(0), "y"), MD.median_fit(df.limit(0), "y")):
+        assert [r.prediction for r in fit.predict(df.limit(2)).collect()] == [None, None]
+
+
+def _plain_lasso_objective(x, y, w, b, alpha):
+    return ((y - x @ w - b) ** 2).mean() / 2 + alpha * np.abs(w).sum()
+
+
+def test_sparse_system_is_the_dense_one_and_serves_the_lasso(spark):
+    from salescope.operators import gram as GR
+    rng = np.random.default_rng(0)
+    rows = [(float(v), float(rng.integers(5)), f"c{rng.integers(6)}" if i % 9 else None, f"d{rng.integers(3)}")
+            for i, v in enumerate(rng.normal(size=500))]
+    rows = [(*r, 2 * r[0] + (r[2] == "c1") * 3 - (r[3] == "d0") + float(rng.normal())) for r in rows]
+    train = spark.createDataFrame(rows, "a double, b double, c string, d string, y double").repartition(3)
+    prep = FeaturePrep(["a", "b"], ["c", "d"], "onehot").fit(train)
+    vectors = prep.transform(train).persist()
+    system = GR.prepared_system(prep, train, "y")
+    assert np.allclose(system.gram, MD.gram_system(vectors, "features", "y").gram, atol=1e-9)
+    got = vectors.select(vector_to_array("features").alias("x"), "y", "features",
+                         GR.prepared_prediction(prep, system.solve(1.0)).alias("p")).toPandas()
+    x, y = np.stack(got.x), got.y.to_numpy()
+    assert np.allclose(got.p, x @ system.solve(1.0).coef + system.solve(1.0).intercept)
+    for alpha in (0.0, 0.01, 0.3, 100.0):  # collinear columns: many solutions, one least value
+        fit = system.lasso(alpha)
+        best = _plain_lasso_objective(x, y, fit.coef, fit.intercept, alpha)
+        assert fit.gap <= 1e-8
+        for _ in range(200):
+            w = fit.coef + rng.normal(scale=10.0 ** rng.integers(-6, 0), size=len(fit.coef))
+            assert _plain_lasso_objective(x, y, w, (y - x @ w).mean(), alpha) >= best - 1e-7 * y.var()
+    assert (system.lasso(100.0).coef == 0).all()
+    # a NULL category is in no column, an unknown one weighs nothing, no rows no entries
+    assert GR.sparse_gram(train.limit(0), ["a"], ["c"], "y").count() == 0
+    test = spark.createDataFrame([(0.5, 1.0, "zz", "d1")], "a double, b double, c string, d string")
+    r = prep.transform(test).select(vector_to_array("features").alias("x"),
+                                    GR.prepared_prediction(prep, system.solve(1.0)).alias("p")).first()
+    assert abs(r.p - (np.array(r.x) @ system.solve(1.0).coef + system.solve(1.0).intercept)) < 1e-9
+
+
 def test_mlp_gradient_against_differences():
     rng = np.random.default_rng(0)
     p, hidden = 3, 4
@@ -156,7 +212,7 @@ def test_lasso_matches_coordinate_descent(spark):
             rho = xc[:, j] @ r / len(y)
             w[j] = np.sign(rho) * max(abs(rho) - alpha, 0) / (xc[:, j] @ xc[:, j] / len(y))
     fit = MD.lasso_fit(df, alpha, label="y")
-    assert np.allclose(fit.model.coefficients.toArray(), w, atol=1e-3)
+    assert np.allclose(fit.coef, w, atol=1e-8) and 0 <= fit.gap <= 1e-8
 
 
 def test_poisson_matches_newton(spark):
@@ -177,7 +233,7 @@ def test_poisson_matches_newton(spark):
 
 def test_iteration_limits_are_errors(spark):
     _, _, df = _xy(spark, n=100, p=4, seed=7)
-    for fit in (lambda: MD.lasso_fit(df, 0.01, label="y", max_iter=1),
+    for fit in (lambda: MD.gram_system(df, "features", "y").lasso(0.01, tol=-1.0, max_sweeps=1),
                 lambda: MD.poisson_fit(df.withColumn("y", F.abs("y")), 0.01, label="y", max_iter=1)):
         try:
             fit()
