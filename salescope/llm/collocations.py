@@ -46,7 +46,7 @@ FILTER_BITS = 1 << 26
 #: Candidates of a language that one task puts in order.
 SORTED_BY_ONE = 100_000
 #: Different phrases that a task counts before it hands them on.
-FLUSH = 300_000
+FLUSH = 100_000
 
 BREAKS = b".,;:!?\n\v\f\r"
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -262,9 +262,9 @@ def phrase_filter(frequent: DataFrame, n: int, bits: int = FILTER_BITS) -> np.nd
 
 
 def count_phrases(dictionary: DataFrame, lengths: tuple, k: int, parts: np.ndarray) -> DataFrame:
-    """``(lang, phrase, words, f)`` of the phrases of ``lengths`` words all of
-    whose parts of ``k`` words pass the bit table ``parts``; not yet cut at a
-    count."""
+    """``(key, f)`` of the phrases of ``lengths`` words all of whose parts of
+    ``k`` words pass the bit table ``parts``; not yet cut at a count.  The key
+    is the language, a line end and the phrase."""
     sent = dictionary.sparkSession.sparkContext.broadcast(parts)
     shift = np.uint64(64 - (len(parts) * 64).bit_length() + 1)
 
@@ -298,15 +298,21 @@ def count_phrases(dictionary: DataFrame, lengths: tuple, k: int, parts: np.ndarr
             yield from phrase_rows(seen)
 
     def phrase_rows(seen: dict) -> Iterator[pa.RecordBatch]:
+        # one text as key (a phrase has no line end): rows half as wide to group
         for (name, n), of in seen.items():
-            yield pa.record_batch({
-                "lang": pa.array([name] * len(of), pa.string()),
-                "phrase": pa.array(list(of), pa.binary()).cast(pa.string()),
-                "words": pa.array([n] * len(of), pa.int32()),
-                "f": pa.array(list(of.values()), pa.int64())})
+            head = name.encode("utf-8", "surrogatepass") + b"\n"
+            yield pa.record_batch({"key": pa.array([head + p for p in of], pa.binary()).cast(pa.string()),
+                                   "f": pa.array(list(of.values()), pa.int64())})
 
-    return dictionary.mapInArrow(count, "lang string, phrase string, words int, f long").groupBy(
-        "lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    return dictionary.mapInArrow(count, "key string, f long").groupBy("key").agg(F.sum("f").alias("f"))
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """``lang, phrase, f`` of rows by key: the phrase is what stands after the
+    last line end."""
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.expr("substring(key, 1, length(key) - length(substring_index(key, '\n', -1)) - 1)")
+    return found.select(lang.alias("lang"), phrase.alias("phrase"), "f")
 
 
 def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT) -> list[DataFrame]:
@@ -321,8 +327,8 @@ def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT) -> list[
         parts = phrase_filter(out[-1], len(out))
         if not parts.any():
             break
-        found = keep(count_phrases(dictionary, lengths, len(out), parts).where(F.col("f") >= min_count),
-                     f"phrases-{lengths[0]}")
+        counted = count_phrases(dictionary, lengths, len(out), parts).where(F.col("f") >= min_count)
+        found = keep(_named(counted).withColumn("words", F.size(F.split("phrase", " "))), f"phrases-{lengths[0]}")
         out += [found.where(F.col("words") == n).select("lang", "phrase", "f") for n in lengths]
     return out
 

@@ -53,7 +53,7 @@ def random_texts(seed, n=120):
     for i in range(n):
         text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ". ", "\n", "\r\n", ","])
                        for _ in range(rng.randint(0, 80)))
-        out.append((text, rng.choice(["en", "en", "fr", None, "und"])))
+        out.append((text, rng.choice(["en", "en", "fr", None, "und", "a\nb "])))
     return out + out[:40] * 3
 
 
