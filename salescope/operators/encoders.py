@@ -123,7 +123,7 @@ class FeaturePrep:
         if like is not None and like.numeric == self.numeric and like.categorical == self.categorical:
             self.medians, self.modes = dict(like.medians), dict(like.modes)
         else:
-            needed = self.numeric if others is None else null_columns(self.numeric, [train, *others])
+            needed = self.numeric if others is None or not self.numeric else null_columns(self.numeric, [train, *others])
             self.medians = fit_medians(train, needed)
             self.modes = fit_modes(train, self.categorical)
         if self.kind == "onehot":

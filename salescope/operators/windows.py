@@ -79,8 +79,34 @@ def ordered_head(df: DataFrame, order: Sequence[str], n: int, rank_col: str = "n
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
 
 
+#: Hex digits of the hash by which rows are counted in each round.
+HASH_DIGITS = (4, 8, 12)
+
+
 def hash_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """n rows chosen by a seeded hash (MD5 of the key's text) of a unique key:
-    reproducible across runs and engines, computed as a distributed top-n."""
+    reproducible across runs and engines.
+
+    The n-th smallest hash is found by counting: rows by the leading digits of
+    their hash (at most 65,536 counts a round), then inside the digits in which
+    the n-th lies.  The sample is then a filter on the hash, which no task has
+    to gather; only rows that agree in all counted digits are put in order.
+    A table of at most n rows is returned whole."""
     h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
-    return df.withColumn("__h", h).orderBy("__h", *key).limit(n).drop("__h")
+    rows = df.withColumn("__h", h)
+    prefix, left = "", n
+    for digits in HASH_DIGITS:
+        head = F.substring("__h", 1, digits)
+        inside = rows.where(F.substring("__h", 1, len(prefix)) == prefix) if prefix else rows
+        counts = inside.groupBy(head.alias("p")).agg(F.count(F.lit(1)).alias("c")).toArrow().sort_by("p").to_pylist()
+        for r in counts:
+            if r["c"] >= left:
+                prefix, count = r["p"], r["c"]
+                break
+            left -= r["c"]
+        else:
+            return rows.drop("__h")  # no more than n rows in all
+        if count == left:
+            return rows.where(F.substring("__h", 1, digits) <= prefix).drop("__h")
+    ties = rows.where(head == prefix).orderBy("__h", *key).limit(left)
+    return rows.where(head < prefix).unionByName(ties).drop("__h")

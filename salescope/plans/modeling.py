@@ -9,6 +9,7 @@ unioned into one DataFrame.
 
 from __future__ import annotations
 
+import datetime
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from salescope.operators.quality import assert_no_leakage
 from salescope.operators.windows import best_by
 from salescope.plans import order_model as OM
 from salescope.plans import store_sales as S
+from salescope.session import MONTH
 
 # Model settings of the order problem.
 VARIANTS = {VARIANT_WITH_QUANTITY: True, VARIANT_NO_QUANTITY: False}
@@ -299,10 +301,11 @@ def baseline_metrics(valid: DataFrame) -> DataFrame:
 def final_forecast(train: DataFrame, test: DataFrame, stores, oil, holidays, model: str = BOOSTED) -> DataFrame:
     """Features on train + test, ``model`` refit on the last 366 days of train
     with the preprocessing it was measured with, predictions for the test rows
-    -> (id, sales)."""
-    both = S.union_train_test(train, test)
-    ff = S.build_feature_frame(both, stores, oil, holidays)
+    -> (id, sales).  Of train only the rows are read that these features reach."""
     end = train.agg(F.max("date")).first()[0]
+    start = end - datetime.timedelta(days=S.RECENT_TRAIN_DAYS)
+    both = S.union_train_test(S.forecast_history(train, test, start).drop(MONTH), test)
+    ff = S.build_feature_frame(both, stores, oil, holidays)
     models = StoreModels(S.final_fit_window(ff.where(F.col("sales").isNotNull()), end).persist())
     test_rows = ff.join(test.select("id"), "id", "left_semi")
     return models.predict(model, test_rows).select("id", F.col("prediction").alias("sales"))

@@ -7,12 +7,14 @@ from __future__ import annotations
 import uuid
 from statistics import NormalDist
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from salescope.functions import columns as C
 from salescope.operators import aggregates as A
 from salescope.operators import chartdata as CH
 from salescope.operators import encoders as EN
+from salescope.operators import gram as GR
 from salescope.operators import joins as J
 from salescope.operators import metrics as M
 from salescope.operators import models as MD
@@ -446,3 +448,118 @@ def q_metrics_written(spark, sf):
     rows = q_constants(spark, sf).withColumn("features", F.array(*[F.lit(c) for c in OM.feature_sets(True)[2]]))
     write_metrics(rows, path)
     return spark.read.schema("model string, MAE double, MSE double, RMSE double, R2 double, feature_count int").json(path)
+
+
+# ------------------------------------------------------------ normal equations and one-hot cells
+
+# Whole numbers, so that sums of products are exact in both engines.
+_GRAM_NUMBERS = {"cents": "round(Unit_Price * 100)", "month": "month(Order_Date)", "units": "Quantity"}
+_GRAM_CATEGORIES = ("Category", "Region", "State")
+
+
+@register("gram_entries", group="features", sql=_orders_sql("""
+SELECT x.f[i].n AS a, x.f[j].n AS b, sum(x.f[i].v * x.f[j].v) AS value
+FROM x, range(1, len(f) + 1) AS p(i), range(1, len(f) + 1) AS q(j) WHERE i <= j GROUP BY 1, 2 HAVING value <> 0""",
+    _TRAIN_CTE, "x AS (SELECT [" + ", ".join(
+        [f"{{'n': '{c}=' || {c}, 'v': 1.0::DOUBLE}}" for c in _GRAM_CATEGORIES] + ["{'n': '1', 'v': 1.0::DOUBLE}"]
+        + [f"{{'n': '{n}', 'v': CAST({e} AS DOUBLE)}}" for n, e in _GRAM_NUMBERS.items()]) + "] AS f FROM train)"))
+def q_gram(spark, sf):
+    rows = _train(spark, sf).withColumns({n: F.expr(e).cast("double") for n, e in _GRAM_NUMBERS.items()})
+    return GR.sparse_gram(rows, ["cents", "month"], _GRAM_CATEGORIES, "units")
+
+
+_ENCODED = ("Category", "Region", "State")
+_SCALED = ("Unit_Price", "Quantity")
+
+
+@register("one_hot_cells", group="features", sql=_orders_sql(" UNION ALL ".join(
+    f"""SELECT {', '.join(KEY)}, '{c}' AS "column", CAST(code AS INTEGER) AS cell FROM test JOIN (
+    SELECT {c} AS v, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (
+        SELECT DISTINCT {c} FROM train WHERE {c} IS NOT NULL)) ON {c} = v""" for c in _ENCODED), _TRAIN_CTE, _TEST_CTE))
+def q_one_hot(spark, sf):
+    """The one cell of each test row's one-hot blocks that is 1 (none for a
+    value that train doesn't have), read from the encoded vectors."""
+    prep = EN.FeaturePrep([], list(_ENCODED), "onehot", scale=False).fit(_train(spark, sf))
+    rows = prep.transform(_test(spark, sf))
+    cell = lambda c: F.array_position(vector_to_array(F.col(f"{c}__oh")), F.lit(1.0)) - 1
+    return ML.union_all([rows.select(*KEY, F.lit(c).alias("column"), cell(c).cast("int").alias("cell"))
+                         .where("cell >= 0") for c in _ENCODED])
+
+
+def _block_sql(kind: str) -> str:
+    """Nonzero cells of the assembled block: numeric columns first (scaled in
+    the one-hot block), then a column a category (its code) or a value."""
+    parts, at = [], 0
+    for c in _SCALED:
+        value = f"({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_pop({c}) FROM train)" if kind == "onehot" else c
+        parts.append(f"SELECT {', '.join(KEY)}, {at} AS cell, round(CAST({value} AS DOUBLE), 6) AS value FROM test")
+        at += 1
+    before = str(at)
+    for c in _ENCODED:
+        codes = f"(SELECT {c} AS v, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (SELECT DISTINCT {c} FROM train))"
+        where, value = (f"{before} + code", "1.0::DOUBLE") if kind == "onehot" else (before, "code::DOUBLE")
+        parts.append(f"SELECT {', '.join(KEY)}, {where}, {value} FROM test JOIN {codes} ON {c} = v")
+        before += f" + (SELECT count(DISTINCT {c}) FROM train)" if kind == "onehot" else " + 1"
+    body = " UNION ALL ".join(parts)
+    return _orders_sql(f"SELECT {', '.join(KEY)}, CAST(cell AS INTEGER) AS cell, value FROM ({body}) WHERE value <> 0",
+                       _TRAIN_CTE, _TEST_CTE)
+
+
+def _block(kind: str):
+    def build(spark, sf):
+        prep = EN.FeaturePrep(list(_SCALED), list(_ENCODED), kind).fit(_train(spark, sf))
+        rows = prep.transform(_test(spark, sf))
+        cells = rows.select(*KEY, F.posexplode(vector_to_array("features")).alias("cell", "value"))
+        return cells.withColumn("value", F.round("value", 6)).where("value <> 0")
+    return build
+
+
+register("one_hot_preprocessor_cells", group="features", sql=_block_sql("onehot"))(_block("onehot"))
+register("ordinal_preprocessor_cells", group="features", sql=_block_sql("ordinal"))(_block("ordinal"))
+
+
+# ------------------------------------------------------------ further chart and quality tables
+
+@register("missing_by_column_orders", group="quality", sql=_orders_sql(" UNION ALL ".join(
+    f"""SELECT 'orders' AS "table", '{c}' AS "column", count(*) - count({c}) AS missing,
+       round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 4) AS missing_pct FROM late HAVING missing > 0"""
+    for c in ORDER_COLS), """late AS (SELECT * REPLACE (
+    CASE WHEN l_linenumber > 5 THEN NULL ELSE Profit END AS Profit,
+    CASE WHEN Quantity > 48 THEN NULL ELSE Sub_Category END AS Sub_Category) FROM flat)"""))
+def q_missing_orders(spark, sf):
+    """The order table with two columns in which some cells are blank (the
+    driver's rows have none)."""
+    orders = flat(spark, sf).withColumns({
+        "Profit": F.when(F.col("l_linenumber") <= 5, F.col("Profit")),
+        "Sub_Category": F.when(F.col("Quantity") <= 48, F.col("Sub_Category"))})
+    return Q.missing_by_column(orders.select(*ORDER_COLS), "orders")
+
+
+@register("hexbin_actual_predicted", group="chart", sql=_diag_sql("""
+SELECT round(x0 + cx * sx, 4) AS x, round(y0 + cy * sy, 4) AS y, count(*) AS count FROM (
+  SELECT x0, y0, sx, sy, CASE WHEN d1 < d2 THEN floor(ix + 0.5) ELSE floor(ix) + 0.5 END AS cx,
+         CASE WHEN d1 < d2 THEN floor(iy + 0.5) ELSE floor(iy) + 0.5 END AS cy
+  FROM (SELECT *, power(ix - floor(ix + 0.5), 2) + 3 * power(iy - floor(iy + 0.5), 2) AS d1,
+               power(ix - (floor(ix) + 0.5), 2) + 3 * power(iy - (floor(iy) + 0.5), 2) AS d2
+        FROM (SELECT *, (actual - x0) / sx AS ix, (predicted - y0) / sy AS iy FROM pred CROSS JOIN (
+                SELECT min(actual) AS x0, min(predicted) AS y0, (max(actual) - min(actual)) / 40 AS sx,
+                       (max(predicted) - min(predicted)) / 23 AS sy FROM pred) b)))
+GROUP BY x0, y0, sx, sy, cx, cy"""))
+def q_hexagons(spark, sf):
+    pred = OM.naive_predictions(flat(spark, sf), KEY, prepared(spark, sf))
+    return CH.hexbin(pred, "actual", "predicted", 40).select(
+        F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "count")
+
+
+@register("kde_residual_lag28", group="chart", sql=ff_sql("""
+SELECT CAST(i AS INTEGER) AS i, round(a + i * ((b - a) / 299), 6) AS x,
+       round(sum(w * exp(-0.5 * power((a + i * ((b - a) / 299) - v) / h, 2))) / (n * h * sqrt(2 * pi())), 10) AS density
+FROM w, s, range(0, 300) AS t(i) GROUP BY i, a, b, n, h""", extra_ctes=_SPLIT_CTES).replace(
+    "\nSELECT CAST(i", ",\nr AS (SELECT greatest(least(sales - lag_28, 1000.0), -1000.0)::DOUBLE AS v FROM ff, vb "
+    "WHERE ff.date >= vb.vs),\nw AS (SELECT v, count(*) AS w FROM r GROUP BY v),\n"
+    "s AS (SELECT quantile_cont(v, 0.005) AS a, quantile_cont(v, 0.995) AS b, count(v) AS n, "
+    "stddev_samp(v) * power(count(v), -0.2) AS h FROM r)\nSELECT CAST(i", 1))
+def q_kde_residual(spark, sf):
+    valid = S.recent_window_split(feature_frame(spark, sf)).valid
+    return CH.kde(valid, C.clip_range(C.residual("sales", "lag_28"), -1000.0, 1000.0), 300).select(
+        "i", F.round("x", 6).alias("x"), F.round("density", 10).alias("density"))

@@ -183,6 +183,16 @@ def q_selected_grid(spark, sf):
     return CH.bin2d(_store_selected(spark, sf), "sales", "prediction", 40)
 
 
+@register("selected_hexbin_actual_predicted", group="models")
+def q_selected_hexagons(spark, sf):
+    return CH.hexbin(_store_selected(spark, sf), "sales", "prediction", 40)
+
+
+@register("selected_residual_kde", group="models")
+def q_selected_density(spark, sf):
+    return CH.kde(_store_selected(spark, sf), C.clip_range("residual", -1000.0, 1000.0), 300)
+
+
 @register("store_feature_importance", group="models")
 def q_importance(spark, sf):
     return _store(spark, sf)[0].importances(20)
@@ -218,7 +228,7 @@ def q_svr(spark, sf):
 def q_final(spark, sf):
     """The forecast of the selected model, refit on the last year."""
     t = tables(spark, sf)
-    pred = ML.final_forecast(t["train"], t["test"], t["stores"], t["oil"], t["holidays_events"],
+    pred = ML.final_forecast(t["train_by_month"], t["test"], t["stores"], t["oil"], t["holidays_events"],
                              _store_winner(spark, sf))
     return submission(pred)
 

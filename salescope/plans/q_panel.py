@@ -17,7 +17,7 @@ from salescope.operators import windows as WN
 from salescope.plans import store_sales as S
 from salescope.plans.catalog import (HOLIDAYS_CTE, OIL_CTE, PANEL_CTE, STORES_CTE,
                                      TRANSACTIONS_CTE, register, with_ctes)
-from salescope.session import materialize
+from salescope.session import MONTH, materialize
 from salescope.sources.panel import panel_tables
 
 _CACHE: dict = {}
@@ -30,7 +30,9 @@ def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         t = dict(panel_tables(spark, sf))
-        t["train"] = materialize(t["train"], "panel_train")
+        # by month, so that a window of days reads only its folders
+        t["train_by_month"] = materialize(t["train"], "panel_train", by_month_of="date")
+        t["train"] = t["train_by_month"].drop(MONTH)
         t["test"] = materialize(t["test"], "panel_test")
         # day- and store-sized side tables: kept, so that the planner knows
         # their bytes and no later plan derives them again
@@ -119,7 +121,8 @@ def q_family_top(spark, sf):
     return A.top_sum(train(spark, sf), "family", "sales", 15, "sales")
 
 
-# The years of the driver data, a column each.
+# SQL needs its columns named: the years of the driver data.  The plans take the
+# years from the rows, so another year is a column more than the SQL has.
 YEARS = [str(y) for y in range(1995, 2002)]
 _YEAR_COLUMNS = ", ".join(f'round(sum(sales) FILTER (WHERE year(date) = {y}), 2) AS "{y}"' for y in YEARS)
 
@@ -134,7 +137,7 @@ def q_family_year_pivot(spark, sf):
     t = train(spark, sf)
     top = A.top_sum(t, "family", "sales", 15, "sales")
     rows = J.restrict_to_top(t, top, "family").withColumn("yr", F.year("date").cast("string"))
-    return A.pivot_sum(rows, "family", "yr", "sales", YEARS)
+    return A.pivot_sum(rows, "family", "yr", "sales")
 
 
 @register("month_year_pivot", group="summary", sql=with_ctes(PANEL_CTE, body="""
@@ -142,7 +145,7 @@ SELECT CAST(month(date) AS INTEGER) AS month, """ + _YEAR_COLUMNS + """ FROM pan
 def q_month_year_pivot(spark, sf):
     t = train(spark, sf).select(F.month("date").alias("month"),
                                 F.year("date").cast("string").alias("yr"), "sales")
-    return A.pivot_sum(t, "month", "yr", "sales", YEARS)
+    return A.pivot_sum(t, "month", "yr", "sales")
 
 
 _PROMO_SQL = """CASE WHEN onpromotion IS NULL THEN NULL WHEN onpromotion <= 0 THEN '0'

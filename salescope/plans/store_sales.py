@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from salescope.functions.dates import add_calendar_features
 from salescope.operators.aggregates import holiday_daily
 from salescope.operators.joins import sized_broadcast
-from salescope.operators.windows import add_lag_features, ffill_bfill, lag_feature_columns
+from salescope.operators.windows import (LAGS, ROLLING, SHIFT, add_lag_features, ffill_bfill,
+                                         lag_feature_columns)
 from salescope.session import since
 
 DATE = "date"
@@ -90,6 +91,32 @@ def final_fit_window(frame: DataFrame, end) -> DataFrame:
     return since(frame, DATE, end - _dt.timedelta(days=RECENT_TRAIN_DAYS))
 
 
+#: Rows of a series before a row that its lags and rolling means reach.
+REACH_ROWS = max(*LAGS, SHIFT + max(ROLLING) - 1)
+
+
+def forecast_history(train: DataFrame, test: DataFrame, fit_start) -> DataFrame:
+    """The rows of ``train`` that the features of its rows from ``fit_start``
+    on, and of ``test``, can reach.  Lags count rows, not days: the start goes
+    back until every series has ``REACH_ROWS`` rows before ``fit_start`` (days
+    may be missing) or there is nothing older.  Of a table kept by month only
+    the folders from there on are read."""
+    import datetime as _dt
+    first = train.agg(F.min(DATE)).first()[0]
+    wanted, days = test.select(*SERIES).distinct(), REACH_ROWS
+    while first is not None:
+        start = fit_start - _dt.timedelta(days=days)
+        part = since(train, DATE, start)
+        if start <= first:
+            return part
+        older = part.groupBy(*SERIES).agg(F.count_if(F.col(DATE) < F.lit(fit_start)).alias("__older"))
+        older = older.join(wanted, list(SERIES), "full")
+        if older.where(F.coalesce("__older", F.lit(0)) < REACH_ROWS).isEmpty():
+            return part
+        days *= 2
+    return train
+
+
 def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
     """Stack train and test (test sales NULL) for a shared feature build."""
     return train.unionByName(test, allowMissingColumns=True)
