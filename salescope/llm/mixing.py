@@ -1,12 +1,17 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source gets a target of words.  ``target / source size`` is the number of
-copies expected of each of its documents: the whole part is taken of every
-document, and the fraction ``p`` by a sample of fixed size.  For the sample
-documents are ranked by ``(u / (1 - u)) / (p / (1 - p))``, the odds of a random
-number that belongs to the document over its inclusion odds, and the first in
-rank are taken as long as their words fit in what the target has left.  The
-gap that is left goes, in further rounds, to the next in rank that fit in it.
+Each source gets a target of words.  ``target / source size`` says how many
+whole copies are taken of every document of the source; the words that are
+left of the target go to a sample with unequal probabilities.  A document's
+inclusion probability is in proportion to its size, ``p = min(1, c size)``,
+with the ``c`` for which the expected words are those left: documents for
+which ``p`` would pass 1 are certain, and what they would have had above it is
+shared again among the others until none is above.  For the sample documents
+are ranked by ``(u / (1 - u)) / (p / (1 - p))``, the odds of a random number
+that belongs to the document over its inclusion odds (0 for certain ones), and
+the first in rank are taken as long as their words fit in what the target has
+left.  The gap that is left goes, in further rounds, to the next in rank that
+fit in it.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import keep, word_count
+from salescope.llm.common import keep, release, with_row_id, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -22,7 +27,9 @@ CEILING = 2
 ROUNDS = 3
 #: Rank buckets of a source: prefix sums go over buckets first, and only the
 #: documents of the bucket that holds the cut are put in order.
-BUCKETS = 4096
+BUCKETS = 65_536
+#: The bucket of certain documents, before all others.
+CERTAIN = -1
 #: Rank odds over 1 + odds when nothing has been taken.
 NONE_TAKEN = -1.0
 
@@ -71,21 +78,54 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, ceili
 
 
 def _copies(state: DataFrame) -> DataFrame:
-    """Whole copies, inclusion probability and the words left to the sample."""
+    """Whole copies and the words left to the sample."""
     ratio = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
     return (state.withColumn("__whole", F.floor(ratio))
-            .withColumn("__p", ratio - F.col("__whole"))
             .withColumn("__gap1", F.col("__target") - F.col("__whole") * F.col("__source_size")))
 
 
+def with_inclusion(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` with ``__c``: the inclusion probability of a document is
+    ``min(1, __c size)``.
+
+    Works on one row a source and size.  With the sizes above ``s`` certain, the
+    others share ``(gap - words of the certain) / (sum of their squares)``; the
+    greatest ``s`` whose documents then stay at 1 or below is the right one.
+    """
+    sizes = rows.where("__size > 0").groupBy("__source", "__size").agg(F.count(F.lit(1)).alias("__n"))
+    down = Window.partitionBy("__source").orderBy(F.desc("__size")).rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy("__source").orderBy("__size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    words = (F.col("__n") * F.col("__size")).cast("decimal(38,0)")
+    sums = sizes.withColumn("__larger", F.coalesce(F.sum(words).over(down), F.lit(0)).cast("double")).withColumn(
+        "__squares", F.sum((words * F.col("__size")).cast("decimal(38,0)")).over(up).cast("double"))
+    s = state.select(F.col("__source").alias("__key"), "__gap1")
+    share = (F.col("__gap1") - F.col("__larger")) / F.col("__squares")
+    fit = sums.join(s, F.col("__source").eqNullSafe(F.col("__key"))).withColumn("__c", share).where(
+        F.col("__c") * F.col("__size") <= 1)
+    found = fit.groupBy(F.col("__source").alias("__key")).agg(F.max_by("__c", "__size").alias("__c"))
+    return state.join(found, F.col("__source").eqNullSafe(F.col("__key")), "left").drop("__key").withColumn(
+        "__c", F.coalesce("__c", F.lit(0.0)))
+
+
+def inclusion() -> Column:
+    """A document's inclusion probability."""
+    return F.least(F.col("__c") * F.col("__size"), F.lit(1.0))
+
+
 def _rank() -> Column:
-    """Pareto rank of a document, as rank / (1 + rank) inside (0, 1)."""
-    odds = (F.col("__u") / (1 - F.col("__u"))) / (F.col("__p") / (1 - F.col("__p")))
-    return F.when(F.col("__p") > 0, odds / (1 + odds))
+    """Pareto rank of a document, as rank / (1 + rank), below 1; 0 if certain,
+    null if it can't be taken."""
+    p = inclusion()
+    odds = (F.col("__u") / (1 - F.col("__u"))) / (p / (1 - p))
+    return F.when(p >= 1, F.lit(0.0)).when(p > 0, odds / (1 + odds))
 
 
 def _taken_in(r: int) -> Column:
-    return (F.col("__size") <= F.col(f"__gap{r}")) & (F.col("__rank") <= F.col(f"__cut{r}"))
+    """Up to the cut, of rows with the cut's rank up to the cut's row (all
+    without one)."""
+    cut, row = F.col(f"__cut{r}"), F.col(f"__cutrow{r}")
+    upto = (F.col("__rank") < cut) | (F.col("__rank") == cut) & (row.isNull() | (F.col("__row") <= row))
+    return (F.col("__size") <= F.col(f"__gap{r}")) & upto
 
 
 def _left_after(r: int) -> Column:
@@ -107,13 +147,13 @@ def mixing_plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling:
     A round sums words by (source, rank bucket), combined map-side, finds the
     bucket in which the gap ends by a window over at most ``BUCKETS`` rows a
     source, and orders only that bucket's documents (1 in ``BUCKETS`` of the
-    source, the hot one too).
+    source, the hot one too; the words of certain documents always fit).
     """
-    state = keep(_copies(source_targets(rows, weights, share, ceiling)), "mix-state")
+    state = keep(with_inclusion(rows, _copies(source_targets(rows, weights, share, ceiling))), "mix-state")
     for r in range(1, rounds + 1):
+        bucket = F.when(F.col("__rank") == 0, F.lit(CERTAIN)).otherwise(F.floor(F.col("__rank") * BUCKETS))
         open_ = (_with_state(rows, state).where(_left_after(r - 1) & (F.col("__size") <= F.col(f"__gap{r}")))
-                 .select("__source", "__size", "__rank", f"__gap{r}",
-                         F.floor(F.col("__rank") * BUCKETS).alias("__bucket")))
+                 .select("__source", "__size", "__rank", "__row", f"__gap{r}", bucket.alias("__bucket")))
         by_bucket = open_.groupBy("__source", "__bucket", f"__gap{r}").agg(F.sum("__size").alias("__words"))
         run = Window.partitionBy("__source").orderBy("__bucket")
         sums = by_bucket.withColumn("__sum", F.sum("__words").over(run))
@@ -125,19 +165,23 @@ def mixing_plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling:
                        F.lit(0)).alias("__before"))
         same = F.col("__source").eqNullSafe(F.col("__key"))
         in_cut = open_.join(at, same & (F.col("__bucket") == F.col("__at")))
-        order = Window.partitionBy("__source").orderBy("__rank")
+        order = Window.partitionBy("__source").orderBy("__rank", "__row").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
         fits = (in_cut.withColumn("__sum", F.col("__before") + F.sum("__size").over(order))
                 .where(F.col("__sum") <= F.col(f"__gap{r}"))
                 .groupBy(F.col("__source").alias("__fit")).agg(
-                    F.max("__rank").alias("__top"), F.max("__sum").alias("__used")))
+                    F.max(F.struct("__rank", "__row")).alias("__top"), F.max("__sum").alias("__used")))
         nxt = state.join(at, same, "left").drop("__key")
         nxt = nxt.join(fits, F.col("__source").eqNullSafe(F.col("__fit")), "left").drop("__fit")
         # all of the buckets before the cut are in: their ranks end at its lower edge
-        edge = F.when(F.col("__at") > 0, F.col("__at") / F.lit(BUCKETS) - F.lit(2.0 ** -53)).otherwise(NONE_TAKEN)
-        state = keep(nxt.withColumn(f"__cut{r}", F.coalesce("__top", edge, F.lit(NONE_TAKEN)))
-                     .withColumn(f"__gap{r + 1}",
-                                 F.col(f"__gap{r}") - F.coalesce("__used", "__before", F.lit(0)))
-                     .drop("__at", "__before", "__top", "__used"), "mix-state")
+        edge = F.when(F.col("__at") > CERTAIN, F.greatest(F.col("__at") / F.lit(BUCKETS) - F.lit(2.0 ** -53),
+                                                          F.lit(0.0))).otherwise(NONE_TAKEN)
+        old, state = state, keep(
+            nxt.withColumn(f"__cut{r}", F.coalesce("__top.__rank", edge, F.lit(NONE_TAKEN)))
+            .withColumn(f"__cutrow{r}", F.col("__top.__row"))
+            .withColumn(f"__gap{r + 1}", F.col(f"__gap{r}") - F.coalesce("__used", "__before", F.lit(0)))
+            .drop("__at", "__before", "__top", "__used"), "mix-state")
+        release(old)
     return state
 
 
@@ -151,18 +195,20 @@ def apply_mix(rows: DataFrame, state: DataFrame, rounds: int = ROUNDS) -> DataFr
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: int = CEILING) -> DataFrame:
-    """All documents with ``size, source_size, target, copies, taken`` in
-    place of columns of the same names.
+    """All documents with ``size, source_size, target, inclusion, copies,
+    taken`` in place of columns of the same names; ``inclusion`` is the
+    probability of a copy beyond the whole ones.
 
     Null or empty text: size 0, taken 0.  A null source is a source of its
     own, the last.  Documents with equal id and text have one rank and are
-    taken alike.  A source without words has target 0.  An empty table gives
-    an empty one.  Reruns agree: all randomness is a hash of id and text.
+    taken in the order of their rows.  A source without words has target 0.
+    An empty table gives an empty one.  Reruns agree: all randomness is a hash
+    of id and text.
     """
-    rows = sized(docs)
-    narrow = keep(rows.select("__source", "__size", "__u"), "mix-sizes")
+    rows = sized(with_row_id(docs))
+    narrow = keep(rows.select("__row", "__source", "__size", "__u"), "mix-sizes")
     out = apply_mix(rows, mixing_plan(narrow, weights, share, ceiling))
     names = {"size": "__size", "source_size": "__source_size", "target": "__target", "copies": "__copies"}
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*names, "taken")]
-    return out.select(*own, *[F.col(v).alias(k) for k, v in names.items()],
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*names, "taken", "inclusion")]
+    return out.select(*own, *[F.col(v).alias(k) for k, v in names.items()], inclusion().alias("inclusion"),
                       (F.col("__copies") * F.col("__size")).alias("taken"))

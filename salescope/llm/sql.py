@@ -33,12 +33,18 @@ l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * {SHARE}::DOUBLE - co
       / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS level FROM c
       WINDOW b AS (ORDER BY ceiling / weight, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size, least(ceiling::DOUBLE, max(level) OVER () * weight) AS target FROM l),
-p AS (SELECT d.*, t.source_size, t.target,
-      CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS ratio
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-q AS (SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS part FROM p),
-o AS (SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds FROM q),
-r0 AS (SELECT *, odds / (1 + odds) AS rank, target - whole * source_size AS gap, 0 AS pick FROM o),
+e AS (SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END) AS whole FROM t),
+v AS (SELECT *, target - whole * source_size AS gap FROM e),
+n AS (SELECT source, size, count(*) AS n FROM d WHERE size > 0 GROUP BY source, size),
+m AS (SELECT n.source, size, (gap - coalesce(sum(n * size) OVER (PARTITION BY n.source ORDER BY size DESC
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+             / (sum(n * size::HUGEINT * size) OVER (PARTITION BY n.source ORDER BY size))::DOUBLE AS c
+      FROM n JOIN v ON n.source IS NOT DISTINCT FROM v.source),
+k AS (SELECT source, max_by(c, size) AS c FROM m WHERE c * size <= 1 GROUP BY source),
+p AS (SELECT d.*, v.source_size, v.target, v.whole, v.gap, least(coalesce(k.c, 0) * size, 1.0::DOUBLE) AS part
+      FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source),
+o AS (SELECT *, CASE WHEN part > 0 AND part < 1 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds FROM p),
+r0 AS (SELECT * EXCLUDE (part, odds), CASE WHEN part >= 1 THEN 0.0 ELSE odds / (1 + odds) END AS rank, 0 AS pick FROM o),
 {"".join(_mix_round(r) for r in range(1, ROUNDS + 1))}
 z AS (SELECT * FROM r{ROUNDS})
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST((whole + pick) * size AS BIGINT) AS taken FROM z

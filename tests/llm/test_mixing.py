@@ -43,6 +43,41 @@ def test_words_taken_come_near_the_targets(spark):
     assert sorted((r.doc_id, r.taken) for r in out) == sorted((r.doc_id, r.taken) for r in again)
 
 
+def test_inclusion_follows_each_documents_own_probability(spark):
+    """Many sources of the same make: how often a document of each size is
+    taken is its probability, which differs by size and is 1 for the largest."""
+    sizes = [3, 5, 8, 8, 13, 21, 21, 34, 55, 200]
+    rows = [(s * 1000 + i, " ".join(["w"] * n), "en", f"s{s:03d}") for s in range(40) for i, n in enumerate(sizes * 80)]
+    out = mixing.mix_sources(docs_of(spark, rows), weights=(1,), share=0.7, ceiling=1).collect()
+    c = (0.7 * sum(sizes) - 200) / sum(n * n for n in sizes if n < 200)
+    taken, number = defaultdict(int), defaultdict(int)
+    for r in out:
+        assert r.inclusion == pytest.approx(1.0 if r.size == 200 else c * r.size)
+        taken[r.size] += r.copies
+        number[r.size] += 1
+    assert len({round(r.inclusion, 9) for r in out}) == len(set(sizes))
+    for r in {r.size: r for r in out}.values():
+        assert abs(taken[r.size] / number[r.size] - r.inclusion) < 0.03
+
+
+def test_with_equal_odds_another_sample_is_drawn(spark, monkeypatch):
+    rows = [(i, " ".join(["w"] * (1 + i % 40)), "en", "s") for i in range(800)]
+    draw = lambda: {r.doc_id for r in mixing.mix_sources(
+        docs_of(spark, rows), weights=(1,), share=0.4).collect() if r.copies}
+    unequal = draw()
+    monkeypatch.setattr(mixing, "inclusion", lambda: mixing.F.lit(0.4))
+    equal = draw()
+    mean = lambda ids: sum(1 + i % 40 for i in ids) / len(ids)
+    assert unequal != equal and mean(unequal) > 1.15 * mean(equal)
+
+
+def test_rows_that_repeat_are_taken_one_by_one(spark):
+    """A third of a source is one row, repeated: a part of it fills the gap."""
+    rows = [(1, "a b c", "en", "s")] * 300 + [(i, "d e f", "en", "s") for i in range(2, 602)]
+    out = mixing.mix_sources(docs_of(spark, rows), weights=(1,), share=0.5).collect()
+    assert abs(sum(r.taken for r in out) - 1350) <= 3
+
+
 def test_no_rank_is_favoured(spark):
     """Inclusion does not hang on a document's place or id."""
     rows = [(i, "a b c", "en", "s" if i % 2 else "t") for i in range(6000)]
