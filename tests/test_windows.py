@@ -78,3 +78,32 @@ def test_recent_windows_read_only_their_months(spark):
     plan = sp.valid._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month_start" in plan and "month_start" in plan
     assert sp.valid.count() == 16 and sp.fit.count() == 365
+
+
+def test_forecast_history_is_all_that_features_reach(spark):
+    """Features of the pruned history are those of the whole one, also where
+    days are missing; of a table kept by month older folders are not read."""
+    import datetime
+    from salescope.plans import store_sales as S
+    from salescope.session import MONTH, materialize
+    day = lambda n: datetime.date(2000, 1, 1) + datetime.timedelta(days=n)
+    rows = [(n * 10 + f, day(n), 1, f"f{f}", float((n * 7 + f) % 13), n % 3) for n in range(2200) for f in range(2)
+            if f == 0 or n % 2 or n > 2100]  # the second series lacks every other day
+    train = spark.createDataFrame(rows, "id long, date date, store_nbr int, family string, sales double, onpromotion int")
+    test = spark.createDataFrame([(90000 + n * 10 + f, day(n), 1, f"f{f}", 0) for n in range(2200, 2216)
+                                  for f in range(3)], "id long, date date, store_nbr int, family string, onpromotion int")
+    stores = spark.createDataFrame([(1, "c", "s", "A", 1)], "store_nbr int, city string, state string, type string, cluster int")
+    oil = spark.createDataFrame([(day(n), float(n)) for n in range(0, 2216, 3)], "date date, dcoilwtico double")
+    holidays = spark.createDataFrame([(day(40), "Holiday", "National", False)],
+                                     "date date, type string, locale string, transferred boolean")
+    start = day(2199 - S.RECENT_TRAIN_DAYS)
+    by_month = materialize(train, "by-month-test", by_month_of="date")
+    known = test.where("family <> 'f2'")  # a series without any history asks for all
+    part = S.forecast_history(by_month, known, start)
+    assert part.agg({"date": "min"}).first()[0] > day(300)
+    assert "PartitionFilters: [isnotnull(month_start" in part._jdf.queryExecution().executedPlan().toString()
+    whole, some = [S.build_feature_frame(S.union_train_test(t, known), stores, oil, holidays).where(
+        S.F.col("date") >= S.F.lit(start)).orderBy("id").collect() for t in (train, part.drop(MONTH))]
+    assert len(whole) > 500 and [r.asDict() for r in whole] == [{k: r[k] for k in whole[0].asDict()} for r in some]
+    assert S.forecast_history(by_month, test, start).count() == train.count()
+    assert S.forecast_history(by_month.limit(0), test, start).count() == 0
