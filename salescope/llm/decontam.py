@@ -8,6 +8,10 @@ the item).  Shared q-grams are counted in bands of ``2 (k + 1)`` diagonals that
 overlap by half, so one band holds them all; bands with fewer are dropped, and
 the regions of the others are verified by banded alignment of the whole item.
 
+Of q-grams that very many items share (a common instruction) an item leaves
+out up to half of what its bound asks for, and the bound is lowered by as many:
+what is left out can't hide a match.
+
 The q-grams of the benchmark go to every task, in blocks of at most
 ``BLOCK_CHARS`` characters: a larger benchmark takes more passes, never more
 memory.  Documents are searched where they are; nothing is shuffled.
@@ -33,6 +37,10 @@ EDIT_RATE = 0.05
 BLOCK_CHARS = 4_000_000
 #: Characters of text searched at once.
 BATCH = 1 << 18
+#: Shared q-grams written out at once.
+HITS = 1 << 20
+#: A q-gram with more places than this may be left out of the index.
+COMMON = 64
 SIEVE_BITS = 22
 GAP = np.uint32(0)  # between texts; no item holds it
 
@@ -42,6 +50,7 @@ class Block:
     """Some benchmark items with their q-gram index."""
     ids: list
     items: list[np.ndarray]
+    sizes: np.ndarray
     edits: np.ndarray
     need: np.ndarray
     table: np.ndarray
@@ -52,28 +61,42 @@ class Block:
     sieve: np.ndarray
     short: list[int]        # items below one q-gram
 
-    def hits(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shared q-grams: start in ``line``, item, offset in the item."""
+    def shared(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shared q-grams: start in ``line``, ascending, and key."""
         hashes = gram_hash(line, Q)
         may = np.flatnonzero(self.sieve[(hashes * _MIX) >> np.uint64(64 - SIEVE_BITS)])
         place, hit = find(self.keys, hashes[may])
-        start, place = may[hit] - Q + 1, place[hit]
-        times = self.first[place + 1] - self.first[place]
-        run = np.repeat(self.first[place] - np.concatenate([[0], np.cumsum(times)[:-1]]), times)
-        at = run + np.arange(int(times.sum()))
-        return np.repeat(start, times), self.item_of[at], self.offset_of[at]
+        return may[hit] - Q + 1, place[hit]
 
     def regions(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bands with enough shared q-grams: item, first diagonal."""
-        start, item, offset = self.hits(line)
-        if not len(start):
-            return start, start
-        width = self.edits[item] + 1
-        band = (start - offset) // width
-        # bands may begin before the line: shifted to stay positive
-        key = np.concatenate([item * _SPAN + band + _SHIFT, item * _SPAN + band - 1 + _SHIFT])
-        key, n = np.unique(key, return_counts=True)
-        key = key[n >= self.need[key // _SPAN]]
+        """Bands with enough shared q-grams: item, first diagonal.
+
+        A q-gram of many items has as many places; these are written out
+        ``HITS`` at a time and counted by band.  Starts ascend, so a band that
+        lies before them is complete: it is a region or is forgotten."""
+        start, place = self.shared(line)
+        times = self.first[place + 1] - self.first[place]
+        cuts = np.searchsorted(np.cumsum(times), np.arange(HITS, int(times.sum()) + HITS, HITS), side="left") + 1
+        found, keys, counts, last = [], np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        for cut in np.minimum(cuts, len(start)):
+            if cut <= last:
+                continue
+            t = times[last:cut]
+            run = np.repeat(self.first[place[last:cut]] - np.cumsum(t) + t, t)
+            at = run + np.arange(int(t.sum()))
+            item = self.item_of[at]
+            band = (np.repeat(start[last:cut], t) - self.offset_of[at]) // (self.edits[item] + 1)
+            # bands may begin before the line: shifted to stay positive
+            new = np.concatenate([item * _SPAN + band + _SHIFT, item * _SPAN + band - 1 + _SHIFT])
+            keys, of = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            counts = np.bincount(of, np.concatenate([counts, np.ones(len(new))]), len(keys)).astype(np.int64)
+            last = int(cut)
+            item = keys // _SPAN
+            end = (keys % _SPAN - _SHIFT + 2) * (self.edits[item] + 1) + self.sizes[item]
+            over = end < start[cut - 1] if last < len(start) else np.ones(len(keys), bool)
+            found.append(keys[over & (counts >= self.need[item])])
+            keys, counts = keys[~over], counts[~over]
+        key = np.sort(np.concatenate([np.zeros(0, np.int64), *found]))
         item = key // _SPAN
         return item, (key % _SPAN - _SHIFT) * (self.edits[item] + 1)
 
@@ -139,16 +162,35 @@ def make_block(rows: list[tuple], edit_rate: float = EDIT_RATE) -> Block:
             of.append(np.full(len(h), k))
             offset.append(np.arange(len(h)))
     flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    if hashes:
+        of, offset = np.concatenate(of), np.concatenate(offset)
+        left_out = _common_places(flat, of, need)
+        need = need - np.bincount(of[left_out], minlength=len(need))
+        flat, of, offset = flat[~left_out], of[~left_out], offset[~left_out]
     order = np.argsort(flat, kind="stable")
     keys, first = np.unique(flat[order], return_index=True)
     sieve = np.zeros(1 << SIEVE_BITS, bool)
     sieve[(keys * _MIX) >> np.uint64(64 - SIEVE_BITS)] = True
     none = np.zeros(0, np.int64)
-    return Block(ids, items, edits, need, table, keys, np.append(first, len(flat)),
-                 np.concatenate(of)[order] if of else none, np.concatenate(offset)[order] if offset else none,
+    return Block(ids, items, size, edits, need, table, keys, np.append(first, len(flat)),
+                 of[order] if hashes else none, offset[order] if hashes else none,
                  sieve, [k for k, x in enumerate(items) if len(x) < Q])
 
 
+def _common_places(flat: np.ndarray, of: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Places that are left out of the index: of each item its most common
+    q-grams (of an instruction that many items begin with), at most half of
+    those that a match must share.  A match then shares so many fewer of the
+    rest; the bound is lowered by them and nothing is lost."""
+    _, key, number = np.unique(flat, return_inverse=True, return_counts=True)
+    number = number[key]
+    order = np.lexsort((-number, of))
+    rank = np.arange(len(of)) - np.searchsorted(of, of[order])
+    out = np.zeros(len(of), bool)
+    out[order] = (number[order] > COMMON) & (rank < need[of[order]] // 2)
+    return out
+
+
 def search(block: Block, texts: list[str | None]) -> list[list[dict]]:
     """For each text its matches, the best place for each item: item (number
     in the block), edits, start, end (code points of the original text).

@@ -111,3 +111,28 @@ def test_alignment_against_the_full_table():
             assert sellers(item.tolist(), text[start:end].tolist()) == want
         else:
             assert got > 3
+
+
+def test_an_instruction_that_all_items_share(monkeypatch):
+    """Memory follows the block of hits, not instructions x items; nothing is lost."""
+    import random
+    import tracemalloc
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    head = "choose the right answer to the question below and give reasons for it "
+    items = [(i, head + " ".join(word() for _ in range(30))) for i in range(600)]
+    text = (head + "or not ") * 150 + items[17][1] + " end " + items[5][1].replace("right", "rigth") + (" " + head) * 100
+    whole = decontam.make_block(items)
+    tracemalloc.start()
+    found = decontam.search(whole, [text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(m["item"], m["edits"]) for m in found] == [(5, 2), (17, 0)]
+    assert peak < 150e6
+    # fewer places at once, or none left out: the same regions' matches
+    monkeypatch.setattr(decontam, "HITS", 5000)
+    assert decontam.search(whole, [text])[0] == found
+    monkeypatch.setattr(decontam, "COMMON", 10 ** 9)
+    full = decontam.make_block(items)
+    assert full.need.sum() > whole.need.sum() and len(full.item_of) > len(whole.item_of)
+    assert decontam.search(full, [text])[0] == found
