@@ -208,19 +208,33 @@ def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Write all pages, read the archives back: the chunked record table
-    without payloads.  An empty table gives an empty one."""
+    """Write all pages, read the archives back: the chunked record table with
+    its payloads.  An empty table gives an empty one."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    return read_warc(write_warc(plan_records(pages), folder), chunk_bytes, with_data=False)
+    return read_warc(write_warc(plan_records(pages), folder), chunk_bytes)
 
 
 def record_facts(table: DataFrame) -> DataFrame:
     """From a record table one row a record: ``page_id, payload_bytes,
-    payload_digest, record_type, refers_to``.  A revisit's size and digest are
-    those of the response it refers to; a revisit whose header digest is not
-    that of this response has nulls."""
-    ends = table.where("last").select("page_id", "record_type", "refers_to", "header_digest",
-                                      "bytes_so_far", "digest_so_far")
+    payload_digest, record_type, refers_to``, taken from its chunks: the size
+    is the sum of theirs, the digest of a payload of one chunk that of the
+    chunk, of more chunks the running one of the last.  A record that lacks a
+    chunk, or whose chunks are not what its running sizes say, has nulls.  A
+    revisit's size and digest are those of the response it refers to; a revisit
+    whose header digest is not that of this response has nulls."""
+    size = F.octet_length("data").cast("long")
+    rows = table.select("record_id", "page_id", "record_type", "refers_to", "header_digest", "chunk", "last",
+                        "bytes_so_far", size.alias("size"),
+                        F.when(F.col("last") & (F.col("chunk") == 0), F.sha2("data", 256)).otherwise(
+                            F.col("digest_so_far")).alias("digest"))
+    # the chunks of a record come from one task, so most of them meet there
+    end = F.max(F.struct("chunk", "last", "bytes_so_far", "digest", "page_id", "record_type", "refers_to",
+                         "header_digest")).alias("end")
+    each = rows.groupBy("record_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum("size").alias("size"), end)
+    whole = F.col("end.last") & (F.col("chunks") == F.col("end.chunk") + 1) & (F.col("size") == F.col("end.bytes_so_far"))
+    ends = each.select(
+        "end.page_id", "end.record_type", "end.refers_to", "end.header_digest",
+        F.when(whole, F.col("size")).alias("bytes_so_far"), F.when(whole, F.col("end.digest")).alias("digest_so_far"))
     ends = keep(ends, "warc-records")
     held = keep(ends.where("record_type = 'response' and page_id is not null")
                 .groupBy(F.col("page_id").alias("of"), F.col("digest_so_far").alias("digest"))

@@ -76,3 +76,19 @@ def test_reader_holds_a_bounded_buffer():
     with pytest.raises(ValueError):
         list(warc.read_records(Stream(raw[:-100]), 4096))
     assert pd.DataFrame(rows).shape[0] == 2 * -(-len(body) // 4096)
+
+
+def test_facts_come_from_the_chunks(spark):
+    """Without a chunk, or with another one's bytes, a record has no size and digest."""
+    from pyspark.sql import functions as F
+    pages = spark.createDataFrame([(1, "u", "x" * 1000), (2, "u", "y" * 2500), (3, "u", "")],
+                                  "page_id long, url string, html string")
+    records = warc.archive_pages(pages, chunk_bytes=1024)
+    full = {r.page_id: r for r in warc.record_facts(records).collect()}
+    for i, payload in ((1, "x" * 1000), (2, "y" * 2500), (3, "")):
+        assert (full[i].payload_bytes, full[i].payload_digest) == (
+            len(payload), hashlib.sha256(payload.encode()).hexdigest())
+    lost = {r.page_id: r for r in warc.record_facts(records.where("page_id <> 2 or chunk <> 1")).collect()}
+    assert (lost[2].payload_bytes, lost[2].payload_digest) == (None, None) and lost[1] == full[1]
+    cut = records.withColumn("data", F.when(F.col("page_id") == 1, F.lit(b"other")).otherwise(F.col("data")))
+    assert {r.page_id: r.payload_bytes for r in warc.record_facts(cut).collect()} == {1: None, 2: 2500, 3: 0}
