@@ -2,14 +2,17 @@
 
 Blocks are the lines of a text and, for statements that wrap, its paragraphs
 (no blank line inside) of several lines; of a longer paragraph, overlapping
-windows of words that hold every run of words as long as the longest template.
+windows of words that hold every run of words as long as the longest span.
 Templates are license statements; a block, called a line below, matches a
-template if it contains ``threshold`` of the template's different words.  Words are ordered by their frequency over all lines of the corpus,
-rarest first.  A line and a template of ``t`` words with ``o`` words in common
-at least must share a word within the first ``t - o + 1`` of the template and
-``l - o + 1`` of the line (prefix filter), the line must have ``o`` words
-(length filter), and after the first shared word there must be room for the
-other ``o - 1`` (positional filter).  What is left is verified in full.  Only
+template if ``threshold`` of the template's different words stand in it within
+a span of ``1 / threshold`` times the template's words, so that words scattered
+over a long line are no statement.  Words are ordered by their frequency over
+all lines of the corpus, rarest first.  A line and a template of ``t`` words
+with ``o`` words in common at least must share a word within the first
+``t - o + 1`` of the template and ``l - o + 1`` of the line (prefix filter), the
+line must have ``o`` words (length filter), and after the first shared word
+there must be room for the other ``o - 1`` (positional filter).  What is left is
+verified in full, first the words, then the span in the original text.  Only
 words of templates can be shared, so lines are cut to these first: exact, and
 the join's right side (words of templates) is bounded by the template list.
 """
@@ -69,7 +72,8 @@ def template_sets(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[dic
         words = sorted(set(re.findall(WORDS, "".join(
             c.lower() if c.isascii() else c for c in text))))
         out.append({"k": k, "label": label, "words": words,
-                    "need": math.ceil(threshold * len(words) - 1e-9), "run": len(re.findall(WORDS, text))})
+                    "need": math.ceil(threshold * len(words) - 1e-9),
+                    "span": math.ceil(len(re.findall(WORDS, text)) / threshold - 1e-9)})
     if sum(len(t["words"]) for t in out) > MAX_TEMPLATE_WORDS:
         raise ValueError("more template words than can be sent to every task; scan in parts")
     return out
@@ -102,13 +106,26 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def _windows(words: Column, vocab: Column, run: int) -> Column:
-    """Words in ``vocab`` of windows of ``2 * run`` words, so far apart that
-    each run of ``run`` words lies in one."""
+def _windows(words: Column, run: int) -> Column:
+    """Windows of ``2 * run`` words, so far apart that each run of ``run``
+    words lies in one."""
     size, step = 2 * run, run + 1
     last = F.greatest(F.lit(0), F.ceil((F.size(words) - size) / step)).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.array_intersect(
-        F.slice(words, i * step + 1, F.lit(size)), vocab))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(words, i * step + 1, F.lit(size)))
+
+
+def _clean(text: Column) -> Column:
+    """Lower-cased words one blank apart and line ends."""
+    breaks = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+    return F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), breaks, " ")
+
+
+def _paragraph_windows(clean: Column, run: int) -> Column:
+    """The windows of all paragraphs of several lines, in order."""
+    paragraphs = F.filter(F.split(clean, "\n *\n"), lambda x: x.rlike("[^ \n] *\n+ *[^ \n]"))
+    # two steps: a paragraph is split once, not again for each window
+    split = F.transform(paragraphs, lambda x: F.split(F.trim(F.regexp_replace(x, "[ \n]+", " ")), " "))
+    return F.flatten(F.transform(split, lambda x: _windows(x, run)))
 
 
 def text_facts(rows: DataFrame, vocabulary: list[str], run: int = 0) -> DataFrame:
@@ -116,9 +133,7 @@ def text_facts(rows: DataFrame, vocabulary: list[str], run: int = 0) -> DataFram
     line's words that are in ``vocabulary``: ``lines`` (array of line, words),
     and ``blocks``, the same of the windows of paragraphs of several lines
     (none if ``run`` is 0)."""
-    breaks = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
-    clean = rows.select("__row", "doc_id", F.regexp_replace(
-        lower_ascii(F.coalesce("text", F.lit(""))), breaks, " ").alias("__clean"))
+    clean = rows.select("__row", "doc_id", _clean(F.col("text")).alias("__clean"))
     flat = F.trim(F.regexp_replace("__clean", "[ \n]+", " "))
     either = "|".join(PHRASES)
     places = F.when(F.concat(F.lit(" "), F.col("__flat"), F.lit(" ")).rlike(f" (?:{either}) "),
@@ -128,10 +143,7 @@ def text_facts(rows: DataFrame, vocabulary: list[str], run: int = 0) -> DataFram
         i.alias("line"), F.array_intersect(F.split(l, " "), vocab).alias("words"))),
         lambda x: F.size(x["words"]) > 0)
     none = F.array().cast("array<struct<line:int,words:array<string>>>")
-    paragraphs = F.filter(F.split("__clean", "\n *\n"), lambda x: x.rlike("[^ \n] *\n+ *[^ \n]"))
-    # two steps: a paragraph is split once, not again for each window
-    split = F.transform(paragraphs, lambda x: F.split(F.trim(F.regexp_replace(x, "[ \n]+", " ")), " "))
-    windows = F.flatten(F.transform(split, lambda x: _windows(x, vocab, run)))
+    windows = F.transform(_paragraph_windows(F.col("__clean"), run), lambda x: F.array_intersect(x, vocab)) if run else none
     blocks = F.filter(F.transform(windows, lambda x, i: F.struct(i.alias("line"), x.alias("words"))),
                       lambda x: F.size(x["words"]) > 0) if run else none
     return clean.withColumn("__flat", flat).select(
@@ -183,6 +195,25 @@ def template_matches(facts: DataFrame, sets: list[dict], of: str = "lines") -> D
             .select("__row", "line", "template", "label", (F.col("shared") / F.col("size")).alias("containment")))
 
 
+def in_span(rows: DataFrame, matches: DataFrame, sets: list[dict], of: str, run: int) -> DataFrame:
+    """Of ``template_matches`` those whose words stand within the template's
+    span in the text of ``rows`` (``__row, text``), with the containment
+    there."""
+    full = rows.sparkSession.createDataFrame([(t["k"], t["words"], t["need"], t["span"]) for t in sets],
+                                             "template int, wanted array<string>, need int, span int")
+    clean = _clean(F.col("text"))
+    words = F.split(F.get(F.split(clean, "\n"), F.col("line")), " ") if of == "lines" else F.get(
+        _paragraph_windows(clean, run), F.col("line"))
+    # blanks at a line's ends give empty words, which no template has
+    there = rows.select(F.col("__row").alias("__of"), "text").join(matches, F.col("__of") == F.col("__row")).join(
+        F.broadcast(full), "template").withColumn("words", F.filter(words, lambda w: w != ""))
+    last = F.greatest(F.size("words") - F.col("span"), F.lit(0))
+    best = F.array_max(F.transform(F.sequence(F.lit(0), last), lambda i: F.size(F.array_intersect(
+        F.slice("words", i + 1, F.col("span")), F.col("wanted")))))
+    return there.withColumn("best", best).where(F.col("best") >= F.col("need")).select(
+        "__row", "line", "template", "label", (F.col("best") / F.size("wanted")).alias("containment"))
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_words, places`` (phrase
     places as (start, label)), ``matches`` (array of line, template, label,
@@ -196,12 +227,13 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     """
     sets = template_sets(templates, threshold)
     vocabulary = sorted({w for t in sets for w in t["words"]})
-    facts = keep(text_facts(with_row_id(docs).select("__row", "doc_id", "text"), vocabulary,
-                            max(t["run"] for t in sets)), "license-facts")
+    rows, run = with_row_id(docs).select("__row", "doc_id", "text"), max(t["span"] for t in sets)
+    facts = keep(text_facts(rows, vocabulary, run), "license-facts")
     out = facts.drop("lines", "blocks")
     empty = F.array().cast("array<struct<line:int,template:int,label:string,containment:double>>")
     for of, name in (("lines", "matches"), ("blocks", "block_matches")):
-        by_row = template_matches(facts, sets, of).groupBy(F.col("__row").alias("__of")).agg(F.array_sort(
+        found = keep(template_matches(facts, sets, of), "license-matches")
+        by_row = in_span(rows, found, sets, of, run).groupBy(F.col("__row").alias("__of")).agg(F.array_sort(
             F.collect_list(F.struct("line", "template", "label", "containment"))).alias(name))
         out = out.join(by_row, F.col("__row") == F.col("__of"), "left").drop("__of")
     return out.select("doc_id", "n_words", "places", F.coalesce("matches", empty).alias("matches"),

@@ -109,7 +109,7 @@ def _licenses() -> str:
         test = " AND ".join(f"words[i + {n + 1}] = {text(w)}" for n, w in enumerate(words))
         places.append(f"list_transform(list_filter(range(len(words)), lambda i: coalesce({test}, false)), "
                       f"lambda i: {{'s': i, 'l': {text(label)}}})")
-    rows = ", ".join(f"({t['k']}, {text(t['label'])}, [{', '.join(map(text, t['words']))}], {t['need']})"
+    rows = ", ".join(f"({t['k']}, {text(t['label'])}, [{', '.join(map(text, t['words']))}], {t['need']}, {t['span']})"
                      for t in template_sets())
     both = places[0]
     for p in places[1:]:
@@ -118,11 +118,14 @@ def _licenses() -> str:
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(t, '{WORDS}') AS words FROM d),
 p AS (SELECT doc_id, len(words) AS n_words, {both} AS places FROM w),
-lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{WORDS}')) AS words FROM d),
-tpl(k, label, words, need) AS (VALUES {rows}),
-m AS (SELECT doc_id, list(DISTINCT label) AS labels,
-             max(len(list_intersect(lines.words, tpl.words))::DOUBLE / len(tpl.words)) AS best
-      FROM lines JOIN tpl ON len(list_intersect(lines.words, tpl.words)) >= need GROUP BY doc_id),
+lines AS (SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), '{WORDS}') AS words FROM d),
+tpl(k, label, words, need, span) AS (VALUES {rows}),
+j AS (SELECT doc_id, label, need, len(tpl.words) AS size, list_max(list_transform(
+             range(greatest(len(lines.words) - span, 0) + 1),
+             lambda i: len(list_intersect(list_distinct(lines.words[i + 1:i + span]), tpl.words)))) AS best
+      FROM lines JOIN tpl ON len(list_intersect(list_distinct(lines.words), tpl.words)) >= need),
+m AS (SELECT doc_id, list(DISTINCT label) AS labels, max(best::DOUBLE / size) AS best FROM j WHERE best >= need
+      GROUP BY doc_id),
 b AS (SELECT p.*, list_sort(list_distinct(list_transform(places, lambda x: x.l))) AS base,
              list_transform(places, lambda x: x.s) AS starts FROM p)
 SELECT b.doc_id, n_words, len(places) AS n_base, list_min(starts) AS first_word, list_max(starts) AS last_word,

@@ -12,6 +12,20 @@ def test_same_as_sql(spark, sf):
     same_as_sql(spark, "op10_license_scan", sf)
 
 
+def held(words, sets):
+    """Templates of which a span of the words has enough: {template: most}."""
+    out = {}
+    for t in sets:
+        most = max((len(set(words[i:i + t["span"]]) & set(t["words"])) for i in range(len(words))), default=0)
+        if most >= t["need"]:
+            out[t["k"]] = most / len(t["words"])
+    return out
+
+
+def words_in(text):
+    return re.findall(licenses.WORDS, text.lower())
+
+
 def test_join_against_all_lines_and_templates(spark):
     import random
     rng = random.Random(3)
@@ -29,16 +43,48 @@ def test_join_against_all_lines_and_templates(spark):
     docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
     for threshold in (0.6, 0.9, 1.0):
         sets = licenses.template_sets(threshold=threshold)
-        want = set()
-        for i, text in enumerate(texts):
-            for n, line in enumerate(text.split("\n")):
-                has = set(re.findall(licenses.WORDS, line.lower()))
-                want |= {(i, n, t["k"]) for t in sets if len(has & set(t["words"])) >= threshold * len(t["words"]) - 1e-9}
-        got = {(r.doc_id, m.line, m.template) for r in licenses.scan_licenses(docs, threshold=threshold).collect()
-               for m in r.matches}
+        want = {(i, n, k, most) for i, text in enumerate(texts) for n, line in enumerate(text.split("\n"))
+                for k, most in held(words_in(line), sets).items()}
+        got = {(r.doc_id, m.line, m.template, m.containment)
+               for r in licenses.scan_licenses(docs, threshold=threshold).collect() for m in r.matches}
         assert got == want and want
 
 
+def test_paragraphs_against_all_spans(spark):
+    """Windows of long paragraphs find what any span of a paragraph holds."""
+    import random
+    rng = random.Random(8)
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            _, t = rng.choice(licenses.TEMPLATES)
+            line = t.split()
+            if rng.random() < 0.5:  # scattered: enough words, no span
+                line = [w for x in line for w in [x] + ["of", "p"] * rng.randint(0, 2)]
+            parts += line + [f"q{rng.randrange(9)}" for _ in range(rng.randint(0, 80))]
+        for i in range(len(parts)):
+            if rng.random() < 0.15:
+                parts[i] += rng.choice(["\n", "\n", "\n \n"])
+        texts.append(" ".join(parts))
+    sets = licenses.template_sets()
+    out = licenses.scan_licenses(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()
+    for r in out:
+        want = set()
+        for p in re.split(r"\n[ ]*\n", texts[r.doc_id]):
+            if re.search(r"[^ \n] *\n+ *[^ \n]", p):
+                want |= set(held(words_in(p), sets))
+        assert {m.template for m in r.block_matches} == want
+    assert any(r.block_matches for r in out)
+
+
+def test_scattered_words_are_no_statement(spark):
+    text = ("all of the people who reserved seats have rights and released a version of it under some of the terms that "
+            "the people of MIT gave in a license")
+    out = licenses.scan_licenses(docs_of(spark, [(1, text, "en", "a"), (2, text.replace(" and ", "\n"), "en", "a")]))
+    assert all(r.matches == [] and r.block_matches == [] for r in out.collect())
+
+
 def test_frequent_words_come_last(spark):
     docs = docs_of(spark, [(i, "the the of license", "en", "a") for i in range(50)] + [
         (99, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
