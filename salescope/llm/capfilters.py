@@ -33,8 +33,8 @@ from salescope.llm.common import connected_components, keep, release, ship
 
 THRESHOLD = 0.93
 PER_FILTER = 64
-MISS = 0.002
-TRIALS = 2000
+MISS = 0.0002
+TRIALS = 20_000
 #: Directions that a pair at the threshold is expected to share in one code.
 SHARED = 1.0
 MAX_CODES = 64
