@@ -42,6 +42,9 @@ BLOCK_ROWS = 65_536
 ROWS_PER_PARTITION = 200_000
 #: Trees after which the residuals are written to the shared folder.
 CHECKPOINT_EVERY = 40
+# Fixed values of early stopping: up to so many rows it is off; one row in so
+# many is held back; the least gain in half the mean squared error that counts.
+STOP_ROWS, HELD_BACK, STOP_GAIN = 10_000, 10, 1e-7
 
 
 # ------------------------------------------------------------------ bins
@@ -295,75 +298,103 @@ class BoostFit:
                         state["init"], state["step"])
 
 
-def _blocks(df: DataFrame, features: str, label: str, edges: list) -> DataFrame:
-    """Kept blocks ``(bins, y)`` of up to ``BLOCK_ROWS`` rows."""
+def _blocks(df: DataFrame, features: str, label: str, edges: list, held: str) -> DataFrame:
+    """Kept blocks ``(held, bins, y)`` of up to ``BLOCK_ROWS`` rows."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, y, n = [], [], 0
+        kept: dict[bool, list] = {False: [], True: []}
+
+        def block(held_: bool) -> pd.DataFrame:
+            x, y = zip(*kept[held_])
+            kept[held_] = []
+            return pd.DataFrame({"held": [held_], "bins": [np.concatenate(x).tobytes()],
+                                 "y": [np.concatenate(y).tobytes()]})
+
         for b in batches:
-            if not len(b):
-                continue
-            x.append(binned(np.stack(b["x"]), edges))
-            y.append(b["y"].to_numpy("<f8"))
-            n += len(b)
-            if n >= BLOCK_ROWS:
-                yield pd.DataFrame({"bins": [np.concatenate(x).tobytes()], "y": [np.concatenate(y).tobytes()]})
-                x, y, n = [], [], 0
-        if n:
-            yield pd.DataFrame({"bins": [np.concatenate(x).tobytes()], "y": [np.concatenate(y).tobytes()]})
+            for held_, part in b.groupby("held"):
+                kept[held_].append((binned(np.stack(part["x"]), edges), part["y"].to_numpy("<f8")))
+                if sum(len(y) for _, y in kept[held_]) >= BLOCK_ROWS:
+                    yield block(held_)
+        for held_, rest in kept.items():
+            if rest:
+                yield block(held_)
 
-    rows = df.select(vector_to_array(F.col(features)).alias("x"), F.col(label).cast("double").alias("y"))
-    return materialize(rows.mapInPandas(pack, "bins binary, y binary"), "boost-blocks")
+    rows = df.select(vector_to_array(F.col(features)).alias("x"), F.col(label).cast("double").alias("y"),
+                     F.col(held).alias("held"))
+    return materialize(rows.mapInPandas(pack, "held boolean, bins binary, y binary"), "boost-blocks")
+
+
+def no_progress(losses: list, rounds: int) -> bool:
+    """Whether none of the last ``rounds`` losses is below the one before them."""
+    return len(losses) > rounds and not any(v < losses[-rounds - 1] - STOP_GAIN for v in losses[-rounds:])
 
 
 def boost_fit(df: DataFrame, features: str = "features", label: str = "label", iters: int = 100, step: float = 0.08,
               leaves: int = 31, l2: float = 0.0, min_leaf: int = 1, prune: float = 0.0,
-              drop_ends: bool = False) -> BoostFit:
+              drop_ends: bool = False, stop_after: int | None = None) -> BoostFit:
     """Boosted trees on the squared error, started at the mean.  Every tree is
-    fitted to the residuals, ``step`` times its leaf values are added.  An
-    empty table gives a model without trees that predicts 0."""
-    row = df.agg(F.avg(label).alias("m"), F.count(label).alias("n")).first()
-    if not row["n"]:
+    fitted to the residuals, ``step`` times its leaf values are added.
+
+    ``stop_after``: of a table of more than ``STOP_ROWS`` rows one in
+    ``HELD_BACK`` (by a hash of its content) is not learned from, and the
+    boosting ends once the loss on these has not improved for so many trees.
+    Rows with a NULL label are left out; an empty table gives a model without
+    trees that predicts 0."""
+    df = df.where(F.col(label).isNotNull())
+    total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if not total:
         return BoostFit([], [], 0.0, step)
-    init = float(row["m"])
-    edges = slot_edges(df, features, drop_ends=drop_ends)
+    watch = bool(stop_after) and total > STOP_ROWS
+    mark = F.pmod(F.xxhash64(vector_to_array(F.col(features)), F.col(label)), F.lit(HELD_BACK)) == 0
+    df = df.withColumn("__held", mark if watch else F.lit(False))
+    learn = df.where(~F.col("__held"))
+    init = float(learn.agg(F.avg(label).alias("m")).first()["m"])
+    edges = slot_edges(learn, features, drop_ends=drop_ends)
     width = max(len(e) for e in edges) + 1
     p = len(edges)
-    parts = max(1, min(df.rdd.getNumPartitions(), -(-row["n"] // ROWS_PER_PARTITION)))
-    packed = _blocks(df.where(F.col(label).isNotNull()).coalesce(parts), features, label, edges)
+    parts = max(1, min(df.rdd.getNumPartitions(), -(-total // ROWS_PER_PARTITION)))
+    packed = _blocks(df.coalesce(parts), features, label, edges, "__held")
     checkpoint_dir(df.sparkSession)
 
-    def unpack(r) -> tuple[np.ndarray, np.ndarray]:
+    def unpack(r) -> tuple[bool, np.ndarray, np.ndarray]:
         y = np.frombuffer(r["y"], "<f8")
-        return np.frombuffer(r["bins"], np.uint8).reshape(len(y), p), y - init
+        return r["held"], np.frombuffer(r["bins"], np.uint8).reshape(len(y), p), y - init
 
-    state: RDD = packed.rdd.map(unpack)
-    state = state.persist()
+    state: RDD = packed.rdd.map(unpack).persist()
     trees: list[Tree] = []
-    held = [state]
+    held, losses = [state], []
     for m in range(iters):
         if trees:
             last = trees[-1]
-            state = state.map(lambda b, last=last: (b[0], b[1] - step * last.predict(b[0]))).persist()
+            state = state.map(lambda b, last=last: (b[0], b[1], b[2] - step * last.predict(b[1]))).persist()
             held.append(state)
             if m % CHECKPOINT_EVERY == 0:
                 state.checkpoint()
 
         def ask(tree: Tree | None, nodes: list, state=state) -> np.ndarray:
-            def table(block: tuple) -> np.ndarray:
-                bins, residual = block
+            def table(block: tuple) -> tuple:
+                aside, bins, residual = block
+                if aside:  # counts for the loss alone, once a tree
+                    return 0.0, np.array([residual @ residual / 2, len(residual)])
                 slot = np.zeros(len(bins), np.int64)
                 if tree is not None:
                     slots = np.full(len(tree.feature), -1)
                     slots[nodes] = np.arange(len(nodes))
                     slot = slots[tree.node_of(bins)]
-                return _histograms(bins, residual, slot, len(nodes), width)
+                return _histograms(bins, residual, slot, len(nodes), width), np.zeros(2)
 
-            return state.map(table).treeReduce(np.add, depth=2)
+            found, loss = state.map(table).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=2)
+            if tree is None and loss[1]:
+                losses.append(loss[0] / loss[1])
+            return found
 
-        trees.append(grow_tree(ask, leaves, l2, min_leaf, prune))
-        for old in held[:-1]:  # the residuals before were read by the root's round
+        root = ask(None, [0])
+        for old in held[:-1]:  # the residuals before have been read
             old.unpersist()
         held = held[-1:]
+        if watch and no_progress(losses, stop_after):
+            break
+        trees.append(grow_tree(lambda tree, nodes: root if tree is None else ask(tree, nodes), leaves, l2, min_leaf,
+                               prune))
     state.unpersist()
     return BoostFit(edges, trees, init, step)

@@ -33,7 +33,7 @@ from salescope.session import MONTH
 VARIANTS = {VARIANT_WITH_QUANTITY: True, VARIANT_NO_QUANTITY: False}
 ORDER_MODELS = ("Baseline_Mean", "Ridge", "Lasso", "DecisionTree", "RandomForest",
                 "HistGradientBoosting")
-ORDER_TREES = {"leaves": 31, "l2": 0.05, "min_leaf": 20}
+ORDER_TREES = {"leaves": 31, "l2": 0.05, "min_leaf": 20, "stop_after": 10}
 QUANTITY_MODELS = ("Baseline_Mean", "Baseline_Median", "Ridge", "Lasso", "PoissonRegressor",
                    "HistGradientBoosting", "RandomForest")
 

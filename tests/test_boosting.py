@@ -104,9 +104,9 @@ def test_the_same_for_any_partitions_and_it_learns(spark, monkeypatch):
 
 
 def test_odd_tables(spark):
-    x = np.array([[1.0, np.nan], [1.0, 2.0], [1.0, 3.0], [1.0, np.nan]])
-    fit = BO.boost_fit(frame(spark, x, [1.0, 2.0, None, 1.0], 2), label="y", iters=2, step=1.0)
-    assert np.allclose(fit.score(x[:2]), [1.0, 2.0])
+    x = np.array([[1.0, np.nan], [1.0, 2.0], [1.0, 3.0], [1.0, 9.0]])
+    fit = BO.boost_fit(frame(spark, x, [5.0, 2.0, 5.0, None], 2), label="y", iters=2, step=1.0)
+    assert np.allclose(fit.score(x[:3]), [5.0, 2.0, 5.0])
     same = BO.boost_fit(frame(spark, x, [3.0] * 4, 1), label="y", iters=2)
     assert all(t.leaves() == 1 for t in same.trees) and np.allclose(same.score(x), 3.0)
     none = frame(spark, x, [3.0] * 4, 1).limit(0)
@@ -115,3 +115,25 @@ def test_odd_tables(spark):
     two = frame(spark, np.array([[0.0]] * 300 + [[1.0]] * 300), [1] * 600)
     assert [list(e) for e in BO.slot_edges(two)] == [[1.0]]
     assert [list(e) for e in BO.slot_edges(two, drop_ends=True)] == [[]]
+
+
+def test_early_stopping_on_rows_held_back(spark, monkeypatch):
+    monkeypatch.setattr(BO, "STOP_ROWS", 500)
+    x, y = data(5)
+    noise = np.random.default_rng(6).normal(size=len(x))
+    short = BO.boost_fit(frame(spark, x, noise), label="y", iters=40, step=0.3, stop_after=3)
+    assert 3 <= len(short.trees) < 20  # nothing to learn: ends soon
+    learns = BO.boost_fit(frame(spark, x, y), label="y", iters=12, step=0.3, stop_after=3)
+    assert len(learns.trees) == 12
+    # the rows held back: about a tenth, the same for any partitions, no part of a tree
+    again = BO.boost_fit(frame(spark, x, y, 5), label="y", iters=12, step=0.3, stop_after=3)
+    assert np.allclose(again.score(x), learns.score(x), atol=1e-9)
+    monkeypatch.setattr(BO, "STOP_ROWS", 10_000)
+    assert len(BO.boost_fit(frame(spark, x, noise), label="y", iters=15, step=0.3, stop_after=3).trees) == 15
+
+
+def test_progress_is_any_loss_below_the_one_before_the_window():
+    assert not BO.no_progress([3.0, 2.0, 1.0], 3)
+    assert not BO.no_progress([3.0, 3.0, 3.0, 2.9], 3)
+    assert BO.no_progress([3.0, 3.0, 3.1, 3.0], 3)
+    assert BO.no_progress([9.0, 3.0, 3.0, 3.1, 3.0 - 1e-9], 3)
