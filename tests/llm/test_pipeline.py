@@ -83,4 +83,4 @@ def test_odd_rows_through_all_stages(spark):
 def test_pipeline_is_registered():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op") and n[2].isdigit()]
-    assert len(names) == 10 and "pipeline" in E.queries()
+    assert len(names) == 13 and "pipeline" in E.queries()
