@@ -106,12 +106,12 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def _windows(words: Column, run: int) -> Column:
-    """Windows of ``2 * run`` words, so far apart that each run of ``run``
-    words lies in one."""
+def _windows(words: Column, run: int, cut) -> Column:
+    """``cut`` of windows of ``2 * run`` words, so far apart that each run of
+    ``run`` words lies in one."""
     size, step = 2 * run, run + 1
     last = F.greatest(F.lit(0), F.ceil((F.size(words) - size) / step)).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(words, i * step + 1, F.lit(size)))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: cut(F.slice(words, i * step + 1, F.lit(size))))
 
 
 def _clean(text: Column) -> Column:
@@ -120,12 +120,13 @@ def _clean(text: Column) -> Column:
     return F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), breaks, " ")
 
 
-def _paragraph_windows(clean: Column, run: int) -> Column:
-    """The windows of all paragraphs of several lines, in order."""
+def _paragraph_windows(clean: Column, run: int, cut=lambda words: words) -> Column:
+    """The windows of all paragraphs of several lines, in order, each ``cut``
+    where it is made (whole windows would be the text twice)."""
     paragraphs = F.filter(F.split(clean, "\n *\n"), lambda x: x.rlike("[^ \n] *\n+ *[^ \n]"))
     # two steps: a paragraph is split once, not again for each window
     split = F.transform(paragraphs, lambda x: F.split(F.trim(F.regexp_replace(x, "[ \n]+", " ")), " "))
-    return F.flatten(F.transform(split, lambda x: _windows(x, run)))
+    return F.flatten(F.transform(split, lambda x: _windows(x, run, cut)))
 
 
 def text_facts(rows: DataFrame, vocabulary: list[str], run: int = 0) -> DataFrame:
@@ -143,8 +144,7 @@ def text_facts(rows: DataFrame, vocabulary: list[str], run: int = 0) -> DataFram
         i.alias("line"), F.array_intersect(F.split(l, " "), vocab).alias("words"))),
         lambda x: F.size(x["words"]) > 0)
     none = F.array().cast("array<struct<line:int,words:array<string>>>")
-    windows = F.transform(_paragraph_windows(F.col("__clean"), run), lambda x: F.array_intersect(x, vocab)) if run else none
-    blocks = F.filter(F.transform(windows, lambda x, i: F.struct(i.alias("line"), x.alias("words"))),
+    blocks = F.filter(F.transform(_paragraph_windows(F.col("__clean"), run, lambda w: F.array_intersect(w, vocab)), lambda x, i: F.struct(i.alias("line"), x.alias("words"))),
                       lambda x: F.size(x["words"]) > 0) if run else none
     return clean.withColumn("__flat", flat).select(
         "__row", "doc_id",
