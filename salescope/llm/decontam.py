@@ -38,7 +38,7 @@ BLOCK_CHARS = 4_000_000
 #: Characters of text searched at once.
 BATCH = 1 << 18
 #: Shared q-grams written out at once.
-HITS = 1 << 20
+HITS = 1 << 17
 #: A q-gram with more places than this may be left out of the index.
 COMMON = 64
 SIEVE_BITS = 22
