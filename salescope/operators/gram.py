@@ -89,77 +89,108 @@ class GramSystem:
         w = np.linalg.pinv(xtx + penalty, rcond=1e-13, hermitian=True) @ xty
         return LinearFit(w[1:], float(w[0])) if fit_intercept else LinearFit(w, 0.0)
 
-    def lasso(self, alpha: float, tol: float = 1e-8, max_sweeps: int = 100_000) -> LassoFit:
-        """argmin 1/(2n) |y - Xw - b|^2 + alpha |w|_1 by coordinate descent.
-
-        The gradient X'r is kept up to date (covariance updates), so a step
-        costs one row of the Gram matrix and never a pass over the data.
-        Sweeps go over the coordinates that are not 0 until they settle, then
-        over all.  Once the signs settle, the equations of the nonzero
-        coordinates are solved directly.  Ends when the duality gap is below
-        ``tol`` times the variance of y; an error otherwise."""
+    def lasso(self, alpha: float, tol: float = 1e-8, max_steps: int = 20_000) -> LassoFit:
+        """argmin 1/(2n) |y - Xw - b|^2 + alpha |w|_1.
+
+        Starts with sweeps of coordinate descent: the gradient X'r is kept up
+        to date (covariance updates), so a step costs one row of the Gram
+        matrix and never a pass over the data.  Collinear columns, which one-hot
+        blocks are full of, would need very many sweeps from there on; an
+        active set goes on instead.  The equations of the nonzero coordinates
+        with their signs are solved directly, and the solution moves towards
+        that until a coordinate comes to 0, which then leaves; once none does,
+        the coordinate of the steepest slope beyond the penalty joins.  Ends
+        when the duality gap is below ``tol`` times the variance of y; an error
+        otherwise.  ``alpha`` 0: least squares."""
         n, mean = self.gram[0, 0], self.gram[0, 1:] / max(self.gram[0, 0], 1.0)
         if not n:
             return LassoFit(np.zeros(len(mean) - 1), 0.0, 0.0)
+        if not alpha:
+            plain = self.solve()
+            return LassoFit(plain.coef, plain.intercept, 0.0)
         centred = self.gram[1:, 1:] - n * np.outer(mean, mean)
         g, xy, yy = centred[:-1, :-1], centred[:-1, -1], centred[-1, -1]
-        diagonal, limit = np.diag(g).copy(), alpha * n
-        usable = diagonal > 1e-12 * n * (1e-300 + mean[:-1] ** 2 + diagonal / n)  # not constant
-        w, slope = np.zeros(len(xy)), xy.copy()
-
-        def sweep(of: np.ndarray) -> float:
-            most = 0.0
-            for j in of:
-                was, at = w[j], slope[j] + diagonal[j] * w[j]
-                now = np.sign(at) * max(abs(at) - limit, 0.0) / diagonal[j]
-                if now != was:
-                    slope[:] -= g[j] * (now - was)
-                    w[j] = now
-                    most = max(most, diagonal[j] * (now - was) ** 2)
-            return most
-
-        def gap_of(w: np.ndarray, slope: np.ndarray) -> float:
-            fit, cross = w @ (xy - slope), w @ xy
-            rest, with_y = yy - 2 * cross + fit, yy - cross
-            worst = np.abs(slope[usable]).max(initial=0.0)
-            s = 1.0 if worst <= limit else limit / worst
-            primal = rest / (2 * n) + alpha * np.abs(w).sum()
-            return float((primal - (2 * s * with_y - s * s * rest) / (2 * n)) / (yy / n if yy > 0 else 1.0))
-
-        every, sweeps = np.flatnonzero(usable), 0
-        while True:
-            sweep(every)
-            sweeps += 1
-            active = np.flatnonzero(w)
-            for _ in range(50):
-                sweeps += 1
-                if not len(active) or sweep(active) <= 1e-18 * max(yy, 1e-300):
-                    break
-            slope = xy - g @ w  # without the rounding of many updates
-            best = (gap_of(w, slope), w, slope)
-            trial = self._on_signs(g, xy, limit, w)
-            if trial is not None:
-                at = xy - g @ trial
-                best = min(best, (gap_of(trial, at), trial, at), key=lambda t: t[0])
-            if best[0] <= tol:
-                w = best[1]
-                return LassoFit(w, float(mean[-1] - mean[:-1] @ w), max(best[0], 0.0))
-            if sweeps >= max_sweeps:
-                raise RuntimeError(f"lasso did not converge: a gap of {best[0]:.2g} after {sweeps} sweeps")
-
-    @staticmethod
-    def _on_signs(g: np.ndarray, xy: np.ndarray, limit: float, w: np.ndarray) -> np.ndarray | None:
-        """The solution with the signs of ``w``, if it has these signs."""
-        active = np.flatnonzero(w)
-        if not len(active):
-            return None
-        sign = np.sign(w[active])
-        found = np.linalg.lstsq(g[np.ix_(active, active)], xy[active] - limit * sign, rcond=None)[0]
-        if (np.sign(found) != sign).any():
-            return None
-        out = np.zeros_like(w)
-        out[active] = found
-        return out
+        limit = alpha * n
+        usable = np.flatnonzero(np.diag(g) > 1e-12 * np.diag(self.gram)[1:-1])  # not constant
+        w = np.zeros(len(xy))
+        w[usable] = _active_set(g[np.ix_(usable, usable)], xy[usable], limit, tol, max_steps,
+                                lambda v, slope: _gap(v, slope, xy[usable], yy, limit, n))
+        slope = xy[usable] - g[np.ix_(usable, usable)] @ w[usable]
+        gap = _gap(w[usable], slope, xy[usable], yy, limit, n)
+        if not gap <= tol:
+            raise RuntimeError(f"lasso did not converge: a gap of {gap:.2g} after {max_steps} steps")
+        return LassoFit(w, float(mean[-1] - mean[:-1] @ w), max(gap, 0.0))
+
+
+def _gap(w: np.ndarray, slope: np.ndarray, xy: np.ndarray, yy: float, limit: float, n: float) -> float:
+    """What the objective at ``w`` is above its least value, at most, as a share
+    of the variance of y; ``slope`` is X'r."""
+    cross = w @ xy
+    rest, with_y = yy - 2 * cross + w @ (xy - slope), yy - cross
+    worst = np.abs(slope).max(initial=0.0)
+    s = 1.0 if worst <= limit else limit / worst
+    primal = rest / 2 + limit * np.abs(w).sum()
+    return float((primal - s * with_y + s * s * rest / 2) / (yy if yy > 0 else 1.0))
+
+
+def _sweeps(g: np.ndarray, xy: np.ndarray, limit: float, number: int) -> np.ndarray:
+    """Coordinate descent from 0."""
+    w, slope, diagonal = np.zeros(len(xy)), xy.copy(), np.diag(g)
+    for _ in range(number):
+        for j in range(len(w)):
+            at = slope[j] + diagonal[j] * w[j]
+            now = np.sign(at) * max(abs(at) - limit, 0.0) / diagonal[j]
+            if now != w[j]:
+                slope -= g[j] * (now - w[j])
+                w[j] = now
+    return w
+
+
+def _active_set(g: np.ndarray, xy: np.ndarray, limit: float, tol: float, max_steps: int, gap) -> np.ndarray:
+    w = _sweeps(g, xy, limit, 30)
+    sign = np.sign(w)
+    for step in range(max_steps):
+        on = np.flatnonzero(sign)
+        settled = True
+        if len(on):
+            want = xy[on] - limit * sign[on]
+            inner = g[np.ix_(on, on)]
+            try:
+                goal = np.linalg.solve(inner, want)
+            except np.linalg.LinAlgError:
+                goal = np.full(len(on), np.nan)
+            if not np.isfinite(goal).all() or np.abs(inner @ goal - want).max() > 1e-6 * limit:
+                goal = np.linalg.lstsq(inner, want, rcond=1e-13)[0]
+            rest = want - inner @ goal
+            # without a solution the penalty falls along what is left over
+            endless = np.abs(rest).max() > 1e-6 * limit
+            way = rest if endless else goal - w[on]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                zero = np.where((w[on] != 0) & (np.sign(way) == -sign[on]), -w[on] / way, np.inf)
+                # one that stands at 0 and would leave its sign goes at once
+                zero[(w[on] == 0) & (np.sign(way) == -sign[on])] = 0.0
+            first = zero.min()
+            if first < 1 or endless:
+                if not np.isfinite(first):
+                    return w
+                w[on] += first * way
+                gone = on[zero <= first]
+                w[gone], sign[gone] = 0.0, 0.0
+                settled = False
+            else:
+                w[on] = goal
+        if settled:
+            slope = xy - g @ w
+            if gap(w, slope) <= tol:
+                return w
+            off = np.flatnonzero(sign == 0)
+            if not len(off):
+                return w
+            j = off[np.abs(slope[off]).argmax()]
+            if abs(slope[j]) <= limit:
+                return w
+            sign[j] = np.sign(slope[j])
+    return w
 
 
 def assemble(entries: DataFrame, names: Sequence[str]) -> GramSystem:

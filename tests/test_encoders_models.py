@@ -233,7 +233,7 @@ def test_poisson_matches_newton(spark):
 
 def test_iteration_limits_are_errors(spark):
     _, _, df = _xy(spark, n=100, p=4, seed=7)
-    for fit in (lambda: MD.gram_system(df, "features", "y").lasso(0.01, tol=-1.0, max_sweeps=1),
+    for fit in (lambda: MD.gram_system(df, "features", "y").lasso(0.01, tol=-1.0, max_steps=1),
                 lambda: MD.poisson_fit(df.withColumn("y", F.abs("y")), 0.01, label="y", max_iter=1)):
         try:
             fit()
