@@ -202,11 +202,17 @@ def in_span(rows: DataFrame, matches: DataFrame, sets: list[dict], of: str, run:
     full = rows.sparkSession.createDataFrame([(t["k"], t["words"], t["need"], t["span"]) for t in sets],
                                              "template int, wanted array<string>, need int, span int")
     clean = _clean(F.col("text"))
-    words = F.split(F.get(F.split(clean, "\n"), F.col("line")), " ") if of == "lines" else F.get(
-        _paragraph_windows(clean, run), F.col("line"))
+    blocks = F.split(clean, "\n") if of == "lines" else _paragraph_windows(clean, run)
+    # a text's blocks are made once, the matched ones kept: else they would be
+    # made again for every place of a span
+    listed = matches.groupBy(F.col("__row").alias("__of")).agg(
+        F.collect_list(F.struct("line", "template", "label")).alias("found"))
+    there = rows.select("__row", "text").join(listed, F.col("__row") == F.col("__of")).select(
+        "__row", "found", blocks.alias("blocks")).select("__row", "blocks", F.explode("found").alias("m"))
+    block = F.get("blocks", F.col("m.line"))
     # blanks at a line's ends give empty words, which no template has
-    there = rows.select(F.col("__row").alias("__of"), "text").join(matches, F.col("__of") == F.col("__row")).join(
-        F.broadcast(full), "template").withColumn("words", F.filter(words, lambda w: w != ""))
+    words = F.filter(F.split(block, " "), lambda w: w != "") if of == "lines" else block
+    there = keep(there.select("__row", "m.*", words.alias("words")), "license-blocks").join(F.broadcast(full), "template")
     last = F.greatest(F.size("words") - F.col("span"), F.lit(0))
     best = F.array_max(F.transform(F.sequence(F.lit(0), last), lambda i: F.size(F.array_intersect(
         F.slice("words", i + 1, F.col("span")), F.col("wanted")))))
