@@ -137,3 +137,25 @@ def test_progress_is_any_loss_below_the_one_before_the_window():
     assert not BO.no_progress([3.0, 3.0, 3.0, 2.9], 3)
     assert BO.no_progress([3.0, 3.0, 3.1, 3.0], 3)
     assert BO.no_progress([9.0, 3.0, 3.0, 3.1, 3.0 - 1e-9], 3)
+
+
+def test_rounds_of_a_small_table_are_no_jobs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, (900, 2)).astype(float)
+    df = frame(spark, x, x[:, 0] * 3 + x[:, 1] ** 2, 2)
+    tracker = spark.sparkContext.statusTracker()
+
+    def fit(iters):
+        spark.sparkContext.setJobGroup(f"boost-{iters}-{BO.ROWS_PER_PARTITION}", "")
+        made = BO.boost_fit(df, label="y", iters=iters, step=0.3, leaves=8)
+        return made.state(), len(tracker.getJobIdsForGroup(f"boost-{iters}-{BO.ROWS_PER_PARTITION}"))
+
+    fit(1)  # bin edges are kept from here on
+    (few, jobs_few), (many, jobs_many) = fit(2), fit(12)
+    assert jobs_many == jobs_few and many["trees"][:2] == few["trees"]
+    monkeypatch.setattr(BO, "ROWS_PER_PARTITION", 450)  # two partitions: the rounds are jobs
+    spread, jobs_spread = fit(12)
+    assert jobs_spread > jobs_many + 12
+    for a, b in zip(many["trees"], spread["trees"], strict=True):
+        assert a["feature"] == b["feature"] and a["at"] == b["at"] and np.allclose(a["value"], b["value"], atol=1e-9)
+    spark.sparkContext._jsc.clearJobGroup()
