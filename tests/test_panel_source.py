@@ -1,6 +1,6 @@
 import datetime as dt
 
-from salescope.sources.panel import panel_tables
+from salescope.sources.panel import TablesOnDemand, panel_tables
 
 
 def _tables(spark, folder):
@@ -34,3 +34,17 @@ def test_panel_is_read_from_kept_sales(spark, tmp_path):
     for name in ("train", "test"):
         assert "lineitem" not in " ".join(t[name].inputFiles())
         assert "l_orderkey" not in t[name]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_holidays_need_no_sales(spark, tmp_path):
+    day = dt.datetime(2000, 12, 25)
+    spark.createDataFrame([(1, 1, day, 10.0)], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    t = panel_tables(spark, str(tmp_path))  # no table of lines is there
+    assert [(r.date, r.type) for r in t["holidays_events"].collect()] == [(day.date(), "Holiday")]
+
+
+def test_a_table_is_made_once(spark):
+    made = []
+    t = TablesOnDemand({"a": lambda: made.append("a") or spark.range(1), "b": lambda: made.append("b")})
+    assert t["a"] is t["a"] and made == ["a"] and list(t) == ["a", "b"]
