@@ -159,3 +159,19 @@ def test_rounds_of_a_small_table_are_no_jobs(spark, monkeypatch):
     for a, b in zip(many["trees"], spread["trees"], strict=True):
         assert a["feature"] == b["feature"] and a["at"] == b["at"] and np.allclose(a["value"], b["value"], atol=1e-9)
     spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_given_edges_are_not_looked_for_again(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(Vectors.dense([float(i)]), float(i > 3)) for i in range(8)], ["features", "y"])
+    edges = BO.slot_edges(df)
+    plain = BO.boost_fit(df, label="y", iters=3, step=0.5, leaves=2)
+    monkeypatch.setattr(BO, "slot_edges", None)
+    given = BO.boost_fit(df, label="y", iters=3, step=0.5, leaves=2, edges=edges)
+    assert given.state() == plain.state()
+
+
+def test_partitions_use_free_cores():
+    assert BO._partitions(10_000, 8) == 1 and BO._partitions(BO.ROWS_PER_PARTITION, 8) == 1
+    assert BO._partitions(450_000, 8) == 8 and BO._partitions(210_000, 100) == 9
+    assert BO._partitions(20_000_000, 8) == 100

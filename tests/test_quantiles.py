@@ -109,3 +109,18 @@ def test_many_levels_take_the_same_path(spark):
     probs = [i / 255 for i in range(256)]
     r = exact_percentiles(df, "v", probs).first()
     assert np.allclose([r[f"q{i}"] for i in range(256)], np.quantile(vals, probs), atol=1e-12)
+
+
+def test_few_values_are_counted_in_one_round(spark, monkeypatch):
+    from salescope.operators import quantiles as QU
+    seen, selected = [], QU._selected
+    monkeypatch.setattr(QU, "_selected", lambda x, keys, probs, digits, *rest: seen.append(tuple(digits)) or selected(
+        x, keys, probs, digits, *rest))
+    df = spark.createDataFrame([("a", -1.5), ("a", 2.0), ("a", 7.0), ("b", 0.25), ("b", None)], "g string, v double")
+    found = []
+    for most in (QU.VALUES_AT_ONCE, 0):
+        monkeypatch.setattr(QU, "VALUES_AT_ONCE", most)
+        rows = QU.exact_percentiles(df, "v", [0.0, 0.5, 0.75], by="g").collect()
+        found.append({r.g: (r.q0, r.q1, r.q2) for r in rows})
+    assert seen == [(64,), QU.DIGITS]
+    assert found[0] == found[1] == {"a": (-1.5, 2.0, 4.5), "b": (0.25, 0.25, 0.25)}
