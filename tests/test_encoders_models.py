@@ -264,3 +264,26 @@ def test_medians_only_where_a_table_has_nulls(spark):
     prep = FeaturePrep(["x", "z"], ["c"], "ordinal").fit(train, others=[test])
     assert prep.medians == {"x": 2.0}
     assert prep.transform(test).select(vector_to_array("features").alias("f")).first()["f"] == [2.0, 6.0, 0.0]
+
+
+def test_svr_blocks_hold_the_ones_of_one_hot_columns(spark):
+    import pickle
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(12)
+    n, p = 600, 80
+    x = np.zeros((n, p))
+    x[:, :2] = rng.normal(size=(n, 2))
+    x[np.arange(n), rng.integers(2, p, n)] = 1.0
+    x[0] = 0.0
+    y = x[:, 0] - x[:, 5] + 0.1 * rng.normal(size=n)
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "y"])
+    kept = MD.split_blocks(df, "features", "y")
+    assert sum(kept.map(lambda b: len(pickle.dumps(b))).collect()) < 0.2 * x.nbytes
+    kept.unpersist()
+    fit = MD.linear_svr_fit(df, "features", "y", epochs=30)
+    w, b = np.random.default_rng(42).normal(0, 0.01, size=p), 0.0
+    for _ in range(30):
+        err = x @ w + b - y
+        sign = np.sign(err) * (np.abs(err) > 0.1)
+        w, b = w - 0.03 * (0.001 * w + x.T @ sign / n), b - 0.03 * sign.sum() / max(np.count_nonzero(sign), 1)
+    assert np.allclose(fit.coef, w, atol=1e-12) and np.isclose(fit.intercept, b)
