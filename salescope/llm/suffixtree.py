@@ -14,24 +14,27 @@ and the root is the add-0.1 unigram distribution over all words.  A symbol is
 scored in the state of the longest kept suffix of what stands before it.
 
 All counts are over all training texts and all words, so the tree grows with
-the corpus; it is a distributed table.  The ``HOT_ENTRIES`` most frequent
-contexts and grams are sent to tasks, the others are joined by a 64-bit key.
-Bit maps of fixed size (one bit a key) say which keys cannot be there: a key
-without its bit needs no count and no join; a full map only saves less.  The
-tree of a small corpus of numbered words is grown on the driver, with the same
-result.
+the corpus.  It is cut at its first edges: all symbols (of training and scored
+texts) after the same token go to one task, packed with up to ``DEPTH`` tokens before
+them; it grows the branches of its contexts and scores its symbols in them, and only sums by
+text leave it.  A context with more than ``HOT_ENTRIES`` symbols after it is
+cut again at its next edges; the counts of its grams, like those of words without a
+number, are added up by key and told to the blocks of texts that have them, so that no
+task holds all symbols of a frequent context.  The tree of a small corpus of
+numbered words is grown on the driver, with the same result.
 """
 
 from __future__ import annotations
 
-import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +46,10 @@ DEPTH = 3
 MIN_COUNT = 2
 #: Training tokens up to which the tree is grown on the driver.
 LOCAL_TOKENS = 1_000_000
-#: Contexts and grams of the tree that are sent to tasks.
+#: Symbols after a context up to which they stay together; a context with more is hot.
 HOT_ENTRIES = 1_000_000
-#: Bits of a bit map, as a power of two.
-MAP_BITS = 26
+#: Tokens of a block of texts, and symbols of a part of the tree, about.
+BLOCK, PART = 1 << 19, 1 << 20
 #: Words with a number of their own (two bytes, two numbers are taken).
 HOT_WORDS = 65_534
 RARE, EDGE = 0, 65_535  # other words; the start (as context) and end (as symbol) of a text
@@ -286,253 +289,442 @@ def gram_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return _mix((context ^ np.uint64(0xD1B54A32D192ED03)) + _mix(symbol))
 
 
-def _key_column(df: DataFrame, depth: int, symbol: bool) -> DataFrame:
-    """``df`` with the ``key`` of its context ``t1 .. t<depth>`` (with a symbol: and ``t0``)."""
-    names = [f"t{j}" for j in range(0 if symbol else 1, depth + 1)]
+def _cold_code(word: bytes) -> int:
+    """Code of a word without a number: a hash with the highest bit set."""
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") | 1 << 63
 
-    def keys(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for cols in batches:
-            cols = cols if isinstance(cols, tuple) else (cols,)  # of one column it comes bare
-            codes = [c.to_numpy(np.int64).view(np.uint64) for c in cols]
-            key = np.full(len(cols[0]), NO_CONTEXT, np.uint64)
-            for c in codes[symbol:]:
-                key = _mix(key + _mix(c))
-            yield pd.Series((gram_keys(key, codes[0]) if symbol else key).view(np.int64))
 
-    keys.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
-    return df.withColumn("key", F.pandas_udf(keys, "long")(*names))
+def _numbered(codes: np.ndarray) -> np.ndarray:
+    return codes <= np.uint64(EDGE)
 
 
-def bit_map(keys: DataFrame) -> np.ndarray:
-    """The bits of all keys (``key``) as words of 64, packed before they are collected."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            packed = []
-            for at, bits in zip(b["at"], b["bits"]):
-                out = np.zeros(1 << 10, np.int64)
-                out[np.asarray(at, np.int64)] = np.asarray(bits, np.int64)
-                packed.append(out.tobytes())
-            yield pd.DataFrame({"part": b["part"], "bits": packed})
-
-    place = F.shiftrightunsigned("key", 64 - MAP_BITS)
-    words = keys.select(place.alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr(
-        "shiftleft(1L, cast(p % 64 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    parts = words.groupBy(F.shiftright("w", 10).alias("part")).agg(F.collect_list(
-        F.struct((F.col("w") % 1024).alias("at"), "b")).alias("x")).select(
-        "part", F.col("x.at").alias("at"), F.col("x.b").alias("bits"))
-    out = np.zeros(1 << MAP_BITS - 6, np.uint64)
-    for r in parts.mapInPandas(pack, "part long, bits binary").collect():
-        out[r.part << 10:r.part + 1 << 10] = np.frombuffer(r.bits, np.uint64)
+def _codes(ids: list[bytes], cold: list[bytes]) -> list[np.ndarray]:
+    """The tokens of each text as codes."""
+    out = []
+    for i, c in zip(ids, cold):
+        t = np.frombuffer(i, "<u2").astype(np.uint64)
+        if len(c):
+            t[t == RARE] = np.frombuffer(c, "<u8")
+        out.append(t)
     return out
 
 
-def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys >> np.uint64(64 - MAP_BITS)
-    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-
+def _sums(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(different keys, first place of each, place of each key, sums of the counts)."""
+    different, first, place = np.unique(keys, return_index=True, return_inverse=True)
+    return different, first, place, *(np.bincount(place, c, len(different)) for c in counts)
 
-def _lines(b: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of word numbers ``ids`` with the codes ``cold`` of words without one,
-    in batches: (first row, line of codes, places of the symbols, symbols of each text)."""
-    first, cold = 0, list(b["cold"])
-    for texts in _batches(list(b["ids"])):
-        codes = []
-        for i, t in enumerate(texts, first):
-            t = t.astype(np.uint64)
-            if len(cold[i]):
-                t[t == RARE] = np.asarray(cold[i], np.int64).view(np.uint64)
-            codes.append(t)
-        yield first, *symbol_line(codes, np.uint64)
-        first += len(texts)
 
+def _text_batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows ``(block, learns, ids, cold)`` block by block, as far as they come
+    together: (block, line of codes, places of the symbols, whether a symbol is learned from)."""
+    for b in batches:
+        for block, rows in b.groupby("block", sort=False):
+            line, at, sizes = symbol_line(_codes(list(rows["ids"]), list(rows["cold"])), np.uint64)
+            yield int(block), line, at, np.repeat(rows["learns"].to_numpy(bool), sizes)
 
-def code_counts(coded: DataFrame, depth: int, sent: Broadcast) -> DataFrame:
-    """``(t0 .. t<depth>, n)``: counts of the grams of ``depth`` context tokens
-    and a symbol as codes, symbol first, over rows of ``coded`` (``ids, cold``).
-    Left out are grams whose first or last ``depth`` tokens are not in the map ``sent``."""
-    names = [f"t{j}" for j in range(depth + 1)]
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gathered: list[tuple[np.ndarray, ...]] = []
-        size = 0
-
-        def merged() -> tuple[np.ndarray, ...]:
-            keys, n, *cols = (np.concatenate(x) for x in zip(*gathered))
-            order = np.argsort(keys)
-            keys = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            return keys[first], np.add.reduceat(n[order], first), *(c[order[first]] for c in cols)
-
-        def hand_on() -> pd.DataFrame:
-            _, n, *cols = merged()
-            gathered.clear()
-            return pd.DataFrame({**{k: c.view(np.int64) for k, c in zip(names, cols)}, "n": n})
-
-        for b in batches:
-            for _, line, at, _ in _lines(b):
-                for d in range(2):  # the last tokens, then the first
-                    *_, shorter = [np.full(len(at), NO_CONTEXT, np.uint64),
-                                   *context_keys(line, at - d, depth - 1)]
-                    known = may_have(sent.value, gram_keys(shorter, line[at - d]))
-                    at = at[known | (line[at - 1] == EDGE) if d else known]
-                if not len(at):
-                    continue
-                *_, context = context_keys(line, at, depth)
-                keys, first, n = np.unique(gram_keys(context, line[at]), return_index=True, return_counts=True)
-                gathered.append((keys, n, *(line[at[first] - j] for j in range(depth + 1))))
-                size += len(keys)
-                if size >= FLUSH_GRAMS:
-                    gathered[:] = [merged()]
-                    size = len(gathered[0][0])
-                    if size >= FLUSH_GRAMS // 2:
-                        yield hand_on()
-                        size = 0
-        if gathered:
-            yield hand_on()
-
-    return (coded.select("ids", "cold").mapInPandas(count, ", ".join(f"{k} long" for k in [*names, "n"]))
-            .groupBy(*names).agg(F.sum("n").alias("n")))
 
+@dataclass
+class HotContexts:
+    """Contexts with more than ``HOT_ENTRIES`` symbols after them: by depth
+    their sorted keys, with the number of each (its place in the lists), and by
+    number the hot context that is its suffix (-1: none) and the training
+    symbols after it; later the listed grams and their occurrences."""
+    keys: list[np.ndarray] = field(default_factory=list)
+    numbers: list[np.ndarray] = field(default_factory=list)
+    suffix: list[int] = field(default_factory=list)
+    size: list[float] = field(default_factory=list)
+    listed: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    mass: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def of(self, depth: int, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the hot contexts with these keys (-1: not hot)."""
+        if depth > len(self.keys):
+            return np.full(len(keys), -1)
+        place, hit = find(self.keys[depth - 1], keys)
+        return np.where(hit, self.numbers[depth - 1][place] if len(self.numbers[depth - 1]) else -1, -1)
+
+
+def hot_contexts(coded: DataFrame) -> HotContexts:
+    """The hot contexts of the rows ``coded`` (``block, learns, ids, cold``),
+    among those of numbered words: at most one in ``HOT_ENTRIES`` symbols a depth."""
+    hot = HotContexts()
+    for d in range(1, DEPTH + 1):
 
-def _sweep(spark: SparkSession) -> None:
-    """Shuffle files of plans that are done go when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+        def count(batches: Iterator[pd.DataFrame], d: int = d) -> Iterator[pd.DataFrame]:
+            for _, line, at, learns in _text_batches(batches):
+                for j in range(1, d + 1):
+                    fits = _numbered(line[at - j]) & (line[at - j] != RARE)
+                    at, learns = at[fits], learns[fits]
+                suffix = np.full(len(at), -1)
+                if d > 1:  # what stands before and after a hot context's ends is hot itself
+                    *_, end = context_keys(line, at, d - 1)
+                    *_, begin = context_keys(line, at - 1, d - 1)
+                    suffix = hot.of(d - 1, end)
+                    fits = (suffix >= 0) & (hot.of(d - 1, begin) >= 0)
+                    at, learns, suffix = at[fits], learns[fits], suffix[fits]
+                if len(at):
+                    *_, keys = context_keys(line, at, d)
+                    keys, first, _, n, size = _sums(keys, np.ones(len(at)), learns)
+                    yield pd.DataFrame({"key": keys.view(np.int64), "suffix": suffix[first],
+                                        "n": n.astype(int), "size": size.astype(int)})
+
+        found = coded.mapInPandas(count, "key long, suffix long, n long, size long").groupBy("key").agg(
+            F.min("suffix").alias("suffix"), F.sum("n").alias("n"), F.sum("size").alias("size")).where(
+            F.col("n") > HOT_ENTRIES).toPandas()
+        if not len(found):
+            break
+        keys = found["key"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        hot.keys.append(keys[order])
+        hot.numbers.append(len(hot.size) + order)
+        hot.suffix += found["suffix"].tolist()
+        hot.size += found["size"].astype(float).tolist()
+    hot.listed, hot.mass = np.zeros(len(hot.size)), np.zeros(len(hot.size))
+    return hot
+
+
+def part_labels(spark: SparkSession, parts: int) -> np.ndarray:
+    """A number for each of ``parts`` partitions that ``repartition`` by it deals out there."""
+    rows = spark.range(parts * (20 + parts.bit_length())).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias(
+        "part")).agg(F.min("id").cast("int").alias("label")).collect()
+    labels = np.zeros(parts, np.int32)
+    labels[:] = rows[0].label
+    for r in rows:
+        labels[r.part] = r.label
+    return labels
+
+
+def _by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows by their part and the bounds of the parts in it."""
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def shared_counts(coded: DataFrame, sent: Broadcast, labels: np.ndarray) -> DataFrame:
+    """``(block, keys, n, hot, listed, mass)``: for each block the training
+    counts of its words without a number and of the grams of its hot contexts,
+    packed (absent: 0; of grams: less than ``MIN_COUNT``); and of hot contexts
+    their listed grams and occurrences of these, to be summed."""
+    parts = len(labels)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, line, at, learns in _text_batches(batches):
+            symbol = line[at]
+            cold = ~_numbered(symbol)
+            keys, hot_of, n = [symbol[cold]], [np.full(int(cold.sum()), -1)], [learns[cold]]
+            for d, key in enumerate(context_keys(line, at, DEPTH), 1):
+                hot_at = sent.value.of(d, key)
+                there = np.flatnonzero(hot_at >= 0)
+                keys.append(gram_keys(key[there], symbol[there]))
+                hot_of.append(hot_at[there])
+                n.append(learns[there])
+            keys, first, _, n = _sums(np.concatenate(keys), np.concatenate(n))
+            hot_of = np.concatenate(hot_of)[first]
+            order, bounds = _by_part((_mix(keys) % np.uint64(parts)).astype(np.int64), parts)
+            rows = [(int(labels[p]), block, keys[o].tobytes(), n[o].astype("<u4").tobytes(),
+                     hot_of[o].astype("<i4").tobytes())
+                    for p in range(parts) if len(o := order[bounds[p]:bounds[p + 1]])]
+            yield pd.DataFrame(rows, columns=["part", "block", "keys", "n", "hot"])
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = [r for b in batches for r in b.itertuples(index=False)]
+        if not asked:
+            return
+        every, n, hot_of = (np.concatenate([np.frombuffer(getattr(r, name), kind) for r in asked])
+                            for name, kind in (("keys", "<u8"), ("n", "<u4"), ("hot", "<i4")))
+        _, first, place, n = _sums(every, n)
+        listed = (hot_of[first] >= 0) & (n >= MIN_COUNT)
+        told = (listed | (hot_of[first] < 0) & (n > 0))[place]
+        n_of, start, rows = n[place], 0, []
+        for r in asked:
+            here = slice(start, start := start + len(r.keys) // 8)
+            rows.append((r.block, every[here][told[here]].tobytes(), n_of[here][told[here]].astype("<u4").tobytes(),
+                         -1, 0, 0))
+        hot, _, _, count, mass = _sums(hot_of[first][listed], np.ones(int(listed.sum())), n[listed])
+        rows += [(None, b"", b"", int(h), int(c), int(m)) for h, c, m in zip(hot, count, mass)]
+        yield pd.DataFrame(rows, columns=["block", "keys", "n", "hot", "listed", "mass"]).astype({"block": "Int64"})
+
+    return coded.mapInPandas(ask, "part int, block long, keys binary, n binary, hot binary").repartition(
+        parts, "part").mapInPandas(answer, "block long, keys binary, n binary, hot int, listed long, mass long")
+
+
+def _pack(codes: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Codes as two bytes each, with a bit for those that are longer, and these."""
+    short = _numbered(codes)
+    return np.where(short, codes, 0).astype("<u2").tobytes(), np.packbits(~short).tobytes(), codes[~short].tobytes()
+
+
+def _unpack(short: bytes, bits: bytes, long: bytes) -> np.ndarray:
+    codes = np.frombuffer(short, "<u2").astype(np.uint64)
+    if len(long):
+        codes[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(codes)).astype(bool)] = np.frombuffer(long, "<u8")
+    return codes
+
+
+#: Columns of packed symbols: their and their contexts' codes, the text of each
+#: (as a step from the one before), whether it is learned from, the counts of
+#: symbols without a number and of grams of hot contexts.
+PACKED = [f"{kind}{j}" for j in range(DEPTH + 1) for kind in ("short", "bits", "long")] + [
+    "step", "learns", "count", "hot_n"]
 
 
-def grow_table(coded: DataFrame, symbols: DataFrame, n_texts: int, total: int, scale: float) -> DataFrame:
-    """The tree as a kept table ``(key, value, n)``: for contexts the log of the
-    weight they give to their suffix, for listed grams the log of the symbol's
-    probability over its probability at the root.  ``coded``: training rows
-    (``ids, cold``); ``symbols``: ``(t0, n)`` of all words and the end;
-    ``scale``: log of what counts at the root are divided by."""
-    spark = coded.sparkSession
-    price = 0.5 * float(np.log(max(total, 2)))
-    listed = symbols.where(F.col("n") >= MIN_COUNT)
-    below = keep(listed.withColumn("lp", F.log(F.col("n") + ADD) - scale).withColumn("root", F.col("lp")), "tree-0")
-    grams, contexts = [], []
-    for d in range(1, DEPTH + 1):
-        ctx, low = [f"t{j}" for j in range(1, d + 1)], [f"t{j}" for j in range(d)]
-        bits = spark.sparkContext.broadcast(bit_map(_key_column(below, d - 1, True)))
-        found = keep(code_counts(coded, d, bits).where(F.col("n") >= MIN_COUNT), f"tree-count-{d}")
-        bits.destroy()
-        # what ends a text is followed by nothing; the start stands before every text
-        sizes = below.where(F.col("t0") != EDGE).select(
-            *[F.col(f"t{j - 1}").alias(f"t{j}") for j in range(1, d + 1)], F.col("n").alias("size")).union(
-            spark.createDataFrame([(*[EDGE] * d, n_texts)], ", ".join(f"{c} long" for c in [*ctx, "size"])))
-        sums = found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("listed"), F.sum("n").alias("mass"))
-        room = F.col("size") + F.col("listed") + 1
-        sums = keep(sums.join(sizes, ctx).select(*ctx, "size", "listed", "mass", F.greatest(
-            1 - F.col("mass") / room, F.lit(1e-12)).alias("weight")), f"tree-sums-{d}")
-        _sweep(spark)
-        level = keep(found.join(sums.select(*ctx, "weight", room.alias("room")), ctx)
-                     .select(*low, f"t{d}", "n", (F.col("n") / F.col("room")).alias("own"), "weight")
-                     .join(below.select(*low, F.col("lp").alias("under"), "root"), low)
-                     .select(*low, f"t{d}", "n", "under", F.log(
-                         F.col("own") + F.col("weight") * F.exp("under")).alias("lp"), "root"), f"tree-{d}")
-        _sweep(spark)
-        gain = F.col("gain") + (F.col("size") - F.col("mass")) * F.log("weight")
-        contexts.append(keep(sums.join(level.groupBy(*ctx).agg(
-            F.sum(F.col("n") * (F.col("lp") - F.col("under"))).alias("gain")), ctx).select(
-            *ctx, F.col("size").alias("n"), F.log("weight").alias("value"),
-            (gain >= price * (F.col("listed") + 1)).alias("worth")), f"tree-contexts-{d}"))
-        grams.append(level)
-        release(found)
-        release(sums)
-        if d == 1:
-            release(below)
-        below = level
-        _sweep(spark)
-    parts, longer = [], None
-    for d in range(DEPTH, 0, -1):
-        ctx = [f"t{j}" for j in range(1, d + 1)]
-        stays = contexts[d - 1].where("worth")
-        if longer is not None:
-            suffixes = longer.select(*ctx).distinct()
-            stays = stays.union(contexts[d - 1].where("not worth").join(suffixes, ctx, "left_semi"))
-        longer = stays = keep(stays, f"tree-kept-{d}")
-        parts.append(_key_column(stays, d, False).select("key", "value", "n"))
-        parts.append(_key_column(grams[d - 1].join(stays.select(*ctx), ctx, "left_semi"), d, True).select(
-            "key", (F.col("lp") - F.col("root")).alias("value"), "n"))
-    tree = parts[0]
-    for x in parts[1:]:
-        tree = tree.union(x)
-    tree = keep(tree, "tree")
-    for x in [*grams, *contexts]:
-        release(x)
-    _sweep(spark)
-    return tree
+@dataclass
+class Model:
+    """What tasks share: counts by word number, the log of what counts at the
+    root are divided by, the price of a parameter, the hot contexts."""
+    counts: np.ndarray
+    scale: float
+    price: float
+    hot: HotContexts
+
+
+def symbols_of(coded: DataFrame, counts: DataFrame, sent: Broadcast, labels: np.ndarray) -> DataFrame:
+    """Every symbol that has a context, packed with those of its block that go
+    to the same ``part``: of a context that is not hot, all symbols after it.
+    Besides a row a block with its ``texts``, their ``base`` scores and ``known``
+    tokens.  ``coded``: ``(block, __n, learns, ids, cold)``."""
+    parts = len(labels)
+    columns = ["part", "first", "texts", "base", "known", *PACKED]
+
+    def deal(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        model: Model = sent.value
+        texts = texts.sort_values("__n")
+        keys = np.frombuffer(b"".join(told["keys"]), "<u8")
+        n = np.frombuffer(b"".join(told["n"]), "<u4")
+        keys, first = np.unique(keys, return_index=True)
+        n = n[first].astype(np.int64)
+
+        def told_n(wanted: np.ndarray) -> np.ndarray:
+            place, hit = find(keys, wanted)
+            return np.where(hit, n[place], 0) if len(n) else np.zeros(len(wanted), np.int64)
+
+        line, at, sizes = symbol_line(_codes(list(texts["ids"]), list(texts["cold"])), np.uint64)
+        names = texts["__n"].to_numpy(np.int64)
+        learns = np.repeat(texts["learns"].to_numpy(bool), sizes)
+        symbol = line[at]
+        cold = ~_numbered(symbol)
+        count = model.counts[np.where(cold, RARE, symbol).astype(np.int64)].astype(np.int64)
+        count[cold] = told_n(symbol[cold])
+        starts = np.cumsum(sizes) - sizes
+        base = np.add.reduceat(np.log10(count + ADD) - model.scale / np.log(10), starts)
+        known = np.add.reduceat((count > 0).astype(np.int64), starts)
+        rows = [(int(labels[int(_mix(names[:1].view(np.uint64))[0]) % parts]), 0, names.tobytes(), base.tobytes(),
+                 known.tobytes(), *[b""] * len(PACKED))]
+        # words that are not listed are in no context of the tree
+        listed = line.copy()
+        listed[at[count < MIN_COUNT]] = RARE
+        context = [listed[at - j] for j in range(DEPTH + 1)]
+        for j in range(2, DEPTH + 1):
+            context[j] = np.where(context[j - 1] == RARE, RARE, context[j])
+        hot, route = np.ones(len(at), bool), np.zeros(len(at), np.uint64)
+        grams = []  # by depth: counts of the grams of hot contexts, -1 for others
+        key = np.full(len(at), NO_CONTEXT, np.uint64)
+        for d in range(1, DEPTH + 1):
+            key = _mix(key + _mix(context[d]))
+            ends_hot = hot & (context[d] == RARE)
+            hot_of = model.hot.of(d, key)
+            route[hot] = key[hot]
+            hot = hot & (hot_of >= 0)
+            gram = gram_keys(key, symbol)
+            # of what is hot to its end all counts are known: any part may have it
+            route[ends_hot] = gram[ends_hot]
+            route[hot] = gram[hot]
+            grams.append(np.where(hot, told_n(gram), -1) if hot.any() else np.full(len(at), -1))
+        text = np.repeat(names, sizes)
+        has = np.flatnonzero(context[1] != RARE)
+        order, bounds = _by_part((_mix(route[has]) % np.uint64(parts)).astype(np.int64), parts)
+        for p in range(parts):
+            o = has[order[bounds[p]:bounds[p + 1]]]
+            if not len(o):
+                continue
+            packed = [x for c in context for x in _pack(c[o])]
+            hot_n = [g[o][g[o] >= 0].astype("<u4") for g in grams]
+            rows.append((int(labels[p]), int(text[o[0]]), b"", b"", b"", *packed,
+                         np.diff(text[o], prepend=text[o[0]]).astype("<u4").tobytes(),
+                         np.packbits(learns[o]).tobytes(), count[o][~_numbered(context[0][o])].astype("<u4").tobytes(),
+                         np.concatenate(hot_n).tobytes()))
+        out = pd.DataFrame(rows, columns=columns)
+        out["step"] = [pa.compress(x, codec="zstd", asbytes=True) if x else x for x in out["step"]]
+        return out
 
+    kind = ", ".join(["part int, first long", *[f"{c} binary" for c in columns[2:]]])
+    return coded.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(deal, kind)
 
-def table_ratios(coded: DataFrame, tree: DataFrame) -> DataFrame:
-    """``(__of, __ratio)``: summed natural-log ratios of each row of ``coded``
-    (``__n, ids, cold``) by the ``tree`` of ``grow_table``."""
-    hot = frequent(tree, HOT_ENTRIES)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"keys": [b["key"].to_numpy(np.int64).tobytes()],
-                                "values": [b["value"].to_numpy(np.float64).tobytes()]})
-
-    most = tree.where(hot).select("key", "value").mapInPandas(pack, "keys binary, values binary").collect()
-    keys = np.frombuffer(b"".join(r["keys"] for r in most), np.uint64)
-    values = np.frombuffer(b"".join(r["values"] for r in most), np.float64)
-    order = np.argsort(keys)
-    rest = tree.where(~hot)
-    sent = tree.sparkSession.sparkContext.broadcast(
-        (keys[order], values[order], bit_map(rest)))
-
-    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, values, bits = sent.value
-
-        def looked(wanted: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Values (nan: not among the hot ones) and what must be joined."""
-            value, open_ = np.full(len(wanted), np.nan), np.zeros(len(wanted), bool)
-            place, hit = find(keys, wanted[alive])
-            value[alive[hit]] = values[place[hit]]
-            missed = alive[~hit]
-            open_[missed] = may_have(bits, wanted[missed])
-            return value, open_
+def grow_and_score(symbols: DataFrame, sent: Broadcast) -> DataFrame:
+    """``(of, hot, s0 .. s<DEPTH>, stays, base, known)`` of the packed rows of
+    ``symbols_of``: summed natural-log ratios of the symbols of a text ``of`` by the
+    number of their deepest hot context (-1: none), ``s<k>`` if the tree has k of
+    it and its suffixes.  No text: a hot context, in ``s0`` a part of the log
+    likelihood that it gains, and whether it stays for a longer one's sake."""
+    sums = [f"s{k}" for k in range(DEPTH + 1)]
 
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
         for b in batches:
-            names = b["__n"].to_numpy(np.int64)
-            for first, line, at, sizes in _lines(b):
-                slots, total = [], np.zeros(len(at))
-                alive = np.arange(len(at))
-                undone = np.zeros(len(at), bool)
-                for d, key in enumerate(context_keys(line, at, DEPTH), 1):
-                    weight, open_ = looked(key, alive)
-                    alive = alive[~np.isnan(weight[alive]) | open_[alive]]
-                    gram = gram_keys(key, line[at])
-                    gain, open_gram = looked(gram, alive)
-                    total = np.where(np.isnan(gain), total + np.where(np.isnan(weight), 0, weight), gain)
-                    undone |= open_ | open_gram
-                    slots += [(2 * d, key, weight, open_), (2 * d + 1, gram, gain, open_gram)]
-                total[undone] = 0
-                of = names[first:first + len(sizes)]
-                yield pd.DataFrame({"__of": of, "at": -1, "slot": 0, "key": 0, "value": np.add.reduceat(
-                    total, np.cumsum(sizes) - sizes)})
-                of_symbol = np.repeat(of, sizes)
-                for slot, key, value, open_ in slots:
-                    for there, joins in ((np.flatnonzero(open_), True),
-                                         (np.flatnonzero(undone & ~np.isnan(value)), False)):
-                        if len(there):
-                            yield pd.DataFrame({"__of": of_symbol[there], "at": at[there], "slot": slot + 8 * joins,
-                                                "key": key[there].view(np.int64), "value": value[there]})
-
-    found = keep(coded.select("__n", "ids", "cold").mapInPandas(
-        look_up, "__of long, at long, slot int, key long, value double"), "tree-looked-up")
-    known = found.where("slot between 1 and 7").select("__of", "at", "slot", "value")
-    joined = found.where("slot >= 8").select("__of", "at", (F.col("slot") - 8).alias("slot"), "key").join(
-        rest.select("key", "value"), "key").select("__of", "at", "slot", "value")
-    each = known.union(joined).groupBy("__of", "at").agg(*[
-        F.max(F.when(F.col("slot") == k, F.col("value"))).alias(f"v{k}") for k in range(2, 2 * DEPTH + 2)])
-    total = F.lit(0.0)
+            for r in b.itertuples(index=False):
+                if not len(r.texts):
+                    rows.append(r)
+                    continue
+                of = np.frombuffer(r.texts, "<i8")
+                yield pd.DataFrame({"of": of, "hot": -1, **dict.fromkeys(sums, 0.0), "stays": False,
+                                    "base": np.frombuffer(r.base, "<f8"), "known": np.frombuffer(r.known, "<i8")})
+        if rows:
+            yield _part_of_tree(rows, sent.value).assign(base=0.0, known=0)
+
+    kind = ", ".join(["of long, hot int", *[f"{c} double" for c in sums], "stays boolean, base double, known long"])
+    return symbols.mapInPandas(work, kind)
+
+
+def _part_of_tree(rows: list, model: Model) -> pd.DataFrame:
+    hot = model.hot
+    context = [np.concatenate([_unpack(*(getattr(r, f"{kind}{j}") for kind in ("short", "bits", "long"))) for r in rows])
+               for j in range(DEPTH + 1)]
+    sizes = [len(r.short0) // 2 for r in rows]
+    text = np.concatenate([r.first + np.cumsum(np.frombuffer(
+        pa.decompress(r.step, n * 4, codec="zstd"), "<u4").astype(np.int64)) for r, n in zip(rows, sizes)])
+    learns = np.concatenate([np.unpackbits(np.frombuffer(r.learns, np.uint8), count=n) for r, n in zip(rows, sizes)])
+    learns = learns.astype(bool)
+    row_of = np.repeat(np.arange(len(rows)), sizes)
+    symbol = context[0]
+    count = model.counts[np.where(_numbered(symbol), symbol, RARE).astype(np.int64)].astype(np.float64)
+    count[~_numbered(symbol)] = np.concatenate([np.frombuffer(r.count, "<u4") for r in rows])
+    in_root = np.log(count + ADD) - model.scale
+    told = [np.frombuffer(r.hot_n, "<u4") for r in rows]  # of each row by depth
+    told_at = np.zeros(len(rows), np.int64)
+
+    places, worth, hot_at = [], [], []
+    ratios, weights = [np.zeros(len(text))], []
+    parent = symbol != RARE  # symbols whose gram of the depth before is listed
+    key = np.full(len(text), NO_CONTEXT, np.uint64)
+    gains: list[tuple[np.ndarray, np.ndarray]] = []
     for d in range(1, DEPTH + 1):
-        total = F.coalesce(f"v{2 * d + 1}", F.coalesce(f"v{2 * d}", F.lit(0.0)) + total)
-    return found.where("slot = 0").select("__of", "value").union(each.select("__of", total.alias("value"))).groupBy(
-        "__of").agg(F.sum("value").alias("__ratio"))
+        key = _mix(key + _mix(context[d]))
+        has = context[d] != RARE
+        of_hot = np.where(has, hot.of(d, key), -1)
+        if d > 1:
+            of_hot[hot_at[-1] < 0] = -1
+        own = np.flatnonzero(has & (of_hot < 0))
+        n, room, weight = np.zeros(len(text)), np.ones(len(text)), np.ones(len(text))
+        place = np.full(len(text), -1)
+        ctx, _, place[own], size = _sums(key[own], learns[own])
+        asked = own[parent[own]]
+        _, first, gram, times = _sums(gram_keys(key[asked], symbol[asked]), learns[asked])
+        n[asked] = times[gram]
+        listed = np.bincount(place[asked[first[times >= MIN_COUNT]]], minlength=len(ctx))
+        counted = own[learns[own] & (n[own] >= MIN_COUNT)]
+        mass = np.bincount(place[counted], minlength=len(ctx))
+        weight_of = np.maximum(1 - mass / (size + listed + 1), 1e-12)
+        room[own], weight[own] = (size + listed + 1)[place[own]], weight_of[place[own]]
+        there = np.flatnonzero(of_hot >= 0)
+        if len(there):
+            # counts lie by row, in a row by depth
+            in_row = np.bincount(row_of[there], minlength=len(rows))
+            n[there] = np.concatenate([told[i][told_at[i]:told_at[i] + k] for i, k in enumerate(in_row)])
+            told_at += in_row
+            room_of, hot_weight = _hot_room(hot)
+            room[there], weight[there] = room_of[of_hot[there]], hot_weight[of_hot[there]]
+        known = parent & has & (n >= MIN_COUNT)
+        ratio = np.full(len(text), np.nan)
+        below = ratios[-1][known]
+        ratio[known] = np.log(n[known] / room[known] + weight[known] * np.exp(below + in_root[known])) - in_root[known]
+        more = np.where(known & learns, ratio - ratios[-1], 0)
+        gain = np.bincount(place[own], more[own], len(ctx)) + (size - mass) * np.log(weight_of)
+        worth.append((listed > 0) & (gain >= model.price * (listed + 1)))
+        if len(there):
+            numbers, _, _, gained = _sums(of_hot[there], more[there])
+            gains.append((numbers, gained))
+        places.append(place)
+        hot_at.append(of_hot)
+        ratios.append(ratio)
+        weights.append(np.log(weight))
+        parent = known
+    stays: list[np.ndarray] = [np.zeros(0, np.int64)]
+    for d in range(DEPTH - 1, 0, -1):
+        longer = np.flatnonzero(places[d] >= 0)
+        longer = longer[worth[d][places[d][longer]]]
+        kept = places[d - 1][longer]
+        worth[d - 1][kept[kept >= 0]] = True
+        stays.append(np.unique(hot_at[d - 1][longer[kept < 0]]))
+    totals = [np.zeros(len(text))]
+    for d in range(DEPTH):
+        in_tree = hot_at[d] >= 0
+        own = np.flatnonzero(places[d] >= 0)
+        in_tree[own] = worth[d][places[d][own]]
+        step = np.where(np.isnan(ratios[d + 1]), totals[-1] + weights[d], ratios[d + 1])
+        totals.append(np.where(in_tree, step, totals[-1]))
+    levels = sum((h >= 0).astype(int) for h in hot_at)
+    deepest = np.full(len(text), -1)
+    for h in hot_at:
+        deepest = np.where(h >= 0, h, deepest)
+    order = np.lexsort((deepest, text))
+    text, deepest = text[order], deepest[order]
+    begin = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (deepest[1:] != deepest[:-1])]))
+    out = {"of": pd.array(text[begin], "Int64"), "hot": deepest[begin]}
+    for k in range(DEPTH + 1):
+        total = np.where(levels > k, totals[k], totals[-1])
+        out[f"s{k}"] = np.add.reduceat(total[order], begin)
+    out["stays"] = False
+    numbers = np.concatenate([*stays, *[x for x, _ in gains]]).astype(np.int64)
+    if not len(numbers):
+        return pd.DataFrame(out)
+    facts = {"of": pd.array([pd.NA] * len(numbers), "Int64"), "hot": numbers, **{f"s{k}": 0.0 for k in range(DEPTH + 1)},
+             "stays": np.arange(len(numbers)) < sum(map(len, stays))}
+    facts["s0"] = np.concatenate([np.zeros(sum(map(len, stays))), *[x for _, x in gains]])
+    return pd.concat([pd.DataFrame(out), pd.DataFrame(facts)])
+
+
+def _hot_room(hot: HotContexts) -> tuple[np.ndarray, np.ndarray]:
+    """What counts after each hot context are divided by, and the weight it gives to its suffix."""
+    room = np.array(hot.size) + hot.listed + 1
+    return room, np.maximum(1 - hot.mass / room, 1e-12)
+
+
+def hot_levels(hot: HotContexts, facts: list, price: float) -> np.ndarray:
+    """How many of a hot context and its suffixes the tree has, by number;
+    ``facts``: ``(hot, gain, stays)`` summed over the parts."""
+    _, weight = _hot_room(hot)
+    gain = (np.array(hot.size) - hot.mass) * np.log(weight)
+    kept = np.zeros(len(gain), bool)
+    for r in facts:
+        gain[r.hot] += r.gain
+        kept[r.hot] = r.stays
+    kept |= (hot.listed > 0) & (gain >= price * (hot.listed + 1))
+    for i in range(len(kept) - 1, -1, -1):  # suffixes have smaller numbers
+        if kept[i] and hot.suffix[i] >= 0:
+            kept[hot.suffix[i]] = True
+    levels = np.zeros(len(kept), np.int64)
+    for i, s in enumerate(hot.suffix):
+        levels[i] = (levels[s] if s >= 0 else 0) + kept[i]
+    return levels
+
+
+def table_scores(coded: DataFrame, counts: np.ndarray, total: int, symbols: int, scale: float) -> DataFrame:
+    """``(__of, __known, __base, __ratio)`` of each row of ``coded`` (``block, __n,
+    learns, ids, cold``): known tokens, the base score and the summed natural-log
+    ratios.  ``counts``: training counts by word number; ``total``: training
+    tokens; ``symbols``: tokens of all rows; ``scale``: log of what counts at the root are divided by."""
+    spark = coded.sparkSession
+    labels = part_labels(spark, max(1, -(-symbols // PART)))
+    hot = hot_contexts(coded) if symbols > HOT_ENTRIES else HotContexts()
+    sent = spark.sparkContext.broadcast(hot)
+    told = keep(shared_counts(coded, sent, labels), "tree-counts")
+    for r in told.where("hot >= 0").groupBy("hot").agg(F.sum("listed").alias("listed"), F.sum("mass").alias("mass")).collect():
+        hot.listed[r.hot], hot.mass[r.hot] = r.listed, r.mass
+    price = 0.5 * float(np.log(max(total, 2)))
+    model = spark.sparkContext.broadcast(Model(counts, scale, price, hot))
+    dealt = symbols_of(coded, told.where("hot < 0").select("block", "keys", "n"), model, labels)
+    done = keep(grow_and_score(dealt.repartition(len(labels), "part"), model), "tree-scores")
+    facts = done.where("of is null").groupBy("hot").agg(F.sum("s0").alias("gain"), F.max("stays").alias("stays")).collect()
+    levels = hot_levels(hot, facts, price)
+    ratio = F.col("s0")
+    if len(levels):
+        table = spark.createDataFrame(pd.DataFrame({"hot": np.arange(-1, len(levels)), "level": [0, *levels]}))
+        done = done.join(F.broadcast(table), "hot")
+        ratio = F.array(*[f"s{k}" for k in range(DEPTH + 1)])[F.col("level").cast("int")]
+    return done.where("of is not null").groupBy(F.col("of").alias("__of")).agg(
+        F.sum("known").alias("__known"), F.sum("base").alias("__base"), F.sum(ratio).alias("__ratio"))
 
 
 def frequent(counted: DataFrame, most: int) -> Column:
@@ -558,11 +750,6 @@ def most_frequent(words: DataFrame, most: int) -> pd.DataFrame:
     return found.select("word", "n").toPandas().sort_values(["n", "word"], ascending=[False, True])
 
 
-def _cold_code(word: Column) -> Column:
-    """Code of a word without a number: a hash with the sign set."""
-    return F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63)))
-
-
 def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> DataFrame:
     """One row for each row of ``docs``: its columns but ``text``, and
     ``n_tokens, n_known, train_tokens, base_score, score`` in place of columns
@@ -596,6 +783,8 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         number, root = numbers.value, roots.value
+        block, size = TaskContext.get().partitionId() << 32, 0
+        codes: dict[bytes, int] = {}
         for s in batches:
             rows = []
             for t in s:
@@ -603,49 +792,48 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
                 ids = np.array([number.get(x, RARE) for x in w], "<u2")
                 known = int(np.count_nonzero(ids))
                 cold = [x for x, i in zip(w, ids.tolist()) if i == RARE] if known < len(w) else []
-                rows.append((ids.tobytes(), len(w) + 1, known, float(root[ids[ids != RARE]].sum()), cold))
-            yield pd.DataFrame(rows, columns=["ids", "tokens", "known", "base", "cold"])
+                for x in cold:
+                    if x not in codes:
+                        if len(codes) >= FLUSH:
+                            codes.clear()
+                        codes[x] = _cold_code(x)
+                cold = np.array([codes.get(x) or _cold_code(x) for x in cold], "<u8")
+                rows.append((ids.tobytes(), len(w) + 1, known, float(root[ids].sum()), cold.tobytes(), block))
+                size += len(w) + 1
+                if size >= BLOCK:
+                    block, size = block + 1, 0
+            yield pd.DataFrame(rows, columns=["ids", "tokens", "known", "base", "cold", "block"])
 
     encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    kind = "ids binary, tokens long, known long, base double, cold array<binary>"
+    kind = "ids binary, tokens long, known long, base double, cold binary, block long"
     coded = keep(docs.select(*[F.col(f"`{c}`") for c in own], F.col(learns).alias("__learns"),
                              F.pandas_udf(encode, kind)("text").alias("__s"),
                              F.monotonically_increasing_id().alias("__n")), "tree-coded")
-    lines = coded.select("__n", "__learns", "__s.ids", F.transform("__s.cold", _cold_code).alias("cold"))
     if total <= LOCAL_TOKENS and facts.different <= len(top):
+        # a word without a number is in no training text
         tree = fit_tree(coded.where("__learns").select("__s.ids"), hot_counts, texts, total, root * np.log(10))
         sent = spark.sparkContext.broadcast(tree)
 
         def ratio(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 sums = [sent.value.score(x) for x in _batches(list(b["ids"]))]
-                yield pd.DataFrame({"__of": b["__n"], "__ratio": np.concatenate([*sums, np.zeros(0)])})
+                yield pd.DataFrame({"__of": b["__n"], "__known": b["known"] + bool(texts),
+                                    "__base": b["base"] + root[EDGE], "__ratio": np.concatenate([*sums, np.zeros(0)])})
 
-        ratios = lines.select("__n", "ids").mapInPandas(ratio, "__of long, __ratio double")
+        sums = coded.select("__n", "__s.ids", "__s.known", "__s.base").mapInPandas(
+            ratio, "__of long, __known long, __base double, __ratio double")
     else:
-        numbered = spark.createDataFrame(pd.DataFrame({"word": [bytes(w) for w in top["word"]],
-                                                       "t0": np.arange(1, len(top) + 1)}), "word binary, t0 long")
-        symbols = words.join(F.broadcast(numbered), "word", "left").select(
-            F.coalesce("t0", _cold_code(F.col("word"))).alias("t0"), "n").union(
-            spark.createDataFrame([(EDGE, texts)], "t0 long, n long"))
-        ratios = table_ratios(lines, grow_table(lines.where("__learns"), symbols, texts, total,
-                                                   scale * float(np.log(10))))
-    cold = coded.select("__n", F.explode("__s.cold").alias("word")).groupBy("word", "__n").agg(
-        F.count(F.lit(1)).alias("times"))
-    log = F.log10(F.coalesce("c", F.lit(0)) + ADD) - scale
-    joined = cold.join(words.withColumnRenamed("n", "c"), "word", "left").groupBy(F.col("__n").alias("__of")).agg(
-        F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("__known"),
-        F.sum(F.col("times") * log).alias("__base"))
-    scored = coded.select(*[F.col(f"`{c}`") for c in own], "__n", F.col("__s.tokens").alias("__tokens"),
-                          F.col("__s.known").alias("__hot"), F.col("__s.base").alias("__hot_base"))
-    base = F.col("__hot_base") + F.coalesce("__base", F.lit(0.0)) + F.lit(float(root[EDGE]))
-    ratios = ratios.select(F.col("__of").alias("__text"), (F.col("__ratio") / float(np.log(10))).alias("__ratio"))
-    return scored.join(joined, F.col("__n") == F.col("__of"), "left").join(
-        ratios, F.col("__n") == F.col("__text")).select(
-        *[F.col(f"`{c}`") for c in own], F.col("__tokens").alias("n_tokens"),
-        (F.col("__hot") + F.coalesce("__known", F.lit(0)) + F.lit(1 if texts else 0)).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("__ratio")).alias("score"))
+        numbered = np.zeros(EDGE + 1)
+        numbered[1:len(hot_counts) + 1], numbered[EDGE] = hot_counts, texts
+        symbols = coded.agg(F.sum("__s.tokens")).first()[0] or 0
+        sums = table_scores(coded.select("__s.block", "__n", F.coalesce("__learns", F.lit(False)).alias("learns"),
+                                         "__s.ids", "__s.cold"), numbered, total, symbols, scale * float(np.log(10)))
+    release(counts)
+    scored = coded.select(*[F.col(f"`{c}`") for c in own], F.col("__n").alias("__text"), F.col("__s.tokens").alias("__tokens"))
+    return scored.join(sums, F.col("__text") == F.col("__of")).select(
+        *[F.col(f"`{c}`") for c in own], F.col("__tokens").alias("n_tokens"), F.col("__known").alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), F.col("__base").alias("base_score"),
+        (F.col("__base") + F.col("__ratio") / float(np.log(10))).alias("score"))
 
 
 ship(__name__)
