@@ -26,6 +26,7 @@ numbered words is grown on the driver, with the same result.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -50,6 +51,8 @@ LOCAL_TOKENS = 1_000_000
 HOT_ENTRIES = 1_000_000
 #: Tokens of a block of texts, and symbols of a part of the tree, about.
 BLOCK, PART = 1 << 19, 1 << 20
+#: Shares of the tree that are grown one after the other.
+WAVES = 3
 #: Words with a number of their own (two bytes, two numbers are taken).
 HOT_WORDS = 65_534
 RARE, EDGE = 0, 65_535  # other words; the start (as context) and end (as symbol) of a text
@@ -289,9 +292,20 @@ def gram_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return _mix((context ^ np.uint64(0xD1B54A32D192ED03)) + _mix(symbol))
 
 
-def _cold_code(word: bytes) -> int:
-    """Code of a word without a number: a hash with the highest bit set."""
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") | 1 << 63
+class _WordCodes(dict):
+    """Codes of words: their number, or else a hash with the highest bit set
+    (some of these are kept)."""
+
+    def __init__(self, number: dict[bytes, int]):
+        super().__init__(number)
+        self.number = number
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= len(self.number) + FLUSH:
+            self.clear()
+            self.update(self.number)
+        code = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little") | 1 << 63
+        return code
 
 
 def _numbered(codes: np.ndarray) -> np.ndarray:
@@ -310,9 +324,13 @@ def _codes(ids: list[bytes], cold: list[bytes]) -> list[np.ndarray]:
 
 
 def _sums(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(different keys, first place of each, place of each key, sums of the counts)."""
-    different, first, place = np.unique(keys, return_index=True, return_inverse=True)
-    return different, first, place, *(np.bincount(place, c, len(different)) for c in counts)
+    """(different keys, a place of each, number of each key among them, sums of the counts)."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(first) - 1
+    return keys[first], order[first], number, *(np.bincount(number, c, int(first.sum())) for c in counts)
 
 
 def _text_batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -449,24 +467,40 @@ def shared_counts(coded: DataFrame, sent: Broadcast, labels: np.ndarray) -> Data
         parts, "part").mapInPandas(answer, "block long, keys binary, n binary, hot int, listed long, mass long")
 
 
+def _squeeze(x: np.ndarray) -> bytes:
+    """Numbers byte by byte: first the lowest byte of all, compressed."""
+    if not len(x):
+        return b""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _expand(x: bytes, kind: str, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(x, n * size, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+
 def _pack(codes: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Codes as two bytes each, with a bit for those that are longer, and these."""
     short = _numbered(codes)
-    return np.where(short, codes, 0).astype("<u2").tobytes(), np.packbits(~short).tobytes(), codes[~short].tobytes()
+    return _squeeze(np.where(short, codes, 0).astype("<u2")), np.packbits(~short).tobytes(), codes[~short].tobytes()
 
 
-def _unpack(short: bytes, bits: bytes, long: bytes) -> np.ndarray:
-    codes = np.frombuffer(short, "<u2").astype(np.uint64)
+def _unpack(short: bytes, bits: bytes, long: bytes, n: int) -> np.ndarray:
+    codes = _expand(short, "<u2", n).astype(np.uint64)
     if len(long):
-        codes[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(codes)).astype(bool)] = np.frombuffer(long, "<u8")
+        codes[np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)] = np.frombuffer(long, "<u8")
     return codes
 
 
 #: Columns of packed symbols: their and their contexts' codes, the text of each
-#: (as a step from the one before), whether it is learned from, the counts of
+#: (its place in the block), whether it is learned from, the counts of
 #: symbols without a number and of grams of hot contexts.
 PACKED = [f"{kind}{j}" for j in range(DEPTH + 1) for kind in ("short", "bits", "long")] + [
-    "step", "learns", "count", "hot_n"]
+    "text", "learns", "count", "hot_n"]
 
 
 @dataclass
@@ -479,13 +513,14 @@ class Model:
     hot: HotContexts
 
 
-def symbols_of(coded: DataFrame, counts: DataFrame, sent: Broadcast, labels: np.ndarray) -> DataFrame:
-    """Every symbol that has a context, packed with those of its block that go
-    to the same ``part``: of a context that is not hot, all symbols after it.
-    Besides a row a block with its ``texts``, their ``base`` scores and ``known``
-    tokens.  ``coded``: ``(block, __n, learns, ids, cold)``."""
+def symbols_of(coded: DataFrame, counts: DataFrame, sent: Broadcast, labels: np.ndarray, wave: int) -> DataFrame:
+    """Every symbol of this ``wave`` that has a context, packed with those of its
+    block (whose first text is ``first``) that go to the same ``part``: of a
+    context that is not hot, all symbols after it.  Besides in wave 0 a row a block
+    with its ``texts``, their ``base`` scores and ``known`` tokens.
+    ``coded``: ``(block, __n, learns, ids, cold)``."""
     parts = len(labels)
-    columns = ["part", "first", "texts", "base", "known", *PACKED]
+    columns = ["part", "first", "size", "texts", "base", "known", *PACKED]
 
     def deal(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         model: Model = sent.value
@@ -509,8 +544,8 @@ def symbols_of(coded: DataFrame, counts: DataFrame, sent: Broadcast, labels: np.
         starts = np.cumsum(sizes) - sizes
         base = np.add.reduceat(np.log10(count + ADD) - model.scale / np.log(10), starts)
         known = np.add.reduceat((count > 0).astype(np.int64), starts)
-        rows = [(int(labels[int(_mix(names[:1].view(np.uint64))[0]) % parts]), 0, names.tobytes(), base.tobytes(),
-                 known.tobytes(), *[b""] * len(PACKED))]
+        rows = [] if wave else [(int(labels[texts["block"].iloc[0] % parts]), int(names[0]), 0, names.tobytes(),
+                                 base.tobytes(), known.tobytes(), *[b""] * len(PACKED))]
         # words that are not listed are in no context of the tree
         listed = line.copy()
         listed[at[count < MIN_COUNT]] = RARE
@@ -531,65 +566,95 @@ def symbols_of(coded: DataFrame, counts: DataFrame, sent: Broadcast, labels: np.
             route[ends_hot] = gram[ends_hot]
             route[hot] = gram[hot]
             grams.append(np.where(hot, told_n(gram), -1) if hot.any() else np.full(len(at), -1))
-        text = np.repeat(names, sizes)
-        has = np.flatnonzero(context[1] != RARE)
-        order, bounds = _by_part((_mix(route[has]) % np.uint64(parts)).astype(np.int64), parts)
+        text = np.repeat((names - names[0]).astype("<u4"), sizes)
+        # in the order of what they are dealt out by: what is alike lies together
+        deal_by = _mix(route)
+        part_of = (deal_by >> np.uint64(32)) * np.uint64(parts * WAVES) >> np.uint64(32)
+        has = np.flatnonzero((context[1] != RARE) & (part_of // np.uint64(parts) == wave))
+        has = has[np.argsort(deal_by[has])]
+        bounds = np.searchsorted(part_of[has], wave * parts + np.arange(parts + 1))
         for p in range(parts):
-            o = has[order[bounds[p]:bounds[p + 1]]]
+            o = has[bounds[p]:bounds[p + 1]]
             if not len(o):
                 continue
-            packed = [x for c in context for x in _pack(c[o])]
-            hot_n = [g[o][g[o] >= 0].astype("<u4") for g in grams]
-            rows.append((int(labels[p]), int(text[o[0]]), b"", b"", b"", *packed,
-                         np.diff(text[o], prepend=text[o[0]]).astype("<u4").tobytes(),
-                         np.packbits(learns[o]).tobytes(), count[o][~_numbered(context[0][o])].astype("<u4").tobytes(),
-                         np.concatenate(hot_n).tobytes()))
-        out = pd.DataFrame(rows, columns=columns)
-        out["step"] = [pa.compress(x, codec="zstd", asbytes=True) if x else x for x in out["step"]]
-        return out
-
-    kind = ", ".join(["part int, first long", *[f"{c} binary" for c in columns[2:]]])
+            symbols = [c[o] for c in context]
+            hot_n = [g[o][g[o] >= 0] for g in grams]
+            rows.append((int(labels[p]), int(names[0]), len(o), b"", b"", b"", *[x for c in symbols for x in _pack(c)],
+                         _squeeze(text[o]), np.packbits(learns[o]).tobytes(),
+                         _squeeze(count[o][~_numbered(symbols[0])].astype("<u4")),
+                         np.concatenate(hot_n).astype("<u4").tobytes()))
+        return pd.DataFrame(rows, columns=columns)
+
+    kind = ", ".join(["part int, first long, size int", *[f"{c} binary" for c in columns[3:]]])
     return coded.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(deal, kind)
 
 
+#: What comes of a part: packed sums of the symbols of a block's texts; or of a
+#: hot context a part of the log likelihood that it gains and whether it stays for
+#: a longer one's sake; or the facts of a block as they came.
+OF_PART = ["first", "size", "texts", "base", "known", "text", "hots", "sums", "hot", "gain", "stays"]
+
+
 def grow_and_score(symbols: DataFrame, sent: Broadcast) -> DataFrame:
-    """``(of, hot, s0 .. s<DEPTH>, stays, base, known)`` of the packed rows of
-    ``symbols_of``: summed natural-log ratios of the symbols of a text ``of`` by the
-    number of their deepest hot context (-1: none), ``s<k>`` if the tree has k of
-    it and its suffixes.  No text: a hot context, in ``s0`` a part of the log
-    likelihood that it gains, and whether it stays for a longer one's sake."""
-    sums = [f"s{k}" for k in range(DEPTH + 1)]
+    """``OF_PART`` of the packed rows of ``symbols_of``."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
+        rows, facts = [], []
         for b in batches:
             for r in b.itertuples(index=False):
-                if not len(r.texts):
+                if r.size:
                     rows.append(r)
-                    continue
-                of = np.frombuffer(r.texts, "<i8")
-                yield pd.DataFrame({"of": of, "hot": -1, **dict.fromkeys(sums, 0.0), "stays": False,
-                                    "base": np.frombuffer(r.base, "<f8"), "known": np.frombuffer(r.known, "<i8")})
-        if rows:
-            yield _part_of_tree(rows, sent.value).assign(base=0.0, known=0)
+                else:
+                    facts.append((r.first, 0, r.texts, r.base, r.known, b"", b"", b"", -1, 0.0, False))
+        facts += _part_of_tree(rows, sent.value) if rows else []
+        if facts:
+            yield pd.DataFrame(facts, columns=OF_PART).astype({"first": "Int64"})
+
+    return symbols.mapInPandas(work, "first long, size int, texts binary, base binary, known binary, text binary, "
+                                     "hots binary, sums binary, hot int, gain double, stays boolean")
 
-    kind = ", ".join(["of long, hot int", *[f"{c} double" for c in sums], "stays boolean, base double, known long"])
-    return symbols.mapInPandas(work, kind)
 
+def add_up(parts: DataFrame) -> DataFrame:
+    """``(of, hot, s0 .. s<DEPTH>, base, known)`` of ``OF_PART`` with a block:
+    summed natural-log ratios of the symbols of a text ``of`` by the number of
+    their deepest hot context (-1: none), ``s<k>`` if the tree has k of it and its
+    suffixes; base scores and known tokens in rows of their own."""
+    sums = [f"s{k}" for k in range(DEPTH + 1)]
 
-def _part_of_tree(rows: list, model: Model) -> pd.DataFrame:
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        first = int(rows["first"].iloc[0])
+        named, rows = rows[rows["size"] == 0], rows[rows["size"] > 0]
+        names = np.frombuffer(b"".join(named["texts"]), "<i8")
+        facts = pd.DataFrame({"of": names, "hot": -1, **dict.fromkeys(sums, 0.0), "base": np.frombuffer(
+            b"".join(named["base"]), "<f8"), "known": np.frombuffer(b"".join(named["known"]), "<i8")})
+        if not len(rows):
+            return facts
+        text, hot = (np.concatenate([_expand(x, kind, n) for x, n in zip(rows[c], rows["size"])]).astype(np.int64)
+                     for c, kind in (("text", "<u4"), ("hots", "<i4")))
+        values = np.concatenate([_expand(x, "<f8", n * len(sums)).reshape(len(sums), n)
+                                 for x, n in zip(rows["sums"], rows["size"])], axis=1)
+        key = text << 32 | hot + 1
+        key, _, _, *totals = _sums(key, *values)
+        return pd.concat([facts, pd.DataFrame({"of": first + (key >> 32), "hot": (key & 0xFFFFFFFF) - 1,
+                                               **dict(zip(sums, totals)), "base": 0.0, "known": 0})])
+
+    kind = ", ".join(["of long, hot int", *[f"{c} double" for c in sums], "base double, known long"])
+    return parts.groupBy("first").applyInPandas(add, kind)
+
+
+def _part_of_tree(rows: list, model: Model) -> list[tuple]:
     hot = model.hot
-    context = [np.concatenate([_unpack(*(getattr(r, f"{kind}{j}") for kind in ("short", "bits", "long"))) for r in rows])
-               for j in range(DEPTH + 1)]
-    sizes = [len(r.short0) // 2 for r in rows]
-    text = np.concatenate([r.first + np.cumsum(np.frombuffer(
-        pa.decompress(r.step, n * 4, codec="zstd"), "<u4").astype(np.int64)) for r, n in zip(rows, sizes)])
+    sizes = [r.size for r in rows]
+    context = [np.concatenate([_unpack(*(getattr(r, f"{kind}{j}") for kind in ("short", "bits", "long")), r.size)
+                               for r in rows]) for j in range(DEPTH + 1)]
+    text = np.concatenate([_expand(r.text, "<u4", r.size) for r in rows]).astype(np.int64)
     learns = np.concatenate([np.unpackbits(np.frombuffer(r.learns, np.uint8), count=n) for r, n in zip(rows, sizes)])
     learns = learns.astype(bool)
     row_of = np.repeat(np.arange(len(rows)), sizes)
     symbol = context[0]
     count = model.counts[np.where(_numbered(symbol), symbol, RARE).astype(np.int64)].astype(np.float64)
-    count[~_numbered(symbol)] = np.concatenate([np.frombuffer(r.count, "<u4") for r in rows])
+    cold = ~_numbered(symbol)
+    count[cold] = np.concatenate([_expand(r.count, "<u4", k) for r, k in zip(rows, np.bincount(row_of[cold], minlength=len(rows)))])
     in_root = np.log(count + ADD) - model.scale
     told = [np.frombuffer(r.hot_n, "<u4") for r in rows]  # of each row by depth
     told_at = np.zeros(len(rows), np.int64)
@@ -658,21 +723,16 @@ def _part_of_tree(rows: list, model: Model) -> pd.DataFrame:
     deepest = np.full(len(text), -1)
     for h in hot_at:
         deepest = np.where(h >= 0, h, deepest)
-    order = np.lexsort((deepest, text))
-    text, deepest = text[order], deepest[order]
-    begin = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (deepest[1:] != deepest[:-1])]))
-    out = {"of": pd.array(text[begin], "Int64"), "hot": deepest[begin]}
-    for k in range(DEPTH + 1):
-        total = np.where(levels > k, totals[k], totals[-1])
-        out[f"s{k}"] = np.add.reduceat(total[order], begin)
-    out["stays"] = False
-    numbers = np.concatenate([*stays, *[x for x, _ in gains]]).astype(np.int64)
-    if not len(numbers):
-        return pd.DataFrame(out)
-    facts = {"of": pd.array([pd.NA] * len(numbers), "Int64"), "hot": numbers, **{f"s{k}": 0.0 for k in range(DEPTH + 1)},
-             "stays": np.arange(len(numbers)) < sum(map(len, stays))}
-    facts["s0"] = np.concatenate([np.zeros(sum(map(len, stays))), *[x for _, x in gains]])
-    return pd.concat([pd.DataFrame(out), pd.DataFrame(facts)])
+    out = []
+    values = np.stack([np.where(levels > k, totals[k], np.where(levels == k, totals[-1], 0)) for k in range(DEPTH + 1)])
+    ends = np.cumsum(sizes)
+    for r, begin, end in zip(rows, ends - sizes, ends):
+        key, place, _, *sums = _sums(text[begin:end] << 32 | deepest[begin:end] + 1, *values[:, begin:end])
+        out.append((r.first, len(key), b"", b"", b"", _squeeze(text[begin:end][place].astype("<u4")),
+                    _squeeze(deepest[begin:end][place].astype("<i4")), _squeeze(np.concatenate(sums)), -1, 0.0, False))
+    blank = (None, 0, *[b""] * 6)
+    out += [(*blank, int(h), float(g), False) for numbers, gained in gains for h, g in zip(numbers, gained)]
+    return out + [(*blank, int(h), 0.0, True) for h in np.unique(np.concatenate(stays))]
 
 
 def _hot_room(hot: HotContexts) -> tuple[np.ndarray, np.ndarray]:
@@ -689,7 +749,7 @@ def hot_levels(hot: HotContexts, facts: list, price: float) -> np.ndarray:
     kept = np.zeros(len(gain), bool)
     for r in facts:
         gain[r.hot] += r.gain
-        kept[r.hot] = r.stays
+        kept[r.hot] |= r.stays
     kept |= (hot.listed > 0) & (gain >= price * (hot.listed + 1))
     for i in range(len(kept) - 1, -1, -1):  # suffixes have smaller numbers
         if kept[i] and hot.suffix[i] >= 0:
@@ -706,27 +766,44 @@ def table_scores(coded: DataFrame, counts: np.ndarray, total: int, symbols: int,
     ratios.  ``counts``: training counts by word number; ``total``: training
     tokens; ``symbols``: tokens of all rows; ``scale``: log of what counts at the root are divided by."""
     spark = coded.sparkSession
-    labels = part_labels(spark, max(1, -(-symbols // PART)))
+    labels = part_labels(spark, max(1, -(-symbols // (PART * WAVES))))
     hot = hot_contexts(coded) if symbols > HOT_ENTRIES else HotContexts()
     sent = spark.sparkContext.broadcast(hot)
     told = keep(shared_counts(coded, sent, labels), "tree-counts")
+    _sweep(spark)
     for r in told.where("hot >= 0").groupBy("hot").agg(F.sum("listed").alias("listed"), F.sum("mass").alias("mass")).collect():
         hot.listed[r.hot], hot.mass[r.hot] = r.listed, r.mass
     price = 0.5 * float(np.log(max(total, 2)))
     model = spark.sparkContext.broadcast(Model(counts, scale, price, hot))
-    dealt = symbols_of(coded, told.where("hot < 0").select("block", "keys", "n"), model, labels)
-    done = keep(grow_and_score(dealt.repartition(len(labels), "part"), model), "tree-scores")
-    facts = done.where("of is null").groupBy("hot").agg(F.sum("s0").alias("gain"), F.max("stays").alias("stays")).collect()
+    sums, facts = None, []
+    for wave in range(WAVES):  # one after the other: shuffled symbols take the most disk
+        dealt = symbols_of(coded, told.where("hot < 0").select("block", "keys", "n"), model, labels, wave)
+        done = keep(grow_and_score(dealt.repartition(len(labels), "part"), model), "tree-parts")
+        if len(hot.size):
+            facts += done.where("first is null").groupBy("hot").agg(F.sum("gain").alias("gain"), F.max("stays").alias(
+                "stays")).collect()
+        added = keep(add_up(done.where("first is not null")), "tree-scores")
+        sums = added if sums is None else sums.union(added)
+        release(done)
+        del dealt, done
+        _sweep(spark)
+    release(told)
     levels = hot_levels(hot, facts, price)
     ratio = F.col("s0")
     if len(levels):
         table = spark.createDataFrame(pd.DataFrame({"hot": np.arange(-1, len(levels)), "level": [0, *levels]}))
-        done = done.join(F.broadcast(table), "hot")
+        sums = sums.join(F.broadcast(table), "hot")
         ratio = F.array(*[f"s{k}" for k in range(DEPTH + 1)])[F.col("level").cast("int")]
-    return done.where("of is not null").groupBy(F.col("of").alias("__of")).agg(
+    return sums.groupBy(F.col("of").alias("__of")).agg(
         F.sum("known").alias("__known"), F.sum("base").alias("__base"), F.sum(ratio).alias("__ratio"))
 
 
+def _sweep(spark: SparkSession) -> None:
+    """Shuffle files of plans that are done go when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def frequent(counted: DataFrame, most: int) -> Column:
     """Condition that holds for at most ``most`` of the rows with the highest
     ``n``.  Counts are binned on a fine log scale (a short histogram); rows from
@@ -782,23 +859,17 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
     own = [c for c in docs.columns if c.lower() not in names]
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        number, root = numbers.value, roots.value
+        code, root = _WordCodes(numbers.value).__getitem__, roots.value
         block, size = TaskContext.get().partitionId() << 32, 0
-        codes: dict[bytes, int] = {}
         for s in batches:
             rows = []
             for t in s:
                 w = tokens(t)
-                ids = np.array([number.get(x, RARE) for x in w], "<u2")
-                known = int(np.count_nonzero(ids))
-                cold = [x for x, i in zip(w, ids.tolist()) if i == RARE] if known < len(w) else []
-                for x in cold:
-                    if x not in codes:
-                        if len(codes) >= FLUSH:
-                            codes.clear()
-                        codes[x] = _cold_code(x)
-                cold = np.array([codes.get(x) or _cold_code(x) for x in cold], "<u8")
-                rows.append((ids.tobytes(), len(w) + 1, known, float(root[ids].sum()), cold.tobytes(), block))
+                codes = np.fromiter(map(code, w), np.uint64, len(w))
+                numbered = _numbered(codes)
+                ids = np.where(numbered, codes, RARE).astype("<u2")
+                rows.append((ids.tobytes(), len(w) + 1, int(numbered.sum()), float(root[ids].sum()),
+                             codes[~numbered].tobytes(), block))
                 size += len(w) + 1
                 if size >= BLOCK:
                     block, size = block + 1, 0
@@ -809,6 +880,7 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
     coded = keep(docs.select(*[F.col(f"`{c}`") for c in own], F.col(learns).alias("__learns"),
                              F.pandas_udf(encode, kind)("text").alias("__s"),
                              F.monotonically_increasing_id().alias("__n")), "tree-coded")
+    _sweep(spark)
     if total <= LOCAL_TOKENS and facts.different <= len(top):
         # a word without a number is in no training text
         tree = fit_tree(coded.where("__learns").select("__s.ids"), hot_counts, texts, total, root * np.log(10))
@@ -829,6 +901,7 @@ def score_texts(docs: DataFrame, learns: str, hot_words: int = HOT_WORDS) -> Dat
         sums = table_scores(coded.select("__s.block", "__n", F.coalesce("__learns", F.lit(False)).alias("learns"),
                                          "__s.ids", "__s.cold"), numbered, total, symbols, scale * float(np.log(10)))
     release(counts)
+    _sweep(spark)
     scored = coded.select(*[F.col(f"`{c}`") for c in own], F.col("__n").alias("__text"), F.col("__s.tokens").alias("__tokens"))
     return scored.join(sums, F.col("__text") == F.col("__of")).select(
         *[F.col(f"`{c}`") for c in own], F.col("__tokens").alias("n_tokens"), F.col("__known").alias("n_known"),

@@ -120,18 +120,19 @@ def test_listing_does_not_depend_on_the_size(spark):
 def test_parts_and_hot_contexts_change_no_score(spark, monkeypatch):
     docs = table(spark, SF, "documents").select("doc_id", "text").withColumn("learns", F.col("doc_id") % 4 != 0)
     want = {r.doc_id: r.score for r in suffixtree.score_texts(docs, "learns").collect()}
-    kept, keep = [], suffixtree.keep
+    rows, keep = {}, suffixtree.keep
 
     def spy(df, name):
-        kept.append((name, keep(df, name)))
-        return kept[-1][1]
+        kept = keep(df, name)
+        rows[name] = kept.count()
+        return kept
 
     for name, value in (("LOCAL_TOKENS", 0), ("BLOCK", 3000), ("PART", 5000), ("HOT_ENTRIES", 200), ("keep", spy)):
         monkeypatch.setattr(suffixtree, name, value)
     out = suffixtree.score_texts(docs, "learns", 300).collect()
     assert {r.doc_id: r.score for r in out} == pytest.approx(want, rel=1e-9)
     # symbols are packed: no table has a row for each of them, or for each that is looked up
-    rows = {name: df.count() for name, df in kept if name != "word-counts"}
+    del rows["word-counts"]
     assert max(rows.values()) < sum(r.n_tokens for r in out) / 4, rows
 
 
