@@ -287,3 +287,26 @@ def test_svr_blocks_hold_the_ones_of_one_hot_columns(spark):
         sign = np.sign(err) * (np.abs(err) > 0.1)
         w, b = w - 0.03 * (0.001 * w + x.T @ sign / n), b - 0.03 * sign.sum() / max(np.count_nonzero(sign), 1)
     assert np.allclose(fit.coef, w, atol=1e-12) and np.isclose(fit.intercept, b)
+
+
+def test_svr_over_columns_reads_few_rows_between_passes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    n = 3000
+    x, kind, other = rng.normal(size=(n, 2)), rng.integers(0, 4, n), rng.integers(0, 3, n)
+    y = x @ [0.5, -0.2] + kind * 0.3 + rng.normal(scale=0.5, size=n)
+    df = spark.createDataFrame([(*map(float, r), float(k), float(o), float(t)) for r, k, o, t in zip(x, kind, other, y)],
+                               "a double, b double, k double, o double, y double").repartition(3)
+    wide = np.column_stack([x, np.eye(4)[kind][:, :3], np.eye(3)[other]])  # a code of 3 is none of k's three
+    read, times = [0], MD._times
+    monkeypatch.setattr(MD, "_summed", lambda rdd, f: sum(map(f, rdd.collect()), 0.0))
+    monkeypatch.setattr(MD, "_times", lambda cells, w, m: (read.__setitem__(0, read[0] + m), times(cells, w, m))[1])
+    fit = MD.linear_svr_fit(df, label="y", epochs=200, columns=(["a", "b"], [("k", 3), ("o", 3)]))
+    w, b = np.random.default_rng(42).normal(0, 0.01, size=8), 0.0
+    for _ in range(200):
+        err = wide @ w + b - y
+        sign = np.sign(err) * (np.abs(err) > 0.1)
+        loss = np.maximum(np.abs(err) - 0.1, 0).mean()
+        w, b = w - 0.03 * (0.001 * w + wide.T @ sign / n), b - 0.03 * sign.sum() / np.count_nonzero(sign)
+    assert np.allclose(fit.coef, w, atol=1e-9) and abs(fit.intercept - b) < 1e-9
+    assert abs(fit.loss_history[-1] - loss - 0.0005 * (w @ w)) < 1e-9
+    assert 0 < read[0] < 0.8 * n * 200  # by the epochs (passes that set rows apart run elsewhere)
